@@ -16,7 +16,7 @@ def word(data: Column, index: int | Column) -> Column:
 
 
 def hex_to_double(digits: Column) -> Column:
-    """Unsigned hex digits of any width as the nearest double; null when a character is no hex digit.
+    """Unsigned hex digits as the nearest double; null when a character is no hex digit.
 
     A hexadecimal floating-point literal is parsed with a single correct rounding, so all 256 bits are
     covered without a wide integer type. Its grammar also knows a point, which digits must not contain.

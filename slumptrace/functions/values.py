@@ -9,11 +9,13 @@ from slumptrace.constants import ADDRESS_LENGTH, ZERO_ADDRESS
 
 
 def valid_wallet(wallet: Column) -> Column:
-    return wallet.isNotNull() & (wallet != "") & (wallet != ZERO_ADDRESS)
+    """A filter for wallets that are known and not the zero address; null, which a filter drops, for null."""
+    return ~wallet.isin("", ZERO_ADDRESS)
 
 
 def valid_key(key: Column) -> Column:
-    return key.isNotNull() & ~key.isin("", "nan")
+    """A filter for keys that hold something; null, which a filter drops, for null."""
+    return ~key.isin("", "nan")
 
 
 def well_formed_address(address: Column) -> Column:

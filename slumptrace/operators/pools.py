@@ -16,17 +16,17 @@ from slumptrace.operators.scale import number_rows, small_side
 from slumptrace.sources.readers import factory_logs
 
 
-def crisis_pools(pools: DataFrame, events: DataFrame) -> DataFrame:
+def crisis_pools(pools: DataFrame, events: DataFrame, event_rows: int | None = None) -> DataFrame:
     """Pool × crisis for every pool with the crisis token on either side.
 
     Each pool is listed once per distinct token of its pair, which turns the either-or condition into an
-    equi join.
+    equi join. ``event_rows`` is the number of crises, if known.
     """
     by_token = pools.select(
         "*", F.explode(F.array_distinct(F.array("token0_address", "token1_address"))).alias("crisis_token")
     )
     windows = events.withColumnRenamed("token_address", "crisis_token")
-    return by_token.join(small_side(windows), "crisis_token").select(
+    return by_token.join(small_side(windows, event_rows), "crisis_token").select(
         "pool_address", "token0_address", "token1_address", "dex_protocol",
         "crisis_id", "crisis_token", "window_start_date", "window_end_date", "crisis_name",
     ).distinct()

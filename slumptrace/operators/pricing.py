@@ -8,14 +8,13 @@ buys by plain equality. A token has at most one price and one pair per day, whic
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumptrace.constants import DEFAULT_PRICE, MOVE_OFFSET_DAYS, RECOVERY_DAYS
 from slumptrace.functions.values import number, pct_change
-from slumptrace.operators import scale
 from slumptrace.operators.scale import small_side
 from slumptrace.sources import readers
 
@@ -41,7 +40,7 @@ def buy_days(buys: DataFrame, timestamp: str = "first_buy_timestamp") -> BuyDays
 
 def _join_back(buys: DataFrame, timestamp: str, answers: DataFrame, days: BuyDays, how: str) -> DataFrame:
     # There is at most one answer per pair, and the pairs have been counted.
-    side = F.broadcast(answers) if days.count <= scale.BROADCAST_ROWS else answers
+    side = small_side(answers, days.count)
     return buys.withColumn("buy_date", F.to_date(timestamp)).join(side, _KEYS, how)
 
 
@@ -64,7 +63,7 @@ def asof_prices(history: DataFrame, days: BuyDays, clip_history: bool = True) ->
     the last asked day are seen. Pairs of tokens without any price row are left out.
     """
     first, last = (days.first, days.last) if clip_history else (None, None)
-    rows = _merged(readers.prices(history, days.pairs, first, last), days.pairs)
+    rows = _merged(readers.prices(history, days.pairs, first, last, days.count), days.pairs)
     quote = F.when(~F.col("asked"), F.struct("dt", "price_usd"))
     token = Window.partitionBy("token_address")
     # On the same day the price row comes before the asked pair.
@@ -101,12 +100,10 @@ def price_buys(
 
 def peak_prices(history: DataFrame, days: BuyDays, recovery_days: int = RECOVERY_DAYS) -> DataFrame:
     """Per asked pair: the highest price in the ``recovery_days`` days after it, and its earliest day."""
-    if days.first is None:
-        quotes = readers.prices(history, days.pairs)
-    else:
-        quotes = readers.prices(
-            history, days.pairs, F.date_add(F.lit(days.first), 1), F.date_add(F.lit(days.last), recovery_days)
-        )
+    first, last = (
+        (days.first + timedelta(days=1), days.last + timedelta(days=recovery_days)) if days.count else (None, None)
+    )
+    quotes = readers.prices(history, days.pairs, first, last, days.count)
     rows = _merged(quotes.where(F.col("price_usd").isNotNull()), days.pairs)
     after = Window.partitionBy("token_address").orderBy(F.unix_date("dt")).rangeBetween(1, recovery_days)
     # The smallest negated price with the smallest day is the earliest peak.

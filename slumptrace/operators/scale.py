@@ -15,14 +15,15 @@ BROADCAST_ROWS = 200_000
 TASK_ROWS = 2_000_000
 
 
-def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark a dimension for broadcast if it has been counted to be small.
+def small_side(df: DataFrame, rows: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """Mark a dimension for broadcast if it is known, or has been counted, to be small.
 
-    A larger one is returned as it is: the join then shuffles both sides, and adaptive execution splits
-    the partitions of hot keys. Only for dimensions that are cheap against what they are joined to.
+    ``rows`` is an upper bound the caller has measured already. A larger side is returned as it is: the
+    join then shuffles both sides, and adaptive execution splits the partitions of hot keys. Only for
+    dimensions that are cheap against what they are joined to.
     """
     limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if df.count() <= limit else df
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -37,13 +38,14 @@ def staging_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compact: bool = True) -> DataFrame:
     """Write ``df`` once to the staging folder and read it back.
 
     Used where a result is needed more than once: it is neither computed again nor lost with an executor.
+    With ``compact`` the rows left over from a large scan are gathered into files of a good size.
     """
     path = f"{staging_folder(df.sparkSession)}/{label}-{uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -68,7 +70,7 @@ def number_rows(
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
 
     ranged = df.repartitionByRange(*[F.col(c) for c in within], *order)
-    sliced = materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
+    sliced = materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices", compact=False)
     sizes = sliced.groupBy("_slice", *within).agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(

@@ -14,7 +14,7 @@ from slumptrace.functions.logs import PROTOCOLS, Protocol
 from slumptrace.functions.values import number, valid_key
 from slumptrace.operators import pools as pool_ops
 from slumptrace.operators import pricing, swaps
-from slumptrace.operators.scale import materialize
+from slumptrace.operators.scale import materialize, small_side
 from slumptrace.schemas import STAGED_BUYS
 from slumptrace.sources import readers
 
@@ -37,34 +37,45 @@ class StageOneOptions:
     default_price: float = DEFAULT_PRICE
 
 
-def window_span(events: DataFrame) -> tuple[date | None, date | None]:
-    """First and last day of all crisis windows."""
-    row = events.agg(F.min("window_start_date"), F.max("window_end_date")).first()
-    return row[0], row[1]
+@dataclass(frozen=True)
+class CrisisSpan:
+    """How many crises there are, and the first and last day of their windows."""
+
+    count: int
+    first: date | None
+    last: date | None
+
 
+def crisis_span(events: DataFrame) -> CrisisSpan:
+    """Measured once, it bounds the log scan and proves the crises small enough to broadcast."""
+    row = events.agg(F.count("*"), F.min("window_start_date"), F.max("window_end_date")).first()
+    return CrisisSpan(*row)
 
-def scan_bounds(events: DataFrame, options: StageOneOptions) -> tuple[str | None, str | None]:
+
+def scan_bounds(span: CrisisSpan, options: StageOneOptions) -> tuple[str | None, str | None]:
     """Time range of the log scan: the given one, narrowed to the crisis windows."""
-    first, last = window_span(events)
-    if first is None:
+    if span.first is None or span.last is None:
         return options.start, options.end
-    starts = [str(first), *([options.start] if options.start else [])]
-    ends = [f"{last + timedelta(days=1)}", *([options.end] if options.end else [])]
+    starts = [str(span.first), *([options.start] if options.start else [])]
+    ends = [str(span.last + timedelta(days=1)), *([options.end] if options.end else [])]
     return max(starts), min(ends)
 
 
 def window_swaps(
-    events: DataFrame, pools: DataFrame, logs: DataFrame, options: StageOneOptions = StageOneOptions()
+    events: DataFrame,
+    pools: DataFrame,
+    logs: DataFrame,
+    options: StageOneOptions = StageOneOptions(),
+    span: CrisisSpan | None = None,
 ) -> DataFrame:
     """Swaps of crisis pools inside the windows of their crises."""
-    crises = readers.crisis_events(events)
-    crossed = pool_ops.crisis_pools(readers.pools(pools), crises)
-    if options.latest is not None:
-        # The newest swaps are taken from the configured range, before windows are looked at.
-        found = readers.swap_logs(logs, options.start, options.end, crossed)
-        found = swaps.latest(found, options.latest)
+    span = crisis_span(events) if span is None else span
+    crossed = pool_ops.crisis_pools(readers.pools(pools), readers.crisis_events(events), span.count)
+    if options.latest is None:
+        found = readers.swap_logs(logs, *scan_bounds(span, options))
     else:
-        found = readers.swap_logs(logs, *scan_bounds(crises, options))
+        # The newest swaps are taken from the configured range, before windows are looked at.
+        found = swaps.latest(readers.swap_logs(logs, options.start, options.end, crossed), options.latest)
     return swaps.in_windows(found, crossed)
 
 
@@ -77,13 +88,18 @@ def unpriced_buys(
 ) -> DataFrame:
     """Buys with wallet and amount, in the columns of the staged table.
 
-    Only swaps that bought are joined to the transactions, which are as many as the logs.
+    Transactions are as many as logs, while few swaps are buys. The buys found are therefore stored and
+    counted; as long as they are few they go to the transactions, which are then not shuffled at all.
     """
+    span = crisis_span(events)
     bought = swaps.crisis_buys(
-        window_swaps(events, pools, logs, options), options.decode, options.decimals, options.protocols
+        window_swaps(events, pools, logs, options, span), options.decode, options.decimals, options.protocols
+    )
+    bought = materialize(
+        bought.select("crisis_id", "crisis_token", "block_timestamp", "transaction_hash", "token_amount"), "bought"
     )
-    senders = readers.senders(transactions, *scan_bounds(events, options))
-    return swaps.by_valid_wallets(swaps.with_sender(bought, senders)).select(
+    senders = readers.senders(transactions, *scan_bounds(span, options))
+    return swaps.by_valid_wallets(swaps.with_sender(small_side(bought), senders)).select(
         "crisis_id",
         "wallet_address",
         F.col("crisis_token").alias("token_address"),

@@ -128,10 +128,11 @@ def prices(
     tokens: DataFrame | None = None,
     first: object | None = None,
     last: object | None = None,
+    token_rows: int | None = None,
 ) -> DataFrame:
     """One price per token and day, optionally for some tokens and days only.
 
-    NaN becomes null. Of several rows for one token and day the highest price counts.
+    ``token_rows`` is an upper bound on the tokens, if one has been measured. NaN becomes null. Of several rows for one token and day the highest price counts.
     """
     quotes = history.select(
         F.lower("token_address").alias("token_address"),
@@ -143,6 +144,6 @@ def prices(
     if last is not None:
         quotes = quotes.where(F.col("dt") <= F.lit(last).cast("date"))
     if tokens is not None:
-        keys = small_side(tokens.select("token_address").distinct())
+        keys = small_side(tokens.select("token_address").distinct(), token_rows)
         quotes = quotes.join(keys, "token_address", "left_semi")
     return quotes.groupBy("token_address", "dt").agg(F.max("price_usd").alias("price_usd"))

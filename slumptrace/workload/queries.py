@@ -55,7 +55,8 @@ def scan_pool_names(fx: Fixture) -> DataFrame:
 
 @query
 def scan_price_history(fx: Fixture) -> DataFrame:
-    return readers.prices(fx.prices, fx.events, *stage_one.window_span(fx.events))
+    span = stage_one.crisis_span(fx.events)
+    return readers.prices(fx.prices, fx.events, span.first, span.last, span.count)
 
 
 @query
@@ -178,9 +179,15 @@ def peak_after_buy(fx: Fixture) -> DataFrame:
     )
 
 
-def _pnl(fx: Fixture) -> DataFrame:
+def _stored_stage_one(fx: Fixture) -> tuple[DataFrame, DataFrame]:
+    """Staged buys and price history as stage two finds them: stored."""
     history = fx.stored_prices
-    return profit.estimate_pnl(_staged(fx, history), history)
+    return materialize(_staged(fx, history), "staged"), history
+
+
+def _pnl(fx: Fixture) -> DataFrame:
+    staged, history = _stored_stage_one(fx)
+    return profit.estimate_pnl(staged, history)
 
 
 def _trades(fx: Fixture) -> DataFrame:
@@ -204,8 +211,7 @@ def wallet_leaderboard(fx: Fixture) -> DataFrame:
 
 @query
 def leaderboard_trades(fx: Fixture) -> DataFrame:
-    history = fx.stored_prices
-    return stage_two.rank_wallets(_staged(fx, history), history).board_trades
+    return stage_two.rank_wallets(*_stored_stage_one(fx)).board_trades
 
 
 @query
@@ -378,8 +384,7 @@ def buyer_rollup(fx: Fixture) -> DataFrame:
 
 @query
 def wallet_labels(fx: Fixture) -> DataFrame:
-    history = fx.stored_prices
-    staged = materialize(_staged(fx, history), "staged")
+    staged, history = _stored_stage_one(fx)
     trades = stage_two.profitable_trades(staged, history)
     return labels.wallet_labels(staged, trades).drop("last_updated_timestamp").withColumns({
         c: F.round(c, 2) for c in ("success_rate", "total_pnl_pct", "total_pnl_usdt")
