@@ -56,7 +56,7 @@ def pool_names(dimension: DataFrame) -> DataFrame:
 def staged_buys(buys: DataFrame) -> DataFrame:
     """The output of stage one, as stage two reads it."""
     return buys.select(
-        "crisis_id", "wallet_address", "token_address", "first_buy_timestamp",
+        "crisis_id", "wallet_address", F.lower("token_address").alias("token_address"), "first_buy_timestamp",
         "first_buy_price", "total_amount_bought", "total_usd_spent", "num_transactions",
     )
 

@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import BUYS, PRICES, at, buy, day, rows
+from slumptrace.operators import profit, scale
+from slumptrace.plans.stage_two import StageTwoOptions, profitable_trades, rank_wallets
+from slumptrace.schemas import PROFITABLE_TRADES
+
+TRADES = ("crisis_id string, wallet_address string, token_address string, buy_price double, peak_recovery_price double, "
+          "estimated_profit_pct double, estimated_profit_usd double, buy_timestamp timestamp, "
+          "peak_recovery_timestamp timestamp")
+
+
+def trade(wallet, usd, pct, crisis="c1", when="2022-01-01"):
+    return crisis, wallet, "T", 1.0, 2.0, pct, usd, at(when), at("2022-01-05")
+
+
+@pytest.fixture
+def history(frame):
+    return frame(PRICES, ("T", 100.0, day("2022-01-01")), ("T", 110.0, day("2022-01-05")), ("t", 105.0, day("2022-01-06")))
+
+
+def test_profit_of_a_buy(frame, history):
+    pnl = profit.estimate_pnl(frame(BUYS, buy("w", "2022-01-02", 100.0, 3.0, token="t")), history)
+    assert rows(pnl) == [("c1", "w", "t", 100.0, 110.0, 10.0, 30.0, at("2022-01-02"), at("2022-01-05"), 3.0, 300.0)]
+
+
+def test_exactly_the_threshold_is_kept(frame, history):
+    buys = frame(BUYS, buy("w10", "2022-01-02", 100.0, 1.0, "t"), buy("w9", "2022-01-02", 100.01, 1.0, "t"))
+    assert rows(profitable_trades(buys, history), "wallet_address") == [("w10",)]
+    assert profitable_trades(buys, history, StageTwoOptions(min_profit_pct=9.0)).count() == 2
+
+
+def test_buys_without_profit_estimate(frame, history):
+    buys = frame(BUYS, buy("zero", "2022-01-02", 0.0, 1.0, "t"), buy("negative", "2022-01-02", -1.0, 1.0, "t"),
+                 buy("null", "2022-01-02", None, 1.0, "t"), buy("late", "2022-01-06", 1.0, 1.0, "t"),
+                 buy("unknown", "2022-01-02", 1.0, 1.0, "u"), buy("early", "2021-10-02", 1.0, 1.0, "t"))
+    assert rows(profit.estimate_pnl(buys, history), "wallet_address") == []
+
+
+def test_formatting_drops_incomplete_rows(frame):
+    rows_in = [trade("w", 1.0, 20.0), trade(None, 1.0, 20.0), trade("", 1.0, 20.0), trade("nan", 1.0, 20.0),
+               trade("w", float("nan"), 20.0), trade("w", None, 20.0)]
+    got = profit.format_trades(frame(TRADES + ", extra int", *[(*r, 1) for r in rows_in]))
+    assert got.count() == 1
+    assert got.schema.simpleString() == PROFITABLE_TRADES.schema.simpleString()
+
+
+def test_leaderboard_rounds_half_to_even_before_ranking(frame):
+    df = frame(TRADES, trade("b", 0.125, 10.0), trade("a", 0.12, 20.0), trade("c", 0.375, 0.125), trade("d", 0.1, 1.0),
+               trade("d", 0.3, 2.0))
+    assert [tuple(r) for r in profit.leaderboard(df).collect()] == [
+        (1, "d", 0.4, 1.5, 2), (2, "c", 0.38, 0.12, 1), (3, "a", 0.12, 20.0, 1), (4, "b", 0.12, 10.0, 1)]
+    assert profit.leaderboard(df, 2).count() == 2
+
+
+def test_leaderboard_counts_trades_not_crises(frame):
+    df = frame(TRADES, trade("a", 1.0, 1.0), trade("a", 1.0, 1.0), trade("a", 1.0, 1.0, crisis=None))
+    assert profit.leaderboard(df).first()["num_trades"] == 2
+
+
+@pytest.mark.parametrize("task_rows", [scale.TASK_ROWS, 2])
+def test_trades_behind_the_leaderboard(frame, monkeypatch, task_rows):
+    monkeypatch.setattr(scale, "TASK_ROWS", task_rows)
+    df = frame(TRADES, *[trade("a", 5.0, float(p)) for p in (3, 9, 7, 1, 5)], trade("b", 4.0, 8.0), trade("c", 1.0, 99.0))
+    board = profit.leaderboard(df, 2)
+    got = profit.leaderboard_trades(df, board)
+    assert rows(got, "rank", "wallet_address", "trade_no", "estimated_profit_pct") == [
+        (1, "a", 1, 9.0), (1, "a", 2, 7.0), (1, "a", 3, 5.0), (1, "a", 4, 3.0), (1, "a", 5, 1.0), (2, "b", 1, 8.0)]
+
+
+def test_summary_lists_at_most_top_n(frame):
+    df = frame(TRADES, trade("a", 1.5, 10.0), trade("b", 2.5, 20.0), trade("c", 3.0, 30.0))
+    assert rows(profit.pnl_summary(df, 2)) == [(2, 3, 7.0, 20.0)]
+    assert rows(profit.pnl_summary(df)) == [(3, 3, 7.0, 20.0)]
+    assert rows(profit.kept_ratio(df, 20.0)) == [(3, 2, 2 / 3, 20.0)]
+    assert rows(profit.pnl_summary(df.limit(0))) == [(0, 0, None, None)]
+
+
+def test_best_first(frame):
+    df = frame(TRADES, trade("a", 1.0, 10.0), trade("b", 1.0, 30.0), trade("c", 1.0, 20.0))
+    assert [r["wallet_address"] for r in profit.best_first(df).collect()] == ["b", "c", "a"]
+
+
+def test_stage_two_outcome(frame, history):
+    buys = frame(BUYS, buy("w1", "2022-01-02", 100.0, 3.0, "t"), buy("w2", "2022-01-02", 50.0, 1.0, "t"),
+                 buy("w3", "2022-01-02", 109.0, 1.0, "t"))
+    outcome = rank_wallets(buys, history)
+    assert rows(outcome.board, "rank", "wallet_address", "total_profit_usd") == [(1, "w2", 60.0), (2, "w1", 30.0)]
+    assert outcome.board_trades.count() == outcome.trades.count() == 2
+
+
+@pytest.mark.parametrize("within", [[], ["k"]])
+def test_sliced_numbering_equals_plain_numbering(frame, within):
+    rng = random.Random(3)
+    df = frame("k string, v int, i int", *[(rng.choice(["a", "a", "a", "b", None]), rng.randrange(50), i) for i in range(400)])
+    order = [F.desc("v"), F.asc("i")]
+    plain = scale.number_rows(df, order, within)
+    sliced = scale.number_rows(df, order, within, task_rows=10)
+    assert rows(sliced, "k", "v", "i", "row_number") == rows(plain, "k", "v", "i", "row_number")
+    assert sliced.schema["row_number"].dataType == plain.schema["row_number"].dataType
