@@ -132,3 +132,24 @@ def test_readers_select_and_order(spark, frame):
     assert staged.columns == schemas.STAGED_BUYS.schema.names
     df = frame("t timestamp", (at("2022-01-01 00:00:00"),), (at("2022-01-02 00:00:00"),), (at("2022-01-02 00:00:01"),))
     assert readers.between_times(df, "t", "2022-01-01", "2022-01-02").count() == 2
+
+
+def test_command_line_runs_the_steps(spark, frame, database, tmp_path, capsys, monkeypatch):
+    from slumptrace import __main__ as command
+
+    monkeypatch.setattr(command, "build_session", lambda: spark)
+    token, base, pool = 0x10, int("c02aaa39b223fe8d0a0e5c4f27ead9083c756cc2", 16), 0xF0
+    sinks.write_table(frame(EVENTS, event("c1", address(token), "2022-01-10", "2022-01-12")), database, schemas.CRISIS_EVENTS)
+    sinks.write_table(frame(PRICES, *[(address(token), p, day(d)) for p, d in (
+        (10.0, "2022-01-03"), (5.0, "2022-01-11"), (20.0, "2022-02-01"))]), database, schemas.PRICES)
+    frame(LOGS, pair_created(token, base, pool),
+          swap("2022-01-11 10:00:00", "t1", address(pool), payload(0, UNIT, UNIT, 0))).write.parquet(str(tmp_path / "logs"))
+    frame(TRANSACTIONS, ("t1", "w1")).write.parquet(str(tmp_path / "tx"))
+    place = ["--database", database, "--logs", str(tmp_path / "logs")]
+    assert command.main(["pools", *place]) == 0
+    assert command.main(["verify", *place]) == 1
+    assert command.main(["stage-one", *place, "--transactions", str(tmp_path / "tx")]) == 0
+    assert command.main(["stage-two", "--database", database, "--top", "3"]) == 0
+    assert command.main(["labels", "--database", database, "--dry-run"]) == 0
+    printed = capsys.readouterr().out
+    assert "1 pools" in printed and "1 buys" in printed and "1 wallets" in printed and "|300.0" in printed
