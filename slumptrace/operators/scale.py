@@ -38,11 +38,11 @@ def staging_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, label: str, compact: bool = True) -> DataFrame:
+def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     """Write ``df`` once to the staging folder and read it back.
 
     Used where a result is needed more than once: it is neither computed again nor lost with an executor.
-    With ``compact`` the rows left over from a large scan are gathered into files of a good size.
+    With ``compact`` the few rows left over by each task of a large scan are gathered into files of a good size.
     """
     path = f"{staging_folder(df.sparkSession)}/{label}-{uuid4().hex}"
     (df.hint("rebalance") if compact else df).write.parquet(path)
@@ -70,7 +70,7 @@ def number_rows(
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
 
     ranged = df.repartitionByRange(*[F.col(c) for c in within], *order)
-    sliced = materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices", compact=False)
+    sliced = materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
     sizes = sliced.groupBy("_slice", *within).agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(

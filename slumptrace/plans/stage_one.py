@@ -96,7 +96,8 @@ def unpriced_buys(
         window_swaps(events, pools, logs, options, span), options.decode, options.decimals, options.protocols
     )
     bought = materialize(
-        bought.select("crisis_id", "crisis_token", "block_timestamp", "transaction_hash", "token_amount"), "bought"
+        bought.select("crisis_id", "crisis_token", "block_timestamp", "transaction_hash", "token_amount"),
+        "bought", compact=True,
     )
     senders = readers.senders(transactions, *scan_bounds(span, options))
     return swaps.by_valid_wallets(swaps.with_sender(small_side(bought), senders)).select(
@@ -141,6 +142,6 @@ def stage_buys(
     Pricing needs the days of all buys before it can price the first one, so the few buys found are
     stored once instead of reading the logs twice.
     """
-    buys = materialize(unpriced_buys(events, pools, logs, transactions, options), "buys")
+    buys = materialize(unpriced_buys(events, pools, logs, transactions, options), "buys", compact=True)
     priced = pricing.price_buys(buys, history, options.clip_history, options.default_price)
     return format_buys(priced)

@@ -56,7 +56,7 @@ def write_table(
     (leave the table alone) or ``error``.
     """
     spark = df.sparkSession
-    staged = materialize(conform(df, table), table.name)
+    staged = materialize(conform(df, table), table.name, compact=True)
     rows = staged.count()
     if rows == 0:
         if on_empty == "error":

@@ -8,8 +8,10 @@ the reference SQL reads them by name.
 from __future__ import annotations
 
 from functools import cached_property
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from slumptrace.constants import PAIR_CREATED_TOPIC, PAIR_FACTORY, SWAP_TOPIC, ZERO_ADDRESS
 from slumptrace.operators.scale import materialize
@@ -114,6 +116,9 @@ def oracle_view(name: str) -> str:
 class Fixture:
     """The views over the test tables of one scale, as frames."""
 
+    # The test tables never change, so their schemas are read once per process, as a catalog would keep them.
+    _schemas: ClassVar[dict[str, StructType]] = {}
+
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
@@ -121,7 +126,10 @@ class Fixture:
 
     def raw(self, table: str) -> DataFrame:
         if table not in self._raw:
-            self._raw[table] = load(self.spark, f"{self.folder.rstrip('/')}/{table}.parquet")
+            path = f"{self.folder.rstrip('/')}/{table}.parquet"
+            if path not in self._schemas:
+                self._schemas[path] = load(self.spark, path).schema
+            self._raw[table] = self.spark.read.schema(self._schemas[path]).parquet(path)
         return self._raw[table]
 
     def view(self, name: str) -> DataFrame:
