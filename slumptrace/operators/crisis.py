@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumptrace.operators.scale import number_rows, small_side
+from slumptrace.sources import readers
 
 # Days around a crisis that count as near, as the fall before it and as the recovery after it.
 NEAR_DAYS = 7
@@ -67,7 +68,7 @@ def detect_crises(
     The fall is measured against the highest price of the days before; the market is the median fall of
     all tokens quoted that day, so a general drop does not count. Of consecutive days the first is kept.
     """
-    quotes = history.where(F.col("price_usd") > 0)
+    quotes = readers.prices(history).where(F.col("price_usd") > 0)
     by_day = Window.partitionBy("token_address").orderBy(F.unix_date("dt"))
     high = F.max("price_usd").over(by_day.rangeBetween(-lookback_days, -1))
     moves = quotes.select(

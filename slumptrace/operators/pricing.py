@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from slumptrace.constants import DEFAULT_PRICE, MOVE_OFFSET_DAYS, RECOVERY_DAYS
 from slumptrace.functions.values import number, pct_change
+from slumptrace.operators import scale
 from slumptrace.operators.scale import small_side
 from slumptrace.sources import readers
 
@@ -23,7 +24,7 @@ _KEYS = ["token_address", "buy_date"]
 
 @dataclass(frozen=True)
 class BuyDays:
-    """The distinct (token, day) pairs of some buys, with their count and range."""
+    """The distinct (token, day) pairs of some buys, an upper bound of their number, and their range."""
 
     pairs: DataFrame
     count: int
@@ -32,10 +33,15 @@ class BuyDays:
 
 
 def buy_days(buys: DataFrame, timestamp: str = "first_buy_timestamp") -> BuyDays:
-    """Measure the pairs of ``buys`` in one pass over two columns; ``buys`` should be a stored result."""
-    pairs = buys.select("token_address", F.to_date(timestamp).alias("buy_date")).distinct()
-    row = pairs.agg(F.count("*").alias("n"), F.min("buy_date").alias("lo"), F.max("buy_date").alias("hi")).first()
-    return BuyDays(pairs, row["n"], row["lo"], row["hi"])
+    """Measure the pairs of ``buys``, which should be a stored result.
+
+    Few buys have few pairs; of many buys the pairs themselves are counted.
+    """
+    dated = buys.select("token_address", F.to_date(timestamp).alias("buy_date"))
+    row = dated.agg(F.count("*").alias("n"), F.min("buy_date").alias("lo"), F.max("buy_date").alias("hi")).first()
+    pairs = dated.distinct()
+    count = row["n"] if row["n"] <= scale.BROADCAST_ROWS else pairs.count()
+    return BuyDays(pairs, count, row["lo"], row["hi"])
 
 
 def _join_back(buys: DataFrame, timestamp: str, answers: DataFrame, days: BuyDays, how: str) -> DataFrame:

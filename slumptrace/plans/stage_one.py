@@ -70,7 +70,9 @@ def window_swaps(
 ) -> DataFrame:
     """Swaps of crisis pools inside the windows of their crises."""
     span = crisis_span(events) if span is None else span
-    crossed = pool_ops.crisis_pools(readers.pools(pools), readers.crisis_events(events), span.count)
+    crossed = materialize(
+        pool_ops.crisis_pools(readers.pools(pools), readers.crisis_events(events), span.count), "pools"
+    )
     if options.latest is None:
         found = readers.swap_logs(logs, *scan_bounds(span, options))
     else:

@@ -132,7 +132,7 @@ def prices(
 ) -> DataFrame:
     """One price per token and day, optionally for some tokens and days only.
 
-    ``token_rows`` is an upper bound on the tokens, if one has been measured. NaN becomes null. Of several rows for one token and day the highest price counts.
+    ``token_rows`` is the number of rows in ``tokens``, if it has been measured. NaN becomes null. Of several rows for one token and day the highest price counts.
     """
     quotes = history.select(
         F.lower("token_address").alias("token_address"),
@@ -144,6 +144,8 @@ def prices(
     if last is not None:
         quotes = quotes.where(F.col("dt") <= F.lit(last).cast("date"))
     if tokens is not None:
-        keys = small_side(tokens.select("token_address").distinct(), token_rows)
+        keys = tokens.select("token_address")
+        # Duplicates do no harm in a semi join; they are only worth a shuffle if their number is unknown.
+        keys = small_side(keys.distinct()) if token_rows is None else small_side(keys, token_rows)
         quotes = quotes.join(keys, "token_address", "left_semi")
     return quotes.groupBy("token_address", "dt").agg(F.max("price_usd").alias("price_usd"))

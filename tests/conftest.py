@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     session = build_session("tests", **{
         "spark.master": "local[8]",
         "spark.driver.memory": "4g",
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "3",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.warehouse.dir": str(folder / "warehouse"),
