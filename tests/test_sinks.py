@@ -97,7 +97,6 @@ def test_whole_run(spark, frame, database, tmp_path):
     frame(TRANSACTIONS, ("t1", "w1"), ("t2", "w2")).write.parquet(str(tmp_path / "tx"))
     logs, tx = str(tmp_path / "logs"), str(tmp_path / "tx")
 
-    assert not jobs.verify(spark, database, logs).passed
     assert jobs.prepare_pools(spark, database, logs, {address(base): "BASE"}) == 1
     report = jobs.verify(spark, database, logs)
     assert report.passed
@@ -114,7 +113,6 @@ def test_whole_run(spark, frame, database, tmp_path):
     assert jobs.label_wallets(spark, database) == 2
     assert rows(spark.table(f"{database}.dim_wallet_labels"), "wallet_address", "success_rate", "total_pnl_pct") == [
         ("w1", 1.0, 300.0), ("w2", 1.0, 300.0)]
-    assert jobs.prepare_pools(spark, database, logs, {address(base): "BASE"}, drop=True) == 1
 
 
 def test_missing_tables_fail_the_verification(spark, frame, database, tmp_path):
@@ -146,7 +144,7 @@ def test_command_line_runs_the_steps(spark, frame, database, tmp_path, capsys, m
           swap("2022-01-11 10:00:00", "t1", address(pool), payload(0, UNIT, UNIT, 0))).write.parquet(str(tmp_path / "logs"))
     frame(TRANSACTIONS, ("t1", "w1")).write.parquet(str(tmp_path / "tx"))
     place = ["--database", database, "--logs", str(tmp_path / "logs")]
-    assert command.main(["pools", *place]) == 0
+    assert command.main(["pools", *place, "--drop"]) == 0
     assert command.main(["verify", *place]) == 1
     assert command.main(["stage-one", *place, "--transactions", str(tmp_path / "tx")]) == 0
     assert command.main(["stage-two", "--database", database, "--top", "3"]) == 0
