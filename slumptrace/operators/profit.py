@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from slumptrace.constants import MIN_PROFIT_PCT, RECOVERY_DAYS, TOP_WALLETS
 from slumptrace.functions.values import number, pct_change, valid_key
 from slumptrace.operators.pricing import BuyDays, peak_after
-from slumptrace.operators.scale import number_rows
+from slumptrace.operators.scale import number_rows, small_side
 from slumptrace.schemas import PROFITABLE_TRADES
 
 
@@ -74,13 +74,12 @@ def leaderboard(trades: DataFrame, top_n: int = TOP_WALLETS) -> DataFrame:
 
 def leaderboard_trades(trades: DataFrame, board: DataFrame) -> DataFrame:
     """The trades behind a leaderboard, numbered within each wallet by percent gained."""
-    # A leaderboard holds as many rows as were asked for, so it can be broadcast.
-    listed = trades.join(F.broadcast(board.select("rank", "wallet_address")), "wallet_address")
+    size, largest = board.agg(F.count("*"), F.max("num_trades")).first()
+    listed = trades.join(small_side(board.select("rank", "wallet_address"), size), "wallet_address")
     order = [F.desc("estimated_profit_pct"), F.asc("buy_timestamp")] + [
         F.asc(c) for c in ("crisis_id", "token_address", "estimated_profit_usd")
     ]
-    largest = board.agg(F.max("num_trades")).first()[0] or 0
-    return number_rows(listed, order, within=["rank", "wallet_address"], name="trade_no", largest=largest).select(
+    return number_rows(listed, order, within=["rank", "wallet_address"], name="trade_no", largest=largest or 0).select(
         "rank", "wallet_address", "trade_no", "crisis_id", "token_address",
         "buy_price", "peak_recovery_price", "estimated_profit_pct", "estimated_profit_usd",
     )

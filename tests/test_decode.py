@@ -84,3 +84,13 @@ def test_log_functions(spark, frame):
         "is_known_factory(address), get_dex_protocol(address) FROM {df}", df=df
     ).collect()
     assert [tuple(r) for r in by_sql] == [tuple(r)[:5] for r in by_column]
+
+
+def test_protocols_with_their_own_layout(frame):
+    data = payload(1 * UNIT, 2 * UNIT, 3 * UNIT, 4 * UNIT)
+    protocols = (*logs.PROTOCOLS, logs.Protocol("Mirror", "0xf", out0_word=0, out1_word=1))
+    df = frame(SWAP, ("A", "B", "A", "Uniswap V2", data), ("A", "B", "A", "Mirror", data), ("B", "A", "A", "Mirror", data),
+               ("A", "B", "A", "Other", data))
+    assert [r[0] for r in df.select(swaps.bought_amount(protocols=protocols)).collect()] == [3.0, 1.0, 2.0, None]
+    factory = frame("address string", ("0xF",), ("0xe",))
+    assert [r[0] for r in factory.select(logs.protocol_name(F.col("address"), protocols)).collect()] == ["Mirror", "Unknown"]
