@@ -17,12 +17,14 @@ _ADDRESS_DIGITS = 40
 
 @dataclass(frozen=True)
 class Protocol:
-    """How one exchange protocol is recognised and where its swap payload keeps the amounts paid out."""
+    """How one exchange protocol is recognised, and which words of its swap payload hold the amounts."""
 
     name: str
     factory: str
     out0_word: int = 2
     out1_word: int = 3
+    in0_word: int = 0
+    in1_word: int = 1
 
 
 PROTOCOLS = (Protocol(PAIR_PROTOCOL, PAIR_FACTORY),)

@@ -91,8 +91,8 @@ def bought_amount(
 
 
 def sold_amount(decimals: int | Column = TOKEN_DECIMALS, protocols: Sequence[Protocol] = PROTOCOLS) -> Column:
-    """The amount of the crisis token a swap took in; its words precede the paid-out ones by two."""
-    paid_in = [Protocol(p.name, p.factory, p.out0_word - 2, p.out1_word - 2) for p in protocols]
+    """The amount of the crisis token a swap took in."""
+    paid_in = [Protocol(p.name, p.factory, out0_word=p.in0_word, out1_word=p.in1_word) for p in protocols]
     return bought_amount("abi", decimals, paid_in)
 
 
