@@ -1,4 +1,4 @@
-"""The same queries as SQL text for the reference engine, written in a different form where there is one."""
+"""The same queries as SQL text for DuckDB, written in a different form where there is one."""
 
 from __future__ import annotations
 

@@ -2,7 +2,7 @@
 
 An order stands for a transaction, a line item for a log, a supplier for a pool, a nation for a token and
 a customer for a wallet. The text serves both engines: Spark reads the test tables through the braces,
-the reference SQL reads them by name.
+DuckDB reads them by name.
 """
 
 from __future__ import annotations
@@ -109,7 +109,7 @@ TEST_TABLES = (
 
 
 def oracle_view(name: str) -> str:
-    """A view as text for the reference engine."""
+    """A view as text for DuckDB."""
     return VIEWS[name].format(list="[", end="]", **{t: t for t in TEST_TABLES})
 
 
