@@ -6,8 +6,7 @@ import __spark_entry__ as entry_points
 from slumptrace.workload.compare import differences, open_oracle
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES, ORACLES = entry_points.QUERIES, entry_points.ORACLES
 
 
 @pytest.fixture(scope="module")
