@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from slumptrace.llm.common import Staging, table
 
 
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.secrets import scan, train
+
+    documents = table(spark, folder, "documents")
+    return scan(documents, train(documents))
+
+
+def op2_brown(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.brown import score_texts
+
+    return score_texts(table(spark, folder, "documents"))
+
+
 def op3_reshard(spark: SparkSession, folder: str) -> DataFrame:
     from slumptrace.llm.reshard import reshard, with_sizes
 
@@ -31,13 +44,43 @@ def op5_url_aliases(spark: SparkSession, folder: str) -> DataFrame:
     return judge(pages, edges, staging).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.jaccard import near_copies
+
+    return near_copies(table(spark, folder, "documents")).drop("text_key")
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.toxicity import THRESHOLD, is_held_out, score, train
+
+    documents = table(spark, folder, "documents")
+    model = train(documents, table(spark, folder, "labels"))
+    return score(documents, model).select(
+        "doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "n_sentences", "worst_sentence", "worst_score", "worst_text")
+
+
 def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
     from slumptrace.llm.licenses import licence_matches
 
     return licence_matches(table(spark, folder, "documents"))
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.packing import pack_documents
+
+    return pack_documents(table(spark, folder, "documents"))
+
+
+def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
-    f.__name__: f for f in (op3_reshard, op4_decontaminate, op5_url_aliases, op8_licences)
+    f.__name__: f for f in (
+        op1_secrets, op2_brown, op3_reshard, op4_decontaminate, op5_url_aliases, op6_jaccard, op7_toxicity, op8_licences,
+        op9_packing, op10_vectors)
 }
 ORACLES: dict[str, str] = {}
