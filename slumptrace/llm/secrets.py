@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from slumptrace.llm.common import in_slices, sample_rows
 
@@ -332,7 +332,10 @@ def scan(documents: DataFrame, field: Field) -> DataFrame:
 
 
 def redact(documents: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFrame:
-    """The documents with every secret replaced by ``mark``; all rows and columns stay. Null texts stay null."""
+    """The documents with every secret replaced by ``mark``; all rows and columns stay. Null texts stay null.
+
+    A column ``n_chars`` is set to the new text's length where the text changed.
+    """
     shared = documents.sparkSession.sparkContext.broadcast((field.emission, field.files, field.transition))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,11 +350,13 @@ def redact(documents: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFr
                         parts += [text[end:a], mark]
                     end = max(end, b)
                 out.append("".join(parts) + text[end:] if spans else text)
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type))
+            changed = {"text": out}
+            if "n_chars" in batch.schema.names:
+                lengths = batch.column("n_chars").to_pylist()
+                changed["n_chars"] = [n if new == old else len(new) for n, new, old in zip(lengths, out, texts, strict=True)]
+            for name, values in changed.items():
+                at = batch.schema.get_field_index(name)
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
+            yield batch
 
     return documents.mapInArrow(run, documents.schema)
-
-
-def scan_secrets(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    return scan(documents, train(documents))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,20 +18,29 @@ from slumptrace.llm.common import in_slices, sample_ids
 BUCKETS = 1 << 18
 # The most labelled documents that the weights are fitted on.
 TRAINING_DOCUMENTS = 12_000
+EVIDENCE = 18.0
+# Letters at the beginning of a word that are a feature of their own.
+STEM = 4
 THRESHOLD = 0.3
 _SENTENCE = re.compile(r"[.!?\n]+")
 _STRIP = ".,;:!?\"'()[]{}|#%&$*-"
 
 
 class Buckets(dict):
-    """Feature buckets of words seen before, without case and outer punctuation; emptied when it has grown large."""
+    """Feature buckets of words seen before: the word without case and outer punctuation, and how it begins.
 
-    def __missing__(self, word: str) -> int:
+    Emptied when it has grown large.
+    """
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= 400_000:
             self.clear()
         plain = word.lower().strip(_STRIP)
-        self[word] = bucket = 1 + xxhash.xxh64_intdigest(plain) % (BUCKETS - 1) if plain else 0
-        return bucket
+        names = [plain] if plain else []
+        if len(plain) > STEM:
+            names.append(plain[:STEM] + "*")
+        self[word] = found = tuple(1 + xxhash.xxh64_intdigest(x) % (BUCKETS - 1) for x in names) or (0,)
+        return found
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
@@ -51,7 +61,7 @@ def bags(texts: list[str | None], buckets: Buckets) -> tuple[np.ndarray, np.ndar
             found = sentence.split()
             if found:
                 sentences.append(len(words))
-                words += map(buckets.__getitem__, found)
+                words += chain.from_iterable(map(buckets.__getitem__, found))
         if documents[-1] == len(sentences):
             sentences.append(len(words))
             words.append(0)
@@ -73,21 +83,30 @@ class Instances:
         return -np.expm1(np.add.reduceat(-np.logaddexp(0, logits), starts))
 
 
+def association(seen: np.ndarray, toxic: np.ndarray, n: int, n_toxic: int) -> np.ndarray:
+    """G statistic of the table (word or not) by (toxic or not) for every word."""
+    cells = (toxic, seen - toxic, n_toxic - toxic, n - n_toxic - seen + toxic)
+    totals = ((seen, n_toxic), (seen, n - n_toxic), (n - seen, n_toxic), (n - seen, n - n_toxic))
+    return 2 * sum(c * np.log(np.maximum(c, 1e-9) * n / np.maximum(a * b, 1e-9)) for c, (a, b) in zip(cells, totals, strict=True))
+
+
 def fit(words: list[np.ndarray], labels: np.ndarray, rounds: int = 200, rate: float = 0.05, ridge: float = 3e-4) -> Instances:
     """Maximise the likelihood of document labels under noisy-or, by Adam over all given documents.
 
-    ``words`` holds per document the buckets of its sentences, separated by -1. Only buckets that occur in two
-    documents or more get a weight. Without labels, or with one kind only, the score is the share of toxic labels.
+    ``words`` holds per document the buckets of its sentences, separated by -1. Only buckets whose occurrence goes
+    with the label beyond chance (likelihood-ratio statistic of ``EVIDENCE`` or more) get a weight. Without labels, or with one kind only, the score is the share of toxic labels.
     """
     model = Instances(np.zeros(BUCKETS, np.float32), 0.0)
     rate_toxic = float(labels.mean()) if len(labels) else 0.0
     if not 0 < rate_toxic < 1:
         model.bias = 20.0 if rate_toxic else -20.0
         return model
-    seen = np.zeros(BUCKETS, np.int32)
-    for row in words:
-        seen[np.unique(row[row > 0])] += 1
-    used = np.flatnonzero(seen >= 2)
+    seen, toxic = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for row, label in zip(words, labels, strict=True):
+        found = np.unique(row[row > 0])
+        seen[found] += 1
+        toxic[found] += label
+    used = np.flatnonzero(association(seen, toxic, len(labels), int(labels.sum())) >= EVIDENCE)
     column = np.zeros(BUCKETS, np.int64)
     column[used] = np.arange(1, len(used) + 1)
     flat = np.concatenate(words)
