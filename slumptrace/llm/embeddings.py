@@ -18,23 +18,23 @@ TABLES = 16
 CHUNK = 256
 
 
-def learn_rotation(vectors: np.ndarray, bits: int, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and rotation for balanced binary codes (Gong and Lazebnik, 2011).
+def learn_rotation(vectors: np.ndarray, bits: int, rounds: int = 50) -> np.ndarray:
+    """Projection and rotation for balanced binary codes (Gong and Lazebnik, 2011).
 
-    Centred vectors are projected on their principal directions; then the rotation that brings them closest to the
+    Unit vectors are projected on their principal directions; then the rotation that brings them closest to the
     corners of the cube is found by turns: codes from the rotation, rotation from the codes (orthogonal Procrustes).
+    The mean is not taken off: cosines are about the origin, and around the mean of one large group of near copies
+    its members would look unlike each other.
     """
-    mean = vectors.mean(0)
-    centred = vectors - mean
-    _, axes = np.linalg.eigh(centred.T @ centred)
+    _, axes = np.linalg.eigh(vectors.T @ vectors)
     projection = axes[:, ::-1][:, :bits]
-    projected = centred @ projection
+    projected = vectors @ projection
     rotation, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((bits, bits)))
     for _ in range(rounds):
         codes = np.where(projected @ rotation >= 0, 1.0, -1.0)
         u, _, vt = np.linalg.svd(codes.T @ projected)
         rotation = (u @ vt).T
-    return mean, projection @ rotation
+    return projection @ rotation
 
 
 def substrings(codes: np.ndarray, width: int, tables: int) -> np.ndarray:
@@ -67,17 +67,17 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def hamming_tables(nodes: DataFrame, dimension: int, mean: np.ndarray, rotation: np.ndarray, width: int, tables: int) -> DataFrame:
+def hamming_tables(nodes: DataFrame, dimension: int, rotation: np.ndarray, width: int, tables: int) -> DataFrame:
     """One row per vector and table: ``bucket, at, node, copies, keys, unit``; ``at`` is the table."""
-    shared = nodes.sparkSession.sparkContext.broadcast((mean, rotation))
+    shared = nodes.sparkSession.sparkContext.broadcast(rotation)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean, rotation = shared.value
+        rotation = shared.value
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 unit = _unit(_matrix(part.column("vector"), dimension))
-                keys = substrings(((unit - mean) @ rotation >= 0).astype(np.int64), width, tables)
+                keys = substrings((unit @ rotation >= 0).astype(np.int64), width, tables)
                 n = len(unit)
                 rows = np.repeat(np.arange(n), tables)
                 listed = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), tables).cast(pa.list_(pa.int64()))
@@ -120,7 +120,7 @@ def _compare(groups: Iterator[pa.RecordBatch], dimension: int, least: float) ->
         unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(-1, dimension)
         table = rows.column("at")[0].as_py()
         near = unit @ unit.T >= least
-        if (side == side[0]).all():
+        if rows.column("alone")[0].as_py():
             i, j = np.nonzero(np.triu(near, 1))
         else:
             i, j = np.nonzero(near & (side[:, None] < side[None, :]))
@@ -166,7 +166,9 @@ def links(tables: DataFrame, dimension: int, least: float, staging: Staging) ->
     mine = F.pmod(F.xxhash64("node", F.lit(3)), chunks).cast("int")
     blocks = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.least(j, "mine").cast("long") * F.col("chunks") + F.greatest(j, "mine"))
     placed = placed.withColumn("chunks", chunks).withColumn("mine", mine).select(
-        "at", "bucket", F.col("mine").alias("side"), F.explode(blocks).alias("block"), "node", "copies", "keys", "unit")
+        "at", "bucket", "chunks", F.col("mine").alias("side"), F.explode(blocks).alias("block"), "node", "copies", "keys", "unit")
+    alone = F.col("block") % F.col("chunks") == F.floor(F.col("block") / F.col("chunks"))
+    placed = placed.withColumn("alone", alone).drop("chunks")
     ordered = placed.repartition("at", "bucket", "block").sortWithinPartitions("at", "bucket", "block", "side", "node")
     return ordered.mapInArrow(
         lambda batches: _compare(batches, dimension, least), "node long, linked long, other long, is_link boolean")
@@ -196,9 +198,9 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, tables: int
         ready = nodes.where(F.size("vector") == dimension)
         # Equal vectors are one node here already, so copies cannot crowd the sample.
         sample = ready.join(F.broadcast(sample_ids(ready, "node", SAMPLE_VECTORS)), F.col("node") == F.col("_id"), "left_semi").select("vector").toArrow()
-        mean, rotation = learn_rotation(_unit(_matrix(sample.column("vector").combine_chunks(), dimension)), min(64, dimension))
+        rotation = learn_rotation(_unit(_matrix(sample.column("vector").combine_chunks(), dimension)), min(64, dimension))
         width = min(rotation.shape[1], 32, max(8, log2_rows(nodes.count()) - 4))
-        hashed = staging.keep(hamming_tables(ready.select("node", "copies", "vector"), dimension, mean, rotation, width, tables), "tables")
+        hashed = staging.keep(hamming_tables(ready.select("node", "copies", "vector"), dimension, rotation, width, tables), "tables")
         found = staging.keep(links(hashed, dimension, least, staging), "found")
         summed = staging.keep(found.where("not is_link").groupBy("node").agg(F.sum("linked").alias("linked")), "summed")
         groups = staging.keep(components(found.where("is_link"), staging, "node", "other"), "groups")
