@@ -1,0 +1,48 @@
+import re
+from collections import Counter
+
+from slumptrace.llm import licenses as L
+
+
+def bag(text):
+    words = re.sub(r"[\W_]+", " ", text.lower()).split()
+    return Counter(zip(words, words[1:], strict=False))
+
+
+def brute(rows):
+    out = {}
+    for i, text in rows:
+        text = text or ""
+        paragraphs = re.split(r"\n[ \t]*\n", text)
+        units = [("line", u) for u in text.split("\n")] + [("paragraph", p) for p in paragraphs if "\n" in p.strip(" ")]
+        units += [("text", text)] * (len(paragraphs) > 1)
+        for kind, unit in units:
+            ours = bag(unit)
+            for (licence, form), template in L.TEMPLATES.items():
+                theirs = bag(template)
+                dice = 2 * (ours & theirs).total() / max(1, ours.total() + theirs.total())
+                if dice >= L.THRESHOLD:
+                    n, best = out.get((i, licence, form, kind), (0, 0))
+                    out[i, licence, form, kind] = n + 1, max(best, dice)
+    return {(*k, n, round(d, 12)) for k, (n, d) in out.items()}
+
+
+def test_against_all_comparisons(documents):
+    mit = L.TEMPLATES["MIT", "text"]
+    wrapped = "\n".join(re.findall(r".{1,60}(?:\s|$)", mit))
+    rows = [
+        (0, None), (1, ""), (2, "License"), (3, "Released under the MIT License."), (4, "some text\nLICENSED under the apache license version 2.0\nmore"),
+        (5, f"Copyright 2020 A. Author\n\n{wrapped}\n\nint main() {{}}"), (6, mit), (7, mit.replace("Software", "Program")),
+        (8, mit[: len(mit) // 2]), (9, "the the the the the the the"), (10, ("Released under the MIT License.\n") * 50),
+        (11, "word " * 20_000 + "\n" + L.TEMPLATES["ISC", "text"]), (12, "Released under the GPL License."), (3, "Released under the MIT License."),
+        (None, "Licensed under CC BY-NC 4.0."), (13, "\n".join(L.TEMPLATES.values())),
+    ]
+    found = {(*r[:5], round(r.dice, 12)) for r in L.licence_matches(documents(*rows)).collect()}
+    assert found == brute(rows)
+
+
+def test_empty_and_native(documents):
+    df = L.licence_matches(documents((1, "x")).limit(0))
+    assert df.count() == 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "NestedLoop" not in plan

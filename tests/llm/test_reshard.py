@@ -1,0 +1,64 @@
+import zlib
+from itertools import product
+
+import pytest
+from pyspark.sql import functions as F
+
+from slumptrace.llm import reshard as R
+
+
+def test_flow_is_the_cheapest():
+    supply, capacity = [3, 1, 2], [2, 4]
+    cost = {(0, 0): 0, (0, 1): 5, (1, 0): 2, (1, 1): 0, (2, 0): 3, (2, 1): 1}
+    flow = R.min_cost_flow(supply, capacity, cost)
+    assert [sum(n for (i, _), n in flow.items() if i == k) for k in range(3)] == supply
+    best = min(
+        sum(x * cost[i, 0] + (supply[i] - x) * cost[i, 1] for i, x in enumerate(xs))
+        for xs in product(*(range(s + 1) for s in supply)) if sum(xs) <= 2 and sum(supply) - sum(xs) <= 4)
+    assert sum(n * cost[a] for a, n in flow.items()) == best
+    with pytest.raises(ValueError):
+        R.min_cost_flow([5], [2], {(0, 0): 1})
+
+
+def test_rows_differ_by_one_and_slots_have_no_gaps(documents, staging):
+    texts = [None, "", "a", "ä" * 50, "x" * 100_000, "same", "same"] + [f"t{i}" * (i % 9) for i in range(200)]
+    df = documents(*enumerate(texts), (None, "no id"), (5, "same"))
+    df = df.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").when(F.col("doc_id") == 7, None).otherwise(F.concat(F.lit("s"), F.col("doc_id") % 11)))
+    rows = R.reshard(R.with_sizes(df), 10, staging).collect()
+    assert len(rows) == len(texts) + 2
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+        text = "no id" if r.doc_id is None else texts[r.doc_id] or ""
+        assert r.size == len(text.encode()) + 16 and r.text_crc32 == zlib.crc32(text.encode())
+        assert r.moved == (r.shard != r.old_shard)
+    counts = [len(v) for v in by.values()]
+    assert len(by) == 10 and max(counts) - min(counts) <= 1
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_moves_no_more_rows_than_it_must(documents, staging):
+    df = documents(*((i, "x" * (i + 1)) for i in range(40)))
+    old = F.when(F.col("doc_id") < 30, 0).otherwise(1)
+    rows = R.reshard(R.with_sizes(df, old), 2, staging).collect()
+    moved = [r for r in rows if r.moved]
+    assert len(moved) == 10
+    # Small rows move first, to the size of a block.
+    assert max(r.size for r in moved) <= min(r.size for r in rows if r.old_shard == 0 and not r.moved) + 3
+
+
+def test_empty_and_fewer_rows_than_shards(documents, staging):
+    df = documents((1, "a"), (2, "b"))
+    assert R.reshard(R.with_sizes(df.limit(0)), 4, staging).count() == 0
+    assert sorted(r.slot for r in R.reshard(R.with_sizes(df), 4, staging).collect()) == [0, 0]
+
+
+def test_only_affected_shards_are_written(spark, documents, tmp_path):
+    df = documents(*((i, "x") for i in range(9)), extra=False)
+    old = F.when(F.col("doc_id") < 3, 0).when(F.col("doc_id") < 8, 1).otherwise(2)
+    assigned = R.reshard(R.with_sizes(df, old), 3)
+    affected = {r.shard for r in R.rewrite_shards(df, assigned, str(tmp_path / "out")).collect()}
+    assert affected == {1, 2}
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r.doc_id, r.shard) for r in written.collect()} == {
+        (r.doc_id, r.shard) for r in assigned.collect() if r.shard in affected}
