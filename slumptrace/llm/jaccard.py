@@ -201,25 +201,24 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
     source = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     common = _common_in_sample(documents, n)
     for attempt in range(5):
-        rows = staging.keep(_scan(source, n, percent, common), f"rows-{attempt}")
-        nodes = rows.where("node is not null").groupBy("node").agg(
-            F.first("prefix").alias("prefix"), F.min(F.struct("doc_id", "text_key")).alias("from"))
-        nodes = staging.keep(nodes, f"nodes-{attempt}")
-        entries = nodes.select(F.explode("prefix").alias("region"), "node")
-        held = staging.keep(
-            entries.groupBy("region").agg(
-                F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor("node").alias("x"),
-                F.bit_xor(F.xxhash64("node")).alias("y")).where("n > 1"), f"held-{attempt}")
-        entry_count = nodes.agg(F.sum(F.size("prefix")).alias("n")).first().n or 0
-        late = held.where(F.col("n") > max(COMMON, entry_count >> 20)).select("region").toArrow()
+        scanned = staging.keep(_scan(source, n, percent, common), f"scanned-{attempt}")
+        entries = scanned.select(F.explode("prefix").alias("region"), "node")
+        # Most shingles are in one text only. They are counted first, with as little as can be, and go no further.
+        shared = staging.keep(entries.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"), f"shared-{attempt}")
+        entry_count = scanned.agg(F.sum(F.size("prefix")).alias("n")).first().n or 0
+        late = shared.where(F.col("n") > max(COMMON, entry_count >> 20)).select("region").toArrow()
         late = np.setdiff1d(late.column("region").to_numpy().view(np.uint64), common)
         if not len(late) or attempt == 4:
             break
         common = np.union1d(common, late)
-        staging.drop(f"rows-{attempt}", f"nodes-{attempt}", f"held-{attempt}")
-    kept = staging.keep(held.groupBy("n", "a", "b", "x", "y").agg(F.min("region").alias("region")).select("region"), "kept")
-    members = staging.keep(entries.join(kept, "region"), "members")
-    wanted = members.select("node").distinct().join(nodes.select("node", "from"), "node").select(
+        staging.drop(f"scanned-{attempt}", f"shared-{attempt}")
+    rows = staging.keep(scanned.select("doc_id", "text_key", "n_shingles", "node"), "rows")
+    places = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("from"))
+    # Copies have put their shingles in more than once.
+    members = staging.keep(entries.join(shared.select("region"), "region").distinct(), "entries")
+    staging.drop(f"scanned-{attempt}", f"shared-{attempt}")
+    members = _distinct_regions(members, staging, "members")
+    wanted = members.select("node").distinct().join(places, "node").select(
         "node", F.col("from.doc_id").alias("_doc"), F.col("from.text_key").alias("_key"))
     wanted = staging.keep(wanted, "wanted")
     texts = source.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
@@ -231,8 +230,7 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
         for more in links[1:]:
             edges = edges.union(more)
         groups = staging.keep(components(edges, staging), "groups")
-        staging.drop("sets", "members", "wanted", "kept")
-    rows = rows.select("doc_id", "text_key", "n_shingles", "node")
+    staging.drop("sets", "wanted", "entries")
     if groups is not None:
         rows = rows.join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
     else:
