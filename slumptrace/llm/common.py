@@ -19,10 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging").rstrip("/")
 
 
 class Staging:
