@@ -17,16 +17,24 @@ from slumptrace.session import build_session
 def arguments(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="slumptrace")
     steps = parser.add_subparsers(dest="step", required=True)
-    for name in ("pools", "verify", "stage-one", "stage-two", "labels"):
+    for name in ("crises", "pools", "verify", "stage-one", "stage-two", "labels", "realised"):
         step = steps.add_parser(name)
         step.add_argument("--database", required=True)
-        step.add_argument("--dry-run", action="store_true", help="compute and check, but write no table")
-        if name in ("pools", "verify", "stage-one"):
+        if name not in ("verify", "realised"):
+            step.add_argument("--dry-run", action="store_true", help="compute and check, but write no table")
+        if name in ("pools", "verify"):
+            step.add_argument("--since", help="look at logs from this day on only")
+        if name == "crises":
+            step.add_argument("--window-days", type=int, default=30)
+        if name == "realised":
+            step.add_argument("--target", required=True, help="Parquet folder to write")
+        if name in ("pools", "verify", "stage-one", "realised"):
             step.add_argument("--logs", required=True, help="table or Parquet folder of event logs")
         if name == "pools":
             step.add_argument("--drop", action="store_true", help="create the pool table anew")
-        if name == "stage-one":
+        if name in ("stage-one", "realised"):
             step.add_argument("--transactions", required=True, help="table or Parquet folder of transactions")
+        if name == "stage-one":
             step.add_argument("--start")
             step.add_argument("--end")
             step.add_argument("--latest", type=int, help="keep only that many of the newest swaps")
@@ -46,10 +54,14 @@ def first_rows(df: DataFrame) -> None:
 def main(argv: list[str]) -> int:
     args = arguments(argv)
     spark = build_session()
-    if args.step == "pools":
-        print(jobs.prepare_pools(spark, args.database, args.logs, dry_run=args.dry_run, drop=args.drop), "pools")
+    if args.step == "crises":
+        print(jobs.find_crises(spark, args.database, args.window_days, dry_run=args.dry_run), "crises")
+    elif args.step == "realised":
+        print(jobs.realise(spark, args.database, args.logs, args.transactions, args.target), "wallets and tokens")
+    elif args.step == "pools":
+        print(jobs.prepare_pools(spark, args.database, args.logs, dry_run=args.dry_run, drop=args.drop, since=args.since), "pools")
     elif args.step == "verify":
-        report = jobs.verify(spark, args.database, args.logs)
+        report = jobs.verify(spark, args.database, args.logs, args.since)
         for part in (report.completeness, report.moves, report.coverage):
             part.show(truncate=False)
         return 0 if report.passed else 1

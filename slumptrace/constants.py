@@ -22,10 +22,6 @@ CHAIN = "ethereum"
 ADDRESS_LENGTH = 42
 
 # Default settings.
-SWAPS_FROM = "2021-05-01"
-SWAPS_UNTIL = "2023-01-01"
-POOLS_SINCE = "2020-01-01"
-LATEST_SWAPS = 1_000_000
 TOKEN_DECIMALS = 18
 DEFAULT_PRICE = 1.0
 RECOVERY_DAYS = 90

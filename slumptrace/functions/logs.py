@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from slumptrace.constants import PAIR_FACTORY, PAIR_PROTOCOL, UNKNOWN_PROTOCOL
+from slumptrace.constants import PAIR_CREATED_TOPIC, PAIR_FACTORY, PAIR_PROTOCOL, SWAP_TOPIC, UNKNOWN_PROTOCOL
 
 # An address is the last 40 of the 64 digits of a word, which begins after the 0x prefix.
 _ADDRESS_START = 27
@@ -17,7 +17,7 @@ _ADDRESS_DIGITS = 40
 
 @dataclass(frozen=True)
 class Protocol:
-    """How one exchange protocol is recognised, and which words of its swap payload hold the amounts."""
+    """How one exchange protocol is recognised: its factory, its two events, and which words of a swap hold the amounts."""
 
     name: str
     factory: str
@@ -25,6 +25,8 @@ class Protocol:
     out1_word: int = 3
     in0_word: int = 0
     in1_word: int = 1
+    swap_topic: str = SWAP_TOPIC
+    pair_topic: str = PAIR_CREATED_TOPIC
 
 
 PROTOCOLS = (Protocol(PAIR_PROTOCOL, PAIR_FACTORY),)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slumptrace.functions.values import number
 from slumptrace.operators.scale import number_rows, small_side
 from slumptrace.sources import readers
 
@@ -57,30 +58,58 @@ def crisis_phase(history: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def daily_median(df: DataFrame, day: str, value: str) -> DataFrame:
+    """The median of ``value`` per day, from ranks: no day is gathered in one aggregation buffer."""
+    ranked = number_rows(df.select(day, value).where(F.col(value).isNotNull()), [F.col(value)], within=[day], name="_rank")
+    sizes = ranked.groupBy(day).agg(F.count("*").alias("_size"))
+    low, high = F.floor((F.col("_size") + 1) / 2), F.floor(F.col("_size") / 2) + 1
+    middle = ranked.join(sizes, day).where((F.col("_rank") == low) | (F.col("_rank") == high))
+    return middle.groupBy(day).agg(F.avg(value).alias("median"))
+
+
 def detect_crises(
     history: DataFrame,
     max_return_pct: float = -20.0,
     max_excess_pct: float = -15.0,
     lookback_days: int = 7,
+    max_drain_pct: float | None = None,
 ) -> DataFrame:
     """Days on which a token fell sharply, and clearly more than the market did.
 
     The fall is measured against the highest price of the days before; the market is the median fall of
     all tokens quoted that day, so a general drop does not count. Of consecutive days the first is kept.
+    With ``max_drain_pct`` a day also counts when the token's liquidity is that much below its highest of the days
+    before; ``drain_pct`` is then part of the result.
     """
     quotes = readers.prices(history).where(F.col("price_usd") > 0)
     by_day = Window.partitionBy("token_address").orderBy(F.unix_date("dt"))
-    high = F.max("price_usd").over(by_day.rangeBetween(-lookback_days, -1))
+    before = by_day.rangeBetween(-lookback_days, -1)
+    high = F.max("price_usd").over(before)
     moves = quotes.select(
         "token_address", "dt", ((F.col("price_usd") - high) / high * 100.0).alias("return_pct")
     ).where(F.col("return_pct").isNotNull())
-    # A day holds one row per token, so its median is taken over at most as many values as there are tokens.
-    market = moves.groupBy("dt").agg(F.median("return_pct").alias("market_return_pct"))
-    falls = moves.join(market, "dt").where(
-        (F.col("return_pct") <= max_return_pct)
-        & (F.col("return_pct") - F.col("market_return_pct") <= max_excess_pct)
-    )
+    market = daily_median(moves, "dt", "return_pct").withColumnRenamed("median", "market_return_pct")
+    wanted = (F.col("return_pct") <= max_return_pct) & (F.col("return_pct") - F.col("market_return_pct") <= max_excess_pct)
+    moves = moves.join(market, "dt")
+    columns = ["return_pct", "market_return_pct"]
+    if max_drain_pct is not None:
+        pools = history.groupBy(F.lower("token_address").alias("token_address"), F.col("dt").cast("date").alias("dt")).agg(
+            F.max(number(F.col("liquidity_usd"))).alias("liquidity_usd")).where("liquidity_usd IS NOT NULL")
+        most = F.max("liquidity_usd").over(before)
+        drains = pools.select(
+            "token_address", "dt", (F.try_divide(F.col("liquidity_usd") - most, most) * 100.0).alias("drain_pct"))
+        moves = moves.join(drains, ["token_address", "dt"], "full")
+        wanted = F.coalesce(wanted, F.lit(False)) | F.coalesce(F.col("drain_pct") <= max_drain_pct, F.lit(False))
+        columns.append("drain_pct")
     gap = F.datediff("dt", F.lag("dt").over(by_day))
-    return falls.withColumn("gap", gap).where(F.col("gap").isNull() | (F.col("gap") > 1)).select(
-        "token_address", F.col("dt").alias("crisis_date"), "return_pct", "market_return_pct"
+    return moves.where(wanted).withColumn("gap", gap).where(F.col("gap").isNull() | (F.col("gap") > 1)).select(
+        "token_address", F.col("dt").alias("crisis_date"), *columns
     )
+
+
+def detected_events(found: DataFrame, window_days: int) -> DataFrame:
+    """Detected crises as rows of the crisis table: named after token and day, numbered and with their windows."""
+    named = found.select(
+        "token_address", "crisis_date",
+        F.concat(F.lit("Crash of "), "token_address", F.lit(" on "), F.col("crisis_date").cast("string")).alias("crisis_name"))
+    return buy_windows(named, window_days)

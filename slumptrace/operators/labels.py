@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slumptrace.constants import MIN_PROFIT_PCT, RECOVERY_DAYS
 from slumptrace.operators.scale import small_side
 
 
@@ -29,18 +30,21 @@ def label_for(profited: Column, success_rate: Column) -> Column:
     )
 
 
-def wallet_labels(buys: DataFrame, trades: DataFrame, updated_at: Column | None = None) -> DataFrame:
+def wallet_labels(
+    buys: DataFrame, estimates: DataFrame, min_pct: float = MIN_PROFIT_PCT, updated_at: Column | None = None
+) -> DataFrame:
     """Track record and label of every buyer.
 
-    ``buys`` says which crises a wallet joined and what it spent, ``trades`` where it gained and how much.
-    Both are added up per wallet before they meet, so a busy wallet is one row in the join.
+    ``buys`` says which crises a wallet joined and what it spent, ``estimates`` what each buy gained or lost. Totals
+    take in all estimates; only crises with a gain of ``min_pct`` percent count as profited. Both sides are added up
+    per wallet before they meet, so a busy wallet is one row in the join.
     """
     joined = buys.groupBy("wallet_address").agg(
         F.count_distinct("crisis_id").alias("num_crisis_events"),
         F.sum("total_usd_spent").alias("spent"),
     )
-    gained = trades.groupBy("wallet_address").agg(
-        F.count_distinct("crisis_id").alias("total_profited_crises"),
+    gained = estimates.groupBy("wallet_address").agg(
+        F.count_distinct(F.when(F.col("estimated_profit_pct") >= min_pct, F.col("crisis_id"))).alias("total_profited_crises"),
         F.sum("estimated_profit_usd").alias("total_pnl_usdt"),
     )
     record = joined.join(gained, "wallet_address", "left").fillna(0, ["total_profited_crises", "total_pnl_usdt"])
@@ -58,7 +62,10 @@ def wallet_labels(buys: DataFrame, trades: DataFrame, updated_at: Column | None
 
 
 def buys_after_crash(buys: DataFrame, events: DataFrame, from_hours: int = 12, to_hours: int = 84) -> DataFrame:
-    """Staged buys made ``from_hours`` to ``to_hours`` after the start of their crisis day."""
+    """Buys made ``from_hours`` to ``to_hours`` after the start of their crisis day, to the second and both included.
+
+    The buys must come from windows that reach as far; ``StageOneOptions.hours`` sees to that.
+    """
     crash = F.col("crisis_date").cast("timestamp")
     start = crash + F.make_interval(hours=F.lit(from_hours))
     end = crash + F.make_interval(hours=F.lit(to_hours))
@@ -68,21 +75,33 @@ def buys_after_crash(buys: DataFrame, events: DataFrame, from_hours: int = 12, t
     ).select(*buys.columns)
 
 
-def realised_profit(buys: DataFrame, sells: DataFrame) -> DataFrame:
-    """Profit of what a wallet sold again, at average cost, per wallet and token.
+def realised_profit(trades: DataFrame, recovery_days: int = RECOVERY_DAYS) -> DataFrame:
+    """Profit of what a wallet sold again, per wallet and token, against its average cost up to each sale.
 
-    Both sides are priced trades with ``total_amount`` and ``total_usd``. No more is counted as sold than
-    was bought.
+    ``trades`` has ``wallet_address, token_address, traded_at, bought, sold, price``, one of the amounts per row. A
+    sale counts within ``recovery_days`` of the last buy before it, and closes no more than is held then: with ``B``
+    bought and ``S`` sold so far, ``S + min(0, least B - S so far)`` has been closed. So running sums and one running
+    minimum say it all, without a loop over the trades. Buys come before sales of the same moment.
     """
+    bought, sold = [F.when(F.col(c) > 0, F.col(c)).otherwise(0.0) for c in ("bought", "sold")]
+    wallet = Window.partitionBy("wallet_address", "token_address").orderBy("traded_at", (F.col("sold") > 0).asc_nulls_first())
+    so_far = wallet.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last_buy = F.last(F.when(F.col("bought") > 0, F.to_date("traded_at")), ignorenulls=True).over(so_far)
     keys = ["wallet_address", "token_address"]
-    bought = buys.groupBy(*keys).agg(
-        F.sum("total_amount").alias("bought_amount"), F.sum("total_usd").alias("bought_usd")
-    )
-    sold = sells.groupBy(*keys).agg(F.sum("total_amount").alias("sold_amount"), F.sum("total_usd").alias("sold_usd"))
-    closed = F.least("sold_amount", "bought_amount")
-    margin = F.try_divide("sold_usd", "sold_amount") - F.try_divide("bought_usd", "bought_amount")
-    return bought.join(sold, keys).select(
-        *keys, "bought_amount", "sold_amount",
-        closed.alias("closed_amount"),
-        (closed * margin).alias("realised_profit_usd"),
-    )
+    steps = trades.select(
+        *keys, "traded_at", "price", bought.alias("bought"),
+        F.when(F.datediff(F.to_date("traded_at"), last_buy) <= recovery_days, sold).otherwise(0.0).alias("sold"))
+    steps = steps.withColumns({
+        "in_sum": F.sum("bought").over(so_far),
+        "cost_sum": F.sum(F.col("bought") * F.col("price")).over(so_far),
+        "out_sum": F.sum("sold").over(so_far),
+    })
+    short = F.min(F.when(F.col("sold") > 0, F.col("in_sum") - F.col("out_sum"))).over(so_far)
+    steps = steps.withColumn("closed_sum", F.col("out_sum") + F.least(F.lit(0.0), F.coalesce(short, F.lit(0.0))))
+    closed = F.col("closed_sum") - F.coalesce(F.lag("closed_sum").over(wallet), F.lit(0.0))
+    steps = steps.withColumn("closed", F.when(F.col("sold") > 0, closed).otherwise(0.0))
+    margin = F.col("price") - F.try_divide("cost_sum", "in_sum")
+    return steps.groupBy(*keys).agg(
+        F.sum("bought").alias("bought_amount"), F.sum("sold").alias("sold_amount"), F.sum("closed").alias("closed_amount"),
+        F.sum(F.when(F.col("closed") > 0, F.col("closed") * margin)).alias("realised_profit_usd"),
+    ).where("closed_amount > 0")

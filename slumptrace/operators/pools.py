@@ -28,6 +28,7 @@ def crisis_pools(pools: DataFrame, events: DataFrame, event_rows: int | None = N
     windows = events.withColumnRenamed("token_address", "crisis_token")
     return by_token.join(small_side(windows, event_rows), "crisis_token").select(
         "pool_address", "token0_address", "token1_address", "dex_protocol",
+        *[c for c in ("token0_decimals", "token1_decimals") if c in pools.columns],
         "crisis_id", "crisis_token", "window_start_date", "window_end_date", "crisis_name",
     ).distinct()
 
@@ -97,10 +98,12 @@ def build_pools(
     events: DataFrame,
     base: DataFrame | None = None,
     protocols: Sequence[Protocol] = PROTOCOLS,
+    since: str | None = None,
 ) -> DataFrame:
-    """The pool dimension: pairs of a crisis token with a base token, in either order."""
+    """The pool dimension: pairs of a crisis token with a base token, in either order, made from ``since`` on if given."""
     base = base_tokens(events) if base is None else base
-    pairs = decode_pairs(factory_logs(logs, [p.factory for p in protocols]), protocols)
+    topics = sorted({p.pair_topic for p in protocols})
+    pairs = decode_pairs(factory_logs(logs, [p.factory for p in protocols], topics, since), protocols)
     named = with_symbols(pairs, token_roles(events, base))
     crossed = named.where(
         (F.col("token0_is_crisis") & F.col("token1_is_base")) | (F.col("token0_is_base") & F.col("token1_is_crisis"))

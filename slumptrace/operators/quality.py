@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
 
-from slumptrace.constants import MAX_CRISIS_MOVE_PCT, MOVE_OFFSET_DAYS, POOLS_SINCE
+from slumptrace.constants import MAX_CRISIS_MOVE_PCT, MOVE_OFFSET_DAYS
 from slumptrace.operators.pricing import price_at_offsets
 from slumptrace.operators.scale import small_side
 from slumptrace.schemas import STAGED_BUYS
@@ -84,10 +84,10 @@ def sample_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(n)
 
 
-def pool_activity(logs: DataFrame, pools: DataFrame, since: str | None = POOLS_SINCE) -> DataFrame:
-    """Log count, first and last time per pool seen in the logs."""
+def pool_activity(logs: DataFrame, pools: DataFrame, since: str | None = None) -> DataFrame:
+    """Log count, first and last time per pool seen in the logs, from ``since`` on if given."""
     seen = between_times(logs, "block_timestamp", since, None).select(
-        F.lower("address").alias("pool_address"), "block_timestamp"
+        F.col("address").alias("pool_address"), "block_timestamp"
     )
     # Counting first leaves one row per address and task to be shuffled, however busy a pool is.
     counted = seen.groupBy("pool_address").agg(
@@ -95,7 +95,7 @@ def pool_activity(logs: DataFrame, pools: DataFrame, since: str | None = POOLS_S
         F.min("block_timestamp").alias("first_seen"),
         F.max("block_timestamp").alias("last_seen"),
     )
-    return counted.join(small_side(pools.select("pool_address").distinct()), "pool_address", "left_semi")
+    return counted.join(small_side(pools.select(F.lower("pool_address").alias("pool_address")).distinct()), "pool_address", "left_semi")
 
 
 def pools_with_activity(pools: DataFrame, activity: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +15,9 @@ BROADCAST_ROWS = 200_000
 # The largest group that is still sorted inside one task.
 TASK_ROWS = 2_000_000
 
+# The folder of the run that is going on, if any.
+_RUN: ContextVar[str | None] = ContextVar("staged_run", default=None)
+
 
 def small_side(df: DataFrame, rows: int | None = None, max_rows: int | None = None) -> DataFrame:
     """Mark a dimension for broadcast if it is known, or has been counted, to be small.
@@ -28,14 +32,27 @@ def small_side(df: DataFrame, rows: int | None = None, max_rows: int | None = No
 
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as named by ``spark.checkpoint.dir``."""
+    if (run := _RUN.get()) is not None:
+        return run
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="slumptrace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # Where it is unset: the warehouse is shared by all executors as well.
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging").rstrip("/")
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """A run whose intermediate tables lie in a folder of its own, which is deleted when the run is over.
+
+    Everything the run returns must be stored or computed by then.
+    """
+    folder = f"{staging_folder(spark)}/run-{uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
@@ -85,6 +102,6 @@ def number_rows(
     return (
         sliced.withColumn("_inside", F.row_number().over(inside))
         .join(shifts, same_slice)
-        .withColumn(name, (F.col("_inside") + F.col("_shift")).cast("int"))
+        .withColumn(name, (F.col("_inside") + F.col("_shift")).cast("bigint" if largest > 2**31 - 1 else "int"))
         .select(*df.columns, name)
     )

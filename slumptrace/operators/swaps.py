@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from slumptrace.constants import LATEST_SWAPS, TOKEN_DECIMALS
+from slumptrace.constants import TOKEN_DECIMALS
 from slumptrace.functions.hexdata import word_amount
 from slumptrace.functions.logs import PROTOCOLS, Protocol
 from slumptrace.functions.values import valid_wallet
@@ -19,7 +20,7 @@ from slumptrace.operators.scale import number_rows, small_side
 DECODE_SHIFT = {"abi": 0, "shifted": -1}
 
 
-def latest(swaps: DataFrame, n: int = LATEST_SWAPS) -> DataFrame:
+def latest(swaps: DataFrame, n: int) -> DataFrame:
     """The ``n`` latest swaps; ties are broken by hash, log index, pool and payload.
 
     A count per day finds the one day that is cut. Later days are kept whole and only that day is put
@@ -45,65 +46,94 @@ def latest(swaps: DataFrame, n: int = LATEST_SWAPS) -> DataFrame:
 
 
 def with_sender(swaps: DataFrame, senders: DataFrame) -> DataFrame:
-    """Add the sender of the transaction as the wallet; unknown transactions leave it null."""
-    return swaps.join(senders, "transaction_hash", "left")
+    """Add the sender of the transaction as the wallet; unknown transactions leave it null.
+
+    Senders that carry their ``block_date`` are joined by day and hash, so only the partitions of those days meet.
+    """
+    if "block_date" not in senders.columns:
+        return swaps.join(senders, "transaction_hash", "left")
+    dated = swaps.withColumn("block_date", F.to_date("block_timestamp"))
+    return dated.join(senders, ["block_date", "transaction_hash"], "left").select(*swaps.columns, "wallet_address")
 
 
 def in_windows(swaps: DataFrame, crisis_pools: DataFrame) -> DataFrame:
     """Swaps × crises of their pool, for block dates inside the window, both ends included.
 
-    A swap that falls in several windows is kept once for each.
+    A swap that falls in several windows is kept once for each. Windows are laid out over their days, so a swap
+    meets the crises of its day only, however many its pool has.
     """
-    pools = small_side(crisis_pools)
-    block_date = F.to_date("block_timestamp")
-    return swaps.join(pools, "pool_address").where(
-        block_date.between(F.col("window_start_date"), F.col("window_end_date"))
-    )
+    days = crisis_pools.where("window_start_date <= window_end_date").select(
+        "*", F.explode(F.sequence("window_start_date", "window_end_date")).alias("block_date"))
+    dated = swaps.withColumn("block_date", F.to_date("block_timestamp"))
+    return dated.join(small_side(days), ["pool_address", "block_date"]).drop("block_date")
+
+
+# One scale for both tokens, or one for each.
+Decimals = int | Column | tuple[Column, Column]
+
+
+def pool_decimals(pools: DataFrame, default: int | Column = TOKEN_DECIMALS) -> Decimals:
+    """The decimals of both tokens where the pool dimension carries them, else ``default`` for both."""
+    names = ("token0_decimals", "token1_decimals")
+    if not set(names) <= set(pools.columns):
+        return default
+    return tuple(F.coalesce(F.col(c), default if isinstance(default, Column) else F.lit(default)) for c in names)
 
 
 def out_amounts(
     decode: str = "abi",
-    decimals: int | Column = TOKEN_DECIMALS,
+    decimals: Decimals = TOKEN_DECIMALS,
     protocols: Sequence[Protocol] = PROTOCOLS,
+    topic: Column | None = None,
 ) -> tuple[Column, Column]:
-    """The amounts paid out of the pool in its first and second token; null for other protocols."""
+    """The amounts paid out of the pool in its first and second token; null for other protocols.
+
+    With ``topic`` a swap counts only if it is the event of its pool's protocol.
+    """
     shift = DECODE_SHIFT[decode]
+    scale0, scale1 = decimals if isinstance(decimals, tuple) else (decimals, decimals)
     amount0 = amount1 = F.lit(None).cast("double")
     data = F.col("data")
-    for layout in dict.fromkeys((p.out0_word, p.out1_word) for p in protocols):
-        names = [p.name for p in protocols if (p.out0_word, p.out1_word) == layout]
+    for layout in dict.fromkeys((p.out0_word, p.out1_word, p.swap_topic) for p in protocols):
+        names = [p.name for p in protocols if (p.out0_word, p.out1_word, p.swap_topic) == layout]
         known = F.col("dex_protocol").isin(names)
-        amount0 = F.when(known, word_amount(data, layout[0] + shift, decimals)).otherwise(amount0)
-        amount1 = F.when(known, word_amount(data, layout[1] + shift, decimals)).otherwise(amount1)
+        if topic is not None:
+            known = known & (topic == layout[2])
+        amount0 = F.when(known, word_amount(data, layout[0] + shift, scale0)).otherwise(amount0)
+        amount1 = F.when(known, word_amount(data, layout[1] + shift, scale1)).otherwise(amount1)
     return amount0, amount1
 
 
 def bought_amount(
     decode: str = "abi",
-    decimals: int | Column = TOKEN_DECIMALS,
+    decimals: Decimals = TOKEN_DECIMALS,
     protocols: Sequence[Protocol] = PROTOCOLS,
+    topic: Column | None = None,
 ) -> Column:
     """The amount of the crisis token a swap paid out; null for payloads that are short or not hex."""
-    amount0, amount1 = out_amounts(decode, decimals, protocols)
+    amount0, amount1 = out_amounts(decode, decimals, protocols, topic)
     return F.when(F.col("token0_address") == F.col("crisis_token"), amount0).when(
         F.col("token1_address") == F.col("crisis_token"), amount1
     )
 
 
-def sold_amount(decimals: int | Column = TOKEN_DECIMALS, protocols: Sequence[Protocol] = PROTOCOLS) -> Column:
+def sold_amount(
+    decimals: Decimals = TOKEN_DECIMALS, protocols: Sequence[Protocol] = PROTOCOLS, topic: Column | None = None
+) -> Column:
     """The amount of the crisis token a swap took in."""
-    paid_in = [Protocol(p.name, p.factory, out0_word=p.in0_word, out1_word=p.in1_word) for p in protocols]
-    return bought_amount("abi", decimals, paid_in)
+    paid_in = [replace(p, out0_word=p.in0_word, out1_word=p.in1_word) for p in protocols]
+    return bought_amount("abi", decimals, paid_in, topic)
 
 
 def crisis_buys(
     swaps: DataFrame,
     decode: str = "abi",
-    decimals: int | Column = TOKEN_DECIMALS,
+    decimals: Decimals = TOKEN_DECIMALS,
     protocols: Sequence[Protocol] = PROTOCOLS,
 ) -> DataFrame:
     """Swaps in windows that paid out the crisis token, with the amount."""
-    return swaps.withColumn("token_amount", bought_amount(decode, decimals, protocols)).where(
+    topic = F.col("swap_topic") if "swap_topic" in swaps.columns else None
+    return swaps.withColumn("token_amount", bought_amount(decode, decimals, protocols, topic)).where(
         F.col("token_amount") > 0
     )
 

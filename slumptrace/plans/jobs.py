@@ -1,4 +1,4 @@
-"""The three runs a user starts: prepare the tables, stage the buys, rank the wallets.
+"""The runs a user starts: store logs, find crises, prepare the tables, stage the buys, rank and label the wallets.
 
 Each reads and writes tables of one database; raw logs and transactions may be tables or Parquet folders.
 """
@@ -9,15 +9,16 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from slumptrace import schemas
-from slumptrace.constants import BASE_TOKENS
+from slumptrace.constants import BASE_TOKENS, RECOVERY_DAYS
 from slumptrace.functions.logs import PROTOCOLS, Protocol
-from slumptrace.operators import labels, quality
+from slumptrace.operators import crisis, labels, profit, quality
 from slumptrace.operators.pools import base_tokens, build_pools
-from slumptrace.operators.scale import materialize
-from slumptrace.plans.stage_one import StageOneOptions, stage_buys
+from slumptrace.operators.scale import materialize, staged_run
+from slumptrace.plans.stage_one import StageOneOptions, crisis_trades, stage_buys
 from slumptrace.plans.stage_two import Outcome, StageTwoOptions, rank_wallets
 from slumptrace.sources import catalog, readers
 from slumptrace.sources.sinks import write_table
@@ -47,16 +48,20 @@ def prepare_pools(
     protocols: Sequence[Protocol] = PROTOCOLS,
     dry_run: bool = False,
     drop: bool = False,
+    since: str | None = None,
 ) -> int:
-    """Create the tables and fill the pool dimension from pair-created logs."""
+    """Create the tables and fill the pool dimension from pair-created logs, from ``since`` on if given."""
     catalog.ensure_tables(spark, database, [schemas.POOLS] if drop else schemas.TABLES.values(), drop)
     events = readers.require_rows(_table(spark, database, schemas.CRISIS_EVENTS), "crisis events")
-    found = build_pools(readers.load(spark, logs), events, base_tokens(events, base), protocols)
+    found = build_pools(readers.load(spark, logs), events, base_tokens(events, base), protocols, since)
     return write_table(found, database, schemas.POOLS, dry_run=dry_run, on_empty="error")
 
 
-def verify(spark: SparkSession, database: str, logs: str) -> QualityReport:
-    """Check that the input tables are filled, that prices fell in the crises, and that pools are in use."""
+def verify(spark: SparkSession, database: str, logs: str, since: str | None = None) -> QualityReport:
+    """Check that the input tables are filled, that prices fell in the crises, and that pools are in use.
+
+    Use is looked for in all logs, or from ``since`` on.
+    """
     inputs = {}
     for table in (schemas.CRISIS_EVENTS, schemas.POOLS, schemas.PRICES):
         try:
@@ -66,7 +71,7 @@ def verify(spark: SparkSession, database: str, logs: str) -> QualityReport:
     events, pools, history = inputs.values()
     completeness = quality.check_completeness(inputs)
     moves = quality.check_crisis_moves(events, history)
-    activity = quality.pool_activity(readers.load(spark, logs), pools)
+    activity = quality.pool_activity(readers.load(spark, logs), pools, since)
     coverage = materialize(quality.pool_coverage(pools, activity), "coverage")
     passed = (
         completeness.where("NOT passed").isEmpty()
@@ -86,17 +91,18 @@ def stage_one(
     sample: Sample | None = None,
 ) -> int:
     """Find, price and store the buys. Missing crises or pools fail; no buys only warns."""
-    staged = stage_buys(
-        readers.require_rows(_table(spark, database, schemas.CRISIS_EVENTS), "crisis events"),
-        readers.require_rows(_table(spark, database, schemas.POOLS), "pools"),
-        readers.load(spark, logs),
-        readers.load(spark, transactions),
-        _table(spark, database, schemas.PRICES),
-        options,
-    )
-    return write_table(
-        staged, database, schemas.STAGED_BUYS, dry_run=dry_run, validate=quality.require_valid, sample=sample
-    )
+    with staged_run(spark):
+        staged = stage_buys(
+            readers.require_rows(_table(spark, database, schemas.CRISIS_EVENTS), "crisis events"),
+            readers.require_rows(_table(spark, database, schemas.POOLS), "pools"),
+            readers.load(spark, logs),
+            readers.load(spark, transactions),
+            _table(spark, database, schemas.PRICES),
+            options,
+        )
+        return write_table(
+            staged, database, schemas.STAGED_BUYS, dry_run=dry_run, validate=quality.require_valid, sample=sample
+        )
 
 
 def stage_two(
@@ -115,7 +121,58 @@ def stage_two(
 
 
 def label_wallets(spark: SparkSession, database: str, dry_run: bool = False) -> int:
-    """Fill the label table from the stored buys and trades."""
-    staged = _table(spark, database, schemas.STAGED_BUYS)
-    trades = _table(spark, database, schemas.PROFITABLE_TRADES)
-    return write_table(labels.wallet_labels(staged, trades), database, schemas.WALLET_LABELS, dry_run=dry_run)
+    """Fill the label table from the stored buys and the price history."""
+    with staged_run(spark):
+        staged = readers.staged_buys(_table(spark, database, schemas.STAGED_BUYS))
+        estimates = materialize(profit.estimate_pnl(staged, _table(spark, database, schemas.PRICES)), "estimates")
+        return write_table(labels.wallet_labels(staged, estimates), database, schemas.WALLET_LABELS, dry_run=dry_run)
+
+
+def find_crises(
+    spark: SparkSession,
+    database: str,
+    window_days: int = 30,
+    max_return_pct: float = -20.0,
+    max_excess_pct: float = -15.0,
+    max_drain_pct: float | None = -50.0,
+    dry_run: bool = False,
+) -> int:
+    """Fill the crisis table from the price history: sharp falls and drained liquidity, with their buy windows."""
+    catalog.ensure_tables(spark, database, [schemas.CRISIS_EVENTS])
+    with staged_run(spark):
+        history = readers.require_rows(_table(spark, database, schemas.PRICES), "price history")
+        found = crisis.detect_crises(history, max_return_pct, max_excess_pct, max_drain_pct=max_drain_pct)
+        events = crisis.detected_events(materialize(found, "crises"), window_days)
+        return write_table(events, database, schemas.CRISIS_EVENTS, dry_run=dry_run)
+
+
+def realise(
+    spark: SparkSession,
+    database: str,
+    logs: str,
+    transactions: str,
+    target: str,
+    options: StageOneOptions = StageOneOptions(),
+    recovery_days: int = RECOVERY_DAYS,
+) -> int:
+    """Write the realised profit per wallet and token to the Parquet folder ``target``; returns the rows."""
+    with staged_run(spark):
+        trades = crisis_trades(
+            readers.require_rows(_table(spark, database, schemas.CRISIS_EVENTS), "crisis events"),
+            readers.require_rows(_table(spark, database, schemas.POOLS), "pools"),
+            readers.load(spark, logs), readers.load(spark, transactions), _table(spark, database, schemas.PRICES),
+            options, recovery_days)
+        labels.realised_profit(trades, recovery_days).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target).count()
+
+
+def store_logs(logs: DataFrame, target: str) -> None:
+    """Lay raw logs out for the scans, once: lower-case addresses, ``topic0``, partitions by day sorted by address.
+
+    Scans of such logs read the days they need, and skip row groups by topic and address. A busy day is written by
+    several tasks.
+    """
+    stored = logs.withColumns({
+        "address": F.lower("address"), "topic0": F.lower(F.get("topics", F.lit(0))), "block_date": F.to_date("block_timestamp")})
+    stored.repartitionByRange("block_date", "address", "block_timestamp").sortWithinPartitions(
+        "block_date", "topic0", "address").write.partitionBy("block_date").mode("overwrite").parquet(target)

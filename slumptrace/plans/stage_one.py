@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.constants import DEFAULT_PRICE, TOKEN_DECIMALS
+from slumptrace.constants import DEFAULT_PRICE, RECOVERY_DAYS, TOKEN_DECIMALS
 from slumptrace.functions.logs import PROTOCOLS, Protocol
 from slumptrace.functions.values import number, valid_key
 from slumptrace.operators import pools as pool_ops
 from slumptrace.operators import pricing, swaps
+from slumptrace.operators.labels import buys_after_crash
 from slumptrace.operators.scale import materialize, small_side
 from slumptrace.schemas import STAGED_BUYS
 from slumptrace.sources import readers
@@ -35,6 +36,8 @@ class StageOneOptions:
     protocols: Sequence[Protocol] = PROTOCOLS
     clip_history: bool = True
     default_price: float = DEFAULT_PRICE
+    # Only buys that many hours after the start of their crisis day, instead of the crises' own windows.
+    hours: tuple[int, int] | None = None
 
 
 @dataclass(frozen=True)
@@ -52,15 +55,22 @@ def crisis_span(events: DataFrame) -> CrisisSpan:
     return CrisisSpan(*row)
 
 
-def scan_bounds(span: CrisisSpan, options: StageOneOptions) -> tuple[str | None, str | None]:
+def scan_bounds(span: CrisisSpan, options: StageOneOptions) -> tuple[str | datetime | None, str | datetime | None]:
     """Time range of the log scan: the given one, narrowed to the crisis windows."""
     if span.first is None or span.last is None:
         return options.start, options.end
-    starts = [str(span.first), *([options.start] if options.start else [])]
-    ends = [str(span.last + timedelta(days=1)), *([options.end] if options.end else [])]
+    starts = [readers.moment(str(span.first)), *([readers.moment(options.start)] if options.start else [])]
+    ends = [readers.moment(str(span.last + timedelta(days=1))), *([readers.moment(options.end)] if options.end else [])]
     return max(starts), min(ends)
 
 
+def window_days(events: DataFrame) -> list[date]:
+    """The distinct days of all windows, for pruning partitions by day: as many as the calendar has, at most."""
+    days = events.where("window_start_date <= window_end_date").select(
+        F.explode(F.sequence("window_start_date", "window_end_date")).alias("day"))
+    return sorted(r.day for r in days.distinct().collect())
+
+
 def window_swaps(
     events: DataFrame,
     pools: DataFrame,
@@ -73,11 +83,13 @@ def window_swaps(
     crossed = materialize(
         pool_ops.crisis_pools(readers.pools(pools), readers.crisis_events(events), span.count), "pools"
     )
+    topics = sorted({p.swap_topic for p in options.protocols})
     if options.latest is None:
-        found = readers.swap_logs(logs, *scan_bounds(span, options))
+        days = window_days(events) if "block_date" in logs.columns else None
+        found = readers.swap_logs(logs, *scan_bounds(span, options), topics=topics, days=days)
     else:
         # The newest swaps are taken from the configured range, before windows are looked at.
-        found = swaps.latest(readers.swap_logs(logs, options.start, options.end, crossed), options.latest)
+        found = swaps.latest(readers.swap_logs(logs, options.start, options.end, crossed, topics), options.latest)
     return swaps.in_windows(found, crossed)
 
 
@@ -91,24 +103,76 @@ def unpriced_buys(
     """Buys with wallet and amount, in the columns of the staged table.
 
     Transactions are as many as logs, while few swaps are buys. The buys found are therefore stored and
-    counted; as long as they are few they go to the transactions, which are then not shuffled at all.
+    counted; as long as they are few they go to the transactions, which are then not shuffled at all. Of transactions
+    partitioned by ``block_date`` only the days of the buys are read and joined by day and hash.
     """
+    if options.hours is not None:
+        events = hour_windows(events, options.hours)
     span = crisis_span(events)
+    decimals = swaps.pool_decimals(pools, options.decimals)
     bought = swaps.crisis_buys(
-        window_swaps(events, pools, logs, options, span), options.decode, options.decimals, options.protocols
+        window_swaps(events, pools, logs, options, span), options.decode, decimals, options.protocols
     )
     bought = materialize(
         bought.select("crisis_id", "crisis_token", "block_timestamp", "transaction_hash", "token_amount"),
         "bought", compact=True,
     )
-    senders = readers.senders(transactions, *scan_bounds(span, options))
-    return swaps.by_valid_wallets(swaps.with_sender(small_side(bought), senders)).select(
+    days = None
+    if "block_date" in transactions.columns:
+        days = sorted(r.day for r in bought.select(F.to_date("block_timestamp").alias("day")).distinct().collect())
+    senders = readers.senders(transactions, *scan_bounds(span, options), days=days)
+    buys = swaps.by_valid_wallets(swaps.with_sender(small_side(bought), senders)).select(
         "crisis_id",
         "wallet_address",
         F.col("crisis_token").alias("token_address"),
         F.col("block_timestamp").cast("timestamp").alias("first_buy_timestamp"),
         F.col("token_amount").alias("total_amount_bought"),
     )
+    return buys if options.hours is None else buys_after_crash(buys, events, *options.hours)
+
+
+def hour_windows(events: DataFrame, hours: tuple[int, int]) -> DataFrame:
+    """Crises with day windows that hold all of the given hours after the start of the crisis day."""
+    first, last = hours
+    return events.withColumns({
+        "window_start_date": F.date_add("crisis_date", first // 24), "window_end_date": F.date_add("crisis_date", last // 24)})
+
+
+def crisis_trades(
+    events: DataFrame,
+    pools: DataFrame,
+    logs: DataFrame,
+    transactions: DataFrame,
+    history: DataFrame,
+    options: StageOneOptions = StageOneOptions(),
+    recovery_days: int = RECOVERY_DAYS,
+) -> DataFrame:
+    """Buys inside the windows and sales up to ``recovery_days`` after them, priced on their day, per wallet and token.
+
+    A swap that several crises of a token see is one trade; it is a buy if any of their windows holds it.
+    """
+    wider = events.withColumn("window_end_date", F.date_add("window_end_date", recovery_days)).withColumn(
+        "crisis_name", F.col("window_end_date").cast("string"))
+    decimals, topic = swaps.pool_decimals(pools, options.decimals), F.col("swap_topic")
+    end = F.date_sub(F.col("crisis_name").cast("date"), recovery_days)
+    found = window_swaps(wider, pools, logs, options).select(
+        "transaction_hash", "log_index", "pool_address", "crisis_token", "block_timestamp",
+        (F.to_date("block_timestamp") <= end).alias("inside"),
+        swaps.bought_amount(options.decode, decimals, options.protocols, topic).alias("bought"),
+        swaps.sold_amount(decimals, options.protocols, topic).alias("sold"),
+    ).groupBy("transaction_hash", "log_index", "pool_address", "crisis_token", "block_timestamp").agg(
+        F.max(F.when(F.col("inside"), F.col("bought"))).alias("bought"), F.max("sold").alias("sold"))
+    found = materialize(found.where("bought > 0 OR sold > 0"), "trades", compact=True)
+    days = None
+    if "block_date" in transactions.columns:
+        days = sorted(r.day for r in found.select(F.to_date("block_timestamp").alias("day")).distinct().collect())
+    traded = swaps.by_valid_wallets(swaps.with_sender(found, readers.senders(transactions, days=days))).select(
+        "wallet_address", F.col("crisis_token").alias("token_address"),
+        F.col("block_timestamp").cast("timestamp").alias("traded_at"), "bought", "sold")
+    traded = materialize(traded, "traded")
+    priced = pricing.price_buys(
+        traded, history, clip_history=False, default_price=options.default_price, timestamp="traded_at", amount="bought")
+    return priced.withColumnRenamed("first_buy_price", "price").drop("total_usd_spent")
 
 
 def format_buys(priced: DataFrame) -> DataFrame:

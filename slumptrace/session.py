@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Lets the few hashes of crisis swaps prune the transaction scan before its shuffle.
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # A sink replaces its whole table, whatever its partitions.
     "spark.sql.sources.partitionOverwriteMode": "static",
 }

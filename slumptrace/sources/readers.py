@@ -1,17 +1,22 @@
 """Scans of the input tables: needed columns only, normalised once, predicates next to the scan.
 
-Addresses are lower-cased here, so everything behind a reader compares them with plain equality.
+Addresses of the small tables are lower-cased here. Those of logs are stored in lower case, so that a scan can skip by
+them. Everything behind a reader compares addresses with plain equality.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
+from datetime import date, datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slumptrace.constants import (
-    PAIR_CREATED_TOPIC, PAIR_FACTORY, POOLS_SINCE, SWAP_TOPIC, SWAPS_FROM, SWAPS_UNTIL,
+    PAIR_CREATED_TOPIC, PAIR_FACTORY, SWAP_TOPIC,
 )
 from slumptrace.functions.logs import has_topic
 from slumptrace.functions.values import number
@@ -42,9 +47,10 @@ def crisis_events(events: DataFrame) -> DataFrame:
 
 
 def pools(dimension: DataFrame) -> DataFrame:
-    """Pool, token pair and protocol."""
+    """Pool, token pair and protocol, and the decimals of the tokens where the dimension has them."""
     return dimension.select(
-        *[F.lower(c).alias(c) for c in ("pool_address", "token0_address", "token1_address")], "dex_protocol"
+        *[F.lower(c).alias(c) for c in ("pool_address", "token0_address", "token1_address")], "dex_protocol",
+        *[c for c in ("token0_decimals", "token1_decimals") if c in dimension.columns],
     )
 
 
@@ -54,18 +60,30 @@ def pool_names(dimension: DataFrame) -> DataFrame:
 
 
 def staged_buys(buys: DataFrame) -> DataFrame:
-    """The output of stage one, as stage two reads it."""
+    """The output of stage one, as stage two reads it. NaN, which would count as the highest price, becomes null."""
     return buys.select(
         "crisis_id", "wallet_address", F.lower("token_address").alias("token_address"), "first_buy_timestamp",
-        "first_buy_price", "total_amount_bought", "total_usd_spent", "num_transactions",
+        *[number(F.col(c)).alias(c) for c in ("first_buy_price", "total_amount_bought", "total_usd_spent")],
+        "num_transactions",
     )
 
 
-def between_times(df: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:
+def moment(text: str | datetime) -> datetime:
+    """A bound as given by a user, such as ``2021-9-15`` or ``2021-09-15 12:00``. What is no date or time is refused."""
+    if isinstance(text, datetime):
+        return text
+    found = re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}))?)?", text.strip())
+    if not found:
+        raise ValueError(f"{text!r} is no date or time")
+    return datetime(*[int(part or 0) for part in found.groups()])
+
+
+def between_times(df: DataFrame, column: str, start: str | datetime | None, end: str | datetime | None) -> DataFrame:
     """Rows with ``start <= column <= end``. A bare date as upper bound means its midnight.
 
     The bounds take the type of the column, with or without time zone, so they can reach the scan.
     """
+    start, end = [None if bound is None else str(moment(bound)) for bound in (start, end)]
     kind = df.schema[column].dataType
     if start is not None:
         df = df.where(F.col(column) >= F.lit(start).cast(kind))
@@ -74,24 +92,34 @@ def between_times(df: DataFrame, column: str, start: str | None, end: str | None
     return df
 
 
-def _topic_is(logs: DataFrame, topic: str) -> Column:
+def _topic_in(logs: DataFrame, topics: Sequence[str]) -> Column:
     # A stored copy of the first topic lets Parquet skip row groups, which an array element cannot.
-    return F.col("topic0") == topic if "topic0" in logs.columns else has_topic(F.col("topics"), topic)
+    if "topic0" in logs.columns:
+        return F.col("topic0").isin(list(topics))
+    return reduce(or_, [has_topic(F.col("topics"), topic) for topic in topics])
 
 
 def swap_logs(
     logs: DataFrame,
-    start: str | None = SWAPS_FROM,
-    end: str | None = SWAPS_UNTIL,
+    start: str | datetime | None = None,
+    end: str | datetime | None = None,
     pool_keys: DataFrame | None = None,
-    topic: str = SWAP_TOPIC,
+    topics: Sequence[str] = (SWAP_TOPIC,),
+    days: Sequence[date] | None = None,
 ) -> DataFrame:
-    """Swap events in a time range, of the pools in ``pool_keys`` if given."""
-    scan = between_times(logs.where(_topic_is(logs, topic)), "block_timestamp", start, end).select(
+    """Swap events of a time range, of the pools in ``pool_keys`` if given; all of them without bounds.
+
+    Addresses are compared as stored, so logs must be lower-case: ``jobs.store_logs`` makes them so, once. Logs laid
+    out by it are partitioned by ``block_date``; then only the ``days`` asked for are read.
+    """
+    if days is not None and "block_date" in logs.columns:
+        logs = logs.where(F.col("block_date").isin(list(days)))
+    scan = between_times(logs.where(_topic_in(logs, topics)), "block_timestamp", start, end).select(
         "block_timestamp",
         "transaction_hash",
         "log_index",
-        F.lower("address").alias("pool_address"),
+        F.col("address").alias("pool_address"),
+        (F.col("topic0") if "topic0" in logs.columns else F.get("topics", F.lit(0))).alias("swap_topic"),
         *[c for c in ("topics",) if c in logs.columns],
         "data",
     )
@@ -101,23 +129,34 @@ def swap_logs(
     return scan.join(keys, "pool_address", "left_semi")
 
 
-def senders(transactions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Sender per transaction. The range applies where transactions carry their block time."""
+def senders(
+    transactions: DataFrame,
+    start: str | datetime | None = None,
+    end: str | datetime | None = None,
+    days: Sequence[date] | None = None,
+) -> DataFrame:
+    """Sender per transaction. The range applies where transactions carry their block time.
+
+    Of transactions partitioned by ``block_date`` only the ``days`` are read, and the date comes along as a join key.
+    """
+    if days is not None and "block_date" in transactions.columns:
+        transactions = transactions.where(F.col("block_date").isin(list(days)))
     if "block_timestamp" in transactions.columns:
         transactions = between_times(transactions, "block_timestamp", start, end)
     return transactions.select(
-        F.col("hash").alias("transaction_hash"), F.lower("from_address").alias("wallet_address")
+        F.col("hash").alias("transaction_hash"), F.lower("from_address").alias("wallet_address"),
+        *[F.col("block_date").cast("date").alias("block_date") for c in ("block_date",) if c in transactions.columns],
     )
 
 
 def factory_logs(
     logs: DataFrame,
     factories: Iterable[str] = (PAIR_FACTORY,),
-    topic: str = PAIR_CREATED_TOPIC,
-    since: str | None = POOLS_SINCE,
+    topics: Sequence[str] = (PAIR_CREATED_TOPIC,),
+    since: str | datetime | None = None,
 ) -> DataFrame:
-    """Pair-created events of the known factories."""
-    wanted = logs.where(F.lower("address").isin(list(factories)) & _topic_is(logs, topic))
+    """Pair-created events of the known factories, from ``since`` on if given. Addresses are compared as stored."""
+    wanted = logs.where(F.col("address").isin(list(factories)) & _topic_in(logs, topics))
     return between_times(wanted, "block_timestamp", since, None).select(
         "block_timestamp", "address", "topics", "data"
     )

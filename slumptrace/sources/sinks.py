@@ -7,6 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType,
+    TimestampNTZType, TimestampType,
+)
 
 from slumptrace.operators.scale import materialize
 from slumptrace.schemas import Table
@@ -14,6 +18,24 @@ from slumptrace.sources.catalog import ensure_tables
 
 log = logging.getLogger(__name__)
 
+# Types of one kind may be cast into each other.
+_KINDS = ((StringType,), (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType),
+          (DateType,), (TimestampType, TimestampNTZType))
+
+
+def require_schema(df: DataFrame, table: Table, optional: bool = False) -> None:
+    """Fail when a column of ``table`` is missing in ``df`` or of another kind, before anything is cast.
+
+    With ``optional`` columns that may be null may be missing as well.
+    """
+    kinds = {kind.__name__: k for k, group in enumerate(_KINDS) for kind in group}
+    found = {f.name: kinds.get(type(f.dataType).__name__) for f in df.schema}
+    wrong = [f"{f.name} is missing" for f in table.schema if f.name not in found and not (optional and f.nullable)]
+    wrong += [f"{f.name} is {df.schema[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}"
+              for f in table.schema if f.name in found and found[f.name] != kinds[type(f.dataType).__name__]]
+    if wrong:
+        raise ValueError(f"{table.name}: {'; '.join(wrong)}")
+
 
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """The columns of ``table`` in its order and types. Columns missing in ``df`` become null."""
@@ -48,14 +70,17 @@ def write_table(
     validate: Callable[[DataFrame], None] | None = None,
     sample: Callable[[DataFrame], None] | None = None,
     on_empty: str = "warn",
+    fill_missing: bool = False,
 ) -> int:
     """Replace the contents of ``table`` by ``df`` and return the number of rows.
 
     The result is computed once, into the staging folder; emptiness, validation, sample and load all read
     it from there, so a failed check or a dry run leaves the table as it was. ``on_empty`` is ``warn``
-    (leave the table alone) or ``error``.
+    (leave the table alone) or ``error``. A column that is missing or of another kind fails before anything is
+    computed; with ``fill_missing`` columns that may be null are filled with nulls.
     """
     spark = df.sparkSession
+    require_schema(df, table, fill_missing)
     staged = materialize(conform(df, table), table.name, compact=True)
     rows = staged.count()
     if rows == 0:

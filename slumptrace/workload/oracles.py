@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from slumptrace.constants import (
-    PAIR_CREATED_TOPIC, PAIR_FACTORY, POOLS_SINCE, SWAP_TOPIC, ZERO_ADDRESS,
+    PAIR_CREATED_TOPIC, PAIR_FACTORY, SWAP_TOPIC, ZERO_ADDRESS,
 )
 from slumptrace.workload.queries import LATEST, SCAN_FROM, SCAN_UNTIL
 from slumptrace.workload.views import TEST_TABLES, VIEWS, oracle_view
@@ -133,8 +133,7 @@ STEPS = {
                lower(concat('0x', substr(topics[3], 27, 40))) AS token1_address,
                lower(concat('0x', substr(data, 27, 40))) AS pool_address
         FROM fx_factory_logs
-        WHERE address = '{PAIR_FACTORY}' AND topics[1] = '{PAIR_CREATED_TOPIC}'
-          AND block_timestamp >= '{POOLS_SINCE}'""",
+        WHERE address = '{PAIR_FACTORY}' AND topics[1] = '{PAIR_CREATED_TOPIC}'""",
     "o_symbol": """
         SELECT n.token_address, coalesce(b.symbol, c.symbol, 'UNK') AS symbol
         FROM (SELECT token0_address AS token_address FROM fx_pools
@@ -155,10 +154,11 @@ STEPS = {
         SELECT *, crisis_drop_pct <= -5 AS realistic FROM o_offsets
         WHERE price_before_crisis IS NOT NULL AND price_during_crisis IS NOT NULL
           AND price_after_recovery IS NOT NULL""",
-    "o_late_usage": """
+    "o_usage": """
         SELECT p.pool_address, count(l.address) AS transaction_count,
                min(block_timestamp) AS first_seen, max(block_timestamp) AS last_seen
-        FROM o_pairs p LEFT JOIN fx_logs l ON p.pool_address = l.address AND block_timestamp >= '2001-10-25'
+        FROM (SELECT pool_address FROM o_pairs UNION ALL SELECT pool_address FROM fx_quiet_pools) p
+        LEFT JOIN fx_logs l ON p.pool_address = l.address
         GROUP BY p.pool_address""",
     "o_returns": """
         SELECT p.token_address, p.dt, (p.price_usd - max(h.price_usd)) / max(h.price_usd) * 100.0 AS return_pct
@@ -172,23 +172,77 @@ STEPS = {
         JOIN (SELECT dt, median(return_pct) AS market_return_pct FROM o_returns GROUP BY dt) m ON r.dt = m.dt
         WHERE return_pct <= -20 AND return_pct - market_return_pct <= -15""",
     "o_gained": """
-        SELECT wallet_address, count(DISTINCT crisis_id) AS crises, sum(estimated_profit_usd) AS usd
-        FROM o_trades GROUP BY wallet_address""",
+        SELECT wallet_address, count(DISTINCT crisis_id) FILTER (estimated_profit_pct >= 10) AS crises,
+               sum(estimated_profit_usd) AS usd
+        FROM o_pnl GROUP BY wallet_address""",
+    # Every swap of a pool, once for each token of its pair, with what it paid out and took in of that token.
+    "o_moved": f"""
+        SELECT s.*, token AS crisis_token,
+               CASE WHEN token0_address = token THEN CAST({_word(2)} AS DOUBLE) / 1e18
+                    ELSE CAST({_word(3)} AS DOUBLE) / 1e18 END AS bought,
+               CASE WHEN token0_address = token THEN CAST({_word(0)} AS DOUBLE) / 1e18
+                    ELSE CAST({_word(1)} AS DOUBLE) / 1e18 END AS sold
+        FROM o_swaps s JOIN fx_pools p ON s.pool_address = p.pool_address AND dex_protocol = 'Uniswap V2',
+             LATERAL (SELECT token0_address AS token UNION SELECT token1_address) t""",
+    "o_struck": """
+        SELECT coalesce(r.token_address, d.token_address) AS token_address, coalesce(r.dt, d.dt) AS dt,
+               return_pct, market_return_pct, drain_pct
+        FROM (SELECT r.*, market_return_pct FROM o_returns r
+              JOIN (SELECT dt, median(return_pct) AS market_return_pct FROM o_returns GROUP BY dt) m ON r.dt = m.dt) r
+        FULL JOIN (SELECT p.token_address, p.dt, (p.liquidity_usd - max(h.liquidity_usd)) / max(h.liquidity_usd) * 100.0 AS drain_pct
+                   FROM fx_prices p LEFT JOIN fx_prices h ON p.token_address = h.token_address
+                    AND h.dt BETWEEN p.dt - 7 AND p.dt - 1
+                   GROUP BY p.token_address, p.dt, p.liquidity_usd) d
+          ON r.token_address = d.token_address AND r.dt = d.dt
+        WHERE (return_pct <= -20 AND return_pct - market_return_pct <= -15) OR drain_pct <= -60""",
+    "o_crashes": """
+        SELECT r.token_address, r.dt
+        FROM o_returns r
+        JOIN (SELECT dt, median(return_pct) AS market_return_pct FROM o_returns GROUP BY dt) m ON r.dt = m.dt
+        WHERE return_pct <= -50 AND return_pct - market_return_pct <= -40""",
+    "o_detected": """
+        SELECT concat('crisis_', lpad(CAST(row_number() OVER (ORDER BY dt, token_address) AS VARCHAR),
+                      CAST(greatest(3, length(CAST(row_number() OVER (ORDER BY dt, token_address) AS VARCHAR))) AS INTEGER), '0'))
+                 AS crisis_id,
+               token_address, dt AS crisis_date
+        FROM o_crashes f
+        WHERE NOT EXISTS (SELECT 1 FROM o_crashes y WHERE y.token_address = f.token_address AND y.dt = f.dt - 1)""",
     "o_traded": f"""
-        SELECT c_mktsegment AS wallet_address, crisis_token AS token_address, CAST(block_timestamp AS DATE) AS day,
-               CASE WHEN dex_protocol <> 'Uniswap V2' THEN NULL WHEN token0_address = crisis_token
-                    THEN CAST({_word(2)} AS DOUBLE) / 1e18 ELSE CAST({_word(3)} AS DOUBLE) / 1e18 END AS bought,
-               CASE WHEN dex_protocol <> 'Uniswap V2' THEN NULL WHEN token0_address = crisis_token
-                    THEN CAST({_word(0)} AS DOUBLE) / 1e18 ELSE CAST({_word(1)} AS DOUBLE) / 1e18 END AS sold
-        FROM o_windowed
-        JOIN fx_transactions ON transaction_hash = hash
-        JOIN customer ON from_address = concat('0x', lpad(lower(hex(c_custkey + 65536)), 40, '0'))""",
+        SELECT from_address AS wallet_address, crisis_token AS token_address, block_timestamp AS traded_at,
+               transaction_hash, log_index, pool_address,
+               CASE WHEN EXISTS (SELECT 1 FROM fx_events e WHERE e.token_address = crisis_token
+                    AND CAST(block_timestamp AS DATE) BETWEEN window_start_date AND window_end_date)
+                    THEN bought ELSE 0 END AS bought, sold
+        FROM o_moved JOIN fx_transactions ON transaction_hash = hash
+        WHERE from_address NOT IN ('', '{ZERO_ADDRESS}')
+          AND EXISTS (SELECT 1 FROM fx_events e WHERE e.token_address = crisis_token
+              AND CAST(block_timestamp AS DATE) BETWEEN window_start_date AND window_end_date + 90)""",
     "o_valued": """
         SELECT t.*, coalesce((SELECT arg_max(p.price_usd, p.dt) FROM fx_prices p
-                              WHERE p.token_address = t.token_address AND p.dt <= t.day),
+                              WHERE p.token_address = t.token_address AND p.dt <= CAST(traded_at AS DATE)),
                              (SELECT arg_min(p.price_usd, p.dt) FROM fx_prices p
                               WHERE p.token_address = t.token_address), 1.0) AS price
-        FROM o_traded t""",
+        FROM o_traded t WHERE bought > 0 OR sold > 0""",
+    "o_ordered": """
+        SELECT *, row_number() OVER (PARTITION BY wallet_address, token_address
+                                     ORDER BY traded_at, sold > 0, transaction_hash, log_index, pool_address) AS n
+        FROM o_valued""",
+    # One trade after the other: what is held, what all buys so far cost, and what a sale closes of it.
+    "o_walk": """
+        SELECT wallet_address, token_address, n, CAST(NULL AS DATE) AS last_buy, 0.0::DOUBLE AS held, 0.0::DOUBLE AS amount,
+               0.0::DOUBLE AS cost, 0.0::DOUBLE AS sales, 0.0::DOUBLE AS closed, 0.0::DOUBLE AS profit
+        FROM (SELECT DISTINCT wallet_address, token_address, 0 AS n FROM o_ordered)
+        UNION ALL
+        SELECT o.wallet_address, o.token_address, o.n,
+               CASE WHEN o.bought > 0 THEN CAST(traded_at AS DATE) ELSE last_buy END,
+               held + o.bought - least(CASE WHEN CAST(traded_at AS DATE) - last_buy <= 90 THEN o.sold ELSE 0 END, held),
+               amount + o.bought, cost + o.bought * price,
+               sales + CASE WHEN CAST(traded_at AS DATE) - last_buy <= 90 THEN o.sold ELSE 0 END,
+               closed + least(CASE WHEN CAST(traded_at AS DATE) - last_buy <= 90 THEN o.sold ELSE 0 END, held),
+               profit + CASE WHEN amount > 0 AND o.sold > 0 AND CAST(traded_at AS DATE) - last_buy <= 90
+                             THEN least(o.sold, held) * (price - cost / amount) ELSE 0 END
+        FROM o_walk w JOIN o_ordered o
+          ON o.wallet_address = w.wallet_address AND o.token_address = w.token_address AND o.n = w.n + 1""",
 }
 
 _PRICED = (
@@ -240,8 +294,7 @@ SELECTS = {
     "swap_sender_join": f"""
         SELECT block_timestamp, transaction_hash, log_index, pool_address, from_address AS wallet_address
         FROM o_swaps LEFT JOIN fx_transactions ON transaction_hash = hash
-        WHERE block_timestamp >= '{SCAN_FROM}' AND block_timestamp <= '{SCAN_UNTIL}'
-          AND from_address IS NOT NULL AND from_address NOT IN ('', '{ZERO_ADDRESS}')""",
+        WHERE from_address IS NOT NULL AND from_address NOT IN ('', '{ZERO_ADDRESS}')""",
     "swaps_in_window": f"""
         SELECT crisis_id, crisis_token, token0_address, token1_address, dex_protocol, {_LOGS} FROM o_windowed""",
     "decode_amounts_abi": _DECODED + "o_abi_both",
@@ -317,14 +370,19 @@ SELECTS = {
                min(block_timestamp) AS first_seen, max(block_timestamp) AS last_seen
         FROM fx_logs WHERE block_timestamp >= '1999-01-01' AND address IN (SELECT pool_address FROM fx_pools)
         GROUP BY address""",
-    "pool_usage": "SELECT * FROM o_late_usage",
+    "pool_activity_all": """
+        SELECT address AS pool_address, count(*) AS transaction_count,
+               min(block_timestamp) AS first_seen, max(block_timestamp) AS last_seen
+        FROM fx_logs WHERE address IN (SELECT pool_address FROM fx_pools)
+        GROUP BY address""",
+    "pool_usage": "SELECT * FROM o_usage",
     "pool_coverage": """
         SELECT count(*) AS pools, count(*) FILTER (transaction_count > 0) AS real_pools,
                count(*) FILTER (transaction_count = 0) AS mock_pools,
                round(count(*) FILTER (transaction_count > 0) / count(*) * 100, 1) AS real_pct,
                round(count(*) FILTER (transaction_count = 0) / count(*) * 100, 1) AS mock_pct,
                count(*) FILTER (transaction_count > 0) > 0 AS passed
-        FROM o_late_usage""",
+        FROM o_usage""",
     "table_completeness": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) > 0 AS passed FROM {t}" for t in TEST_TABLES
     ),
@@ -397,17 +455,30 @@ SELECTS = {
                round(coalesce(max(usd), 0), 2) AS total_pnl_usdt
         FROM o_staged LEFT JOIN o_gained USING (wallet_address) GROUP BY wallet_address""",
     "buys_after_crash": """
-        SELECT b.* FROM o_buys b JOIN fx_events e ON b.crisis_id = e.crisis_id
-        WHERE date_diff('hour', CAST(crisis_date AS TIMESTAMP), first_buy_timestamp) BETWEEN 12 AND 84""",
+        SELECT crisis_id, from_address AS wallet_address, crisis_token AS token_address,
+               block_timestamp AS first_buy_timestamp, bought AS total_amount_bought
+        FROM o_moved JOIN fx_transactions ON transaction_hash = hash
+        JOIN fx_events e ON e.token_address = crisis_token
+         AND block_timestamp BETWEEN CAST(crisis_date AS TIMESTAMP) + INTERVAL 12 HOUR
+                                 AND CAST(crisis_date AS TIMESTAMP) + INTERVAL 84 HOUR
+        WHERE bought > 0 AND from_address NOT IN ('', '{ZERO_ADDRESS}')""".replace("{ZERO_ADDRESS}", ZERO_ADDRESS),
+    "detect_crises_drain": """
+        SELECT token_address, dt AS crisis_date, round(return_pct, 6) AS return_pct,
+               round(market_return_pct, 6) AS market_return_pct, round(drain_pct, 6) AS drain_pct
+        FROM o_struck f
+        WHERE NOT EXISTS (SELECT 1 FROM o_struck y WHERE y.token_address = f.token_address AND y.dt = f.dt - 1)""",
+    "detected_crisis_buys": f"""
+        SELECT crisis_id, from_address AS wallet_address, crisis_token AS token_address,
+               block_timestamp AS first_buy_timestamp, bought AS total_amount_bought
+        FROM o_moved JOIN fx_transactions ON transaction_hash = hash
+        JOIN o_detected d ON d.token_address = crisis_token
+         AND CAST(block_timestamp AS DATE) BETWEEN crisis_date AND crisis_date + 10
+        WHERE bought > 0 AND from_address NOT IN ('', '{ZERO_ADDRESS}')""",
     "realised_profit": """
-        SELECT wallet_address, token_address, round(bought, 4) AS bought_amount, round(sold, 4) AS sold_amount,
-               round(least(bought, sold), 4) AS closed_amount,
-               round(least(bought, sold) * (sold_usd / sold - bought_usd / bought), 2) AS realised_profit_usd
-        FROM (SELECT wallet_address, token_address,
-                     sum(bought) FILTER (bought > 0) AS bought, sum(bought * price) FILTER (bought > 0) AS bought_usd,
-                     sum(sold) FILTER (sold > 0) AS sold, sum(sold * price) FILTER (sold > 0) AS sold_usd
-              FROM o_valued GROUP BY wallet_address, token_address)
-        WHERE bought > 0 AND sold > 0""",
+        SELECT wallet_address, token_address, round(arg_max(amount, n), 3) AS bought_amount,
+               round(arg_max(sales, n), 3) AS sold_amount, round(arg_max(closed, n), 3) AS closed_amount,
+               round(arg_max(profit, n), 2) AS realised_profit_usd
+        FROM o_walk GROUP BY wallet_address, token_address HAVING arg_max(closed, n) > 0""",
 }
 
 
@@ -422,7 +493,7 @@ def oracle(name: str) -> str:
     """The full text of one query: the steps it needs, in the order of their declaration, and its select."""
     used = _needed(SELECTS[name], set())
     steps = ",\n".join(f"{step} AS ({STEPS[step]})" for step in STEPS if step in used)
-    return f"WITH {steps}\n{SELECTS[name]}" if steps else SELECTS[name]
+    return f"WITH RECURSIVE {steps}\n{SELECTS[name]}" if steps else SELECTS[name]
 
 
 ORACLES = {name: oracle(name) for name in SELECTS}

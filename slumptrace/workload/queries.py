@@ -72,7 +72,7 @@ def scan_swap_logs(fx: Fixture) -> DataFrame:
 
 @query
 def latest_swaps_topn(fx: Fixture) -> DataFrame:
-    return _times(swaps.latest(readers.swap_logs(fx.logs, None, None).select(*_LOG_COLUMNS), LATEST))
+    return _times(swaps.latest(readers.swap_logs(fx.logs).select(*_LOG_COLUMNS), LATEST))
 
 
 # Stage one
@@ -85,7 +85,7 @@ def crisis_pools(fx: Fixture) -> DataFrame:
 
 @query
 def swap_sender_join(fx: Fixture) -> DataFrame:
-    found = readers.swap_logs(fx.logs, SCAN_FROM, SCAN_UNTIL).drop("topics", "data")
+    found = readers.swap_logs(fx.logs).drop("topics", "data", "swap_topic")
     return _times(swaps.by_valid_wallets(swaps.with_sender(found, readers.senders(fx.transactions))))
 
 
@@ -289,20 +289,25 @@ def pool_activity(fx: Fixture) -> DataFrame:
     return _times(quality.pool_activity(fx.logs, fx.pools, "1999-01-01"))
 
 
-# Pools of the factory logs are the population, so that some of them have no logs of their own.
-def _late_activity(fx: Fixture) -> tuple[DataFrame, DataFrame]:
-    made = pools.decode_pairs(readers.factory_logs(fx.factory_logs)).select("pool_address")
-    return made, quality.pool_activity(fx.logs, made, "2001-10-25")
+@query
+def pool_activity_all(fx: Fixture) -> DataFrame:
+    return _times(quality.pool_activity(fx.logs, fx.pools))
+
+
+# Pools of the factory logs, and pools that have no logs of their own.
+def _activity(fx: Fixture) -> tuple[DataFrame, DataFrame]:
+    made = pools.decode_pairs(readers.factory_logs(fx.factory_logs)).select("pool_address").union(fx.view("fx_quiet_pools"))
+    return made, quality.pool_activity(fx.logs, made)
 
 
 @query
 def pool_usage(fx: Fixture) -> DataFrame:
-    return _times(quality.pools_with_activity(*_late_activity(fx)))
+    return _times(quality.pools_with_activity(*_activity(fx)))
 
 
 @query
 def pool_coverage(fx: Fixture) -> DataFrame:
-    return quality.pool_coverage(*_late_activity(fx))
+    return quality.pool_coverage(*_activity(fx))
 
 
 @query
@@ -345,6 +350,22 @@ def detect_crises(fx: Fixture) -> DataFrame:
     return found.withColumns({c: F.round(c, 6) for c in ("return_pct", "market_return_pct")})
 
 
+_ROUNDED = ("return_pct", "market_return_pct", "drain_pct")
+
+
+@query
+def detect_crises_drain(fx: Fixture) -> DataFrame:
+    return crisis.detect_crises(fx.prices, max_drain_pct=-60.0).withColumns({c: F.round(c, 6) for c in _ROUNDED})
+
+
+@query
+def detected_crisis_buys(fx: Fixture) -> DataFrame:
+    """From prices to crises, their windows, and the buys inside them."""
+    found = materialize(crisis.detect_crises(fx.prices, max_return_pct=-50.0, max_excess_pct=-40.0), "crises")
+    events = materialize(crisis.detected_events(found, 10), "detected")
+    return stage_one.unpriced_buys(events, fx.pools, fx.logs, fx.transactions)
+
+
 # Words
 
 
@@ -385,41 +406,22 @@ def buyer_rollup(fx: Fixture) -> DataFrame:
 @query
 def wallet_labels(fx: Fixture) -> DataFrame:
     staged, history = _stored_stage_one(fx)
-    trades = stage_two.profitable_trades(staged, history)
-    return labels.wallet_labels(staged, trades).drop("last_updated_timestamp").withColumns({
+    estimates = profit.estimate_pnl(staged, history)
+    return labels.wallet_labels(staged, estimates).drop("last_updated_timestamp").withColumns({
         c: F.round(c, 2) for c in ("success_rate", "total_pnl_pct", "total_pnl_usdt")
     })
 
 
 @query
 def buys_after_crash(fx: Fixture) -> DataFrame:
-    return labels.buys_after_crash(_buys(fx), fx.events)
+    return _buys(fx, hours=(12, 84))
 
 
 @query
 def realised_profit(fx: Fixture) -> DataFrame:
-    """What wallets paid in and took out of each crisis token, priced on the day."""
-    history = fx.stored_prices
-    found = swaps.by_valid_wallets(swaps.with_sender(_window_swaps(fx), readers.senders(fx.transactions)))
-    # Customers trade rarely in the test data, so market segments stand for the wallets.
-    segments = fx.spark.sql(
-        "SELECT concat('0x', lpad(lower(hex(c_custkey + 65536)), 40, '0')) AS wallet_address, c_mktsegment AS segment "
-        "FROM {customer}", customer=fx.raw("customer"),
-    )
-    traded = materialize(found.join(segments, "wallet_address").select(
-        F.col("segment").alias("wallet_address"), F.col("crisis_token").alias("token_address"),
-        F.col("block_timestamp").cast("timestamp").alias("traded_at"),
-        swaps.bought_amount().alias("bought"), swaps.sold_amount().alias("sold"),
-    ), "traded")
-
-    def priced(side: str) -> DataFrame:
-        amounts = traded.withColumnRenamed(side, "total_amount").where("total_amount > 0")
-        return pricing.price_buys(
-            amounts, history, clip_history=False, timestamp="traded_at", amount="total_amount"
-        ).withColumnRenamed("total_usd_spent", "total_usd")
-
-    result = labels.realised_profit(priced("bought"), priced("sold"))
-    return result.withColumns({
-        **{c: F.round(c, 4) for c in ("bought_amount", "sold_amount", "closed_amount")},
+    """What wallets made of their buys by selling within 90 days, at average cost."""
+    trades = stage_one.crisis_trades(fx.events, fx.pools, fx.logs, fx.transactions, fx.stored_prices)
+    return labels.realised_profit(trades).withColumns({
+        **{c: F.round(c, 3) for c in ("bought_amount", "sold_amount", "closed_amount")},
         "realised_profit_usd": F.round("realised_profit_usd", 2),
     })

@@ -54,7 +54,7 @@ VIEWS = {
                {_FIRST_DAY} + cast(n_nationkey * 60 as int) AS window_start_date,
                {_FIRST_DAY} + cast(n_nationkey * 60 + 30 + n_nationkey * 5 as int) AS window_end_date,
                {_FIRST_DAY} + cast(n_nationkey * 60 as int) AS dt
-        FROM {{nation}} WHERE n_nationkey < 12""",
+        FROM {{nation}} WHERE n_regionkey < 3""",
     "fx_transactions": f"""
         SELECT {_topic('o_orderkey')} AS hash,
                CASE WHEN o_orderkey % 17 = 0 THEN NULL
@@ -62,7 +62,7 @@ VIEWS = {
                     ELSE {_address('o_custkey + 65536')} END AS from_address
         FROM {{orders}}""",
     "fx_logs": f"""
-        SELECT l_shipdate AS block_timestamp,
+        SELECT l_shipdate + l_linenumber * interval '3' hour + l_orderkey % 60 * interval '1' minute AS block_timestamp,
                {_topic('l_orderkey')} AS transaction_hash,
                cast(l_linenumber as bigint) AS log_index,
                {_address('l_suppkey + 1048576')} AS address,
@@ -76,9 +76,9 @@ VIEWS = {
     "fx_prices": f"""
         SELECT {_address('s_nationkey + 4096')} AS token_address,
                cast(l_shipdate as date) AS dt,
-               max(l_extendedprice) AS price_usd
+               max(l_extendedprice) AS price_usd,
+               sum(l_quantity) AS liquidity_usd
         FROM {{lineitem}} JOIN {{supplier}} ON l_suppkey = s_suppkey
-        WHERE s_nationkey <> 3
         GROUP BY s_nationkey, cast(l_shipdate as date)""",
     "fx_factory_logs": f"""
         SELECT cast('2021-06-01 00:00:00' as timestamp) AS block_timestamp,
@@ -87,6 +87,10 @@ VIEWS = {
                concat('0x', lpad(lower(hex(s_suppkey + 1048576)), 64, '0'),
                       lpad(lower(hex(s_suppkey)), 64, '0')) AS data
         FROM {{supplier}}""",
+    # Pools of the dimension that no log has ever named.
+    "fx_quiet_pools": f"""
+        SELECT {_address('p_partkey + 16777216')} AS pool_address
+        FROM {{part}} WHERE p_size = 1""",
     "fx_base_tokens": f"""
         SELECT {_address('n_nationkey + 4096')} AS token_address, n_name AS symbol
         FROM {{nation}} WHERE n_nationkey IN {BASE_NATIONS}""",

@@ -1,7 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from helpers import EVENTS, LOGS, POOLS, address, event, pair_created, rows
+from helpers import EVENTS, LOGS, POOLS, address, day, event, pair_created, rows
 from slumptrace.constants import BASE_TOKENS, PAIR_CREATED_TOPIC, PAIR_FACTORY
 from slumptrace.operators import pools, scale
 from slumptrace.sources import readers
@@ -48,9 +48,11 @@ def test_build_pools(frame):
         # Too few topics, and another kind of event.
         (*short[:4], [PAIR_CREATED_TOPIC, short[4][1]], short[5]), (*short[:4], ["0x1", *short[4][1:]], short[5]),
     )
-    assert rows(pools.build_pools(logs, events)) == [
+    assert rows(pools.build_pools(logs, events, since="2020-01-01")) == [
         (address(0xA1), "CRISIS1-WETH Pool", address(crisis1), "CRISIS1", WETH, "WETH", "Uniswap V2", "ethereum"),
         (address(0xA2), "DAI-CRISIS2 Pool", DAI, "DAI", address(crisis2), "CRISIS2", "Uniswap V2", "ethereum")]
+    # Without a bound older pools are there as well.
+    assert {r.pool_address for r in pools.build_pools(logs, events).collect()} == {address(p) for p in (0xA1, 0xA2, 0xA8)}
 
 
 def test_base_name_wins_and_unknown_is_unk(frame):
@@ -62,9 +64,21 @@ def test_base_name_wins_and_unknown_is_unk(frame):
         ("p", "WETH", "CRISIS1"), ("q", "UNK", "DAI")]
 
 
-def test_factory_scan_ignores_case(frame):
+def test_stored_logs_are_lower_case_and_pruned(spark, frame, tmp_path):
+    """Raw logs in any case are stored once; scans of the stored ones skip by day, topic and address."""
+    from slumptrace.plans.jobs import store_logs
+
     row = pair_created(1, 2, 3, factory=PAIR_FACTORY.upper().replace("X", "x"))
-    assert readers.factory_logs(frame(LOGS, row)).count() == 1
+    store_logs(frame(LOGS, row, pair_created(1, 2, 4, when="2021-03-01")), str(tmp_path / "logs"))
+    stored = spark.read.parquet(str(tmp_path / "logs"))
+    found = readers.factory_logs(stored)
+    assert found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(address" in plan or "In(address" in plan
+    swaps = readers.swap_logs(stored, days=[day("2021-01-01")], topics=(PAIR_CREATED_TOPIC,))
+    plan = swaps._jdf.queryExecution().executedPlan().toString()
+    assert swaps.count() == 1
+    assert "PartitionFilters: [isnotnull(block_date" in plan.replace("\n", " ") or "block_date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
 def test_large_sides_give_the_same_result(frame, monkeypatch):

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import BUYS, EVENTS, LOGS, PRICES, at, buy, day, event, rows, swap
-from slumptrace.operators import crisis, labels, quality
+from slumptrace.operators import crisis, labels, quality, scale
 
 
 def broken(report):
@@ -52,10 +54,11 @@ def test_crisis_moves(frame):
 
 
 def test_pool_activity_and_coverage(frame):
-    logs = frame(LOGS, swap("2020-01-02", "t", "P1", "0x"), swap("2020-01-05", "t", "p1", "0x"), swap("2019-12-31", "t", "p2", "0x"),
+    logs = frame(LOGS, swap("2020-01-02", "t", "p1", "0x"), swap("2020-01-05", "t", "p1", "0x"), swap("2019-12-31", "t", "p2", "0x"),
                  swap("2020-01-05", "t", "stranger", "0x"))
     pools = frame("pool_address string", ("p1",), ("p2",), ("p3",))
-    activity = quality.pool_activity(logs, pools)
+    assert quality.pool_activity(logs, pools).count() == 2
+    activity = quality.pool_activity(logs, pools, "2020-01-01")
     assert rows(activity) == [("p1", 2, at("2020-01-02"), at("2020-01-05"))]
     assert rows(quality.pools_with_activity(pools, activity), "pool_address", "transaction_count") == [
         ("p1", 2), ("p2", 0), ("p3", 0)]
@@ -117,12 +120,17 @@ def test_rollup_and_average_price(frame):
 
 def test_wallet_labels(frame):
     buys = frame(BUYS, *[buy("best", "2022-01-01", 1.0, 10.0, crisis=c) for c in ("c1", "c2")],
-                 *[buy("once", "2022-01-01", 1.0, 10.0, crisis=c) for c in ("c1", "c1", "c3")], buy("none", "2022-01-01", 1.0, 1.0))
-    trades = frame("wallet_address string, crisis_id string, estimated_profit_usd double", ("best", "c1", 5.0), ("best", "c2", 5.0),
-                   ("once", "c1", 3.0), ("once", "c1", 3.0))
-    got = labels.wallet_labels(buys, trades, F.lit(at("2022-06-01")))
+                 *[buy("once", "2022-01-01", 1.0, 10.0, crisis=c) for c in ("c1", "c1", "c3")], buy("none", "2022-01-01", 1.0, 1.0),
+                 *[buy("lost", "2022-01-01", 1.0, 10.0, crisis=c) for c in ("c1", "c2")])
+    estimates = frame(
+        "wallet_address string, crisis_id string, estimated_profit_pct double, estimated_profit_usd double",
+        ("best", "c1", 50.0, 5.0), ("best", "c2", 50.0, 5.0), ("once", "c1", 30.0, 3.0), ("once", "c1", 30.0, 3.0),
+        # One gain, and a larger loss that the threshold would have hidden.
+        ("lost", "c1", 20.0, 2.0), ("lost", "c2", -60.0, -6.0))
+    got = labels.wallet_labels(buys, estimates, updated_at=F.lit(at("2022-06-01")))
     assert rows(got) == [
         ("best", "elite", 2, 2, 1.0, 50.0, 10.0, at("2022-06-01")),
+        ("lost", "profitable", 2, 1, 0.5, -20.0, -4.0, at("2022-06-01")),
         ("none", "participant", 1, 0, 0.0, 0.0, 0.0, at("2022-06-01")),
         ("once", "profitable", 2, 1, 0.5, 20.0, 6.0, at("2022-06-01"))]
 
@@ -134,9 +142,65 @@ def test_hours_after_the_crash(frame):
     assert rows(got, "first_buy_timestamp") == [(at(times[1]),), (at(times[2]),)]
 
 
-def test_realised_profit(frame):
-    schema = "wallet_address string, token_address string, total_amount double, total_usd double"
-    bought = frame(schema, ("w", "T", 2.0, 2.0), ("w", "T", 2.0, 6.0), ("v", "T", 1.0, 1.0), ("u", "T", 1.0, 1.0))
-    sold = frame(schema, ("w", "T", 1.0, 5.0), ("v", "T", 4.0, 8.0))
-    assert rows(labels.realised_profit(bought, sold)) == [
-        ("v", "T", 1.0, 4.0, 1.0, 1.0), ("w", "T", 4.0, 1.0, 1.0, 3.0)]
+TRADED = "wallet_address string, token_address string, traded_at timestamp, bought double, sold double, price double"
+
+
+def walk(trades, recovery_days):
+    """One trade after the other."""
+    books = {}
+    for wallet, token, when, bought, sold, price in sorted(trades, key=lambda t: (t[2], (t[4] or 0) > 0)):
+        b = books.setdefault((wallet, token), {"last": None, "held": 0.0, "in": 0.0, "cost": 0.0, "out": 0.0, "closed": 0.0, "profit": 0.0})
+        if bought:
+            b["last"] = when
+            b["held"], b["in"], b["cost"] = b["held"] + bought, b["in"] + bought, b["cost"] + bought * price
+        if sold and b["last"] and (when.date() - b["last"].date()).days <= recovery_days:
+            closed = min(sold, b["held"])
+            b["out"], b["held"], b["closed"] = b["out"] + sold, b["held"] - closed, b["closed"] + closed
+            b["profit"] += closed * (price - b["cost"] / b["in"])
+    return sorted((*k, *(round(b[x], 6) for x in ("in", "out", "closed", "profit"))) for k, b in books.items() if b["closed"])
+
+
+def test_realised_profit_in_the_order_of_trades(frame):
+    trades = [("w", "T", at("2022-01-01"), None, 5.0, 9.0),  # before any buy: does not count
+              ("w", "T", at("2022-01-02"), 2.0, None, 1.0), ("w", "T", at("2022-01-03"), None, 1.0, 3.0),
+              ("w", "T", at("2022-01-04"), 2.0, None, 4.0), ("w", "T", at("2022-01-05"), None, 9.0, 5.0),
+              ("w", "T", at("2022-06-01"), None, 1.0, 99.0),  # too late
+              ("v", "T", at("2022-01-01"), 1.0, None, 1.0), ("v", "U", at("2022-01-02"), None, 1.0, 1.0)]
+    got = [(*r[:2], *(round(x, 6) for x in r[2:])) for r in rows(labels.realised_profit(frame(TRADED, *trades), 90))]
+    # 1 at 3 - 1, then 3 at 5 - 10/4.
+    assert got == walk(trades, 90) == [("w", "T", 4.0, 10.0, 4.0, 9.5)]
+
+
+def test_realised_profit_equals_a_walk(frame):
+    rng = random.Random(9)
+    trades = []
+    for _ in range(400):
+        buys = rng.random() < 0.5
+        trades.append((rng.choice("abc"), rng.choice("TU"), at(f"2022-0{rng.randrange(1, 6)}-{rng.randrange(1, 28):02} {rng.randrange(24):02}:00:00"),
+                       float(rng.randrange(1, 9)) if buys else None, None if buys else float(rng.randrange(1, 9)), float(rng.randrange(1, 20))))
+    # The price of a token is that of its moment.
+    prices = {}
+    trades = [(*t[:5], prices.setdefault((t[1], t[2]), t[5])) for t in trades]
+    got = [(*r[:2], *(round(x, 6) for x in r[2:])) for r in rows(labels.realised_profit(frame(TRADED, *trades), 10))]
+    assert got == walk(trades, 10)
+
+
+@pytest.mark.parametrize("task_rows", [scale.TASK_ROWS, 3])
+def test_daily_median(frame, monkeypatch, task_rows):
+    import statistics
+
+    monkeypatch.setattr(scale, "TASK_ROWS", task_rows)
+    rng = random.Random(1)
+    data = [(day(f"2022-01-0{d}"), float(rng.randrange(20))) for d in range(1, 6) for _ in range(d * 3)] + [(day("2022-01-09"), None)]
+    expected = {d: statistics.median(v for e, v in data if e == d) for d in {e for e, v in data if v is not None}}
+    assert {r.dt: r["median"] for r in crisis.daily_median(frame("dt date, v double", *data), "dt", "v").collect()} == expected
+
+
+def test_nan_prices_are_no_profit(frame):
+    from slumptrace.operators import profit
+    from slumptrace.sources import readers
+
+    staged = readers.staged_buys(frame(BUYS, buy("w", "2022-01-01", float("nan"), 1.0), buy("v", "2022-01-01", 1.0, 1.0)))
+    history = frame(PRICES, ("t", 2.0, day("2022-01-05"))).withColumn("token_address", F.lit("t"))
+    pnl = profit.estimate_pnl(staged.withColumn("token_address", F.lit("t")), history)
+    assert rows(profit.kept_ratio(pnl)) == [(1, 1, 1.0, 100.0)]

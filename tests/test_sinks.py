@@ -47,9 +47,9 @@ def test_declared_columns_comments_and_partitions(spark, database, table):
 
 def test_write_replaces_the_whole_table_and_keeps_its_declaration(spark, frame, database):
     first = frame(PRICES, ("a", 1.0, day("2022-01-01")), ("a", 2.0, day("2022-01-02")))
-    assert sinks.write_table(first, database, schemas.PRICES) == 2
+    assert sinks.write_table(first, database, schemas.PRICES, fill_missing=True) == 2
     second = frame("dt date, token_address string, price_usd int", (day("2022-01-03"), "b", 3))
-    assert sinks.write_table(second, database, schemas.PRICES) == 1
+    assert sinks.write_table(second, database, schemas.PRICES, fill_missing=True) == 1
     assert rows(spark.table(f"{database}.dim_token_price_history"), "token_address", "price_usd", "volume_24h_usd", "dt") == [
         ("b", 3.0, None, day("2022-01-03"))]
     assert spark.catalog.getTable(f"{database}.dim_token_price_history").description == schemas.PRICES.comment
@@ -83,6 +83,42 @@ def test_nothing_is_written_when_a_check_fails_or_on_a_dry_run(spark, frame, dat
     assert rows(spark.table(f"{database}.stg_crisis_buyers"), "wallet_address") == [("kept",)]
 
 
+@pytest.mark.parametrize("broken, message", [
+    (lambda df: df.drop("total_usd_spent"), "total_usd_spent is missing"),
+    (lambda df: df.withColumn("first_buy_price", F.lit("1.5")), "first_buy_price is string"),
+    (lambda df: df.withColumn("first_buy_timestamp", F.lit(1)), "first_buy_timestamp is int"),
+])
+def test_missing_and_wrongly_typed_columns_fail(spark, frame, database, broken, message):
+    sinks.write_table(frame(BUYS, buy("kept", "2022-01-01", 1.0, 1.0)), database, schemas.STAGED_BUYS)
+    with pytest.raises(ValueError, match=message):
+        sinks.write_table(broken(frame(BUYS, buy("new", "2022-01-01", 1.0, 1.0))), database, schemas.STAGED_BUYS,
+                          validate=quality.require_valid)
+    assert rows(spark.table(f"{database}.stg_crisis_buyers"), "wallet_address") == [("kept",)]
+
+
+def test_finding_crises_fills_their_table(spark, frame, database):
+    with pytest.raises(ValueError, match="no price history"):
+        jobs.find_crises(spark, database) if catalog.ensure_tables(spark, database) else None
+    series = {"a": (100, 100, 60, 55, 90, 90), "b": (100, 100, 99, 99, 98, 98), "c": (100, 100, 98, 97, 97, 97)}
+    liquid = {"a": (9, 9, 9, 9, 9, 9), "b": (100, 100, 100, 100, 30, 30), "c": (5, 5, 5, 5, 5, None)}
+    history = [(t, float(p), None if q is None else float(q), day(f"2022-01-0{k + 1}"))
+               for t in series for k, (p, q) in enumerate(zip(series[t], liquid[t], strict=True))]
+    prices = frame("token_address string, price_usd double, liquidity_usd double, dt date", *history)
+    sinks.write_table(prices, database, schemas.PRICES, fill_missing=True)
+    before = set(staged_folders(spark))
+    assert jobs.find_crises(spark, database, window_days=5) == 2
+    assert set(staged_folders(spark)) == before
+    assert rows(spark.table(f"{database}.crisis_events_with_window"), "crisis_id", "token_address", "window_start_date", "window_end_date") == [
+        ("crisis_001", "a", day("2022-01-03"), day("2022-01-08")), ("crisis_002", "b", day("2022-01-05"), day("2022-01-10"))]
+
+
+def staged_folders(spark):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir").replace("file:", "")
+    return os.listdir(folder) if os.path.isdir(folder) else []
+
+
 def test_whole_run(spark, frame, database, tmp_path):
     token, base, pool = 0x10, 0xB0, 0xF0
     catalog.ensure_tables(spark, database)
@@ -90,7 +126,7 @@ def test_whole_run(spark, frame, database, tmp_path):
         jobs.prepare_pools(spark, database, str(tmp_path / "logs"))
     sinks.write_table(frame(EVENTS, event("c1", address(token), "2022-01-10", "2022-01-12")), database, schemas.CRISIS_EVENTS)
     sinks.write_table(frame(PRICES, *[(address(token), p, day(d)) for p, d in (
-        (10.0, "2022-01-03"), (5.0, "2022-01-10"), (9.0, "2022-01-19"), (20.0, "2022-02-01"))]), database, schemas.PRICES)
+        (10.0, "2022-01-03"), (5.0, "2022-01-10"), (9.0, "2022-01-19"), (20.0, "2022-02-01"))]), database, schemas.PRICES, fill_missing=True)
     frame(LOGS, pair_created(token, base, pool), *[
         swap(f"2022-01-1{d} 10:00:00", f"t{d}", address(pool), payload(0, UNIT, d * UNIT, 0)) for d in range(1, 4)
     ]).write.parquet(str(tmp_path / "logs"))
@@ -106,7 +142,10 @@ def test_whole_run(spark, frame, database, tmp_path):
     assert jobs.stage_one(spark, database, logs, tx, options, dry_run=True) == 2
     with pytest.raises(ValueError, match="no crisis buyers"):
         jobs.stage_two(spark, database)
+    before = set(staged_folders(spark))
     assert jobs.stage_one(spark, database, logs, tx, options) == 2
+    assert set(staged_folders(spark)) == before  # a finished job leaves no intermediate table
+    assert jobs.realise(spark, database, logs, tx, str(tmp_path / "realised"), options) == 0
     outcome = jobs.stage_two(spark, database, StageTwoOptions(top_n=1))
     assert rows(outcome.board) == [(1, "w2", 30.0, 300.0, 1)]
     assert spark.table(f"{database}.stg_profitable_flippers").count() == 2
@@ -139,7 +178,7 @@ def test_command_line_runs_the_steps(spark, frame, database, tmp_path, capsys, m
     token, base, pool = 0x10, int("c02aaa39b223fe8d0a0e5c4f27ead9083c756cc2", 16), 0xF0
     sinks.write_table(frame(EVENTS, event("c1", address(token), "2022-01-10", "2022-01-12")), database, schemas.CRISIS_EVENTS)
     sinks.write_table(frame(PRICES, *[(address(token), p, day(d)) for p, d in (
-        (10.0, "2022-01-03"), (5.0, "2022-01-11"), (20.0, "2022-02-01"))]), database, schemas.PRICES)
+        (10.0, "2022-01-03"), (5.0, "2022-01-11"), (20.0, "2022-02-01"))]), database, schemas.PRICES, fill_missing=True)
     frame(LOGS, pair_created(token, base, pool),
           swap("2022-01-11 10:00:00", "t1", address(pool), payload(0, UNIT, UNIT, 0))).write.parquet(str(tmp_path / "logs"))
     frame(TRANSACTIONS, ("t1", "w1")).write.parquet(str(tmp_path / "tx"))

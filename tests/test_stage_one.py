@@ -8,6 +8,8 @@ from helpers import (
     EVENTS, LOGS, POOLS, PRICES, TRANSACTIONS, UNIT, at, day, event, payload, rows, swap,
 )
 from slumptrace.constants import ZERO_ADDRESS
+from slumptrace.functions.logs import PROTOCOLS, Protocol
+from slumptrace.operators import pools as pool_ops
 from slumptrace.operators import scale, swaps
 from slumptrace.plans.stage_one import StageOneOptions, format_buys, newest_first, stage_buys, unpriced_buys
 from slumptrace.schemas import STAGED_BUYS
@@ -130,13 +132,68 @@ def test_formatting(frame):
 
 
 def test_swap_scan_with_pool_keys_and_stored_topic(frame):
-    logs = frame(LOGS, swap("2022-01-01", "t1", "P1", BUY0), swap("2022-01-01", "t1", "p2", BUY0))
+    logs = frame(LOGS, swap("2022-01-01", "t1", "p1", BUY0), swap("2022-01-01", "t1", "p2", BUY0))
     keys = frame("pool_address string", ("p1",), ("p1",))
     assert readers.swap_logs(logs, pool_keys=keys).count() == 1
     stored = logs.withColumn("topic0", F.get("topics", F.lit(0))).drop("topics")
     assert readers.swap_logs(stored, pool_keys=keys).count() == 1
 
 
+def test_bounds_are_times_not_text(frame, world):
+    logs = frame(LOGS, swap("2022-01-10 08:00:00", "t1", "p1", BUY0), swap("2022-01-11 08:00:00", "t1", "p1", BUY0))
+    assert rows(staged(world, logs, start="2021-9-1", end="2022-1-11"), "first_buy_timestamp") == [(at("2022-01-10 08:00:00"),)]
+    with pytest.raises(ValueError, match="no date"):
+        staged(world, logs, end="last week")
+
+
+def test_no_bounds_by_default(frame):
+    logs = frame(LOGS, swap("2015-08-01", "t1", "p1", BUY0), swap("2030-01-01", "t1", "p1", BUY0))
+    assert readers.swap_logs(logs).count() == 2
+
+
+def test_many_crises_of_a_token_do_not_multiply_swaps(frame, world):
+    """A swap meets the crises of its day only: the join makes no row that the date test would drop."""
+    events = frame(EVENTS, *[event(f"c{i}", "a", str(day("2019-01-01") + timedelta(days=i)), str(day("2019-01-01") + timedelta(days=i)))
+                             for i in range(1_000)])
+    logs = frame(LOGS, *[swap("2020-01-01 08:00:00", "t1", "p1", BUY0, i) for i in range(20)])
+    crossed = pool_ops.crisis_pools(readers.pools(world["pools"]), readers.crisis_events(events))
+    found = swaps.in_windows(readers.swap_logs(logs), crossed)
+    assert found.count() == 20
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "block_date" in plan.split("Join Inner")[1].split("\n")[0]
+
+
+def test_senders_by_day_and_hash(spark, frame, world, tmp_path):
+    logs = frame(LOGS, *[swap(f"2022-01-11 0{h}:00:00", f"t{h % 2 + 1}", "p1", BUY0) for h in range(9)])
+    plain = rows(unpriced_buys(world["events"], world["pools"], logs, world["transactions"]))
+    dated = world["transactions"].withColumn("block_date", F.lit("2022-01-11").cast("date"))
+    dated = dated.union(frame(TRANSACTIONS, ("t1", "elsewhere")).withColumn("block_date", F.lit("2022-01-09").cast("date")))
+    dated.write.partitionBy("block_date").parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = unpriced_buys(world["events"], world["pools"], logs, stored)
+    assert rows(found) == plain
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert any("= 2022-01-11)" in part.split("PushedFilters")[0] for part in plan.split("PartitionFilters: [")[1:])
+
+
+def test_protocols_with_their_own_event_and_decimals(frame, world):
+    other = Protocol("SushiSwap", "0xf", swap_topic="0xs", out0_word=0, out1_word=1, in0_word=2, in1_word=3)
+    when = "2022-01-11 08:00:00"
+    logs = frame(LOGS, swap(when, "t1", "p1", BUY0), swap(when, "t1", "p4", payload(7 * UNIT, 0, 0, 0), topic0="0xs"),
+                 swap(when, "t2", "p4", BUY0), swap(when, "t2", "p1", BUY0, topic0="0xs"))
+    both = {"protocols": (*PROTOCOLS, other)}
+    assert rows(staged(world, logs, **both), "wallet_address", "total_amount_bought") == [("0xw1", 2.0), ("0xw1", 7.0)]
+    world["pools"] = world["pools"].withColumn("token0_decimals", F.when(F.col("pool_address") == "p4", 17)).withColumn(
+        "token1_decimals", F.lit(18))
+    assert rows(staged(world, logs, **both), "wallet_address", "total_amount_bought") == [("0xw1", 2.0), ("0xw1", 70.0)]
+
+
+def test_buys_by_the_hour_reach_beyond_the_windows(frame, world):
+    logs = frame(LOGS, *[swap(t, "t1", "p2", BUY1) for t in ("2022-01-10 11:59:59", "2022-01-10 12:00:00", "2022-01-13 12:00:00", "2022-01-13 12:00:01")])
+    world["events"] = world["events"].where("crisis_id = 'c1'")
+    assert rows(staged(world, logs, hours=(12, 84)), "first_buy_timestamp") == [(at("2022-01-10 12:00:00"),), (at("2022-01-13 12:00:00"),)]
+
+
 def test_zone_less_times(frame, world):
     logs = frame(LOGS, swap("2022-01-11 08:00:00", "t1", "p1", BUY0)).withColumn(
         "block_timestamp", F.col("block_timestamp").cast("timestamp_ntz"))
