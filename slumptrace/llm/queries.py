@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slumptrace.llm.common import Staging, table
+from slumptrace.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,4 +86,3 @@ QUERIES = {
         op1_secrets, op2_brown, op3_reshard, op4_decontaminate, op5_url_aliases, op6_jaccard, op7_toxicity, op8_licences,
         op9_packing, op10_vectors)
 }
-ORACLES: dict[str, str] = {}
