@@ -18,6 +18,8 @@ SAMPLE_DOCUMENTS, SAMPLE_COMMON = 8_192, 4
 # A shingle whose region is larger than this, or than a 2^-20 share of all entries, is moved back as well.
 COMMON = 1_024
 MAX_PIVOTS = 16
+# Bins of the sketches that tell far pairs before their texts are compared.
+BINS = 256
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,32 +76,30 @@ def prefix_of(shingles: np.ndarray, common: np.ndarray, percent: int) -> np.ndar
     return np.concatenate([shingles[~late], shingles[late]])[:size]
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall in each of ``BINS`` bins, up to 255. The sum of differences of two sketches is at most
+    the number of shingles that only one of the sets has."""
+    return np.minimum(np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
 def _scan(documents: DataFrame, n: int, percent: int, common: np.ndarray) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last = WordHashes(), shared.value
         for batch in batches:
-            sizes, prints, prefixes = [], [], []
+            sizes, prints, prefixes, sketches = [], [], [], []
             for found in shingle_sets(batch.column("text").to_pylist(), n, hashes):
                 sizes.append(len(found))
                 prints.append(np.uint64(xxhash.xxh64_intdigest(found.tobytes())).astype(np.int64) if len(found) else None)
                 prefixes.append(prefix_of(found, last, percent).view(np.int64))
+                sketches.append(sketch(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "text_key", "n_shingles", "node", "prefix"])
-
-    return documents.mapInArrow(run, "doc_id long, text_key long, n_shingles long, node long, prefix array<long>")
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "node", "prefix", "sketch"])
 
-
-def _sets(documents: DataFrame, n: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            found = [s.view(np.int64) for s in shingle_sets(batch.column("text").to_pylist(), n, hashes)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    return documents.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+    return documents.mapInArrow(run, "doc_id long, text_key long, n_shingles long, node long, prefix array<long>, sketch binary")
 
 
 def _common_in_sample(documents: DataFrame, n: int) -> np.ndarray:
@@ -126,13 +126,54 @@ def _distinct_regions(members: DataFrame, staging: Staging, label: str) -> DataF
     return staging.keep(members.join(kept, "region"), label)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Intersection and union sizes of ``(node, pivot)`` pairs."""
-    a = sets.select("node", F.col("shingles").alias("ours"))
-    b = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("theirs"))
-    both = F.size(F.array_intersect("ours", "theirs"))
-    return pairs.join(a, "node").join(b, "pivot").select(
-        "node", "pivot", both.alias("common"), (F.size("ours") + F.size("theirs") - both).alias("total"))
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches allow a distance of twice the threshold or less; all others are surely farther."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("a", "b"))
+            apart = np.abs(a - b).sum(1)
+            both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+            # Similarity is at most (both - apart) / (both + apart), and at most smaller over larger.
+            smaller = np.minimum(batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy())
+            least = 2 * percent - 100
+            near = (100 * (both - apart) >= least * (both + apart)) & (100 * smaller >= least * (both - smaller))
+            yield batch.select(["node", "pivot"]).filter(pa.array(near))
+
+    a = sketches.select("node", F.col("sketch").alias("a"), F.col("n_shingles").alias("size_a"))
+    b = sketches.select(F.col("node").alias("pivot"), F.col("sketch").alias("b"), F.col("n_shingles").alias("size_b"))
+    return pairs.join(a, "node").join(b, "pivot").select("node", "pivot", "a", "b", "size_a", "size_b").mapInArrow(
+        run, "node long, pivot long")
+
+
+def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """Intersection and union sizes of the sets of ``(node, pivot)`` pairs, from their whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, known = WordHashes(), {}
+
+        def set_of(node: int, text: str) -> np.ndarray:
+            if node not in known:
+                if len(known) >= 200:
+                    known.clear()
+                known[node] = next(shingle_sets([text], n, hashes))
+            return known[node]
+
+        for batch in batches:
+            common, total = [], []
+            for node, pivot, ours, theirs in zip(*(batch.column(c).to_pylist() for c in ("node", "pivot", "ours", "theirs")), strict=True):
+                a, b = set_of(node, ours), set_of(pivot, theirs)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                common.append(both)
+                total.append(len(a) + len(b) - both)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("pivot"), pa.array(common, pa.int64()), pa.array(total, pa.int64())],
+                ["node", "pivot", "common", "total"])
+
+    a = texts.select("node", F.col("text").alias("ours"))
+    b = texts.select(F.col("node").alias("pivot"), F.col("text").alias("theirs"))
+    return pairs.join(a, "node").join(b, "pivot").select("node", "pivot", "ours", "theirs").mapInArrow(
+        run, "node long, pivot long, common long, total long")
 
 
 def _pivots(round_: int) -> list[Column]:
@@ -140,18 +181,18 @@ def _pivots(round_: int) -> list[Column]:
             for k in range(min(MAX_PIVOTS, 4**round_))]
 
 
-def metric_links(members: DataFrame, sets: DataFrame, percent: int, staging: Staging) -> list[DataFrame]:
+def metric_links(members: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, percent: int, staging: Staging) -> list[DataFrame]:
     """Links that connect every pair of close sets in each region, by recursion on pivots.
 
-    Each round a region takes pivots among its members and measures everyone's distance to them: close ones are
-    linked. Then it splits by the first pivot's distance into rings as wide as the threshold. Close sets are in one
-    ring or in neighbouring ones (triangle inequality), so a child region is a ring and the next. Members within the
-    threshold of the pivot are connected already: they only enter the child with the second ring, and of them only
-    those that can reach its nearest member. Rounds go on until no region is left. A pivot leaves its region, and there
-    are more of them the deeper the recursion is.
+    Each round a region takes pivots among its members and measures how far everyone is from them; close ones are
+    linked. Around its first pivot a region then falls into a ball (within the threshold ``r``), a ring (within
+    ``2 r``) and the rest. By the triangle inequality nothing in the ball is close to the rest, so it splits into two:
+    ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
+    of them only those that can reach the nearest member of the ring. Who is beyond ``2 r`` is mostly told by sketches
+    alone. Rounds go on until no region is left. A pivot leaves its region, and there are more of them the deeper the
+    recursion is.
     """
-    reach = (100 - percent) / 100
-    width = reach + 1e-9
+    reach = (100 - percent) / 100 + 1e-9
     links: list[DataFrame] = []
     for round_ in range(1_000):
         if members.isEmpty():
@@ -160,26 +201,29 @@ def metric_links(members: DataFrame, sets: DataFrame, percent: int, staging: Sta
         placed = members.join(pivots, "region")
         pairs = placed.select("node", F.explode("pivots").alias("pivot")).where("node <> pivot").select(
             F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct()
-        measured = staging.keep(_verify(pairs, sets), f"measured-{round_}")
+        near = staging.keep(_near(pairs, sketches, percent), f"near-{round_}")
+        measured = staging.keep(_measure(near, texts, n).distinct(), f"measured-{round_}")
         links.append(measured.where(100 * F.col("common") >= percent * F.col("total")).select(
             F.col("node").alias("src"), F.col("pivot").alias("dst")))
         first = placed.where(~F.array_contains("pivots", F.col("node"))).select(
             "region", F.col("node").alias("member"), F.greatest("node", F.col("pivots")[0]).alias("node"),
             F.least("node", F.col("pivots")[0]).alias("pivot"))
+        d = 1 - F.col("common") / F.col("total")
         away = staging.keep(
-            first.join(measured, ["node", "pivot"]).select(
-                "region", F.col("member").alias("node"), (1 - F.col("common") / F.col("total")).alias("d"))
-            .withColumn("ring", F.floor(F.col("d") / width)), f"away-{round_}")
-        nearest = staging.keep(away.where("ring > 0").groupBy("region").agg(F.min("d").alias("nearest")), f"nearest-{round_}")
-        rings = away.join(nearest, "region").where((F.col("ring") > 0) | (F.col("d") >= F.col("nearest") - width))
-        children = rings.select("node", F.explode(F.array("ring", F.col("ring") - 1)).alias("inner"), "region", "ring").where("inner >= 0")
-        children = children.select(
-            F.xxhash64("region", "inner", F.lit(round_)).alias("region"), "node", (F.col("ring") - F.col("inner")).alias("outer"))
-        # A child with one of its two rings only: the inner one is connected or stands as the next child's outer part.
-        filled = children.groupBy("region").agg(F.min("outer").alias("low"), F.max("outer").alias("high"))
-        filled = staging.keep(filled.where("low = 0").select("region"), f"filled-{round_}")
-        members = _distinct_regions(children.join(filled, "region").select("region", "node"), staging, f"members-{round_}")
-        staging.drop(f"pivots-{round_}", f"nearest-{round_}", f"filled-{round_}", f"away-{round_}")
+            first.join(measured, ["node", "pivot"], "left").select("region", F.col("member").alias("node"), d.alias("d"))
+            .withColumn("ring", F.when(F.col("d") <= reach, 0).when(F.col("d") <= 2 * reach, 1).otherwise(2)), f"away-{round_}")
+        nearest = staging.keep(away.where("ring = 1").groupBy("region").agg(F.min("d").alias("nearest")), f"nearest-{round_}")
+        sides = away.join(nearest, "region", "left").select(
+            "region", "node", "ring",
+            F.when(F.col("ring") == 0, F.when(F.col("d") >= F.col("nearest") - reach, F.array(F.lit("ball"))))
+            .when(F.col("ring") == 1, F.array(F.lit("ball"), F.lit("rest"))).otherwise(F.array(F.lit("rest"))).alias("sides"))
+        children = sides.select("region", "node", "ring", F.explode("sides").alias("side"))
+        # The ring alone is in the other child already.
+        filled = children.groupBy("region", "side").agg(F.min("ring").alias("low")).where("side = 'rest' OR low = 0").select("region", "side")
+        filled = staging.keep(filled, f"filled-{round_}")
+        children = children.join(filled, ["region", "side"]).select(F.xxhash64("region", "side", F.lit(round_)).alias("region"), "node")
+        members = _distinct_regions(children, staging, f"members-{round_}")
+        staging.drop(f"pivots-{round_}", f"near-{round_}", f"nearest-{round_}", f"filled-{round_}", f"away-{round_}")
     raise RuntimeError("the recursion did not end")
 
 
@@ -213,24 +257,24 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
         common = np.union1d(common, late)
         staging.drop(f"scanned-{attempt}", f"shared-{attempt}")
     rows = staging.keep(scanned.select("doc_id", "text_key", "n_shingles", "node"), "rows")
-    places = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("from"))
     # Copies have put their shingles in more than once.
     members = staging.keep(entries.join(shared.select("region"), "region").distinct(), "entries")
-    staging.drop(f"scanned-{attempt}", f"shared-{attempt}")
     members = _distinct_regions(members, staging, "members")
-    wanted = members.select("node").distinct().join(places, "node").select(
-        "node", F.col("from.doc_id").alias("_doc"), F.col("from.text_key").alias("_key"))
-    wanted = staging.keep(wanted, "wanted")
+    one_each = scanned.select("node", "n_shingles", "sketch", "doc_id", "text_key").join(members.select("node").distinct(), "node").groupBy(
+        "node").agg(F.min(F.struct("doc_id", "text_key")).alias("from"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    sketches = staging.keep(one_each, "sketches")
+    staging.drop(f"scanned-{attempt}", f"shared-{attempt}", "entries")
+    wanted = sketches.select("node", F.col("from.doc_id").alias("_doc"), F.col("from.text_key").alias("_key"))
     texts = source.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-    sets = staging.keep(_sets(texts, n).dropDuplicates(["node"]), "sets")
-    links = metric_links(members, sets, percent, staging)
+    texts = staging.keep(texts.select("node", "text"), "texts")
+    links = metric_links(members, sketches, texts, n, percent, staging)
     groups = None
     if links:
         edges = links[0]
         for more in links[1:]:
             edges = edges.union(more)
         groups = staging.keep(components(edges, staging), "groups")
-    staging.drop("sets", "wanted", "entries")
+    staging.drop("sketches", "texts")
     if groups is not None:
         rows = rows.join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
     else:
@@ -250,13 +294,13 @@ def keep_one(documents: DataFrame, staging: Staging | None = None) -> DataFrame:
     best = found.where("component_id is not null and doc_id is not null").groupBy("component_id").agg(
         F.min(F.struct("doc_id", "text_key")).alias("b")).select("b.*")
     best = best.union(found.where("component_id is null").select("doc_id", "text_key").distinct())
-    best = staging.keep(best.toDF("_doc", "_key"), "best")
-    kept = documents.join(best, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left_semi")
-    twice = found.where("doc_id is not null").groupBy("doc_id", "text_key").count().where("count > 1").select(
-        F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
-    twice = staging.keep(twice, "twice")
+    best = staging.keep(best, "best")
+    key = F.xxhash64(documents["text"])
+    kept = documents.join(best, documents["doc_id"].eqNullSafe(best["doc_id"]) & (key == best["text_key"]), "left_semi")
+    twice = staging.keep(
+        found.where("doc_id is not null").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"), "twice")
     if twice.isEmpty():
         return kept
-    repeated = (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_k"))
+    repeated = (documents["doc_id"] == twice["doc_id"]) & (key == twice["text_key"])
     return kept.join(twice, repeated, "left_anti").union(
         kept.join(twice, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
