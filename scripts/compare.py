@@ -11,7 +11,7 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from slumptrace.session import build_session  # noqa: E402
-from slumptrace.workload.compare import differences, open_oracle  # noqa: E402
+from scripts.differences import differences, open_oracle  # noqa: E402
 from slumptrace.workload.oracles import ORACLES  # noqa: E402
 from slumptrace.workload.queries import QUERIES  # noqa: E402
 
