@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 from uuid import uuid4
@@ -38,11 +39,14 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *labels: str) -> None:
-        """Delete tables that nothing reads any more."""
+        """Delete tables that nothing reads any more, and let Spark delete the shuffle files of finished steps."""
         jvm = self.spark._jvm
         for label in labels:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(label))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        # Shuffle files go when the driver finds the plans that made them out of use; long runs should not wait for that.
+        gc.collect()
+        jvm.System.gc()
 
 
 def ascii_lower(text: Column) -> Column:

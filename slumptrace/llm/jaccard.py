@@ -18,6 +18,8 @@ SAMPLE_DOCUMENTS, SAMPLE_COMMON = 8_192, 4
 # A shingle whose region is larger than this, or than a 2^-20 share of all entries, is moved back as well.
 COMMON = 1_024
 MAX_PIVOTS = 16
+# Regions of up to this many members are not divided further: all their pairs are looked at by sketch.
+BASE = 32
 # Bins of the sketches that tell far pairs before their texts are compared.
 BINS = 256
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -189,18 +191,22 @@ def metric_links(members: DataFrame, sketches: DataFrame, texts: DataFrame, n: i
     ``2 r``) and the rest. By the triangle inequality nothing in the ball is close to the rest, so it splits into two:
     ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
     of them only those that can reach the nearest member of the ring. Who is beyond ``2 r`` is mostly told by sketches
-    alone. Rounds go on until no region is left. A pivot leaves its region, and there are more of them the deeper the
-    recursion is.
+    alone. Regions of at most ``BASE`` members end the recursion: their pairs are compared directly. A pivot leaves its
+    region, and there are more of them the deeper the recursion is.
     """
     reach = (100 - percent) / 100 + 1e-9
     links: list[DataFrame] = []
     for round_ in range(1_000):
         if members.isEmpty():
             return links
-        pivots = staging.keep(members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots")), f"pivots-{round_}")
-        placed = members.join(pivots, "region")
+        pivots = members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots"), F.count("*").alias("n"))
+        pivots = staging.keep(pivots, f"pivots-{round_}")
+        small = members.join(pivots.where(F.col("n") <= BASE).select("region"), "region")
+        placed = members.join(pivots.where(F.col("n") > BASE), "region")
         pairs = placed.select("node", F.explode("pivots").alias("pivot")).where("node <> pivot").select(
-            F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct()
+            F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot"))
+        within = small.join(small.select("region", F.col("node").alias("pivot")), "region").where("node > pivot")
+        pairs = pairs.union(within.select("node", "pivot")).distinct()
         near = staging.keep(_near(pairs, sketches, percent), f"near-{round_}")
         measured = staging.keep(_measure(near, texts, n).distinct(), f"measured-{round_}")
         links.append(measured.where(100 * F.col("common") >= percent * F.col("total")).select(
