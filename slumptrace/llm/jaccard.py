@@ -119,11 +119,11 @@ def _common_in_sample(documents: DataFrame, n: int) -> np.ndarray:
 
 
 def _distinct_regions(members: DataFrame, staging: Staging, label: str) -> DataFrame:
-    """Drop regions of one member, and all but one of those with the same members."""
+    """Drop regions whose members are all connected, and all but one of those with the same members."""
     held = members.groupBy("region").agg(
         F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor("node").alias("x"),
-        F.bit_xor(F.xxhash64("node")).alias("y"))
-    kept = held.where("n > 1").groupBy("n", "a", "b", "x", "y").agg(F.min("region").alias("region")).select("region")
+        F.bit_xor(F.xxhash64("node")).alias("y"), F.min("group").alias("low"), F.max("group").alias("high"))
+    kept = held.where("low < high").groupBy("n", "a", "b", "x", "y").agg(F.min("region").alias("region")).select("region")
     kept = staging.keep(kept, f"{label}-regions")
     return staging.keep(members.join(kept, "region"), label)
 
@@ -179,41 +179,49 @@ def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
 
 def _pivots(round_: int) -> list[Column]:
-    return [F.min(F.struct(F.xxhash64("node", F.lit(round_ * MAX_PIVOTS + k)).alias("h"), "node"))["node"]
+    return [F.min(F.struct(F.xxhash64("node", F.lit(round_ * MAX_PIVOTS + k)).alias("h"), F.struct("node", "group").alias("p")))["p"]
             for k in range(min(MAX_PIVOTS, 4**round_))]
 
 
-def metric_links(members: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, percent: int, staging: Staging) -> list[DataFrame]:
-    """Links that connect every pair of close sets in each region, by recursion on pivots.
+def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, percent: int, staging: Staging) -> DataFrame | None:
+    """Components of the close sets, ``(node, component)``, by recursion on pivots in each region.
 
     Each round a region takes pivots among its members and measures how far everyone is from them; close ones are
     linked. Around its first pivot a region then falls into a ball (within the threshold ``r``), a ring (within
     ``2 r``) and the rest. By the triangle inequality nothing in the ball is close to the rest, so it splits into two:
     ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
     of them only those that can reach the nearest member of the ring. Who is beyond ``2 r`` is mostly told by sketches
-    alone. Regions of at most ``BASE`` members end the recursion: their pairs are compared directly. A pivot leaves its
-    region, and there are more of them the deeper the recursion is.
+    alone. Members that links have connected, directly or not, are not compared any more, and a region of connected
+    members is done. Regions of at most ``BASE`` members end the recursion: their pairs are compared directly. A pivot
+    leaves its region, and there are more of them the deeper the recursion is.
     """
     reach = (100 - percent) / 100 + 1e-9
-    links: list[DataFrame] = []
+    groups = None
+    members = members.withColumn("group", F.col("node"))
     for round_ in range(1_000):
         if members.isEmpty():
-            return links
+            return groups
         pivots = members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots"), F.count("*").alias("n"))
         pivots = staging.keep(pivots, f"pivots-{round_}")
         small = members.join(pivots.where(F.col("n") <= BASE).select("region"), "region")
         placed = members.join(pivots.where(F.col("n") > BASE), "region")
-        pairs = placed.select("node", F.explode("pivots").alias("pivot")).where("node <> pivot").select(
-            F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot"))
-        within = small.join(small.select("region", F.col("node").alias("pivot")), "region").where("node > pivot")
+        # The distance to the first pivot is always needed.
+        pairs = placed.select("node", "group", F.posexplode("pivots").alias("k", "p")).where(
+            (F.col("node") != F.col("p.node")) & ((F.col("k") == 0) | (F.col("group") != F.col("p.group")))).select(
+            F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot"))
+        other = small.select("region", F.col("node").alias("pivot"), F.col("group").alias("other"))
+        within = small.join(other, "region").where("node > pivot AND group <> other")
         pairs = pairs.union(within.select("node", "pivot")).distinct()
         near = staging.keep(_near(pairs, sketches, percent), f"near-{round_}")
         measured = staging.keep(_measure(near, texts, n).distinct(), f"measured-{round_}")
-        links.append(measured.where(100 * F.col("common") >= percent * F.col("total")).select(
-            F.col("node").alias("src"), F.col("pivot").alias("dst")))
-        first = placed.where(~F.array_contains("pivots", F.col("node"))).select(
-            "region", F.col("node").alias("member"), F.greatest("node", F.col("pivots")[0]).alias("node"),
-            F.least("node", F.col("pivots")[0]).alias("pivot"))
+        links = measured.where(100 * F.col("common") >= percent * F.col("total")).select(
+            F.col("node").alias("src"), F.col("pivot").alias("dst"))
+        if groups is not None:
+            links = links.union(groups.select(F.col("node").alias("src"), F.col("component").alias("dst")))
+        groups = staging.keep(components(links, staging), f"groups-{round_}")
+        first = placed.where(~F.exists("pivots", lambda p: p["node"] == F.col("node"))).select(
+            "region", F.col("node").alias("member"), F.greatest("node", F.col("pivots")[0]["node"]).alias("node"),
+            F.least("node", F.col("pivots")[0]["node"]).alias("pivot"))
         d = 1 - F.col("common") / F.col("total")
         away = staging.keep(
             first.join(measured, ["node", "pivot"], "left").select("region", F.col("member").alias("node"), d.alias("d"))
@@ -228,8 +236,9 @@ def metric_links(members: DataFrame, sketches: DataFrame, texts: DataFrame, n: i
         filled = children.groupBy("region", "side").agg(F.min("ring").alias("low")).where("side = 'rest' OR low = 0").select("region", "side")
         filled = staging.keep(filled, f"filled-{round_}")
         children = children.join(filled, ["region", "side"]).select(F.xxhash64("region", "side", F.lit(round_)).alias("region"), "node")
+        children = children.join(groups, "node", "left").select("region", "node", F.coalesce("component", "node").alias("group"))
         members = _distinct_regions(children, staging, f"members-{round_}")
-        staging.drop(f"pivots-{round_}", f"near-{round_}", f"nearest-{round_}", f"filled-{round_}", f"away-{round_}")
+        staging.drop(f"measured-{round_}", f"pivots-{round_}", f"near-{round_}", f"nearest-{round_}", f"filled-{round_}", f"away-{round_}")
     raise RuntimeError("the recursion did not end")
 
 
@@ -244,7 +253,7 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
 
     Far pivots tell nothing here: the distance of two random texts is 1. So the outermost pivots are single shingles,
     the regions the sets near them, and the replication window is the prefix that two close sets cannot both miss.
-    Inside, pivots are documents (:func:`metric_links`).
+    Inside, pivots are documents (:func:`metric_groups`).
     """
     spark = documents.sparkSession
     staging = staging or Staging(spark, "jaccard")
@@ -265,7 +274,7 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
     rows = staging.keep(scanned.select("doc_id", "text_key", "n_shingles", "node"), "rows")
     # Copies have put their shingles in more than once.
     members = staging.keep(entries.join(shared.select("region"), "region").distinct(), "entries")
-    members = _distinct_regions(members, staging, "members")
+    members = _distinct_regions(members.withColumn("group", F.col("node")), staging, "members")
     one_each = scanned.select("node", "n_shingles", "sketch", "doc_id", "text_key").join(members.select("node").distinct(), "node").groupBy(
         "node").agg(F.min(F.struct("doc_id", "text_key")).alias("from"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     sketches = staging.keep(one_each, "sketches")
@@ -273,13 +282,7 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
     wanted = sketches.select("node", F.col("from.doc_id").alias("_doc"), F.col("from.text_key").alias("_key"))
     texts = source.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     texts = staging.keep(texts.select("node", "text"), "texts")
-    links = metric_links(members, sketches, texts, n, percent, staging)
-    groups = None
-    if links:
-        edges = links[0]
-        for more in links[1:]:
-            edges = edges.union(more)
-        groups = staging.keep(components(edges, staging), "groups")
+    groups = metric_groups(members, sketches, texts, n, percent, staging)
     staging.drop("sketches", "texts")
     if groups is not None:
         rows = rows.join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
