@@ -84,7 +84,6 @@ def test_against_all_pairs(documents, staging, rows):
 
 def test_without_sample_and_with_common_shingles_moved_back(documents, staging, rows, monkeypatch):
     monkeypatch.setattr(J, "_common_in_sample", lambda *_: np.zeros(0, np.uint64))
-    assert found(documents(*rows), staging) == brute(rows)
     monkeypatch.setattr(J, "COMMON", 8)
     monkeypatch.setattr(J, "BASE", 3)
     assert found(documents(*rows), staging) == brute(rows)
