@@ -18,7 +18,8 @@ SAMPLE_DOCUMENTS, SAMPLE_COMMON = 8_192, 4
 # A shingle whose region is larger than this, or than a 2^-20 share of all entries, is moved back as well.
 COMMON = 1_024
 MAX_PIVOTS = 16
-# Regions of up to this many members are not divided further: all their pairs are looked at by sketch.
+# Regions of up to this many members, eight times as many from the fourth round on, are not divided further: all their
+# pairs are looked at by sketch.
 BASE = 32
 # Bins of the sketches that tell far pairs before their texts are compared.
 BINS = 256
@@ -192,7 +193,7 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
     ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
     of them only those that can reach the nearest member of the ring. Who is beyond ``2 r`` is mostly told by sketches
     alone. Members that links have connected, directly or not, are not compared any more, and a region of connected
-    members is done. Regions of at most ``BASE`` members end the recursion: their pairs are compared directly. A pivot
+    members is done. Regions of at most ``BASE`` members (eight times as many in the end) end the recursion: their pairs are compared directly. A pivot
     leaves its region, and there are more of them the deeper the recursion is.
     """
     reach = (100 - percent) / 100 + 1e-9
@@ -203,8 +204,9 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
             return groups
         pivots = members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots"), F.count("*").alias("n"))
         pivots = staging.keep(pivots, f"pivots-{round_}")
-        small = members.join(pivots.where(F.col("n") <= BASE).select("region"), "region")
-        placed = members.join(pivots.where(F.col("n") > BASE), "region")
+        base = BASE << min(round_, 3)
+        small = members.join(pivots.where(F.col("n") <= base).select("region"), "region")
+        placed = members.join(pivots.where(F.col("n") > base), "region")
         # The distance to the first pivot is always needed.
         pairs = placed.select("node", "group", F.posexplode("pivots").alias("k", "p")).where(
             (F.col("node") != F.col("p.node")) & ((F.col("k") == 0) | (F.col("group") != F.col("p.group")))).select(
