@@ -295,13 +295,14 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
         "doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"), "text_key")
 
 
-def keep_one(documents: DataFrame, staging: Staging | None = None) -> DataFrame:
+def keep_one(documents: DataFrame, staging: Staging | None = None, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component: the row with the smallest id, then the smallest text hash; all columns stay.
+    ``n`` and ``percent`` are those of :func:`near_copies`.
 
     Of rows repeated with id and text one stays. Rows without an id stay unless a row with one is in their component.
     """
     staging = staging or Staging(documents.sparkSession, "keep-one")
-    found = staging.keep(near_copies(documents, staging=staging), "found")
+    found = staging.keep(near_copies(documents, n, percent, staging), "found")
     best = found.where("component_id is not null and doc_id is not null").groupBy("component_id").agg(
         F.min(F.struct("doc_id", "text_key")).alias("b")).select("b.*")
     best = best.union(found.where("component_id is null").select("doc_id", "text_key").distinct())

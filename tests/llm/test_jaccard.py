@@ -124,3 +124,31 @@ def test_empty(documents, staging):
     assert J.keep_one(df, staging).count() == 0
     only = documents((1, None), (2, ""))
     assert found(only, staging) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_the_pipeline_stage_takes_five_words_and_four_fifths(spark, documents):
+    """A text with a fifth of its words appended is a near copy to the stage, and not to the operator's defaults."""
+    import corpus_pipeline
+
+    rows = []
+    for _ in range(12):
+        base = say(100)
+        rows += [" ".join(base), " ".join(base + say(20)), " ".join(edited(base, 2)), " ".join(base + say(40))]
+    rows = [*enumerate(rows), (100, None), (101, "one"), (102, "ONE")]
+    sets = sets_of([t for _, t in rows], 5)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                root[find(a)] = find(b)
+    expected = {min(rows[m][0] for m in range(len(rows)) if find(m) == find(k)) for k in range(len(rows))}
+    df = documents(*rows)
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()} == expected
+    assert len(expected) < len({r.doc_id for r in J.keep_one(df).collect()})
