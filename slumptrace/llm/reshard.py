@@ -146,22 +146,45 @@ def reshard(df: DataFrame, n_shards: int = N_SHARDS, staging: Staging | None = N
         (F.col("hit.shard") != F.col("old_shard")).alias("moved"))
 
 
+def keyed(documents: DataFrame, staging: Staging) -> DataFrame:
+    """The rows with a number of their own, ``row_key``, stored so that it stays. Ids may be null or repeated."""
+    return staging.keep(documents.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+
+
 def with_sizes(documents: DataFrame, old_shard: Column | None = None) -> DataFrame:
     """The columns :func:`reshard` needs: size is the UTF-8 bytes of the text (null: none) plus 16; the old shard is
-    that of the row's source unless another is given."""
+    that of the row's source unless another is given. ``row_key`` comes along, where there is one."""
     old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(OLD_SHARDS)) if old_shard is None else old_shard
     text = F.coalesce("text", F.lit(""))
+    key = ["row_key"] if "row_key" in documents.columns else []
     return documents.select(
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), old.cast("int").alias("old_shard"))
+        F.crc32(text.cast("binary")).alias("text_crc32"), old.cast("int").alias("old_shard"), *key)
 
 
 def rewrite_shards(documents: DataFrame, assigned: DataFrame, path: str) -> DataFrame:
-    """Write the files of shards that lose or gain rows; the others stay as they are. Returns the affected shards."""
+    """Write the files of shards that lose or gain rows; the others stay as they are. Returns the affected shards.
+
+    ``path`` holds a folder ``shard=K`` per shard. Only those of affected shards are replaced, after all rows are
+    written, and those of shards left without rows are deleted last. Rows are told by ``row_key`` (:func:`keyed`), or
+    by ``doc_id`` where there is none; ids that are null or repeated are refused then, as they name no single row.
+    """
     moved = assigned.where("moved")
     affected = moved.select(F.col("shard")).union(moved.select(F.col("old_shard").alias("shard"))).distinct()
-    rows = assigned.select(F.col("doc_id").alias("_id"), "shard", "slot").join(F.broadcast(affected), "shard")
-    (documents.join(rows, F.col("doc_id") == F.col("_id")).drop("_id")
+    key = "row_key" if {"row_key"} <= set(documents.columns) & set(assigned.columns) else "doc_id"
+    if key == "doc_id":
+        seen = assigned.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids")).first()
+        if seen.n != seen.ids:
+            raise ValueError("null or repeated ids name no row: reshard the rows of keyed()")
+    rows = assigned.select(F.col(key).alias("_key"), "shard", "slot").join(F.broadcast(affected), "shard")
+    # A shard or slot that the rows bring along is that of the old layout.
+    old = documents.drop("shard", "slot")
+    (old.join(rows, F.col(key) == F.col("_key")).drop("_key", "row_key")
      .repartition("shard", F.pmod("slot", F.lit(8))).sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").mode("overwrite").parquet(path))
+     .write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
+    emptied = affected.join(assigned.select("shard").distinct(), "shard", "left_anti")
+    spark = documents.sparkSession
+    for r in emptied.collect():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={r.shard}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return affected

@@ -62,3 +62,31 @@ def test_only_affected_shards_are_written(spark, documents, tmp_path):
     written = spark.read.parquet(str(tmp_path / "out"))
     assert {(r.doc_id, r.shard) for r in written.collect()} == {
         (r.doc_id, r.shard) for r in assigned.collect() if r.shard in affected}
+
+
+def test_untouched_shards_null_and_repeated_ids_stay(spark, documents, staging, tmp_path):
+    """Shards 0 and 1 are as they should be, 2 has too many rows, 3 too few, and 4 is given up."""
+    rows = [(None, "no id"), (None, "no id"), (None, "none either"), (7, "same"), (7, "same"), (7, "another text"), *((i, f"t{i}") for i in range(20, 33))]
+    df = documents(*rows, (40, "x"), extra=False)
+    old = F.when(F.col("doc_id").isNull(), 2).when(F.col("doc_id") == 7, F.when(F.col("text") == "same", 2).otherwise(3)).when(
+        F.col("doc_id") < 25, 0).when(F.col("doc_id") < 30, 1).when(F.col("doc_id") == 40, 4).otherwise(2)
+    path = str(tmp_path / "shards")
+    df.withColumn("shard", old).write.partitionBy("shard").parquet(path)
+    untouched = {f: f.read_bytes() for f in (tmp_path / "shards").glob("shard=[01]/*.parquet")}
+    held = spark.read.parquet(path)
+    keyed = R.keyed(held, staging)
+    assigned = staging.keep(R.reshard(R.with_sizes(keyed, F.col("shard")), 4, staging), "assigned")
+    affected = {r.shard for r in R.rewrite_shards(keyed, assigned, path).collect()}
+    assert affected == {2, 3, 4}
+    assert untouched and all(f.read_bytes() == b for f, b in untouched.items())
+    written = spark.read.parquet(path)
+    plain = lambda rows: sorted(map(repr, rows))
+    assert plain((r.doc_id, r.text) for r in written.collect()) == plain((r.doc_id, r.text) for r in df.collect())
+    assert {r.shard: r["count"] for r in written.groupBy("shard").count().collect()} == {0: 5, 1: 5, 2: 5, 3: 5}
+
+
+def test_ids_that_name_no_row_are_refused(documents, staging, tmp_path):
+    df = documents((1, "a"), (1, "b"), (None, "c"), extra=False)
+    assigned = R.reshard(R.with_sizes(df), 2, staging)
+    with pytest.raises(ValueError):
+        R.rewrite_shards(df, assigned, str(tmp_path / "out"))
