@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from slumptrace.llm.common import Staging, components, log2_rows, sample_ids
 
 LEAST_COSINE = 0.9
 SAMPLE_VECTORS = 20_000
 TABLES = 16
+# The expected share of pairs at exactly the least cosine that meet in some table, whatever the width of the keys.
+RECALL = 0.95
 # Vectors of one bucket that meet in one step; a larger bucket is compared chunk by chunk.
 CHUNK = 256
 
@@ -37,15 +41,39 @@ def learn_rotation(vectors: np.ndarray, bits: int, rounds: int = 50) -> np.ndarr
     return projection @ rotation
 
 
-def substrings(codes: np.ndarray, width: int, tables: int) -> np.ndarray:
-    """Keys of each code in each table: ``width`` of its bits, others in every table."""
-    bits = codes.shape[1]
+def bit_order(bits: int, width: int, tables: int) -> list[int]:
+    """The bits that make up the keys of all tables, ``width`` for each, others in every table."""
     rng = np.random.default_rng(5)
     order: list[int] = []
     while len(order) < width * tables:
         order += rng.permutation(bits).tolist()
-    weights = 1 << np.arange(width, dtype=np.int64)
-    return np.stack([codes[:, order[t * width:(t + 1) * width]] @ weights for t in range(tables)], 1)
+    return order[:width * tables]
+
+
+def key_width(rows: int) -> int:
+    return max(8, log2_rows(rows) - 4)
+
+
+def further_tables(least: float, dimension: int, bits: int, width: int, tables: int) -> int:
+    """How many tables of random hyperplanes must join ``tables`` of learnt bits to reach ``RECALL`` at cosine ``least``.
+
+    A hyperplane parts two vectors by their angle over pi, so a table of ``width`` of them keeps a pair together with
+    ``p ** width``, whatever the data. Learnt bits are taken to do as well, but all tables draw on the same ``bits`` of
+    them, so a pair with many different ones is lost in all; and where the codes have fewer bits than the vectors have
+    components, the projection may hide an angle, and learnt tables are not counted.
+    """
+    p = 1 - math.acos(least) / math.pi
+    missed = 1.0
+    if dimension <= bits:
+        missed = sum(math.comb(bits, h) * (1 - p)**h * p**(bits - h) * (1 - math.comb(bits - h, width) / math.comb(bits, width))**tables
+                     for h in range(bits + 1))
+    return 0 if missed <= 1 - RECALL or p == 1 else math.ceil(math.log((1 - RECALL) / missed) / math.log(1 - p**width))
+
+
+def all_planes(rotation: np.ndarray, width: int, tables: int, further: int) -> np.ndarray:
+    """The directions whose signs are the bits of all keys, ``width`` for each table: learnt ones, then random ones."""
+    random = np.random.default_rng(7).standard_normal((len(rotation), width * further))
+    return np.hstack([rotation[:, bit_order(rotation.shape[1], width, tables)], random])
 
 
 def _node() -> Column:
@@ -67,27 +95,29 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def hamming_tables(nodes: DataFrame, dimension: int, rotation: np.ndarray, width: int, tables: int) -> DataFrame:
-    """One row per vector and table: ``bucket, at, node, copies, keys, unit``; ``at`` is the table."""
-    shared = nodes.sparkSession.sparkContext.broadcast(rotation)
+def hamming_tables(nodes: DataFrame, dimension: int, planes: np.ndarray, width: int, first: int, last: int, kind: str) -> DataFrame:
+    """One row per vector and table from ``first`` to before ``last``: ``bucket, at, node, copies, keys, vector``.
+
+    ``at`` is the table, ``keys`` are those of the tables before it, ``vector`` are the components as numbers of ``kind``.
+    """
+    shared = nodes.sparkSession.sparkContext.broadcast(planes[:, :width * last])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rotation = shared.value
+        planes, weights = shared.value, 1 << np.arange(width, dtype=np.int64)
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                unit = _unit(_matrix(part.column("vector"), dimension))
-                keys = substrings((unit @ rotation >= 0).astype(np.int64), width, tables)
-                n = len(unit)
-                rows = np.repeat(np.arange(n), tables)
-                listed = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), tables).cast(pa.list_(pa.int64()))
-                units = pa.array([u.tobytes() for u in unit], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(keys.ravel()),
-                     part.column("node").take(pa.array(rows)), part.column("copies").take(pa.array(rows)), listed.take(pa.array(rows)),
-                     units.take(pa.array(rows))], ["at", "bucket", "node", "copies", "keys", "unit"])
+                matrix = _matrix(part.column("vector"), dimension)
+                n = len(matrix)
+                bits = (_unit(matrix) @ planes >= 0).reshape(n, last, width)
+                keys = (bits @ weights).astype("<u4")
+                vectors = pa.array([v.tobytes() for v in matrix.astype(kind)], pa.binary())
+                for t in range(first, last):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, t, np.int32)), pa.array(keys[:, t].astype(np.int64)), part.column("node"), part.column("copies"),
+                         pa.array([k.tobytes() for k in keys[:, :t]], pa.binary()), vectors], ["at", "bucket", "node", "copies", "keys", "vector"])
 
-    return nodes.mapInArrow(run, "at int, bucket long, node long, copies long, keys array<long>, unit binary")
+    return nodes.mapInArrow(run, "at int, bucket long, node long, copies long, keys binary, vector binary")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -109,7 +139,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _compare(groups: Iterator[pa.RecordBatch], dimension: int, least: float) -> Iterator[pa.RecordBatch]:
+def _compare(groups: Iterator[pa.RecordBatch], dimension: int, least: float, kind: str) -> Iterator[pa.RecordBatch]:
     """Links inside each group of rows with equal ``at, bucket, block``, which arrive one after the other.
 
     A pair counts in the first table that brings it together. Emits per node the copies linked to it, and the links
@@ -117,7 +147,7 @@ def _compare(groups: Iterator[pa.RecordBatch], dimension: int, least: float) ->
     """
     def settle(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, copies, side = (rows.column(c).to_numpy() for c in ("node", "copies", "side"))
-        unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(-1, dimension)
+        unit = _unit(np.frombuffer(b"".join(rows.column("vector").to_pylist()), kind).reshape(-1, dimension).astype(np.float64))
         table = rows.column("at")[0].as_py()
         near = unit @ unit.T >= least
         if rows.column("alone")[0].as_py():
@@ -125,7 +155,7 @@ def _compare(groups: Iterator[pa.RecordBatch], dimension: int, least: float) ->
         else:
             i, j = np.nonzero(near & (side[:, None] < side[None, :]))
         if table and len(i):
-            keys = _matrix(rows.column("keys"), len(rows.column("keys")[0]))[:, :table]
+            keys = np.frombuffer(b"".join(rows.column("keys").to_pylist()), "<u4").reshape(-1, table)
             fresh = np.concatenate([~(keys[i[k:k + 65_536]] == keys[j[k:k + 65_536]]).any(1) for k in range(0, len(i), 65_536)])
             i, j = i[fresh], j[fresh]
         linked = np.bincount(i, copies[j], len(node)) + np.bincount(j, copies[i], len(node))
@@ -154,7 +184,7 @@ def _links(parts: list[tuple]) -> pa.RecordBatch:
         [pa.array(node), pa.array(linked), pa.array(other), pa.array(other != -1)], ["node", "linked", "other", "is_link"])
 
 
-def links(tables: DataFrame, dimension: int, least: float, staging: Staging) -> DataFrame:
+def links(tables: DataFrame, dimension: int, least: float, staging: Staging, kind: str) -> DataFrame:
     """Links of all buckets: rows ``node, linked, other, is_link``.
 
     A bucket of more than ``CHUNK`` vectors is dealt into chunks, and every pair of chunks is a block of its own, so no
@@ -166,12 +196,12 @@ def links(tables: DataFrame, dimension: int, least: float, staging: Staging) ->
     mine = F.pmod(F.xxhash64("node", F.lit(3)), chunks).cast("int")
     blocks = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.least(j, "mine").cast("long") * F.col("chunks") + F.greatest(j, "mine"))
     placed = placed.withColumn("chunks", chunks).withColumn("mine", mine).select(
-        "at", "bucket", "chunks", F.col("mine").alias("side"), F.explode(blocks).alias("block"), "node", "copies", "keys", "unit")
+        "at", "bucket", "chunks", F.col("mine").alias("side"), F.explode(blocks).alias("block"), "node", "copies", "keys", "vector")
     alone = F.col("block") % F.col("chunks") == F.floor(F.col("block") / F.col("chunks"))
     placed = placed.withColumn("alone", alone).drop("chunks")
     ordered = placed.repartition("at", "bucket", "block").sortWithinPartitions("at", "bucket", "block", "side", "node")
     return ordered.mapInArrow(
-        lambda batches: _compare(batches, dimension, least), "node long, linked long, other long, is_link boolean")
+        lambda batches: _compare(batches, dimension, least, kind), "node long, linked long, other long, is_link boolean")
 
 
 def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, tables: int = TABLES, staging: Staging | None = None) -> DataFrame:
@@ -181,8 +211,10 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, tables: int
     vectors of another length than the commonest link with equal vectors only. Equal vectors are one node: they count
     as each other's links and are compared with the rest once. The rotation is learnt on at most ``SAMPLE_VECTORS``
     vectors, by hash of id; all vectors are indexed. A table's key has about ``log2(rows) - 4`` bits, so buckets stay
-    small as the input grows. Every pair in a bucket is compared with its original vectors in double precision, so no
-    link is wrong; a link is missed only if the two codes differ in every table (for recall see the README).
+    small as the input grows, and :func:`further_tables` keeps the expected recall at ``least`` from falling with them.
+    ``tables`` tables are laid out and searched at a time, so the disk in use does not grow with their number. Every
+    pair in a bucket is compared with its original vectors in double precision, so no link is wrong; a link is missed
+    only if the two codes differ in every table (for recall see the README).
     Rows without an id keep a null component unless one with an id is in it.
     """
     spark = vectors.sparkSession
@@ -199,12 +231,20 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, tables: int
         # Equal vectors are one node here already, so copies cannot crowd the sample.
         sample = ready.join(F.broadcast(sample_ids(ready, "node", SAMPLE_VECTORS)), F.col("node") == F.col("_id"), "left_semi").select("vector").toArrow()
         rotation = learn_rotation(_unit(_matrix(sample.column("vector").combine_chunks(), dimension)), min(64, dimension))
-        width = min(rotation.shape[1], 32, max(8, log2_rows(nodes.count()) - 4))
-        hashed = staging.keep(hamming_tables(ready.select("node", "copies", "vector"), dimension, rotation, width, tables), "tables")
-        found = staging.keep(links(hashed, dimension, least, staging), "found")
+        width = min(rotation.shape[1], 32, key_width(nodes.count()))
+        further = further_tables(least, dimension, rotation.shape[1], width, tables)
+        planes = all_planes(rotation, width, tables, further)
+        kind = "<f4" if vectors.schema["embedding"].dataType.elementType == FloatType() else "<f8"
+        found = None
+        for first in range(0, tables + further, tables):
+            hashed = staging.keep(hamming_tables(
+                ready.select("node", "copies", "vector"), dimension, planes, width, first, min(first + tables, tables + further), kind), "tables")
+            part = staging.keep(links(hashed, dimension, least, staging, kind), f"found-{first}")
+            found = part if found is None else found.union(part)
+            staging.drop("tables", "buckets")
         summed = staging.keep(found.where("not is_link").groupBy("node").agg(F.sum("linked").alias("linked")), "summed")
         groups = staging.keep(components(found.where("is_link"), staging, "node", "other"), "groups")
-        staging.drop("tables", "found", "buckets")
+        staging.drop(*[f"found-{first}" for first in range(0, tables + further, tables)])
     roots = nodes.select("node", "copies", "first_id")
     if summed is not None:
         roots = roots.join(summed, "node", "left").join(groups, "node", "left")

@@ -97,3 +97,32 @@ def test_small_inputs(spark, staging):
     assert found(frame(spark, rows), staging) == [(1, 0, 1, True), (2, 0, 2, True)]
     rows = [(3, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
     assert found(frame(spark, rows), staging) == brute(rows)
+
+
+@pytest.mark.parametrize("width", [16, 20])
+def test_recall_with_the_keys_of_large_tables(spark, staging, monkeypatch, width):
+    """Keys as wide as for 1 to 16 million rows: pairs at a cosine of just 0.9 are still found."""
+    monkeypatch.setattr(E, "key_width", lambda _: width)
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(400):
+        a, b = rng.normal(size=(2, 64))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        rows += [(2 * k, a.tolist()), (2 * k + 1, (0.9005 * a + np.sqrt(1 - 0.9005**2) * b).tolist())]
+    links = sum(r[1] for r in found(frame(spark, rows), staging))
+    assert links <= 800 and links >= 0.9 * 800
+
+
+def test_expected_recall_does_not_fall_with_the_width():
+    p = 1 - np.arccos(0.9) / np.pi
+    for bits, dimension in ((64, 64), (64, 384), (16, 16)):
+        for width in range(8, min(bits, 32) + 1):
+            further = E.further_tables(0.9, dimension, bits, width, E.TABLES)
+            missed = (1 - p**width)**further
+            if dimension <= bits:
+                apart = np.random.default_rng(1).random((4_000, bits)) > p
+                keys = [apart[:, E.bit_order(bits, width, E.TABLES)[t * width:(t + 1) * width]].any(1) for t in range(E.TABLES)]
+                missed *= np.all(keys, 0).mean()
+            assert 1 - missed >= E.RECALL - 0.01
