@@ -12,13 +12,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, sample_rows
+from slumptrace.llm.common import Staging
 
-# Words with a code of their own, those of them that exchange clustering moves, and the classes they move between.
+# Words with a code of their own, those of them that are clustered first, and the classes all of them move between.
 HEAD, CORE, CLASSES = 20_000, 2_000, 64
+# Rounds over all texts in which every word with a code may move; fewer if the likelihood no longer rises.
+ROUNDS = 4
 # All other words fall into open classes by shape.
 OPEN = 16
-SAMPLE_DOCUMENTS = 6_000
 BACKOFF = 20.0
 
 
@@ -53,24 +54,45 @@ class WordCodes(dict):
         return code
 
 
-def choose_head(documents: DataFrame, size: int = HEAD, sample: int = SAMPLE_DOCUMENTS) -> list[bytes]:
-    """The most frequent words of a bounded sample of training texts, at most ``size``.
+def choose_head(documents: DataFrame, size: int = HEAD, staging: Staging | None = None) -> list[bytes]:
+    """The words of all training texts that occur often enough, the most frequent first: at most ``size``.
 
-    They only get codes and a broadcast; every count is taken over all texts, whether a word is among them or not.
+    All words are counted. The least count that leaves no more than ``size`` words is read off how many words there
+    are of each count, so it grows with the texts; no sort takes place, and the driver gets the words that stay.
     """
+    staging = staging or Staging(documents.sparkSession, "head")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
         seen: Counter[bytes] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            seen.clear()
+            return out
+
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 seen.update(tokens_of(text))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-
-    rows = sample_rows(documents.where(~is_held_out()).select("doc_id", "text"), "doc_id", sample).select("text")
-    top = rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in top.orderBy(F.desc("n"), "word").limit(size).collect()]
+                if len(seen) >= 300_000:
+                    yield flush()
+        yield flush()
+
+    counted = documents.where(~is_held_out()).select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = staging.keep(counted, "words")
+    # Of each count above 1,000 the words are told apart by its first three digits only, so there are few groups.
+    step = F.pow(10.0, F.greatest(F.lit(0), F.length(F.col("n").cast("string")) - 3)).cast("long")
+    least = F.col("n") - F.col("n") % step
+    held, threshold = 0, None
+    for r in sorted(counted.groupBy(least.alias("least")).count().collect(), key=lambda r: -r.least):
+        held += r["count"]
+        if held > size:
+            break
+        threshold = r.least
+    kept = counted.where(F.col("n") >= threshold).collect() if threshold is not None else []
+    staging.drop("words")
+    return [bytes(r.word) for r in sorted(kept, key=lambda r: (-r.n, bytes(r.word)))]
 
 
 def encode(documents: DataFrame, head: list[bytes]) -> DataFrame:
@@ -149,6 +171,37 @@ def pair_counts(encoded: DataFrame, core_of: np.ndarray, size: int) -> np.ndarra
     return out.reshape(size, size)
 
 
+def _loglog(a):
+    return a * np.log(np.maximum(a, 1))
+
+
+def _move(between: np.ndarray, right: np.ndarray, left: np.ndarray, own: float, old: int, classes: int) -> int:
+    """Take a word out of class ``old`` and put it where the likelihood is highest; the new class. Changes ``between``.
+
+    ``right`` and ``left`` count its neighbours by class, without the word itself (``own``).
+    """
+    between[old] -= right
+    between[:, old] -= left
+    between[old, old] -= own
+    after, before = np.flatnonzero(right), np.flatnonzero(left)
+    rows, columns = between[:classes, after], between[before, :classes].T
+    gain = (_loglog(rows + right[after]) - _loglog(rows)).sum(1) + (_loglog(columns + left[before]) - _loglog(columns)).sum(1)
+    diagonal = between[np.arange(classes), np.arange(classes)]
+    r, l = right[:classes], left[:classes]
+    gain += _loglog(diagonal + r + l + own) - _loglog(diagonal + r) - _loglog(diagonal + l) + _loglog(diagonal)
+    rows_total, columns_total = between[:classes].sum(1), between[:, :classes].sum(0)
+    a, b = right.sum() + own, left.sum() + own
+    # The sums also take in the word's links with itself and its own class.
+    gain -= _loglog(rows_total + a + l) - _loglog(rows_total) + _loglog(columns_total + b + r) - _loglog(columns_total)
+    new = int(gain.argmax())
+    if old < classes and gain[new] <= gain[old] + 1e-9:
+        new = old
+    between[new] += right
+    between[:, new] += left
+    between[new, new] += own
+    return new
+
+
 def exchange(pairs: np.ndarray, core: int, classes: int, rounds: int = 12) -> np.ndarray:
     """Exchange clustering: the class of each symbol, the first ``core`` of which may move between ``classes``.
 
@@ -166,7 +219,6 @@ def exchange(pairs: np.ndarray, core: int, classes: int, rounds: int = 12) -> np
     between = np.zeros((n_classes, n_classes))
     for c in range(n_classes):
         between[c] = out_of[class_of == c].sum(0)
-    loglog = lambda a: a * np.log(np.maximum(a, 1))
     for _ in range(rounds):
         moved = 0
         for w in range(core):
@@ -175,24 +227,7 @@ def exchange(pairs: np.ndarray, core: int, classes: int, rounds: int = 12) -> np
                 continue
             right[old] -= own
             left[old] -= own  # neighbours other than the word itself
-            between[old] -= right
-            between[:, old] -= left
-            between[old, old] -= own
-            rows, columns = between[:classes], between[:, :classes].T
-            gain = (loglog(rows + right) - loglog(rows)).sum(1) + (loglog(columns + left) - loglog(columns)).sum(1)
-            diagonal = between[np.arange(classes), np.arange(classes)]
-            r, l = right[:classes], left[:classes]
-            gain += loglog(diagonal + r + l + own) - loglog(diagonal + r) - loglog(diagonal + l) + loglog(diagonal)
-            rows_total, columns_total = between[:classes].sum(1), between[:, :classes].sum(0)
-            a, b = right.sum() + own, left.sum() + own
-            # The sums also take in the word's links with itself and its own class.
-            gain -= loglog(rows_total + a + l) - loglog(rows_total) + loglog(columns_total + b + r) - loglog(columns_total)
-            new = int(gain.argmax())
-            if gain[new] <= gain[old] + 1e-9:
-                new = old
-            between[new] += right
-            between[:, new] += left
-            between[new, new] += own
+            new = _move(between, right, left, own, old, classes)
             if new != old:
                 moved += 1
                 class_of[w] = new
@@ -205,6 +240,70 @@ def exchange(pairs: np.ndarray, core: int, classes: int, rounds: int = 12) -> np
     return class_of
 
 
+def neighbour_counts(encoded: DataFrame, class_of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each code, and the end, how often each of ``n`` classes follows it and comes before it in training texts,
+    and how often the code follows itself. The size is fixed: codes times classes."""
+    shared = encoded.sparkSession.sparkContext.broadcast(np.r_[class_of, n - 1])
+    codes = len(class_of) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, width = shared.value, 2 * n + 1
+        total = np.zeros(codes * width, np.int64)
+        for batch in batches:
+            rows = batch.column("codes").to_pylist()
+            flat = np.frombuffer(b"".join(rows), "<u2").astype(np.int64)
+            chain = np.r_[codes - 1, np.insert(flat, np.cumsum([len(r) // 2 for r in rows]), codes - 1)]
+            a, b = chain[:-1], chain[1:]
+            for key in (a * width + classes[b], b * width + n + classes[a], a[a == b] * width + 2 * n):
+                at, times = np.unique(key, return_counts=True)
+                total[at] += times
+        at = np.flatnonzero(total)
+        for low in range(0, len(at), 100_000):
+            part = at[low:low + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part], pa.int64())], ["place", "n"])
+
+    rows = encoded.where("not held_out").select("codes").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    found = rows.toArrow()
+    out = np.zeros(codes * (2 * n + 1))
+    out[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    out = out.reshape(codes, 2 * n + 1)
+    return out[:, :n], out[:, n:2 * n], out[:, 2 * n]
+
+
+def likelihood(between: np.ndarray) -> float:
+    return float(_loglog(between).sum() - _loglog(between.sum(0)).sum() - _loglog(between.sum(1)).sum())
+
+
+def exchange_all(encoded: DataFrame, class_of: np.ndarray, n_head: int, classes: int, n: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Give each of the first ``n_head`` codes a class by exchange, starting from ``class_of``.
+
+    In each round neighbours are counted by class over all training texts, and the words move against the small
+    matrix of class bigrams. Words not yet in one of the ``classes`` all move in the first round, then every second
+    word in turn, as neighbours moved in the same round are not seen. Of rounds after the first, one that does not
+    raise the likelihood is taken back and ends it.
+    """
+    best, kept = None, class_of
+    for round_ in range(rounds + 1):
+        after, before, own = neighbour_counts(encoded, class_of, n)
+        between = np.zeros((n, n))
+        np.add.at(between, np.r_[class_of, n - 1], after)
+        reached = likelihood(between)
+        if round_ > 1 and reached <= best:
+            return kept
+        best, kept = reached, class_of
+        if round_ == rounds:
+            return kept
+        class_of = class_of.copy()
+        for w in range(n_head):
+            if (round_ == 0) != (class_of[w] >= classes) or round_ and w % 2 != round_ % 2:
+                continue
+            old, right, left = class_of[w], after[w].copy(), before[w].copy()
+            right[old] -= own[w]
+            left[old] -= own[w]
+            class_of[w] = _move(between, right, left, own[w], old, classes)
+    return kept
+
+
 @dataclass
 class Classes:
     """Class of every code, log10 transition between classes, and log10 emission of head words."""
@@ -223,19 +322,18 @@ def build(
     """
     counts = head_counts(encoded)
     top = np.argsort(-counts[:HEAD], kind="stable")[:core]
-    # Head words beyond the core share the open class 0 of their own kind: a class of less frequent words.
+    # Head words beyond the core share a class while the core is clustered, then get one of its classes each.
     size = core + 1 + OPEN + 1
     symbol = np.full(HEAD + OPEN, core, np.int64)
     symbol[top] = np.arange(core)
     symbol[HEAD:] = core + 1 + np.arange(OPEN)
     pairs = pair_counts(encoded, symbol, size)
-    symbol_class = exchange(pairs, core, classes)
     n = classes + 1 + OPEN + 1
+    class_of = exchange_all(encoded, exchange(pairs, core, classes)[symbol], n_head, classes, n)
     between = np.zeros((n, n))
-    np.add.at(between, (symbol_class[:, None].repeat(size, 1), symbol_class[None, :].repeat(size, 0)), pairs)
+    np.add.at(between, np.r_[class_of, n - 1], neighbour_counts(encoded, class_of, n)[0])
     prior = (between.sum(0) + 1) / (between.sum() + n)
     transition = np.log10((between + BACKOFF * prior) / (between.sum(1, keepdims=True) + BACKOFF))
-    class_of = symbol_class[symbol]
     head_class = class_of[:HEAD]
     held, types = np.bincount(head_class, counts[:HEAD], n), np.bincount(head_class[:n_head], minlength=n)
     emission = np.log10((counts[:HEAD] + 1) / np.maximum(held + types, 1)[head_class])
@@ -254,7 +352,7 @@ def score_texts(documents: DataFrame, staging: Staging | None = None) -> DataFra
     """
     spark = documents.sparkSession
     staging = staging or Staging(spark, "brown")
-    head = choose_head(documents)
+    head = choose_head(documents, staging=staging)
     encoded = staging.keep(encode(documents, head), "encoded")
     pairs = encoded.select("row", "held_out", F.explode(F.arrays_zip("tails", "times")).alias("t")).select(
         "row", "held_out", F.col("t.tails").alias("word"), F.col("t.times").alias("n"))

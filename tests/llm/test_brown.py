@@ -84,3 +84,24 @@ def test_better_than_single_words_on_held_out_texts(spark, staging):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [r for r in B.score_texts(df, staging).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_every_kept_word_gets_a_class_by_exchange(documents, staging):
+    """Verbs follow nouns and the other way round; words beyond the core of two fall in the classes of their kind."""
+    rng = np.random.default_rng(3)
+    nouns, verbs = ([f"{c}{k}" for k in range(8)] for c in "nv")
+    rows = [(i, " ".join(w for _ in range(60) for w in (rng.choice(nouns), rng.choice(verbs)))) for i in range(40)]
+    df = documents(*rows)
+    head = B.choose_head(df, staging=staging)
+    assert sorted(head) == sorted(w.encode() for w in nouns + verbs)
+    encoded = staging.keep(B.encode(df, head), "e")
+    model, _, _ = B.build(encoded, np.zeros(B.OPEN, np.int64), len(head), core=2, classes=2)
+    by = dict(zip((w.decode() for w in head), model.class_of.tolist(), strict=False))
+    assert set(by.values()) == {0, 1}
+    assert len({by[w] for w in nouns}) == len({by[w] for w in verbs}) == 1
+
+
+def test_words_of_all_texts_are_counted(documents, staging):
+    """A word of many texts is kept wherever it is, and the count that keeps a word grows with the texts."""
+    rows = [(i, f"common word{i} word{i}" + " late" * (i >= 6_500)) for i in range(7_000)]
+    assert {b"common", b"late"} <= set(B.choose_head(documents(*rows), size=100, staging=staging))
