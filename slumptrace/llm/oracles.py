@@ -124,6 +124,24 @@ placed AS (SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, r) AS r
 SELECT vec_id, n_links, component_id, vec_id IS NOT NULL AND vec_id = component_id AS kept
 FROM (SELECT *, min(vec_id) OVER (PARTITION BY root) AS component_id FROM placed)"""
 
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = f"""
+WITH words AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+totals AS (SELECT count(*) AS n_all, sum(len(w))::BIGINT AS l_all FROM words WHERE len(w) > 0),
+counts AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM words) GROUP BY r, term),
+spread AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS.format(_LOWER.format("coalesce(text, '')"))}) AS term FROM benchmark),
+weighed AS (SELECT asked.item_id, term, CAST(floor(1000 * ln((2 * n_all + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+            FROM asked JOIN spread USING (term), totals),
+sizes AS (SELECT r, doc_id, 100 - 90 + ((90 * len(w) * n_all) // l_all) AS m FROM words, totals WHERE len(w) > 0),
+scored AS (SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM weighed JOIN counts USING (term) JOIN sizes USING (r) GROUP BY item_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scored JOIN sizes USING (r) WHERE score > 0) WHERE rank <= 10"""
+
 ORACLES = {
     "op4_decontaminate": OP4, "op5_url_aliases": OP5, "op6_jaccard": OP6, "op8_licences": OP8, "op10_vectors": OP10,
+    "op13_search": OP13,
 }

@@ -81,8 +81,26 @@ def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op11_sentencepieces(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.sentencepieces import encode_documents
+
+    return encode_documents(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.whitening import whiten
+
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    from slumptrace.llm.search import search
+
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_secrets, op2_brown, op3_reshard, op4_decontaminate, op5_url_aliases, op6_jaccard, op7_toxicity, op8_licences,
-        op9_packing, op10_vectors)
+        op9_packing, op10_vectors, op11_sentencepieces, op12_whitening, op13_search)
 }

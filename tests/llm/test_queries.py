@@ -18,12 +18,14 @@ COLUMNS = {
     "op7_toxicity": "doc_id held_out score predicted",
     "op9_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_vectors": "vec_id n_links component_id kept",
+    "op11_sentencepieces": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12_whitening": "vec_id component n deviation whitened explained identity_error",
 }
 
 
 def test_registration():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -31,7 +33,7 @@ def test_registration():
 def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, FOLDER)
     assert set(COLUMNS[name].split()) <= set(df.columns)
-    key = {"op5": "page_id", "op10": "vec_id"}.get(name.split("_")[0], "doc_id")
+    key = {"op5": "page_id", "op10": "vec_id", "op12": "vec_id"}.get(name.split("_")[0], "doc_id")
     source = {"page_id": "pages", "vec_id": "embeddings", "doc_id": "documents"}[key]
     ids = sorted(r[0] for r in df.select(key).distinct().collect())
     assert ids == sorted(r[0] for r in spark.read.parquet(f"{FOLDER}/{source}.parquet").select(key).collect())
