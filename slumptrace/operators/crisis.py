@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumptrace.functions.values import number
-from slumptrace.operators.scale import number_rows, small_side
+from slumptrace.operators.scale import materialize, number_rows, small_side
 from slumptrace.sources import readers
 
 # Days around a crisis that count as near, as the fall before it and as the recovery after it.
@@ -58,13 +58,61 @@ def crisis_phase(history: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def daily_median(df: DataFrame, day: str, value: str) -> DataFrame:
-    """The median of ``value`` per day, from ranks: no day is gathered in one aggregation buffer."""
-    ranked = number_rows(df.select(day, value).where(F.col(value).isNotNull()), [F.col(value)], within=[day], name="_rank")
-    sizes = ranked.groupBy(day).agg(F.count("*").alias("_size"))
-    low, high = F.floor((F.col("_size") + 1) / 2), F.floor(F.col("_size") / 2) + 1
-    middle = ranked.join(sizes, day).where((F.col("_rank") == low) | (F.col("_rank") == high))
-    return middle.groupBy(day).agg(F.avg(value).alias("median"))
+# Days with more values than this are not brought together to find their median.
+MEDIAN_ROWS = 100_000
+# Ranges of values that a round of the search tells apart on each day.
+CELLS = 1_024
+
+
+def daily_median(df: DataFrame, day: str, value: str, most: int | None = None) -> DataFrame:
+    """The median of ``value`` per day; ``df`` should be a stored result.
+
+    Days of up to ``most`` values are aggregated as they are. Otherwise the median is searched for by narrowing
+    (:func:`_narrowed_medians`), and only counts are shuffled.
+    """
+    values = df.select(F.col(day).alias("day"), F.col(value).cast("double").alias("value")).where(F.col(value).isNotNull())
+    largest = values.groupBy("day").count().agg(F.max("count")).first()[0] or 0
+    if largest <= (MEDIAN_ROWS if most is None else most):
+        found = values.groupBy("day").agg(F.median("value").alias("median"))
+    else:
+        found = _narrowed_medians(values)
+    return found.withColumnRenamed("day", day)
+
+
+def _narrowed_medians(values: DataFrame) -> DataFrame:
+    """Medians from histograms, however many values a day has.
+
+    Each round cuts the range left of a day into equal cells and counts them, which tasks do on their own before
+    anything is shuffled. If the two middle values (one, of an odd number) lie in one cell, its values are what is
+    left; if not, they are the greatest of one cell and the least of the next. A cell of one value is the answer.
+    Least and greatest value of a range fall into different cells, so every round gets closer.
+    """
+    n = F.col("n")
+    left = materialize(values.groupBy("day").agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).select(
+        "day", "low", "high", F.floor((n + 1) / 2).alias("a"), (F.floor(n / 2) + 1).alias("b")), "ranges")
+    done = None
+    while True:
+        cell = F.when(F.col("low") == F.col("high"), 0).otherwise(
+            F.least(F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * CELLS), F.lit(CELLS - 1)))
+        counted = values.join(small_side(left), "day").where("value BETWEEN low AND high").groupBy(
+            "day", "a", "b", cell.alias("cell")).agg(
+            F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        before = Window.partitionBy("day").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counted.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+        def holds(rank: str) -> Column:
+            return (F.col(rank) > F.col("before")) & (F.col(rank) <= F.col("before") + F.col("n"))
+
+        first, second = (F.when(holds(r), F.struct("cell", "before", "low", "high")) for r in ("a", "b"))
+        middle = materialize(ranked.groupBy("day", "a", "b").agg(F.max(first).alias("x"), F.max(second).alias("y")), "middle")
+        apart = (F.col("x.cell") < F.col("y.cell")) | (F.col("x.low") == F.col("x.high"))
+        found = middle.where(apart).select("day", ((F.col("x.high") + F.col("y.low")) / 2).alias("median"))
+        done = found if done is None else done.union(found)
+        left = materialize(middle.where(~apart).select(
+            "day", "x.low", "x.high", (F.col("a") - F.col("x.before")).alias("a"), (F.col("b") - F.col("x.before")).alias("b")), "ranges")
+        if left.isEmpty():
+            return done
 
 
 def detect_crises(
@@ -88,8 +136,10 @@ def detect_crises(
     moves = quotes.select(
         "token_address", "dt", ((F.col("price_usd") - high) / high * 100.0).alias("return_pct")
     ).where(F.col("return_pct").isNotNull())
+    moves = materialize(moves, "moves")
     market = daily_median(moves, "dt", "return_pct").withColumnRenamed("median", "market_return_pct")
     wanted = (F.col("return_pct") <= max_return_pct) & (F.col("return_pct") - F.col("market_return_pct") <= max_excess_pct)
+    # One row per day at most, as many as the calendar has.
     moves = moves.join(market, "dt")
     columns = ["return_pct", "market_return_pct"]
     if max_drain_pct is not None:

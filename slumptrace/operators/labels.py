@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumptrace.constants import MIN_PROFIT_PCT, RECOVERY_DAYS
-from slumptrace.operators.scale import small_side
+from slumptrace.operators.scale import in_slices, materialize, small_side
 
 
 def buyer_rollup(buys: DataFrame) -> DataFrame:
@@ -61,47 +61,121 @@ def wallet_labels(
     )
 
 
+def hours_after(time: Column, crisis_date: Column, hours: tuple[int, int]) -> Column:
+    """Whether a time lies within these hours after the start of the crisis day, to the second and both included."""
+    crash = crisis_date.cast("timestamp")
+    return time.between(*[crash + F.make_interval(hours=F.lit(h)) for h in hours])
+
+
 def buys_after_crash(buys: DataFrame, events: DataFrame, from_hours: int = 12, to_hours: int = 84) -> DataFrame:
-    """Buys made ``from_hours`` to ``to_hours`` after the start of their crisis day, to the second and both included.
+    """Buys made ``from_hours`` to ``to_hours`` after the start of their crisis day.
 
     The buys must come from windows that reach as far; ``StageOneOptions.hours`` sees to that.
     """
-    crash = F.col("crisis_date").cast("timestamp")
-    start = crash + F.make_interval(hours=F.lit(from_hours))
-    end = crash + F.make_interval(hours=F.lit(to_hours))
     starts = small_side(events.select("crisis_id", "crisis_date"))
-    return buys.join(starts, "crisis_id").where(
-        F.col("first_buy_timestamp").between(start, end)
-    ).select(*buys.columns)
+    inside = hours_after(F.col("first_buy_timestamp"), F.col("crisis_date"), (from_hours, to_hours))
+    return buys.join(starts, "crisis_id").where(inside).select(*buys.columns)
+
 
+# A wallet and token with more trades than this are not walked through in one task.
+WALK_ROWS = 200_000
+_PAIR = ["wallet_address", "token_address"]
+_TIME = ["traded_at", "is_sale"]
 
-def realised_profit(trades: DataFrame, recovery_days: int = RECOVERY_DAYS) -> DataFrame:
+
+def realised_profit(
+    trades: DataFrame, recovery_days: int = RECOVERY_DAYS, rows: int | None = None, largest: int | None = None,
+    walk_rows: int | None = None,
+) -> DataFrame:
     """Profit of what a wallet sold again, per wallet and token, against its average cost up to each sale.
 
     ``trades`` has ``wallet_address, token_address, traded_at, bought, sold, price``, one of the amounts per row. A
     sale counts within ``recovery_days`` of the last buy before it, and closes no more than is held then: with ``B``
     bought and ``S`` sold so far, ``S + min(0, least B - S so far)`` has been closed. So running sums and one running
     minimum say it all, without a loop over the trades. Buys come before sales of the same moment.
+
+    ``rows`` and ``largest`` are the number of trades, and that of the busiest wallet and token, if they are known.
+    Where that one has more than ``walk_rows`` trades, the trades are cut into slices of wallet, token and time. Each
+    slice is reduced to a few numbers per wallet and token; added up over the slices before it they are the state in
+    which a slice begins, and it is walked through from there (:func:`_walk_slices`).
     """
+    walk_rows = WALK_ROWS if walk_rows is None else walk_rows
+    if largest is None or rows is None:
+        sizes = trades.groupBy(*_PAIR).count()
+        rows, largest = sizes.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
     bought, sold = [F.when(F.col(c) > 0, F.col(c)).otherwise(0.0) for c in ("bought", "sold")]
-    wallet = Window.partitionBy("wallet_address", "token_address").orderBy("traded_at", (F.col("sold") > 0).asc_nulls_first())
-    so_far = wallet.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last_buy = F.last(F.when(F.col("bought") > 0, F.to_date("traded_at")), ignorenulls=True).over(so_far)
-    keys = ["wallet_address", "token_address"]
-    steps = trades.select(
-        *keys, "traded_at", "price", bought.alias("bought"),
-        F.when(F.datediff(F.to_date("traded_at"), last_buy) <= recovery_days, sold).otherwise(0.0).alias("sold"))
-    steps = steps.withColumns({
-        "in_sum": F.sum("bought").over(so_far),
-        "cost_sum": F.sum(F.col("bought") * F.col("price")).over(so_far),
-        "out_sum": F.sum("sold").over(so_far),
-    })
-    short = F.min(F.when(F.col("sold") > 0, F.col("in_sum") - F.col("out_sum"))).over(so_far)
-    steps = steps.withColumn("closed_sum", F.col("out_sum") + F.least(F.lit(0.0), F.coalesce(short, F.lit(0.0))))
-    closed = F.col("closed_sum") - F.coalesce(F.lag("closed_sum").over(wallet), F.lit(0.0))
-    steps = steps.withColumn("closed", F.when(F.col("sold") > 0, closed).otherwise(0.0))
+    amounts = trades.select(
+        *_PAIR, "traded_at", F.coalesce(F.col("sold") > 0, F.lit(False)).alias("is_sale"), bought.alias("bought"),
+        sold.alias("sold"), "price")
+    if largest > walk_rows:
+        steps = _walk_slices(amounts, recovery_days, -(-rows // walk_rows))
+    else:
+        steps = _closed(_walk(amounts, _PAIR, recovery_days, F.lit(None)), *[F.lit(0.0)] * 3, F.lit(None))
     margin = F.col("price") - F.try_divide("cost_sum", "in_sum")
-    return steps.groupBy(*keys).agg(
+    return steps.groupBy(*_PAIR).agg(
         F.sum("bought").alias("bought_amount"), F.sum("sold").alias("sold_amount"), F.sum("closed").alias("closed_amount"),
         F.sum(F.when(F.col("closed") > 0, F.col("closed") * margin)).alias("realised_profit_usd"),
     ).where("closed_amount > 0")
+
+
+def _walk(amounts: DataFrame, part: list[str], recovery_days: int, last_before: Column) -> DataFrame:
+    """Running sums, running minimum of what is left, and both before each trade, from the first trade of a part on.
+
+    ``last_before`` is the day of the last buy before the part.
+    """
+    ordered = Window.partitionBy(*part).orderBy(*_TIME)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    day = F.to_date("traded_at")
+    last_buy = F.coalesce(F.last(F.when(F.col("bought") > 0, day), ignorenulls=True).over(so_far), last_before.cast("date"))
+    steps = amounts.withColumn(
+        "sold", F.when(F.datediff(day, last_buy) <= recovery_days, F.col("sold")).otherwise(0.0)).withColumns({
+            "in_sum": F.sum("bought").over(so_far),
+            "cost_sum": F.sum(F.col("bought") * F.col("price")).over(so_far),
+            "out_sum": F.sum("sold").over(so_far),
+        })
+    steps = steps.withColumn(
+        "short", F.min(F.when(F.col("sold") > 0, F.col("in_sum") - F.col("out_sum"))).over(so_far))
+    return steps.withColumns({
+        "out_before": F.coalesce(F.lag("out_sum").over(ordered), F.lit(0.0)), "short_before": F.lag("short").over(ordered)})
+
+
+def _closed(steps: DataFrame, start_in: Column, start_cost: Column, start_out: Column, start_short: Column) -> DataFrame:
+    """What each trade closes, for parts that begin with the given sums and the given least difference."""
+    held = start_in - start_out
+
+    def closed_sum(out: str, short: str) -> Column:
+        least = F.least(start_short.cast("double"), F.col(short) + held)
+        return start_out + F.col(out) + F.least(F.lit(0.0), F.coalesce(least, F.lit(0.0)))
+
+    closed = F.when(F.col("sold") > 0, closed_sum("out_sum", "short") - closed_sum("out_before", "short_before")).otherwise(0.0)
+    return steps.withColumns({
+        "closed": closed, "in_sum": F.col("in_sum") + start_in, "cost_sum": F.col("cost_sum") + start_cost})
+
+
+def _walk_slices(amounts: DataFrame, recovery_days: int, slices: int) -> DataFrame:
+    """The steps of :func:`_walk` and :func:`_closed`, slice by slice.
+
+    Sales count by the last buy before them, so its day is carried over first; sums and the least difference follow.
+    Only a wallet and token that lie in several slices begin anywhere but at nothing. There are two of these per slice
+    at most, one that goes on from the slice before and one that goes on in the next, so the states that are sent to
+    all tasks are few, however many wallets there are.
+    """
+    part = [*_PAIR, "_slice"]
+    sliced = in_slices(amounts, _PAIR, _TIME, slices, "trades")
+    group = Window.partitionBy(*_PAIR)
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+
+    def with_states(rows: DataFrame, states: DataFrame) -> DataFrame:
+        return rows.join(small_side(materialize(states.where("_slices > 1").drop("_slices"), "states"), 2 * slices), part, "left")
+
+    several = F.count("*").over(group).alias("_slices")
+    last = sliced.groupBy(*part).agg(F.max(F.when(F.col("bought") > 0, F.to_date("traded_at"))).alias("last"))
+    last = last.select(*part, F.max("last").over(earlier).alias("start_last"), several)
+    steps = materialize(_walk(with_states(sliced, last), part, recovery_days, F.col("start_last")).drop("start_last"), "walked")
+    sums = steps.groupBy(*part).agg(
+        F.sum("bought").alias("i"), F.sum(F.col("bought") * F.col("price")).alias("c"), F.sum("sold").alias("o"), F.min("short").alias("m"))
+    before = sums.select(*part, "m", several, *[
+        F.coalesce(F.sum(x).over(earlier), F.lit(0.0)).alias(name) for x, name in (("i", "start_in"), ("c", "start_cost"), ("o", "start_out"))])
+    before = before.withColumn("start_short", F.min(F.col("m") + F.col("start_in") - F.col("start_out")).over(earlier)).drop("m")
+    starts = [F.coalesce(c, F.lit(0.0)) for c in ("start_in", "start_cost", "start_out")]
+    return _closed(with_states(steps, before), *starts, F.col("start_short"))

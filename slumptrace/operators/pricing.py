@@ -62,6 +62,12 @@ def _merged(quotes: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def _beside(pairs: DataFrame, history: DataFrame) -> DataFrame:
+    """Pairs dealt out as the buckets of a stored price history are, which then need not move."""
+    buckets = readers.stored_buckets(history)
+    return pairs.repartition(buckets, "token_address") if buckets else pairs
+
+
 def asof_prices(history: DataFrame, days: BuyDays, clip_history: bool = True) -> DataFrame:
     """Per asked pair: the latest price up to that day, or else the token's first price.
 
@@ -69,7 +75,7 @@ def asof_prices(history: DataFrame, days: BuyDays, clip_history: bool = True) ->
     the last asked day are seen. Pairs of tokens without any price row are left out.
     """
     first, last = (days.first, days.last) if clip_history else (None, None)
-    rows = _merged(readers.prices(history, days.pairs, first, last, days.count), days.pairs)
+    rows = _merged(readers.prices(history, days.pairs, first, last, days.count), _beside(days.pairs, history))
     quote = F.when(~F.col("asked"), F.struct("dt", "price_usd"))
     token = Window.partitionBy("token_address")
     # On the same day the price row comes before the asked pair.
@@ -110,7 +116,7 @@ def peak_prices(history: DataFrame, days: BuyDays, recovery_days: int = RECOVERY
         (days.first + timedelta(days=1), days.last + timedelta(days=recovery_days)) if days.count else (None, None)
     )
     quotes = readers.prices(history, days.pairs, first, last, days.count)
-    rows = _merged(quotes.where(F.col("price_usd").isNotNull()), days.pairs)
+    rows = _merged(quotes.where(F.col("price_usd").isNotNull()), _beside(days.pairs, history))
     after = Window.partitionBy("token_address").orderBy(F.unix_date("dt")).rangeBetween(1, recovery_days)
     # The smallest negated price with the smallest day is the earliest peak.
     best = F.min(F.when(~F.col("asked"), F.struct((-F.col("price_usd")).alias("negated"), "dt"))).over(after)

@@ -39,6 +39,12 @@ def staging_folder(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging").rstrip("/")
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of any file system that Spark can write to; one that is not there is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def staged_run(spark: SparkSession) -> Iterator[str]:
     """A run whose intermediate tables lie in a folder of its own, which is deleted when the run is over.
@@ -51,8 +57,7 @@ def staged_run(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _RUN.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
 
 
 def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
@@ -60,12 +65,25 @@ def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
 
     Used where a result is needed more than once: it is neither computed again nor lost with an executor.
     With ``compact`` the few rows left over by each task of a large scan are gathered into files of a good size.
+    Outside of :func:`staged_run` the table stays until the session ends, as a lazy result may read it.
     """
     path = f"{staging_folder(df.sparkSession)}/{label}-{uuid4().hex}"
     (df.hint("rebalance") if compact else df).write.parquet(path)
+    if _RUN.get() is None:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(place)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int, label: str = "slices") -> DataFrame:
+    """``df`` stored in ranges of ``keys`` and ``order``, about equal in size, with the range of each row in ``_slice``.
+
+    A large group falls into several neighbouring slices; rows that are equal in all columns of the order stay together.
+    """
+    ranged = df.repartitionByRange(slices, *keys, *order)
+    return materialize(ranged.withColumn("_slice", F.spark_partition_id()), label)
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[Column],

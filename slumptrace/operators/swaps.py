@@ -13,7 +13,7 @@ from slumptrace.constants import TOKEN_DECIMALS
 from slumptrace.functions.hexdata import word_amount
 from slumptrace.functions.logs import PROTOCOLS, Protocol
 from slumptrace.functions.values import valid_wallet
-from slumptrace.operators.scale import number_rows, small_side
+from slumptrace.operators.scale import materialize, number_rows, small_side
 
 # "abi" reads the amounts paid out where the payload keeps them. "shifted" reads one word earlier, which
 # is needed to repeat results that were produced that way.
@@ -48,7 +48,8 @@ def latest(swaps: DataFrame, n: int) -> DataFrame:
 def with_sender(swaps: DataFrame, senders: DataFrame) -> DataFrame:
     """Add the sender of the transaction as the wallet; unknown transactions leave it null.
 
-    Senders that carry their ``block_date`` are joined by day and hash, so only the partitions of those days meet.
+    Senders that carry their ``block_date`` are joined by day and hash, so only the partitions of those days meet. Those
+    stored in buckets of their hash stay where they are when swaps are too many to be broadcast: only swaps move.
     """
     if "block_date" not in senders.columns:
         return swaps.join(senders, "transaction_hash", "left")
@@ -56,16 +57,50 @@ def with_sender(swaps: DataFrame, senders: DataFrame) -> DataFrame:
     return dated.join(senders, ["block_date", "transaction_hash"], "left").select(*swaps.columns, "wallet_address")
 
 
+def window_pieces(crisis_pools: DataFrame) -> DataFrame:
+    """Windows cut into pieces of a binary tree over the days: added ``level`` and ``piece``.
+
+    A piece of level ``l`` is the ``2 ** l`` days whose number, shifted right by ``l``, is ``piece``. A window is the
+    union of at most two pieces of each level, so one of ``n`` days has at most ``2 * log2(n) + 1`` of them. From the
+    bottom up, with the window as ``low <= day < high``, a level takes its first piece if that is a right half, and its last
+    if that is a left half; halves that belong together are left to the next level.
+    """
+    start, end = F.unix_date("window_start_date"), F.unix_date("window_end_date") + 1
+
+    def pieces(level: Column) -> Column:
+        # Bounds in units of the level, the lower one rounded up.
+        low = -F.call_function("shiftright", -start, level)
+        high = F.call_function("shiftright", end, level)
+        return F.array(
+            F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), F.struct(level.alias("level"), low.alias("piece"))),
+            F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), F.struct(level.alias("level"), (high - 1).alias("piece"))))
+
+    levels = F.sequence(F.lit(0), F.floor(F.log2(end - start)).cast("int"))
+    found = F.filter(F.flatten(F.transform(levels, pieces)), lambda x: x.isNotNull())
+    return crisis_pools.where("window_start_date <= window_end_date").select("*", F.inline(found))
+
+
 def in_windows(swaps: DataFrame, crisis_pools: DataFrame) -> DataFrame:
     """Swaps × crises of their pool, for block dates inside the window, both ends included.
 
-    A swap that falls in several windows is kept once for each. Windows are laid out over their days, so a swap
-    meets the crises of its day only, however many its pool has.
+    A swap that falls in several windows is kept once for each.
     """
-    days = crisis_pools.where("window_start_date <= window_end_date").select(
-        "*", F.explode(F.sequence("window_start_date", "window_end_date")).alias("block_date"))
-    dated = swaps.withColumn("block_date", F.to_date("block_timestamp"))
-    return dated.join(small_side(days), ["pool_address", "block_date"]).drop("block_date")
+    return in_pieces(swaps, materialize(window_pieces(crisis_pools), "pieces"))
+
+
+def in_pieces(swaps: DataFrame, pieces: DataFrame) -> DataFrame:
+    """:func:`in_windows` for windows that are stored in pieces.
+
+    A day lies in one piece of each level, and each window that holds the day has exactly one of these. So swaps of the
+    pools asked for are laid out over the levels that occur, and meet the windows of their day and no others: by
+    equality, however long the windows are and however many a pool has.
+    """
+    size, levels = pieces.agg(F.count("*"), F.array_sort(F.collect_set("level"))).first()
+    known = swaps.join(small_side(pieces.select("pool_address").distinct(), size), "pool_address", "left_semi")
+    day = F.unix_date(F.to_date("block_timestamp"))
+    above = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(day, k).alias("piece")) for k in levels or [0]])
+    laid = known.select("*", F.inline(above))
+    return laid.join(small_side(pieces, size), ["pool_address", "level", "piece"]).drop("level", "piece")
 
 
 # One scale for both tokens, or one for each.

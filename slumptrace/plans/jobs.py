@@ -18,16 +18,18 @@ from slumptrace.functions.logs import PROTOCOLS, Protocol
 from slumptrace.operators import crisis, labels, profit, quality
 from slumptrace.operators.pools import base_tokens, build_pools
 from slumptrace.operators.scale import materialize, staged_run
-from slumptrace.plans.stage_one import StageOneOptions, crisis_trades, stage_buys
-from slumptrace.plans.stage_two import Outcome, StageTwoOptions, rank_wallets
-from slumptrace.sources import catalog, readers
+from slumptrace.plans.stage_one import StageOneOptions, realised_trades, stage_buys
+from slumptrace.plans.stage_two import Outcome, StageTwoOptions, board_of, profitable_trades, rank_wallets
+from slumptrace.sources import catalog, logstore, readers
 from slumptrace.sources.sinks import write_table
 
 Sample = Callable[[DataFrame], None]
+# Transactions of one stored bucket.
+BUCKET_ROWS = 2_000_000
 
 
 def _table(spark: SparkSession, database: str, table: schemas.Table) -> DataFrame:
-    return readers.load(spark, f"{database}.{table.name}")
+    return readers.load_table(spark, database, table)
 
 
 @dataclass(frozen=True)
@@ -53,8 +55,9 @@ def prepare_pools(
     """Create the tables and fill the pool dimension from pair-created logs, from ``since`` on if given."""
     catalog.ensure_tables(spark, database, [schemas.POOLS] if drop else schemas.TABLES.values(), drop)
     events = readers.require_rows(_table(spark, database, schemas.CRISIS_EVENTS), "crisis events")
-    found = build_pools(readers.load(spark, logs), events, base_tokens(events, base), protocols, since)
-    return write_table(found, database, schemas.POOLS, dry_run=dry_run, on_empty="error")
+    with staged_run(spark):
+        found = build_pools(readers.load(spark, logs), events, base_tokens(events, base), protocols, since)
+        return write_table(found, database, schemas.POOLS, dry_run=dry_run, on_empty="error")
 
 
 def verify(spark: SparkSession, database: str, logs: str, since: str | None = None) -> QualityReport:
@@ -72,7 +75,9 @@ def verify(spark: SparkSession, database: str, logs: str, since: str | None = No
     completeness = quality.check_completeness(inputs)
     moves = quality.check_crisis_moves(events, history)
     activity = quality.pool_activity(readers.load(spark, logs), pools, since)
-    coverage = materialize(quality.pool_coverage(pools, activity), "coverage")
+    found = quality.pool_coverage(pools, activity)
+    # One row.
+    coverage = spark.createDataFrame(found.collect(), found.schema)
     passed = (
         completeness.where("NOT passed").isEmpty()
         and quality.crisis_moves_summary(moves).first()["passed"]
@@ -112,12 +117,23 @@ def stage_two(
     dry_run: bool = False,
     sample: Sample | None = None,
 ) -> Outcome:
-    """Estimate, rank and store the profitable trades. Missing buys or prices fail."""
+    """Estimate, rank and store the profitable trades. Missing buys or prices fail.
+
+    The outcome reads the stored trades. After a dry run, or without any trade, nothing is stored, and it reads
+    intermediate tables that last as long as the session.
+    """
     staged = readers.require_rows(_table(spark, database, schemas.STAGED_BUYS), "crisis buyers")
     history = readers.require_rows(_table(spark, database, schemas.PRICES), "price history")
-    outcome = rank_wallets(readers.staged_buys(staged), history, options)
-    write_table(outcome.trades, database, schemas.PROFITABLE_TRADES, dry_run=dry_run, sample=sample)
-    return outcome
+    if dry_run:
+        outcome = rank_wallets(readers.staged_buys(staged), history, options)
+        write_table(outcome.trades, database, schemas.PROFITABLE_TRADES, dry_run=True, sample=sample)
+        return outcome
+    with staged_run(spark):
+        trades = profitable_trades(readers.staged_buys(staged), history, options)
+        rows = write_table(trades, database, schemas.PROFITABLE_TRADES, sample=sample)
+    if rows == 0:
+        return board_of(catalog.empty(spark, schemas.PROFITABLE_TRADES), options)
+    return board_of(_table(spark, database, schemas.PROFITABLE_TRADES), options)
 
 
 def label_wallets(spark: SparkSession, database: str, dry_run: bool = False) -> int:
@@ -151,28 +167,47 @@ def realise(
     database: str,
     logs: str,
     transactions: str,
-    target: str,
     options: StageOneOptions = StageOneOptions(),
     recovery_days: int = RECOVERY_DAYS,
+    dry_run: bool = False,
 ) -> int:
-    """Write the realised profit per wallet and token to the Parquet folder ``target``; returns the rows."""
+    """Fill the table of realised profits per wallet and token; returns the rows. No profits only warns."""
     with staged_run(spark):
-        trades = crisis_trades(
+        found = realised_trades(
             readers.require_rows(_table(spark, database, schemas.CRISIS_EVENTS), "crisis events"),
             readers.require_rows(_table(spark, database, schemas.POOLS), "pools"),
             readers.load(spark, logs), readers.load(spark, transactions), _table(spark, database, schemas.PRICES),
             options, recovery_days)
-        labels.realised_profit(trades, recovery_days).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target).count()
+        return write_table(found, database, schemas.REALISED_PROFIT, dry_run=dry_run)
+
+
+def store_transactions(
+    spark: SparkSession, database: str, transactions: str, name: str = "stored_transactions", buckets: int | None = None
+) -> int:
+    """Store transactions in buckets of their hash, each one file, and return the number of buckets.
+
+    Joined to swaps by hash, a table stored so is read bucket by bucket and not shuffled; only swaps move. Without
+    ``buckets`` one holds about two million transactions. The table is replaced as a whole; only hash, sender and time
+    are kept.
+    """
+    source = readers.load(spark, transactions)
+    kept = source.select("hash", "from_address", *[c for c in ("block_timestamp",) if c in source.columns])
+    buckets = buckets or max(1, -(-kept.count() // BUCKET_ROWS))
+    catalog.ensure_database(spark, database)
+    kept.repartition(buckets, "hash").write.mode("overwrite").bucketBy(buckets, "hash").sortBy("hash").saveAsTable(f"{database}.{name}")
+    return buckets
 
 
 def store_logs(logs: DataFrame, target: str) -> None:
     """Lay raw logs out for the scans, once: lower-case addresses, ``topic0``, partitions by day sorted by address.
 
     Scans of such logs read the days they need, and skip row groups by topic and address. A busy day is written by
-    several tasks.
+    several tasks. Replaces ``target`` as a whole; :func:`append_logs` adds to a store.
     """
-    stored = logs.withColumns({
-        "address": F.lower("address"), "topic0": F.lower(F.get("topics", F.lit(0))), "block_date": F.to_date("block_timestamp")})
-    stored.repartitionByRange("block_date", "address", "block_timestamp").sortWithinPartitions(
-        "block_date", "topic0", "address").write.partitionBy("block_date").mode("overwrite").parquet(target)
+    logstore.laid_out(logstore.normalised(logs)).write.partitionBy("block_date").mode("overwrite").parquet(target)
+
+
+def append_logs(spark: SparkSession, source: str, store: str) -> int:
+    """Add raw logs to a store by day (:func:`logstore.append_logs`); returns how many were new."""
+    with staged_run(spark):
+        return logstore.append_logs(readers.load(spark, source), store)

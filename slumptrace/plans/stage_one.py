@@ -14,7 +14,7 @@ from slumptrace.functions.logs import PROTOCOLS, Protocol
 from slumptrace.functions.values import number, valid_key
 from slumptrace.operators import pools as pool_ops
 from slumptrace.operators import pricing, swaps
-from slumptrace.operators.labels import buys_after_crash
+from slumptrace.operators.labels import buys_after_crash, hours_after, realised_profit
 from slumptrace.operators.scale import materialize, small_side
 from slumptrace.schemas import STAGED_BUYS
 from slumptrace.sources import readers
@@ -80,17 +80,16 @@ def window_swaps(
 ) -> DataFrame:
     """Swaps of crisis pools inside the windows of their crises."""
     span = crisis_span(events) if span is None else span
-    crossed = materialize(
-        pool_ops.crisis_pools(readers.pools(pools), readers.crisis_events(events), span.count), "pools"
-    )
+    crossed = pool_ops.crisis_pools(readers.pools(pools), readers.crisis_events(events), span.count)
+    pieces = materialize(swaps.window_pieces(crossed), "pieces")
     topics = sorted({p.swap_topic for p in options.protocols})
     if options.latest is None:
         days = window_days(events) if "block_date" in logs.columns else None
         found = readers.swap_logs(logs, *scan_bounds(span, options), topics=topics, days=days)
     else:
         # The newest swaps are taken from the configured range, before windows are looked at.
-        found = swaps.latest(readers.swap_logs(logs, options.start, options.end, crossed, topics), options.latest)
-    return swaps.in_windows(found, crossed)
+        found = swaps.latest(readers.swap_logs(logs, options.start, options.end, pieces, topics), options.latest)
+    return swaps.in_pieces(found, pieces)
 
 
 def unpriced_buys(
@@ -138,43 +137,71 @@ def hour_windows(events: DataFrame, hours: tuple[int, int]) -> DataFrame:
         "window_start_date": F.date_add("crisis_date", first // 24), "window_end_date": F.date_add("crisis_date", last // 24)})
 
 
-def crisis_trades(
+def window_trades(
     events: DataFrame,
     pools: DataFrame,
     logs: DataFrame,
     transactions: DataFrame,
-    history: DataFrame,
     options: StageOneOptions = StageOneOptions(),
     recovery_days: int = RECOVERY_DAYS,
 ) -> DataFrame:
-    """Buys inside the windows and sales up to ``recovery_days`` after them, priced on their day, per wallet and token.
+    """Buys inside the windows and sales up to ``recovery_days`` after them, per wallet and token; stored.
 
-    A swap that several crises of a token see is one trade; it is a buy if any of their windows holds it.
+    A swap that several crises of a token see is one trade; it is a buy if any of their windows holds it. With
+    ``options.hours`` only buys of those hours after the start of the crisis day count.
     """
-    wider = events.withColumn("window_end_date", F.date_add("window_end_date", recovery_days)).withColumn(
-        "crisis_name", F.col("window_end_date").cast("string"))
+    if options.hours is not None:
+        events = hour_windows(events, options.hours)
+    wider = events.withColumn("window_end_date", F.date_add("window_end_date", recovery_days))
+    span = crisis_span(wider)
+    day = F.to_date("block_timestamp")
+    inside = day <= F.col("last_buy_date")
+    if options.hours is not None:
+        inside = inside & hours_after(F.col("block_timestamp").cast("timestamp"), F.col("crisis_date"), options.hours)
+    bounds = small_side(
+        events.select("crisis_id", "crisis_date", F.col("window_end_date").alias("last_buy_date")), span.count)
     decimals, topic = swaps.pool_decimals(pools, options.decimals), F.col("swap_topic")
-    end = F.date_sub(F.col("crisis_name").cast("date"), recovery_days)
-    found = window_swaps(wider, pools, logs, options).select(
-        "transaction_hash", "log_index", "pool_address", "crisis_token", "block_timestamp",
-        (F.to_date("block_timestamp") <= end).alias("inside"),
+    key = ["transaction_hash", "log_index", "pool_address", "crisis_token", "block_timestamp"]
+    found = window_swaps(wider, pools, logs, options, span).select(
+        *key, "crisis_id",
         swaps.bought_amount(options.decode, decimals, options.protocols, topic).alias("bought"),
         swaps.sold_amount(decimals, options.protocols, topic).alias("sold"),
-    ).groupBy("transaction_hash", "log_index", "pool_address", "crisis_token", "block_timestamp").agg(
-        F.max(F.when(F.col("inside"), F.col("bought"))).alias("bought"), F.max("sold").alias("sold"))
+    ).where("bought > 0 OR sold > 0").join(bounds, "crisis_id").groupBy(*key).agg(
+        F.max(F.when(inside, F.col("bought"))).alias("bought"), F.max("sold").alias("sold"))
     found = materialize(found.where("bought > 0 OR sold > 0"), "trades", compact=True)
     days = None
     if "block_date" in transactions.columns:
         days = sorted(r.day for r in found.select(F.to_date("block_timestamp").alias("day")).distinct().collect())
-    traded = swaps.by_valid_wallets(swaps.with_sender(found, readers.senders(transactions, days=days))).select(
+    traded = swaps.by_valid_wallets(swaps.with_sender(small_side(found), readers.senders(transactions, days=days))).select(
         "wallet_address", F.col("crisis_token").alias("token_address"),
         F.col("block_timestamp").cast("timestamp").alias("traded_at"), "bought", "sold")
-    traded = materialize(traded, "traded")
+    return materialize(traded, "traded")
+
+
+def price_trades(traded: DataFrame, history: DataFrame, default_price: float = DEFAULT_PRICE) -> DataFrame:
+    """Trades with the price of their token on their day."""
     priced = pricing.price_buys(
-        traded, history, clip_history=False, default_price=options.default_price, timestamp="traded_at", amount="bought")
+        traded, history, clip_history=False, default_price=default_price, timestamp="traded_at", amount="bought")
     return priced.withColumnRenamed("first_buy_price", "price").drop("total_usd_spent")
 
 
+def realised_trades(
+    events: DataFrame,
+    pools: DataFrame,
+    logs: DataFrame,
+    transactions: DataFrame,
+    history: DataFrame,
+    options: StageOneOptions = StageOneOptions(),
+    recovery_days: int = RECOVERY_DAYS,
+    walk_rows: int | None = None,
+) -> DataFrame:
+    """From raw logs to the realised profit per wallet and token."""
+    traded = window_trades(events, pools, logs, transactions, options, recovery_days)
+    sizes = traded.groupBy("wallet_address", "token_address").count()
+    rows, largest = sizes.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    return realised_profit(price_trades(traded, history, options.default_price), recovery_days, rows, largest, walk_rows)
+
+
 def format_buys(priced: DataFrame) -> DataFrame:
     """The columns and types of the staged table; rows without a usable key are dropped."""
     keys = [f.name for f in STAGED_BUYS.schema if f.dataType.simpleString() == "string"]

@@ -41,6 +41,17 @@ def rank_wallets(
     staged: DataFrame, history: DataFrame, options: StageTwoOptions = StageTwoOptions()
 ) -> Outcome:
     """Trades, leaderboard and the trades behind it; trades and leaderboard are computed once."""
-    trades = materialize(profitable_trades(staged, history, options), "trades")
-    board = materialize(profit.leaderboard(trades, options.top_n), "board")
+    return board_of(materialize(profitable_trades(staged, history, options), "trades"), options)
+
+
+def board_of(trades: DataFrame, options: StageTwoOptions = StageTwoOptions()) -> Outcome:
+    """Leaderboard of stored trades, and the trades behind it.
+
+    A board of a few rows is brought to the driver once and stays there; a long one is stored.
+    """
+    found = profit.leaderboard(trades, options.top_n)
+    if options.top_n <= 1_000:
+        board = trades.sparkSession.createDataFrame(found.collect(), found.schema)
+    else:
+        board = materialize(found, "board")
     return Outcome(trades, board, profit.leaderboard_trades(trades, board))

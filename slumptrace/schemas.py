@@ -1,4 +1,4 @@
-"""The six tables of the data model, declared once and used for DDL, sinks and empty frames."""
+"""The seven tables of the data model, declared once and used for DDL, sinks and empty frames."""
 
 from __future__ import annotations
 
@@ -18,6 +18,13 @@ class Table:
     schema: StructType
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    # Rows are hashed into so many buckets by the first clustering column, and sorted by all in each.
+    buckets: int = 0
+
+    @property
+    def addresses(self) -> list[str]:
+        """The columns that hold addresses, which are stored in lower case."""
+        return [f.name for f in self.schema if f.name.endswith("_address")]
 
     @property
     def required(self) -> list[str]:
@@ -72,10 +79,12 @@ PRICES = Table(
         _column("liquidity_usd", _DOUBLE, "Liquidity over all pools"),
         _column("high_24h_usd", _DOUBLE, "Highest price of the day"),
         _column("low_24h_usd", _DOUBLE, "Lowest price of the day"),
-        _column("dt", _DATE, "Day of the quote, also the partition"),
+        _column("dt", _DATE, "Day of the quote"),
     ]),
-    partition_by=("dt",),
+    # Prices are looked up by token, so a token's days lie together. Partitions by day as well would multiply the
+    # files by the days, and every lookup would open all of them.
     cluster_by=("token_address", "dt"),
+    buckets=16,
 )
 
 STAGED_BUYS = Table(
@@ -124,7 +133,20 @@ WALLET_LABELS = Table(
     ]),
 )
 
+REALISED_PROFIT = Table(
+    "fct_realised_profit",
+    "What wallets made by selling again within the recovery period, at average cost",
+    StructType([
+        _column("wallet_address", _TEXT, "Wallet", True),
+        _column("token_address", _TEXT, "Token bought and sold", True),
+        _column("bought_amount", _DOUBLE, "Tokens bought"),
+        _column("sold_amount", _DOUBLE, "Tokens sold within the recovery period of a buy"),
+        _column("closed_amount", _DOUBLE, "Tokens sold that were held"),
+        _column("realised_profit_usd", _DOUBLE, "Sum of price over average cost of what was closed"),
+    ]),
+)
+
 TABLES = {
     t.name: t
-    for t in (CRISIS_EVENTS, POOLS, PRICES, STAGED_BUYS, PROFITABLE_TRADES, WALLET_LABELS)
+    for t in (CRISIS_EVENTS, POOLS, PRICES, STAGED_BUYS, PROFITABLE_TRADES, WALLET_LABELS, REALISED_PROFIT)
 }

@@ -1,7 +1,7 @@
 """Scans of the input tables: needed columns only, normalised once, predicates next to the scan.
 
-Addresses of the small tables are lower-cased here. Those of logs are stored in lower case, so that a scan can skip by
-them. Everything behind a reader compares addresses with plain equality.
+Addresses are lower-cased here. Those of stored tables and logs are in lower case already and marked so; they are taken as
+they are, so that a scan can skip by them. Everything behind a reader compares addresses with plain equality.
 """
 
 from __future__ import annotations
@@ -21,13 +21,56 @@ from slumptrace.constants import (
 from slumptrace.functions.logs import has_topic
 from slumptrace.functions.values import number
 from slumptrace.operators.scale import small_side
+from slumptrace.schemas import Table
+from slumptrace.sources.catalog import is_normalised
+
+# Notes on columns of stored tables.
+_LOWER, _BUCKETS = "lower_case", "buckets"
 
 
 def load(spark: SparkSession, source: str) -> DataFrame:
-    """A catalog table by name, or a Parquet folder by path."""
+    """A catalog table by name, or a Parquet folder by path. A folder of ``logstore`` is read by its manifest."""
+    if "/" in source:
+        from slumptrace.sources import logstore
+
+        if logstore.manifests(spark, source.rstrip("/")):
+            return logstore.load_logs(spark, source.rstrip("/"))
     return spark.read.parquet(source) if "/" in source else spark.table(source)
 
 
+def load_table(spark: SparkSession, database: str, table: Table) -> DataFrame:
+    """A table of the data model. What the sink has stored of it is marked, so that readers can rely on it."""
+    df = spark.table(f"{database}.{table.name}")
+    return mark_stored(df, table) if is_normalised(spark, database, table.name) else df
+
+
+def mark_stored(df: DataFrame, table: Table) -> DataFrame:
+    """Note on each address column that it is in lower case, and how many buckets the rows lie in by it."""
+    for name in table.addresses:
+        held = table.buckets if table.cluster_by[:1] == (name,) else 0
+        df = df.withMetadata(name, {_LOWER: True, _BUCKETS: held})
+    return df
+
+
+def mark_lower(df: DataFrame, name: str) -> DataFrame:
+    """Note on a column that it is in lower case. The note is written to Parquet files and read back with them."""
+    return df.withMetadata(name, {_LOWER: True})
+
+
+def lower_address(df: DataFrame, name: str = "token_address") -> Column:
+    """The address in lower case; one that is marked so is taken as it is, which keeps its buckets."""
+    return F.col(name) if _is_lower(df, name) else F.lower(name).alias(name)
+
+
+def _is_lower(df: DataFrame, name: str) -> bool:
+    return df.schema[name].metadata.get(_LOWER, False)
+
+
+def stored_buckets(df: DataFrame, name: str = "token_address") -> int:
+    """How many buckets the rows lie in by this column; 0 if that is not known."""
+    return df.schema[name].metadata.get(_BUCKETS, 0) if name in df.columns else 0
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Fail when an input that must not be empty is; for job runners, as it starts a small job."""
     if df.isEmpty():
@@ -96,7 +139,9 @@ def _topic_in(logs: DataFrame, topics: Sequence[str]) -> Column:
     # A stored copy of the first topic lets Parquet skip row groups, which an array element cannot.
     if "topic0" in logs.columns:
         return F.col("topic0").isin(list(topics))
-    return reduce(or_, [has_topic(F.col("topics"), topic) for topic in topics])
+    if _is_lower(logs, "address"):
+        return reduce(or_, [has_topic(F.col("topics"), topic) for topic in topics])
+    return F.lower(F.get("topics", F.lit(0))).isin([t.lower() for t in topics])
 
 
 def swap_logs(
@@ -109,8 +154,8 @@ def swap_logs(
 ) -> DataFrame:
     """Swap events of a time range, of the pools in ``pool_keys`` if given; all of them without bounds.
 
-    Addresses are compared as stored, so logs must be lower-case: ``jobs.store_logs`` makes them so, once. Logs laid
-    out by it are partitioned by ``block_date``; then only the ``days`` asked for are read.
+    Logs laid out by ``jobs.store_logs`` or ``logstore.append_logs`` are in lower case and partitioned by ``block_date``;
+    then only the ``days`` asked for are read. Raw logs are lower-cased as they are read.
     """
     if days is not None and "block_date" in logs.columns:
         logs = logs.where(F.col("block_date").isin(list(days)))
@@ -118,7 +163,7 @@ def swap_logs(
         "block_timestamp",
         "transaction_hash",
         "log_index",
-        F.col("address").alias("pool_address"),
+        lower_address(logs, "address").alias("pool_address"),
         (F.col("topic0") if "topic0" in logs.columns else F.get("topics", F.lit(0))).alias("swap_topic"),
         *[c for c in ("topics",) if c in logs.columns],
         "data",
@@ -155,10 +200,11 @@ def factory_logs(
     topics: Sequence[str] = (PAIR_CREATED_TOPIC,),
     since: str | datetime | None = None,
 ) -> DataFrame:
-    """Pair-created events of the known factories, from ``since`` on if given. Addresses are compared as stored."""
-    wanted = logs.where(F.col("address").isin(list(factories)) & _topic_in(logs, topics))
+    """Pair-created events of the known factories, from ``since`` on if given."""
+    address = lower_address(logs, "address")
+    wanted = logs.where(address.isin(list(factories)) & _topic_in(logs, topics))
     return between_times(wanted, "block_timestamp", since, None).select(
-        "block_timestamp", "address", "topics", "data"
+        "block_timestamp", address.alias("address"), "topics", "data"
     )
 
 
@@ -174,7 +220,7 @@ def prices(
     ``token_rows`` is the number of rows in ``tokens``, if it has been measured. NaN becomes null. Of several rows for one token and day the highest price counts.
     """
     quotes = history.select(
-        F.lower("token_address").alias("token_address"),
+        lower_address(history),
         F.col("dt").cast("date").alias("dt"),
         number(F.col("price_usd")).alias("price_usd"),
     )

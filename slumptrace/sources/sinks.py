@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType,
     TimestampNTZType, TimestampType,
 )
 
-from slumptrace.operators.scale import materialize
+from slumptrace.operators.scale import delete_folder, materialize
 from slumptrace.schemas import Table
-from slumptrace.sources.catalog import ensure_tables
+from slumptrace.sources.catalog import NORMALISED, drop_table, ensure_tables, location, partitions_by_folder, table_ddl
 
 log = logging.getLogger(__name__)
 
+# The folder beside a table's first one that holds its later versions.
+_VERSIONS = "-versions"
+
 # Types of one kind may be cast into each other.
 _KINDS = ((StringType,), (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType),
           (DateType,), (TimestampType, TimestampNTZType))
@@ -38,18 +42,23 @@ def require_schema(df: DataFrame, table: Table, optional: bool = False) -> None:
 
 
 def conform(df: DataFrame, table: Table) -> DataFrame:
-    """The columns of ``table`` in its order and types. Columns missing in ``df`` become null."""
-    return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in table.schema
-    ])
+    """The columns of ``table`` in its order and types, addresses in lower case. Columns missing in ``df`` become null."""
+    def value(name: str) -> Column:
+        if name not in df.columns:
+            return F.lit(None)
+        return F.lower(name) if name in table.addresses else F.col(name)
+
+    return df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
 
 
 def laid_out(df: DataFrame, table: Table) -> DataFrame:
     """Rows in ranges of the partition and clustering columns, so files are few and skip well.
 
-    Ranges also cut a busy day into several tasks, which hashing the day would not.
+    Ranges also cut a busy day into several tasks, which hashing the day would not. Buckets are dealt out by their own
+    column, one file for each.
     """
+    if table.buckets:
+        return df.repartition(table.buckets, table.cluster_by[0]).sortWithinPartitions(*table.cluster_by)
     keys = list(dict.fromkeys([*table.partition_by, *table.cluster_by]))
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
 
@@ -96,7 +105,35 @@ def write_table(
     if dry_run:
         log.info("dry run: %d rows for %s not written", rows, table.name)
         return rows
-    ensure_tables(spark, database, [table])
-    # INSERT OVERWRITE keeps comments and layout of the declared table.
-    laid_out(staged, table).write.insertInto(f"{database}.{table.name}", overwrite=True)
+    replace_contents(staged, database, table)
     return rows
+
+
+def replace_contents(df: DataFrame, database: str, table: Table) -> None:
+    """Write ``df`` to a folder of its own and then point the table to it.
+
+    The table shows its old rows until all new ones are written, and after a failure. The switch is one change in the
+    catalog; the folder it leaves is deleted afterwards.
+    """
+    spark = df.sparkSession
+    ensure_tables(spark, database, [table])
+    old = location(spark, database, table.name)
+    version = uuid4().hex
+    parent = old.rsplit("/", 1)[0] if f"/{table.name}{_VERSIONS}/" in old else f"{old}{_VERSIONS}"
+    new, draft = f"{parent}/{version}", f"{table.name}_{version}"
+    full = f"{database}.{table.name}"
+    try:
+        with partitions_by_folder(spark):
+            spark.sql(table_ddl(table, database, draft, new))
+        # A table of the same declaration, so that partitions and buckets are laid out as declared.
+        laid_out(df, table).write.insertInto(f"{database}.{draft}", overwrite=True)
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{new}'")
+    except BaseException:
+        drop_table(spark, database, draft)
+        delete_folder(spark, new)
+        raise
+    # The draft names its place itself, so its files stay.
+    drop_table(spark, database, draft)
+    spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{NORMALISED}' = 'lower')")
+    spark.catalog.refreshTable(full)
+    delete_folder(spark, old)

@@ -245,6 +245,14 @@ STEPS = {
           ON o.wallet_address = w.wallet_address AND o.token_address = w.token_address AND o.n = w.n + 1""",
 }
 
+# The same trades where only the hours 12 to 84 after the start of the crisis day count as buys.
+for _step in ("o_traded", "o_valued", "o_ordered", "o_walk"):
+    STEPS[f"{_step}_hours"] = re.sub(r"\bo_(traded|valued|ordered|walk)\b", r"o_\1_hours", STEPS[_step])
+STEPS["o_traded_hours"] = STEPS["o_traded_hours"].replace(
+    "CAST(block_timestamp AS DATE) BETWEEN window_start_date AND window_end_date)",
+    "block_timestamp BETWEEN CAST(crisis_date AS TIMESTAMP) + INTERVAL 12 HOUR AND CAST(crisis_date AS TIMESTAMP) + INTERVAL 84 HOUR)"
+).replace("window_start_date AND window_end_date + 90", "crisis_date AND crisis_date + 93")
+
 _PRICED = (
     "crisis_id, wallet_address, token_address, first_buy_timestamp, first_buy_price, total_amount_bought"
 )
@@ -390,6 +398,13 @@ SELECTS = {
         SELECT count(*) AS row_count, count(DISTINCT l_orderkey) AS distinct_l_orderkey,
                count(DISTINCT l_suppkey) AS distinct_l_suppkey, count(DISTINCT l_shipdate) AS distinct_l_shipdate
         FROM lineitem""",
+    "distinct_counts_sketched": """
+        SELECT count(*) AS row_count, count(*) AS days_rows, count(DISTINCT l_orderkey) AS distinct_l_orderkey,
+               count(DISTINCT l_suppkey) AS distinct_l_suppkey, count(DISTINCT l_partkey) AS distinct_l_partkey,
+               true AS close_l_orderkey, true AS close_l_suppkey, true AS close_l_partkey
+        FROM lineitem""",
+    "sample_crises": "SELECT * FROM fx_events ORDER BY md5(concat('7:', crisis_id)) LIMIT 2",
+    "daily_median_move": "SELECT dt, round(median(price_usd), 6) AS median FROM fx_prices GROUP BY dt",
     "validate_buys": _violations([
         ("present", "crisis_id", "0"), ("not_null", "crisis_id", _null_count("crisis_id")),
         ("present", "wallet_address", "0"), ("not_null", "wallet_address", _null_count("wallet_address")),
@@ -481,6 +496,11 @@ SELECTS = {
         FROM o_walk GROUP BY wallet_address, token_address HAVING arg_max(closed, n) > 0""",
 }
 
+SELECTS["swap_sender_join_stored"] = SELECTS["swap_sender_join"]
+SELECTS["asof_price_stored"] = SELECTS["asof_price_full"]
+SELECTS["realised_profit_sliced"] = SELECTS["realised_profit"]
+SELECTS["realised_profit_hours"] = SELECTS["realised_profit"].replace("o_walk", "o_walk_hours")
+
 
 def _needed(text: str, found: set[str]) -> set[str]:
     for name in set(re.findall(r"\b(?:fx|o)_\w+", text)) & STEPS.keys() - found:

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from slumptrace.functions.logs import PROTOCOLS, Protocol, register_sql_functions
 from slumptrace.operators import crisis, labels, pools, pricing, profit, quality, swaps
 from slumptrace.operators.scale import materialize, staging_folder
-from slumptrace.plans import stage_one, stage_two
+from slumptrace.plans import jobs, stage_one, stage_two
 from slumptrace.plans.stage_one import StageOneOptions
-from slumptrace.schemas import STAGED_BUYS
+from slumptrace.schemas import PRICES, STAGED_BUYS
 from slumptrace.sources import catalog, readers
 from slumptrace.sources.sinks import write_table
 from slumptrace.workload.views import TEST_TABLES, Fixture
@@ -33,6 +33,13 @@ def query(build: Callable[[Fixture], DataFrame]) -> Callable[[Fixture], DataFram
     return build
 
 
+def _own_database(fx: Fixture) -> str:
+    """A new database in the staging folder."""
+    database = f"own_{uuid4().hex}"
+    catalog.ensure_database(fx.spark, database, f"{staging_folder(fx.spark)}/{database}")
+    return database
+
+
 def _times(df: DataFrame) -> DataFrame:
     """Times without zone become instants, the type the tables declare."""
     return df.withColumns({
@@ -89,6 +96,17 @@ def swap_sender_join(fx: Fixture) -> DataFrame:
     return _times(swaps.by_valid_wallets(swaps.with_sender(found, readers.senders(fx.transactions))))
 
 
+@query
+def swap_sender_join_stored(fx: Fixture) -> DataFrame:
+    """The same from transactions that are stored in buckets of their hash."""
+    database = _own_database(fx)
+    fx.transactions.write.parquet(path := f"{staging_folder(fx.spark)}/transactions-{uuid4().hex}")
+    jobs.store_transactions(fx.spark, database, path, buckets=16)
+    found = readers.swap_logs(fx.logs).drop("topics", "data", "swap_topic")
+    senders = readers.senders(fx.spark.table(f"{database}.stored_transactions"))
+    return _times(swaps.by_valid_wallets(swaps.with_sender(found, senders)))
+
+
 def _window_swaps(fx: Fixture) -> DataFrame:
     return stage_one.window_swaps(fx.events, fx.pools, fx.logs)
 
@@ -168,6 +186,15 @@ def stage_buys_latest(fx: Fixture) -> DataFrame:
     return _staged(fx, fx.prices, start=SCAN_FROM, end=SCAN_UNTIL, latest=LATEST)
 
 
+@query
+def asof_price_stored(fx: Fixture) -> DataFrame:
+    """As-of prices over the declared price table, whose buckets stay where they are."""
+    database = _own_database(fx)
+    write_table(fx.prices, database, PRICES, fill_missing=True)
+    history = readers.load_table(fx.spark, database, PRICES)
+    return pricing.price_buys(materialize(_buys(fx), "buys"), history, clip_history=False).select(*_PRICED)
+
+
 # Stage two
 
 
@@ -320,6 +347,28 @@ def distinct_counts(fx: Fixture) -> DataFrame:
     return quality.distinct_counts(fx.raw("lineitem"), "l_orderkey", "l_suppkey", "l_shipdate")
 
 
+@query
+def distinct_counts_sketched(fx: Fixture) -> DataFrame:
+    """Exact counts of distinct values, and whether those from the sketches of all days are as close as stated."""
+    columns = ("l_orderkey", "l_suppkey", "l_partkey")
+    lines = fx.raw("lineitem")
+    sketches = materialize(quality.daily_sketches(lines, "l_shipdate", *columns), "sketches")
+    near = quality.distinct_estimates(sketches, *columns).select(
+        F.col("row_count").alias("days_rows"), *[F.col(f"distinct_{c}").alias(f"near_{c}") for c in columns])
+    # One row each.
+    both = quality.distinct_counts(lines, *columns).unionByName(near, allowMissingColumns=True)
+    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return both.select("row_count", "days_rows", *[f"distinct_{c}" for c in columns], *[
+        (F.abs(F.col(f"near_{c}") - F.col(f"distinct_{c}")) <= quality.SKETCH_BOUND * F.col(f"distinct_{c}")).alias(f"close_{c}")
+        for c in columns])
+
+
+@query
+def sample_crises(fx: Fixture) -> DataFrame:
+    """Two crises to look at, the same ones for everybody."""
+    return quality.sample_rows(fx.events, 2, seed=7, key="crisis_id")
+
+
 @query
 def validate_buys(fx: Fixture) -> DataFrame:
     return quality.validate_buys(fx.broken_buys)
@@ -353,6 +402,13 @@ def detect_crises(fx: Fixture) -> DataFrame:
 _ROUNDED = ("return_pct", "market_return_pct", "drain_pct")
 
 
+@query
+def daily_median_move(fx: Fixture) -> DataFrame:
+    """The median price of a day by narrowing, as for days of any size."""
+    quotes = materialize(readers.prices(fx.prices), "quotes")
+    return crisis.daily_median(quotes, "dt", "price_usd", most=0).withColumn("median", F.round("median", 6))
+
+
 @query
 def detect_crises_drain(fx: Fixture) -> DataFrame:
     return crisis.detect_crises(fx.prices, max_drain_pct=-60.0).withColumns({c: F.round(c, 6) for c in _ROUNDED})
@@ -385,8 +441,7 @@ def word_topk(fx: Fixture) -> DataFrame:
 
 @query
 def write_roundtrip(fx: Fixture) -> DataFrame:
-    database = f"roundtrip_{uuid4().hex}"
-    catalog.ensure_database(fx.spark, database, f"{staging_folder(fx.spark)}/{database}")
+    database = _own_database(fx)
     write_table(_staged(fx, fx.prices), database, STAGED_BUYS, validate=quality.require_valid, on_empty="error")
     return readers.staged_buys(readers.load(fx.spark, f"{database}.{STAGED_BUYS.name}"))
 
@@ -417,11 +472,28 @@ def buys_after_crash(fx: Fixture) -> DataFrame:
     return _buys(fx, hours=(12, 84))
 
 
-@query
-def realised_profit(fx: Fixture) -> DataFrame:
-    """What wallets made of their buys by selling within 90 days, at average cost."""
-    trades = stage_one.crisis_trades(fx.events, fx.pools, fx.logs, fx.transactions, fx.stored_prices)
-    return labels.realised_profit(trades).withColumns({
+def _realised(fx: Fixture, walk_rows: int | None = None, **options) -> DataFrame:
+    return stage_one.realised_trades(
+        fx.events, fx.pools, fx.logs, fx.transactions, fx.stored_prices, StageOneOptions(**options), walk_rows=walk_rows
+    ).withColumns({
         **{c: F.round(c, 3) for c in ("bought_amount", "sold_amount", "closed_amount")},
         "realised_profit_usd": F.round("realised_profit_usd", 2),
     })
+
+
+@query
+def realised_profit(fx: Fixture) -> DataFrame:
+    """What wallets made of their buys by selling within 90 days, at average cost."""
+    return _realised(fx)
+
+
+@query
+def realised_profit_sliced(fx: Fixture) -> DataFrame:
+    """The same where every wallet with more than three trades of a token lies in slices."""
+    return _realised(fx, walk_rows=3)
+
+
+@query
+def realised_profit_hours(fx: Fixture) -> DataFrame:
+    """The same for buys of the hours 12 to 84 after the start of the crisis day."""
+    return _realised(fx, hours=(12, 84))

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from slumptrace.constants import PAIR_CREATED_TOPIC, PAIR_FACTORY, SWAP_TOPIC, ZERO_ADDRESS
 from slumptrace.operators.scale import materialize
-from slumptrace.sources.readers import load
+from slumptrace.sources.readers import load, mark_lower
 
 
 # The keys of the test tables are never null. Saying so spares a null check that computes the key again.
@@ -157,7 +157,8 @@ class Fixture:
 
     @cached_property
     def logs(self) -> DataFrame:
-        return self.view("fx_logs")
+        # Stands for stored logs, whose addresses are in lower case.
+        return mark_lower(self.view("fx_logs"), "address")
 
     @cached_property
     def prices(self) -> DataFrame:

@@ -185,15 +185,95 @@ def test_realised_profit_equals_a_walk(frame):
     assert got == walk(trades, 10)
 
 
-@pytest.mark.parametrize("task_rows", [scale.TASK_ROWS, 3])
-def test_daily_median(frame, monkeypatch, task_rows):
+@pytest.mark.parametrize("walk_rows", [1, 3, 50])
+def test_realised_profit_in_slices(frame, walk_rows):
+    """Slices of a few trades: buys, sales too late, and sales of more than is held, on either side of every cut."""
+    rng = random.Random(walk_rows)
+    trades, prices = [], {}
+    for _ in range(400):
+        when = at(f"2022-0{rng.randrange(1, 6)}-{rng.randrange(1, 28):02} {rng.randrange(24):02}:00:00")
+        token, buys = rng.choice("TU"), rng.random() < 0.4
+        trades.append((rng.choice("aaaab"), token, when, float(rng.randrange(1, 9)) if buys else None,
+                       None if buys else float(rng.randrange(1, 9)), prices.setdefault((token, when), float(rng.randrange(1, 20)))))
+    got = labels.realised_profit(frame(TRADED, *trades), 4, walk_rows=walk_rows)
+    assert [(*r[:2], *(round(x, 6) for x in r[2:])) for r in rows(got)] == walk(trades, 4)
+
+
+def test_a_busy_wallet_is_walked_by_many_tasks(spark):
+    """One wallet with a million trades: no task walks through more than a few slices' worth of them."""
+    trades = spark.range(1_000_000).selectExpr(
+        "'bot' AS wallet_address", "'T' AS token_address", "timestamp_seconds(1600000000 + id * 7) AS traded_at",
+        "CASE WHEN id % 3 = 0 THEN 4.0D END AS bought", "CASE WHEN id % 3 <> 0 THEN 2.0D END AS sold", "double(1 + id % 7) AS price")
+    sliced = labels.realised_profit(trades, 90, walk_rows=50_000)
+    plain = labels.realised_profit(trades, 90, walk_rows=10_000_000)
+    assert [tuple(round(x, 3) if isinstance(x, float) else x for x in r) for r in sliced.collect()] == [
+        tuple(round(x, 3) if isinstance(x, float) else x for x in r) for r in plain.collect()]
+    cut = scale.in_slices(trades.select("wallet_address", "token_address", "traded_at"), ["wallet_address", "token_address"], ["traded_at"], 20)
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 150_000
+
+
+def test_realised_profit_of_nothing(frame):
+    assert labels.realised_profit(frame(TRADED)).collect() == []
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_daily_median(frame, most):
     import statistics
 
-    monkeypatch.setattr(scale, "TASK_ROWS", task_rows)
     rng = random.Random(1)
     data = [(day(f"2022-01-0{d}"), float(rng.randrange(20))) for d in range(1, 6) for _ in range(d * 3)] + [(day("2022-01-09"), None)]
+    data += [(day("2022-02-01"), v) for v in (5.0,) * 40] + [(day("2022-02-02"), v) for v in (-1e12, 1.0, 1.0 + 1e-9, 1.0 + 2e-9, 3.0, 1e15)]
+    data += [(day("2022-02-03"), rng.gauss(0, 1)) for _ in range(3_001)]
     expected = {d: statistics.median(v for e, v in data if e == d) for d in {e for e, v in data if v is not None}}
-    assert {r.dt: r["median"] for r in crisis.daily_median(frame("dt date, v double", *data), "dt", "v").collect()} == expected
+    got = crisis.daily_median(frame("dt date, v double", *data), "dt", "v", most)
+    assert {r.dt: r["median"] for r in got.collect()} == pytest.approx(expected, rel=1e-15)
+    assert crisis.daily_median(frame("dt date, v double", (day("2022-01-01"), None)), "dt", "v", most).collect() == []
+
+
+def test_samples_do_not_depend_on_partitions(frame):
+    df = frame("k long, v string", *[(k, "x") for k in range(500)], (None, "y"))
+    picked = [sorted(r.k for r in quality.sample_rows(df.repartition(p), 9, seed=3).collect()) for p in (1, 4, 30)]
+    assert picked[0] == picked[1] == picked[2] and len(set(picked[0])) == 9
+    assert picked[0] != sorted(r.k for r in quality.sample_rows(df, 9, seed=4).collect())
+    assert quality.sample_rows(df, 1_000).count() == 501
+
+
+def test_sketches_add_up(spark):
+    df = spark.range(60_000).selectExpr("id % 20000 AS a", "id % 7 AS b", "timestamp_seconds(1600000000 + id * 20) AS t")
+    sketches = quality.daily_sketches(df, "t", "a", "b")
+    whole = quality.distinct_estimates(sketches, "a", "b").first()
+    assert whole.row_count == 60_000 and whole.distinct_b == 7
+    assert abs(whole.distinct_a - 20_000) <= quality.SKETCH_BOUND * 20_000
+    one = quality.distinct_estimates(sketches, "a", first="2020-09-15", last="2020-09-15").first()
+    true = df.where("to_date(t) = '2020-09-15'")
+    assert one.row_count == true.count() and abs(one.distinct_a - true.count()) <= quality.SKETCH_BOUND * true.count()
+    assert tuple(quality.distinct_estimates(sketches, "a", first="2030-01-01").first()) == (0, 0)
+
+
+def test_activity_is_filtered_before_it_is_counted(frame, monkeypatch):
+    logs = frame(LOGS, *[swap(f"2020-01-0{d}", "t", p, "0x") for d in range(1, 8) for p in ("p1", "p2", "other")])
+    pools = frame("pool_address string", ("P1",), ("p2",), ("p9",), (None,))
+    expected = [("p1", 7, at("2020-01-01"), at("2020-01-07")), ("p2", 7, at("2020-01-01"), at("2020-01-07"))]
+    named = quality.pool_activity(logs, pools)
+    assert rows(named) == expected and "Join" not in named._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(quality, "NAMED_POOLS", 1)
+    joined = quality.pool_activity(logs, pools)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(joined) == expected and plan.index("Aggregate") < plan.index("Join LeftSemi")
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 0)
+    shuffled = quality.pool_activity(logs, pools)
+    plan = shuffled._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(shuffled) == expected and plan.index("Join LeftSemi") < plan.index("Aggregate")
+
+
+def test_activity_skips_by_address(spark, frame, tmp_path):
+    from slumptrace.plans.jobs import store_logs
+
+    store_logs(frame(LOGS, swap("2020-01-02", "t", "P1", "0x"), swap("2020-01-02", "t", "p2", "0x")), str(tmp_path / "logs"))
+    found = quality.pool_activity(spark.read.parquet(str(tmp_path / "logs")), frame("pool_address string", ("p1",)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(address,p1)" in plan and rows(found, "pool_address") == [("p1",)]
 
 
 def test_nan_prices_are_no_profit(frame):

@@ -83,6 +83,59 @@ def test_nothing_is_written_when_a_check_fails_or_on_a_dry_run(spark, frame, dat
     assert rows(spark.table(f"{database}.stg_crisis_buyers"), "wallet_address") == [("kept",)]
 
 
+def test_a_write_that_fails_midway_leaves_the_old_rows(spark, frame, database, monkeypatch):
+    """The switch comes last: until then, and after a failure, the old version is the table."""
+    import os
+
+    old = frame(PRICES, ("A", 1.0, day("2022-01-01")), ("b", 2.0, day("2022-01-02")))
+    sinks.write_table(old, database, schemas.PRICES, fill_missing=True)
+    place = catalog.location(spark, database, schemas.PRICES.name)
+    new = frame(PRICES, *[("c", float(k), day(f"2022-02-{k:02}")) for k in range(1, 20)])
+    monkeypatch.setattr(sinks, "laid_out", lambda df, table: df.repartition(4).withColumn(
+        "price_usd", F.when(F.col("price_usd") == 7.0, F.raise_error(F.lit("lost"))).otherwise(F.col("price_usd")).cast("double")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_table(new, database, schemas.PRICES, fill_missing=True)
+    assert rows(spark.table(f"{database}.dim_token_price_history"), "token_address", "price_usd") == [("a", 1.0), ("b", 2.0)]
+    monkeypatch.undo()
+    assert catalog.list_tables(spark, database) == [schemas.PRICES.name]
+    sinks.write_table(new, database, schemas.PRICES, fill_missing=True)
+    assert spark.table(f"{database}.dim_token_price_history").count() == 19
+    now = catalog.location(spark, database, schemas.PRICES.name)
+    folder = now.replace("file:", "")
+    assert now != place and not os.path.exists(place.replace("file:", "")) and os.listdir(os.path.dirname(folder)) == [os.path.basename(folder)]
+    assert catalog.list_tables(spark, database) == [schemas.PRICES.name]
+    catalog.ensure_tables(spark, database, [schemas.PRICES], drop=True)
+    assert spark.table(f"{database}.dim_token_price_history").count() == 0
+
+
+def test_declared_buckets(spark, frame, database):
+    catalog.ensure_tables(spark, database, [schemas.PRICES])
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {database}.dim_token_price_history").collect()}
+    assert (described["Num Buckets"], described["Bucket Columns"], described["Sort Columns"]) == (
+        "16", "[`token_address`]", "[`token_address`, `dt`]")
+    assert not catalog.is_normalised(spark, database, schemas.PRICES.name)
+
+
+def test_stored_prices_are_not_shuffled(spark, frame, database, monkeypatch):
+    from slumptrace.operators import pricing
+
+    quotes = [(t, float(k), day(f"2022-01-{k:02}")) for t in ("A", "b", "c") for k in range(1, 29)]
+    sinks.write_table(frame(PRICES, *quotes), database, schemas.PRICES, fill_missing=True)
+    history = readers.load_table(spark, database, schemas.PRICES)
+    buys = frame(BUYS, *[buy("w", f"2022-01-{k:02} 10:00:00", None, 1.0, token=t) for t in ("a", "c", "z") for k in (3, 9, 30)])
+    days = pricing.buy_days(buys)
+    for found, plain in ((pricing.asof_prices(history, days), pricing.asof_prices(frame(PRICES, *quotes), days)),
+                         (pricing.peak_prices(history, days, 5), pricing.peak_prices(frame(PRICES, *quotes), days, 5))):
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        scan = next(i for i, line in enumerate(plan) if "FileScan" in line and "price_usd" in line)
+        assert "Bucketed: true" in plan[scan]
+        union = max(i for i, line in enumerate(plan[:scan]) if "Union" in line)
+        # Nothing moves above the union, nor between it and the prices.
+        moved = [line for line in plan[:scan] if "Exchange" in line and "Broadcast" not in line]
+        assert not moved, "\n".join(plan[:union + 1])
+        assert rows(found) == rows(plain)
+
+
 @pytest.mark.parametrize("broken, message", [
     (lambda df: df.drop("total_usd_spent"), "total_usd_spent is missing"),
     (lambda df: df.withColumn("first_buy_price", F.lit("1.5")), "first_buy_price is string"),
@@ -145,7 +198,7 @@ def test_whole_run(spark, frame, database, tmp_path):
     before = set(staged_folders(spark))
     assert jobs.stage_one(spark, database, logs, tx, options) == 2
     assert set(staged_folders(spark)) == before  # a finished job leaves no intermediate table
-    assert jobs.realise(spark, database, logs, tx, str(tmp_path / "realised"), options) == 0
+    assert jobs.realise(spark, database, logs, tx, options) == 0
     outcome = jobs.stage_two(spark, database, StageTwoOptions(top_n=1))
     assert rows(outcome.board) == [(1, "w2", 30.0, 300.0, 1)]
     assert spark.table(f"{database}.stg_profitable_flippers").count() == 2
@@ -188,5 +241,70 @@ def test_command_line_runs_the_steps(spark, frame, database, tmp_path, capsys, m
     assert command.main(["stage-one", *place, "--transactions", str(tmp_path / "tx")]) == 0
     assert command.main(["stage-two", "--database", database, "--top", "3"]) == 0
     assert command.main(["labels", "--database", database, "--dry-run"]) == 0
+    more = ["--transactions", str(tmp_path / "tx"), "--hours", "0", "40", "--decimals", "17", "--default-price", "2",
+            "--protocol", "Other=0x" + "b" * 40, "--dry-run"]
+    assert command.main(["stage-one", *place, *more]) == 0
+    assert command.main(["realised", *place, *more, "--recovery-days", "30"]) == 0
+    assert command.main(["crises", "--database", database, "--max-return-pct", "-40", "--max-drain-pct", "-99", "--dry-run"]) == 0
+    with pytest.raises(SystemExit):
+        command.main(["stage-one", *place, "--transactions", "t", "--protocol", "Other=1"])
     printed = capsys.readouterr().out
     assert "1 pools" in printed and "1 buys" in printed and "1 wallets" in printed and "|300.0" in printed
+
+
+RAW = [swap("2022-01-01 10:00:00", "t1", "0xAB", "0x1", 0), swap("2022-01-01 11:00:00", "t1", "0xab", "0x2", 1),
+       swap("2022-01-02 10:00:00", "t2", "0xCD", "0x3", 0), swap("2022-01-04 10:00:00", "t3", "0xEF", "0x4", 0)]
+
+
+def test_storing_a_day_twice_changes_nothing(spark, frame, tmp_path):
+    from slumptrace.sources import logstore
+
+    store, held = str(tmp_path / "store"), lambda: rows(logstore.load_logs(spark, store), "transaction_hash", "log_index", "address", "block_date")
+    assert logstore.append_logs(frame(LOGS, *RAW[:3], RAW[0]), store) == 3
+    before = held()
+    assert logstore.append_logs(frame(LOGS, *RAW[:3]), store) == 0
+    assert logstore.append_logs(frame(LOGS, RAW[1]), store) == 0
+    assert held() == before == [("t1", 0, "0xab", day("2022-01-01")), ("t1", 1, "0xab", day("2022-01-01")), ("t2", 0, "0xcd", day("2022-01-02"))]
+    # A late log of a day that is there, and a new day.
+    late = swap("2022-01-02 23:00:00", "t9", "0xAA", "0x9", 5)
+    assert logstore.append_logs(frame(LOGS, late, RAW[2], RAW[3]), store) == 2
+    assert len(held()) == 5 and set(before) <= set(held())
+    assert logstore.manifest(spark, store)[day("2022-01-02")][1] == 2
+    assert rows(logstore.load_logs(spark, store, [day("2022-01-02")]), "transaction_hash") == [("t2",), ("t9",)]
+    # Replaced versions are gone, all others are named.
+    left = {(p.parent.name.split("=")[1], p.name.split("=")[1]) for p in (tmp_path / "store" / "data").glob("version=*/block_date=*")}
+    assert left == {(v, str(d)) for d, (v, _) in logstore.manifest(spark, store).items()}
+    assert logstore.append_logs(frame(LOGS), store) == 0
+
+
+def test_logs_that_no_manifest_covers_are_refused(spark, frame, tmp_path):
+    from slumptrace.sources import logstore
+
+    frame(LOGS, *RAW).write.parquet(str(tmp_path / "raw"))
+    with pytest.raises(ValueError, match="no manifest"):
+        logstore.load_logs(spark, str(tmp_path / "raw"))
+    store = str(tmp_path / "store")
+    assert jobs.append_logs(spark, str(tmp_path / "raw"), store) == 4
+    with pytest.raises(ValueError, match="2022-01-03"):
+        logstore.load_logs(spark, store, [day("2022-01-02"), day("2022-01-03")])
+    # Raw and stored logs give the same swaps, but only stored ones are compared as they are.
+    raw, kept = readers.load(spark, str(tmp_path / "raw")), readers.load(spark, store)
+    keys = frame("pool_address string", ("0xab",), ("0xef",))
+    found = [readers.swap_logs(df, pool_keys=keys) for df in (raw, kept)]
+    assert rows(found[0], "transaction_hash", "pool_address") == rows(found[1], "transaction_hash", "pool_address") == [
+        ("t1", "0xab"), ("t1", "0xab"), ("t3", "0xef")]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in found]
+    assert "lower(address" in plans[0] and "lower(address" not in plans[1]
+
+
+def test_a_failed_append_leaves_the_store_as_it_was(spark, frame, tmp_path, monkeypatch):
+    from slumptrace.sources import logstore
+
+    store = str(tmp_path / "store")
+    logstore.append_logs(frame(LOGS, *RAW[:2]), store)
+    monkeypatch.setattr(logstore, "laid_out", lambda df: df.withColumn("data", F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        logstore.append_logs(frame(LOGS, *RAW), store)
+    monkeypatch.undo()
+    assert logstore.load_logs(spark, store).count() == 2
+    assert logstore.append_logs(frame(LOGS, *RAW), store) == 2 and logstore.load_logs(spark, store).count() == 4

@@ -1,5 +1,6 @@
+import math
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,7 +161,68 @@ def test_many_crises_of_a_token_do_not_multiply_swaps(frame, world):
     found = swaps.in_windows(readers.swap_logs(logs), crossed)
     assert found.count() == 20
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert "block_date" in plan.split("Join Inner")[1].split("\n")[0]
+    on = plan.split("Join Inner")[1].split("\n")[0]
+    assert "level" in on and "piece" in on and "<" not in on
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_in_pieces_equal_windows_by_day(frame, seed):
+    """Every day of a window lies in exactly one of its pieces, and no other day does."""
+    rng = random.Random(seed)
+    windows = []
+    for k in range(60):
+        start = date(1969, 11, 1) + timedelta(days=rng.randrange(120))
+        windows.append((f"p{k}", start, start + timedelta(days=rng.choice([0, 1, 2, 6, 31, 94, 364, rng.randrange(400), -1]))))
+    df = frame("pool_address string, window_start_date date, window_end_date date", *windows)
+    held = {}
+    for r in swaps.window_pieces(df).collect():
+        held.setdefault(r.pool_address, []).append(range(r.piece << r.level, (r.piece + 1) << r.level))
+    for pool, start, end in windows:
+        days = range((start - date(1970, 1, 1)).days, (end - date(1970, 1, 1)).days + 1)
+        assert sorted(d for piece in held.get(pool, []) for d in piece) == list(days)
+        assert len(held.get(pool, [])) <= (0 if not days else 2 * math.floor(math.log2(len(days))) + 1)
+    assert max(map(len, held.values())) <= 18
+
+
+def test_swaps_meet_the_windows_of_their_day(frame):
+    rng = random.Random(6)
+    first = date(2020, 1, 1)
+    windows = [(f"p{rng.randrange(4)}", f"c{k}", s, s + timedelta(days=rng.randrange(-1, 200)))
+               for k in range(40) for s in [first + timedelta(days=rng.randrange(300))]]
+    made = [(at(f"{first + timedelta(days=rng.randrange(-5, 520))} {rng.randrange(24):02}:30:00"), f"p{rng.randrange(6)}", k) for k in range(400)]
+    crossed = frame("pool_address string, crisis_id string, window_start_date date, window_end_date date", *windows)
+    found = swaps.in_windows(frame("block_timestamp timestamp, pool_address string, n long", *made), crossed)
+    expected = sorted((n, c) for t, p, n in made for q, c, s, e in windows if p == q and s <= t.date() <= e)
+    assert rows(found, "n", "crisis_id") == sorted(expected, key=repr) and len(expected) > 100
+
+
+def test_stored_transactions_stay_where_they_are(spark, frame, world, monkeypatch):
+    """Swaps beyond the broadcast limit move to the buckets of the transactions, not the other way round."""
+    from slumptrace.plans import jobs
+
+    logs = frame(LOGS, *[swap(f"2022-01-11 0{h}:00:00", f"t{h % 3 + 1}", "p1", BUY0) for h in range(9)])
+    plain = rows(unpriced_buys(world["events"], world["pools"], logs, world["transactions"]))
+    spark.sql("CREATE DATABASE bucketed")
+    try:
+        world["transactions"].write.saveAsTable("bucketed.raw")
+        assert jobs.store_transactions(spark, "bucketed", "bucketed.raw", buckets=5) == 5
+        assert jobs.store_transactions(spark, "bucketed", "bucketed.raw") == 1
+        jobs.store_transactions(spark, "bucketed", "bucketed.raw", buckets=5)
+        monkeypatch.setattr(scale, "BROADCAST_ROWS", 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = unpriced_buys(world["events"], world["pools"], logs, spark.table("bucketed.stored_transactions"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found) == plain
+        # The side of the transactions has no exchange between scan and join.
+        lines = plan.split("\n")
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "from_address" in line)
+        join = max(i for i, line in enumerate(lines) if "SortMergeJoin" in line and i < scan)
+        depth = lines[scan].index("FileScan")
+        above = [line for line in lines[join + 1:scan] if len(line) - len(line.lstrip(" :+-")) < depth and not line.lstrip().startswith(":")]
+        assert "Bucketed: true" in lines[scan] and not any("Exchange" in line for line in above), plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE bucketed CASCADE")
 
 
 def test_senders_by_day_and_hash(spark, frame, world, tmp_path):
