@@ -48,10 +48,13 @@ def canonical_form(url: Column) -> Column:
                     F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
-def page_edges(pages: DataFrame) -> DataFrame:
+def page_edges(pages: DataFrame, forms: bool = True) -> DataFrame:
     """Alias edges ``(from_url, to_url)``: declared canonical links, refresh redirects, and a URL's canonical form.
 
-    Relative targets are resolved against the host when they begin with ``/``; other relative ones are no edge.
+    Relative targets are resolved against the host when they begin with ``/``; other relative ones are no edge. Pages
+    whose URL is null or has no ``://`` have no edge, whatever they declare. Canonical forms (:func:`canonical_form`)
+    are a rule of this operator: URLs of one form are taken to redirect to it, though no page says so. Without
+    ``forms`` only what pages declare counts.
     """
     html, url = F.coalesce("html", F.lit("")), F.coalesce("url", F.lit(""))
     link = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
@@ -61,7 +64,10 @@ def page_edges(pages: DataFrame) -> DataFrame:
         F.regexp_extract(refresh, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
     absolute = F.transform(targets, lambda t: F.when(
         t.startswith("/") & ~t.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0), t)).otherwise(t))
-    declared = pages.select(url.alias("from_url"), F.explode(absolute).alias("to_url")).where("to_url like '%://%'")
+    declared = pages.select(url.alias("from_url"), F.explode(absolute).alias("to_url")).where(
+        "from_url like '%://%' and to_url like '%://%'")
+    if not forms:
+        return declared.where("from_url <> to_url").distinct()
     usual = pages.select(url.alias("from_url"), canonical_form(url).alias("to_url")).where("from_url like '%://%'")
     both = declared.union(declared.select("to_url", canonical_form(F.col("to_url")))).union(usual)
     return both.where("from_url <> to_url").distinct()
@@ -82,7 +88,9 @@ def judge(
     url = F.coalesce("url", F.lit(""))
     links = edges.select(F.xxhash64("from_url").alias("src"), F.xxhash64("to_url").alias("dst"))
     groups = staging.keep(components(links, staging), "groups")
-    judged = pages.select("page_id", F.xxhash64(url).alias("node"), host_of(url).alias("host"), path_of(url).alias("path"))
+    # A page without a URL is no node, whatever edges say and whichever canonical form it looks like.
+    node = F.when(url.contains("://"), F.xxhash64(url))
+    judged = pages.select("page_id", node.alias("node"), host_of(url).alias("host"), path_of(url).alias("path"))
     judged = judged.withColumn("hit", matching_rule(F.col("host"), F.col("path"), rules))
     # One row for each distinct URL, so that a URL on many pages counts once.
     named = judged.groupBy("node").agg(F.max("hit.verdict").alias("own"))

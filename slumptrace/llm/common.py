@@ -24,12 +24,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Staging:
-    """Intermediate tables of one run, in a folder of its own, so that single tables or all can be dropped again."""
+    """Intermediate tables of one run, in a folder of its own, so that single tables or all can be dropped again.
+
+    What a lazy result still reads can't go before it is computed; the folder is deleted when the session ends.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{label}-{uuid4().hex}"
         self.paths: dict[str, str] = {}
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` once and read it back: nothing is computed twice or lost with an executor."""
@@ -106,6 +113,8 @@ def components(edges: DataFrame, staging: Staging, source: str = "src", target:
             mins.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         current = staging.keep(small, f"star-{step}")
         staging.drop(f"lows-{step}", f"large-{step}", f"mins-{step}", f"star-{step - 1}")
+    else:
+        raise RuntimeError("the components did not settle")
     roots = current.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -204,13 +205,32 @@ def links(tables: DataFrame, dimension: int, least: float, staging: Staging, kin
         lambda batches: _compare(batches, dimension, least, kind), "node long, linked long, other long, is_link boolean")
 
 
+def _links_of_length(
+    ready: DataFrame, dimension: int, rows: int, least: float, tables: int, kind: str, staging: Staging
+) -> list[DataFrame]:
+    """The links among ``rows`` distinct vectors of one length, as stored parts."""
+    # Equal vectors are one node here already, so copies cannot crowd the sample.
+    sample = ready.join(F.broadcast(sample_ids(ready, "node", SAMPLE_VECTORS)), F.col("node") == F.col("_id"), "left_semi").select("vector").toArrow()
+    rotation = learn_rotation(_unit(_matrix(sample.column("vector").combine_chunks(), dimension)), min(64, dimension))
+    width = min(rotation.shape[1], 32, key_width(rows))
+    further = further_tables(least, dimension, rotation.shape[1], width, tables)
+    planes = all_planes(rotation, width, tables, further)
+    parts = []
+    for first in range(0, tables + further, tables):
+        hashed = staging.keep(hamming_tables(
+            ready.select("node", "copies", "vector"), dimension, planes, width, first, min(first + tables, tables + further), kind), "tables")
+        parts.append(staging.keep(links(hashed, dimension, least, staging, kind), f"found-{dimension}-{first}"))
+        staging.drop("tables", "buckets")
+    return parts
+
+
 def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, tables: int = TABLES, staging: Staging | None = None) -> DataFrame:
     """Links of cosine ``least`` or more among all vectors: ``vec_id, n_links, component_id, kept``.
 
     One row per input row. Null, empty and zero vectors and those with null or non-finite components link with nothing;
-    vectors of another length than the commonest link with equal vectors only. Equal vectors are one node: they count
-    as each other's links and are compared with the rest once. The rotation is learnt on at most ``SAMPLE_VECTORS``
-    vectors, by hash of id; all vectors are indexed. A table's key has about ``log2(rows) - 4`` bits, so buckets stay
+    vectors link with others of their length only, and every length is searched. Equal vectors are one node: they count
+    as each other's links and are compared with the rest once. The rotation of a length is learnt on at most
+    ``SAMPLE_VECTORS`` vectors, by hash of id; all vectors are indexed. A table's key has about ``log2(rows) - 4`` bits, so buckets stay
     small as the input grows, and :func:`further_tables` keeps the expected recall at ``least`` from falling with them.
     ``tables`` tables are laid out and searched at a time, so the disk in use does not grow with their number. Every
     pair in a bucket is compared with its original vectors in double precision, so no link is wrong; a link is missed
@@ -221,30 +241,19 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, tables: int
     staging = staging or Staging(spark, "vectors")
     rows = vectors.select("vec_id", "embedding", _node().alias("node"))
     usable = staging.keep(rows.where("node is not null").select("vec_id", "node", _doubles().alias("vector")), "usable")
-    lengths = usable.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     nodes = staging.keep(
         usable.groupBy("node").agg(F.first("vector").alias("vector"), F.count("*").alias("copies"), F.min("vec_id").alias("first_id")), "nodes")
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType == FloatType() else "<f8"
     summed = groups = None
-    if lengths:
-        dimension = lengths[0].d
-        ready = nodes.where(F.size("vector") == dimension)
-        # Equal vectors are one node here already, so copies cannot crowd the sample.
-        sample = ready.join(F.broadcast(sample_ids(ready, "node", SAMPLE_VECTORS)), F.col("node") == F.col("_id"), "left_semi").select("vector").toArrow()
-        rotation = learn_rotation(_unit(_matrix(sample.column("vector").combine_chunks(), dimension)), min(64, dimension))
-        width = min(rotation.shape[1], 32, key_width(nodes.count()))
-        further = further_tables(least, dimension, rotation.shape[1], width, tables)
-        planes = all_planes(rotation, width, tables, further)
-        kind = "<f4" if vectors.schema["embedding"].dataType.elementType == FloatType() else "<f8"
-        found = None
-        for first in range(0, tables + further, tables):
-            hashed = staging.keep(hamming_tables(
-                ready.select("node", "copies", "vector"), dimension, planes, width, first, min(first + tables, tables + further), kind), "tables")
-            part = staging.keep(links(hashed, dimension, least, staging, kind), f"found-{first}")
-            found = part if found is None else found.union(part)
-            staging.drop("tables", "buckets")
+    parts = []
+    # Vectors of different lengths have no cosine; each length is searched by itself, the commonest first.
+    for d in nodes.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "d").toLocalIterator():
+        parts += _links_of_length(nodes.where(F.size("vector") == d.d), d.d, d.n, least, tables, kind, staging)
+    if parts:
+        found = reduce(DataFrame.union, parts)
         summed = staging.keep(found.where("not is_link").groupBy("node").agg(F.sum("linked").alias("linked")), "summed")
         groups = staging.keep(components(found.where("is_link"), staging, "node", "other"), "groups")
-        staging.drop(*[f"found-{first}" for first in range(0, tables + further, tables)])
+        staging.drop(*[label for label in staging.paths if label.startswith("found-")])
     roots = nodes.select("node", "copies", "first_id")
     if summed is not None:
         roots = roots.join(summed, "node", "left").join(groups, "node", "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ MAX_PIVOTS = 16
 # Regions of up to this many members, eight times as many from the fourth round on, are not divided further: all their
 # pairs are looked at by sketch.
 BASE = 32
+# Nodes that are measured against one copy of their pivot's text.
+BLOCK = 64
 # Bins of the sketches that tell far pairs before their texts are compared.
 BINS = 256
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -130,7 +133,8 @@ def _distinct_regions(members: DataFrame, staging: Staging, label: str) -> DataF
 
 
 def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sketches allow a distance of twice the threshold or less; all others are surely farther."""
+    """The pairs whose sketches allow them to be close, or, where they are ``far``, at twice that distance; all others
+    are surely farther apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,49 +143,51 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
             # Similarity is at most (both - apart) / (both + apart), and at most smaller over larger.
             smaller = np.minimum(batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy())
-            least = 2 * percent - 100
+            least = np.where(batch.column("far").to_numpy(zero_copy_only=False), 2 * percent - 100, percent)
             near = (100 * (both - apart) >= least * (both + apart)) & (100 * smaller >= least * (both - smaller))
             yield batch.select(["node", "pivot"]).filter(pa.array(near))
 
     a = sketches.select("node", F.col("sketch").alias("a"), F.col("n_shingles").alias("size_a"))
     b = sketches.select(F.col("node").alias("pivot"), F.col("sketch").alias("b"), F.col("n_shingles").alias("size_b"))
-    return pairs.join(a, "node").join(b, "pivot").select("node", "pivot", "a", "b", "size_a", "size_b").mapInArrow(
+    return pairs.join(a, "node").join(b, "pivot").select("node", "pivot", "far", "a", "b", "size_a", "size_b").mapInArrow(
         run, "node long, pivot long")
 
 
 def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """Intersection and union sizes of the sets of ``(node, pivot)`` pairs, from their whole texts."""
+    """Intersection and union sizes of the sets of ``(node, pivot)`` pairs, from their whole texts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = WordHashes(), {}
-
-        def set_of(node: int, text: str) -> np.ndarray:
-            if node not in known:
-                if len(known) >= 200:
-                    known.clear()
-                known[node] = next(shingle_sets([text], n, hashes))
-            return known[node]
+    The pairs of one pivot are split into blocks of about ``BLOCK`` nodes. A block gets its pivot's text once, before
+    those of its nodes; a task holds one set and one text at a time.
+    """
+    sizes = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = pairs.join(sizes, "pivot").select("pivot", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node")
+    heads = dealt.select("pivot", "block").distinct().join(texts.withColumnRenamed("node", "pivot"), "pivot").select(
+        "pivot", "block", F.lit(None).cast("long").alias("node"), "text")
+    rows = heads.union(dealt.join(texts, "node").select("pivot", "block", "node", "text"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, head = WordHashes(), np.zeros(0, np.uint64)
         for batch in batches:
-            common, total = [], []
-            for node, pivot, ours, theirs in zip(*(batch.column(c).to_pylist() for c in ("node", "pivot", "ours", "theirs")), strict=True):
-                a, b = set_of(node, ours), set_of(pivot, theirs)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                common.append(both)
-                total.append(len(a) + len(b) - both)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("pivot"), pa.array(common, pa.int64()), pa.array(total, pa.int64())],
-                ["node", "pivot", "common", "total"])
-
-    a = texts.select("node", F.col("text").alias("ours"))
-    b = texts.select(F.col("node").alias("pivot"), F.col("text").alias("theirs"))
-    return pairs.join(a, "node").join(b, "pivot").select("node", "pivot", "ours", "theirs").mapInArrow(
+            pivots, nodes = (batch.column(c).to_pylist() for c in ("pivot", "node"))
+            out: list[tuple[int, int, int, int]] = []
+            for pivot, node, found in zip(pivots, nodes, shingle_sets(batch.column("text").to_pylist(), n, hashes), strict=True):
+                if node is None:
+                    head = found
+                    continue
+                both = len(np.intersect1d(head, found, assume_unique=True))
+                out.append((node, pivot, both, len(head) + len(found) - both))
+            columns = zip(*out, strict=True) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["node", "pivot", "common", "total"])
+
+    return rows.repartition("pivot", "block").sortWithinPartitions("pivot", "block", F.asc_nulls_first("node")).mapInArrow(
         run, "node long, pivot long, common long, total long")
 
 
 def _pivots(round_: int) -> list[Column]:
-    return [F.min(F.struct(F.xxhash64("node", F.lit(round_ * MAX_PIVOTS + k)).alias("h"), F.struct("node", "group").alias("p")))["p"]
-            for k in range(min(MAX_PIVOTS, 4**round_))]
+    # More of them the longer it takes; which hash picks a pivot differs from round to round.
+    many = min(4**round_, MAX_PIVOTS << min(2, round_ // 8))
+    return [F.min(F.struct(F.xxhash64("node", F.lit(round_), F.lit(k)).alias("h"), F.struct("node", "group").alias("p")))["p"]
+            for k in range(many)]
 
 
 def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, percent: int, staging: Staging) -> DataFrame | None:
@@ -199,7 +205,8 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
     reach = (100 - percent) / 100 + 1e-9
     groups = None
     members = members.withColumn("group", F.col("node"))
-    for round_ in range(1_000):
+    # Every round takes a pivot at least out of every region that is left, so it ends.
+    for round_ in itertools.count():
         if members.isEmpty():
             return groups
         pivots = members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots"), F.count("*").alias("n"))
@@ -207,15 +214,16 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
         base = BASE << min(round_, 3)
         small = members.join(pivots.where(F.col("n") <= base).select("region"), "region")
         placed = members.join(pivots.where(F.col("n") > base), "region")
-        # The distance to the first pivot is always needed.
+        # The distance to the first pivot is always needed, and up to twice the threshold; from others only links are.
         pairs = placed.select("node", "group", F.posexplode("pivots").alias("k", "p")).where(
             (F.col("node") != F.col("p.node")) & ((F.col("k") == 0) | (F.col("group") != F.col("p.group")))).select(
-            F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot"))
+            F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot"), (F.col("k") == 0).alias("far"))
         other = small.select("region", F.col("node").alias("pivot"), F.col("group").alias("other"))
         within = small.join(other, "region").where("node > pivot AND group <> other")
-        pairs = pairs.union(within.select("node", "pivot")).distinct()
+        pairs = pairs.union(within.select("node", "pivot", F.lit(False).alias("far"))).groupBy("node", "pivot").agg(F.max("far").alias("far"))
         near = staging.keep(_near(pairs, sketches, percent), f"near-{round_}")
-        measured = staging.keep(_measure(near, texts, n).distinct(), f"measured-{round_}")
+        staging.drop()
+        measured = staging.keep(_measure(near, texts, n), f"measured-{round_}")
         links = measured.where(100 * F.col("common") >= percent * F.col("total")).select(
             F.col("node").alias("src"), F.col("pivot").alias("dst"))
         if groups is not None:
@@ -241,7 +249,6 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
         children = children.join(groups, "node", "left").select("region", "node", F.coalesce("component", "node").alias("group"))
         members = _distinct_regions(children, staging, f"members-{round_}")
         staging.drop(f"measured-{round_}", f"pivots-{round_}", f"near-{round_}", f"nearest-{round_}", f"filled-{round_}", f"away-{round_}")
-    raise RuntimeError("the recursion did not end")
 
 
 def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, staging: Staging | None = None) -> DataFrame:
@@ -284,6 +291,9 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
     wanted = sketches.select("node", F.col("from.doc_id").alias("_doc"), F.col("from.text_key").alias("_key"))
     texts = source.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     texts = staging.keep(texts.select("node", "text"), "texts")
+    if texts.count() > sketches.count():
+        # The same row more than once, or one text several times without an id.
+        texts = staging.keep(texts.dropDuplicates(["node"]), "texts-once")
     groups = metric_groups(members, sketches, texts, n, percent, staging)
     staging.drop("sketches", "texts")
     if groups is not None:

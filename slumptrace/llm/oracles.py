@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from slumptrace.llm.aliases import RULES
-from slumptrace.llm.decontam import LEAST, WINDOW
+from slumptrace.llm.decontam import LEAST, SHORTEST, WINDOW
 from slumptrace.llm.licenses import TEMPLATES, THRESHOLD
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -28,14 +28,15 @@ WITH ours AS (SELECT doc_id, {_plain_words("coalesce(text, '')")} AS words FROM
 theirs AS (SELECT DISTINCT item_id, {_plain_words("text")} AS words FROM benchmark WHERE text IS NOT NULL),
 d AS (SELECT doc_id, row_number() OVER () AS r, len(words) AS size, unnest(words) AS word, unnest(range(len(words))) AS at FROM ours),
 i AS (SELECT item_id, len(words) AS n, words AS item, unnest(words) AS word, unnest(range(len(words))) AS at
-      FROM theirs WHERE len(words) > 8),
+      FROM theirs WHERE len(words) > 0),
 hits AS (SELECT doc_id, r, size, item_id, n, item, d.at - i.at AS start, i.at AS k FROM d JOIN i ON d.word = i.word),
 wide AS (SELECT *, count(*) OVER (PARTITION BY r, item_id, item, start ORDER BY k RANGE BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS near,
                 count(*) OVER (PARTITION BY r, item_id, item, start) AS matched,
                 least({WINDOW}, n) AS width
          FROM hits),
 found AS (SELECT DISTINCT doc_id, item_id, n, matched, greatest(start, 0) AS position FROM wide
-          WHERE near >= ceil({LEAST}::DOUBLE / {WINDOW} * width) AND matched >= ceil({LEAST}::DOUBLE / {WINDOW} * width))
+          WHERE CASE WHEN n < 9 THEN matched = n AND (n >= {SHORTEST} OR n = size)
+                ELSE near >= ceil({LEAST}::DOUBLE / {WINDOW} * width) AND matched >= ceil({LEAST}::DOUBLE / {WINDOW} * width) END)
 SELECT doc_id, item_id, CAST(arg_max(n, (matched, -position)) AS INTEGER) AS n_words, CAST(max(matched) AS INTEGER) AS matched,
        CAST(arg_max(position, (matched, -position)) AS INTEGER) AS position
 FROM found GROUP BY doc_id, item_id"""
@@ -58,7 +59,8 @@ tags AS (SELECT url, unnest([
     regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*[\"'']?([^\"''\s>]+)', 1)
   ]) AS target FROM raw),
 declared AS (SELECT url AS a, CASE WHEN starts_with(target, '/') AND NOT starts_with(target, '//')
-                                   THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || target ELSE target END AS b FROM tags),
+                                   THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || target ELSE target END AS b
+             FROM tags WHERE contains(url, '://')),
 named AS (SELECT url FROM raw UNION SELECT b FROM declared WHERE b LIKE '%://%'),
 forms AS (SELECT url, regexp_replace({_HOST.format("url")}, '^(www|m)\.', '')
                  || regexp_replace({_PATH.format("url")}, '(/index)?\.html?$|/+$', '')
@@ -74,7 +76,7 @@ judged AS (SELECT *, {_best_rule(1)} AS rule, {_best_rule(0)} AS own
 given AS (SELECT component, CASE WHEN bool_or(own = 'allow') THEN 'allow' ELSE 'block' END AS verdict
           FROM components JOIN judged ON node = u WHERE own IS NOT NULL GROUP BY component)
 SELECT page_id, host, path, rule, coalesce(own, g.verdict, 'allow') AS verdict
-FROM raw JOIN judged ON url = u LEFT JOIN components ON node = url LEFT JOIN given g USING (component)"""
+FROM raw JOIN judged ON url = u LEFT JOIN components ON node = url AND contains(url, '://') LEFT JOIN given g USING (component)"""
 
 OP6 = rf"""
 WITH RECURSIVE split AS (

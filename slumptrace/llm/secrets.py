@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from slumptrace.llm.common import in_slices, sample_rows
+from slumptrace.llm.common import Staging, in_slices, sample_rows
 
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(
@@ -27,8 +32,22 @@ O, B, I = range(3)
 # A token's code: one of 512 shapes, one of 1024 words.
 SHAPES, WORDS, FILES = 512, 1024, 64
 OFFSETS = (-3, -2, -1, 0, 1, 2)
-# The classifier is fitted on windows around the hits in this many documents and as many windows elsewhere.
-SAMPLE_DOCUMENTS, CONTEXT = 6_000, 12
+# The classifier is fitted on windows of a sample of documents: around up to so many hits in each, and one elsewhere.
+SAMPLE_DOCUMENTS, HITS_PER_DOCUMENT, CONTEXT = 6_000, 8, 12
+# At most so many windows of each kind are kept: hits as they are, hits rewritten, decoys, and other places.
+MOST_WINDOWS = {"hit": 400, "rewritten": 1_200, "decoy": 600, "other": 800}
+# The share of short tokens that are hidden in a window, drawn for each, so that no neighbour is relied on.
+HIDDEN = (0.0, 0.5, 0.9)
+# The field's spans hold a token of at least so many characters, a digit among them; plain words are no secrets by themselves.
+LEAST_LENGTH = 12
+# What a rewritten hit may be introduced and joined by. Half have no name at all.
+NAMES = ("pwd", "pass", "auth", "credentials", "access", "login", "key", "value", "sig", "Authorization", "AUTH_KEY", "x", "my", "the")
+SIGNS = ("=", " = ", ":", ": ", " -> ", " => ", " ", " := ", " is ", ", ", "=>", '": ')
+QUOTES = ("", "", "", "", '"', "'", "`")
+ALPHABETS = (
+    "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz0123456789",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
@@ -71,7 +90,9 @@ class Codes(dict):
     def __missing__(self, token: str) -> int:
         if len(self) >= 400_000:
             self.clear()
-        word = 1 + xxhash.xxh64_intdigest(token.lower()) % (WORDS - 1)
+        # The hash of a long mixed token says nothing about the next one.
+        mixed = len(token) >= 12 and any(c.isdigit() for c in token)
+        word = 0 if mixed else 1 + xxhash.xxh64_intdigest(token.lower()) % (WORDS - 1)
         self[token] = code = (1 + shape_of(token)) * WORDS + word
         return code
 
@@ -91,10 +112,10 @@ class Field:
     transition: np.ndarray
 
 
-def _tags(text: str, tokens: list[tuple[int, int]]) -> np.ndarray:
+def _tags(tokens: list[tuple[int, int]], secrets: list[tuple[int, int]]) -> np.ndarray:
     tags = np.zeros(len(tokens), np.int8)
     starts = np.fromiter((s for s, _ in tokens), np.int64, len(tokens))
-    for _, _, _, start, end in base_spans(text):
+    for start, end in secrets:
         a, b = np.searchsorted(starts, (start, end))
         if a and tokens[a - 1][1] > start:
             a -= 1
@@ -103,27 +124,88 @@ def _tags(text: str, tokens: list[tuple[int, int]]) -> np.ndarray:
     return tags
 
 
+def rewritten(text: str, span: tuple[int, int], rng: random.Random) -> tuple[str, tuple[int, int]]:
+    """The surroundings of a hit with another secret in its place, and where that is.
+
+    Name, sign, quotes, alphabet, case and length are drawn anew, so that none of them tells a secret by itself: what is
+    left to learn is the look of the token and of the words around it.
+    """
+    letters, size = rng.choice(ALPHABETS), rng.choice((16, 20, 24, 32, 36, 40, 48, 64, rng.randint(14, 70)))
+    value = "".join(rng.choice(letters) for _ in range(size))
+    if not any(c.isdigit() for c in value):
+        value = value[:-1] + rng.choice("0123456789")
+    if rng.random() < 0.15:
+        value = ".".join((value, value[::-1], value[3:]))
+    quote = rng.choice(QUOTES)
+    lead = (rng.choice(NAMES) + rng.choice(SIGNS) if rng.random() < 0.5 else "") + quote
+    # Quotes around the old one would give the new one away.
+    before, after = text[max(0, span[0] - 200):span[0]].rstrip("\"'`"), text[span[1]:span[1] + 200].lstrip("\"'`")
+    start = len(before) + len(lead)
+    return before + lead + value + quote + after, (start, start + len(value))
+
+
+def decoy(text: str, at: int, rng: random.Random) -> str:
+    """A place of a text where something stands that only looks like a secret: a name and a sign before a plain word,
+    a date, a number, a version, an address."""
+    words = text[max(0, at - 400):at + 400].split() or ["word"]
+    plain = "".join(c for c in rng.choice(words) if c.isalpha()) or "word"
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    look = rng.choice((
+        plain, plain.upper(), plain.title() + rng.choice(words).title(), digits(rng.randint(1, 16)), f"{digits(4)}-{digits(2)}-{digits(2)}",
+        f"v{digits(1)}.{digits(2)}.{digits(1)}", f"https://{plain}.example.com/{plain}/{digits(4)}.html?page={digits(1)}", f"{plain}.{plain}@example.com",
+        f"+{digits(2)} {digits(3)} {digits(7)}", f"/usr/{plain}/{plain}.{plain[:3]}", f"{plain}_{plain}_{digits(2)}", f"{plain}-{plain}-{plain}",
+        "-" * rng.randint(3, 40), "=" * rng.randint(3, 40), plain * rng.randint(2, 5)))
+    lead = rng.choice((*NAMES, "password", "token", "secret", "api key", "Bearer")) + rng.choice(SIGNS) if rng.random() < 0.6 else ""
+    return f"{text[max(0, at - 200):at]} {lead}{look} {text[at:at + 200]}"
+
+
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of codes and tags: around each hit, and one other place per document."""
+    """Windows of codes and tags of each kind in ``MOST_WINDOWS``."""
     codes_of, pad = Codes(), max(map(abs, OFFSETS))
     for batch in batches:
-        rows = {"codes": [], "tags": [], "file": []}
-        for text in batch.column("text").to_pylist():
-            matches = list(_TOKEN.finditer(text or ""))
+        rows = {"codes": [], "tags": [], "file": [], "kind": []}
+
+        def add(kind: str, text: str, secrets: list[tuple[int, int]], places: list[int] | None, file: int | None = None) -> None:
+            matches = list(_TOKEN.finditer(text))
             if not matches:
-                continue
+                return
             codes = np.zeros(len(matches) + 2 * pad, np.int32)
             codes[pad:-pad] = [codes_of[m[0]] for m in matches]
-            tags = _tags(text, [m.span() for m in matches])
-            hits = np.flatnonzero(tags == B)[:8]
-            for at in [*hits, xxhash.xxh64_intdigest(text) % len(matches)]:
+            tags = _tags([m.span() for m in matches], secrets)
+            if places is None:
+                places = np.flatnonzero(tags == B)[:HITS_PER_DOCUMENT].tolist()
+            if kind != "hit":
+                draw = np.random.default_rng(xxhash.xxh64_intdigest(text))
+                seen = draw.random(len(matches)) >= draw.choice(HIDDEN)
+                codes[pad:-pad] *= (tags > 0) | seen | np.array([len(m[0]) >= 8 for m in matches])
+            for at in places:
                 low, high = max(0, at - CONTEXT), min(len(matches), at + CONTEXT + 1)
                 rows["codes"].append(codes[low:high + 2 * pad].tolist())
                 rows["tags"].append(tags[low:high].tolist())
-                rows["file"].append(file_code(text, len(matches)))
+                rows["file"].append(file_code(text, len(matches)) if file is None else file)
+                rows["kind"].append(kind)
+
+        for text in batch.column("text").to_pylist():
+            n_tokens = len(_TOKEN.findall(text or ""))
+            if not n_tokens:
+                continue
+            seed = xxhash.xxh64_intdigest(text)
+            rng, file = random.Random(seed), file_code(text, n_tokens)
+            base = base_spans(text)
+            secrets = [(start, end) for _, _, _, start, end in base]
+            add("hit", text, secrets, None)
+            add("other", text, secrets, [seed % n_tokens])
+            for a, _, b, _, _ in base[:HITS_PER_DOCUMENT]:
+                for _ in range(3):
+                    new, place = rewritten(text, (a, b), rng)
+                    add("rewritten", new, [place, *((s, e) for _, _, _, s, e in base_spans(new) if e <= place[0] or s >= place[1])], None, file)
+            new = decoy(text, rng.randrange(len(text)), rng)
+            if not base_spans(new):
+                middle = len(_TOKEN.findall(new)) // 2
+                add("decoy", new, [], [middle], file)
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows["codes"], pa.list_(pa.int32())), pa.array(rows["tags"], pa.list_(pa.int32())),
-             pa.array(rows["file"], pa.int32())], ["codes", "tags", "file"])
+             pa.array(rows["file"], pa.int32()), pa.array(rows["kind"], pa.string())], ["codes", "tags", "file", "kind"])
 
 
 def _fold(weights: np.ndarray) -> np.ndarray:
@@ -267,8 +349,13 @@ def crf_spans(tokens: list[tuple[int, int]], tags: np.ndarray) -> list[tuple[int
     return [(a, b) for a, b, _ in spans]
 
 
+def plausible(span: str) -> bool:
+    return any(len(t) >= LEAST_LENGTH and any(c.isdigit() for c in t) for t in _TOKEN.findall(span))
+
+
 def find_all(texts: list[str], field: Field, codes_of: Codes) -> Iterator[list[tuple[int, int, int]]]:
-    """For each text all spans ``(start, kind, end)``: the patterns', and the field's that touch none of them."""
+    """For each text all spans ``(start, kind, end)``: the patterns', and the field's that touch none of them and hold a
+    token that can be a secret (``LEAST_LENGTH``)."""
     for low, high in in_slices(texts):
         part = [t or "" for t in texts[low:high]]
         found = [_TOKEN.findall(t) for t in part]
@@ -287,7 +374,10 @@ def find_all(texts: list[str], field: Field, codes_of: Codes) -> Iterator[list[t
             mine = tags[at:at + len(tokens)]
             if mine.any():
                 places = [m.span() for m in _TOKEN.finditer(text)]
-                spans += [(a, 3, b) for a, b in crf_spans(places, mine) if all(b <= s or a >= e for s, _, e, _, _ in base)]
+                begins = [s for s, *_ in base]
+                # How far the patterns' spans that begin up to here reach.
+                reach = [0, *accumulate((e for _, _, e, _, _ in base), max)]
+                spans += [(a, 3, b) for a, b in crf_spans(places, mine) if reach[bisect_left(begins, b)] <= a and plausible(text[a:b])]
             yield sorted(spans)
 
 
@@ -296,15 +386,22 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
 
 
 def train(documents: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Field:
-    """Fit the field on at most ``sample`` documents, tagged by the patterns; the bound is on documents, by hash of id."""
-    rows = sample_rows(documents.select("doc_id", "text"), "doc_id", sample).select("text").mapInArrow(
-        _training_windows, "codes array<int>, tags array<int>, file int").collect()
-    rng = np.random.default_rng(7)
-    hits, rest = [r for r in rows if any(r.tags)], [r for r in rows if not any(r.tags)]
-    keep = lambda part, most: [part[i] for i in sorted(rng.permutation(len(part))[:most])]
-    hits.sort(key=str)
-    rest.sort(key=str)
-    return fit(keep(hits, 1_500) + keep(rest, 3_000))
+    """Fit the field on windows of at most ``sample`` documents, chosen by hash of id.
+
+    What the patterns find is tagged as it is, and again with its secret, name and signs replaced (:func:`rewritten`), so
+    that the field finds forms that no pattern knows; decoys and other places are tagged O. Documents without id are
+    not trained on; without any hit the field tags nothing.
+    """
+    staging = Staging(documents.sparkSession, "secret-windows")
+    windows = staging.keep(sample_rows(documents.select("doc_id", "text"), "doc_id", sample).select("text").mapInArrow(
+        _training_windows, "codes array<int>, tags array<int>, file int, kind string"), "windows")
+    # The windows of each kind with the smallest hashes: the same whatever the partitions.
+    parts = [
+        windows.where(F.col("kind") == kind).orderBy(F.xxhash64("codes", "tags"), "codes", "tags", "file").limit(most)
+        for kind, most in MOST_WINDOWS.items()]
+    rows = reduce(DataFrame.union, parts).collect()
+    staging.drop("windows")
+    return fit(rows if any(any(r.tags) for r in rows) else [])
 
 
 def scan(documents: DataFrame, field: Field) -> DataFrame:
@@ -334,7 +431,8 @@ def scan(documents: DataFrame, field: Field) -> DataFrame:
 def redact(documents: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced by ``mark``; all rows and columns stay. Null texts stay null.
 
-    A column ``n_chars`` is set to the new text's length where the text changed.
+    A column ``n_chars`` of whole numbers is set to the new text's length where the text changed; one of another kind is
+    left as it is, like all other columns. Rows with equal or null ids are rows of their own.
     """
     shared = documents.sparkSession.sparkContext.broadcast((field.emission, field.files, field.transition))
 
@@ -351,7 +449,7 @@ def redact(documents: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFr
                     end = max(end, b)
                 out.append("".join(parts) + text[end:] if spans else text)
             changed = {"text": out}
-            if "n_chars" in batch.schema.names:
+            if "n_chars" in batch.schema.names and pa.types.is_integer(batch.schema.field("n_chars").type):
                 lengths = batch.column("n_chars").to_pylist()
                 changed["n_chars"] = [n if new == old else len(new) for n, new, old in zip(lengths, out, texts, strict=True)]
             for name, values in changed.items():

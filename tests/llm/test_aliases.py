@@ -75,3 +75,27 @@ def test_chains_and_hubs(spark, pages):
 def test_empty(pages, spark):
     df = pages(("http://a.com/", None)).limit(0)
     assert A.judge(df, A.page_edges(df)).count() == 0
+
+
+def test_pages_without_url_have_no_alias(pages):
+    link = '<link href="{}" rel="canonical">'.format
+    df = pages(
+        (None, link("http://a.com/de/x")), (None, link("http://quiet.net/")), ("http://quiet.net/", None), (None, None),
+        ("", link("http://a.com/de/x")), ("no scheme", link("http://a.com/de/x")), ("quiet.net/2", link("http://a.com/de/x")),
+        ("http://quiet.net/2", None), ("http://other.net/3", link("http://a.com/de/3")), ("other.net/3", None),
+        ("http://a.com/de/x", link("no scheme")), ("http://more.net/", link("")))
+    rows = A.judge(df, A.page_edges(df)).orderBy("page_id").collect()
+    assert [r.verdict for r in rows] == ["allow"] * 8 + ["block", "allow", "block", "allow"]
+    assert {r.rule for r in rows} == {None, "com/de/"}
+
+
+def test_edges_given_by_hand(spark, pages):
+    df = pages((None, None), ("", None), ("http://a.com/de/x", None), ("http://quiet.net/", None))
+    edges = spark.createDataFrame([("http://a.com/de/x", ""), ("", "http://quiet.net/"), (None, "http://a.com/de/x")], "from_url string, to_url string")
+    assert [r.verdict for r in A.judge(df, edges).orderBy("page_id").collect()][:3] == ["allow", "allow", "block"]
+
+
+def test_declared_links_alone(pages):
+    df = pages(("http://m.a.com/x", None), ("http://a.com/x", '<link rel=canonical href="http://a.com/y">'))
+    assert [tuple(r) for r in A.page_edges(df, forms=False).collect()] == [("http://a.com/x", "http://a.com/y")]
+    assert ("http://m.a.com/x", "a.com/x") in {tuple(r) for r in A.page_edges(df).collect()}

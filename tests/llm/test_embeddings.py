@@ -126,3 +126,13 @@ def test_expected_recall_does_not_fall_with_the_width():
                 keys = [apart[:, E.bit_order(bits, width, E.TABLES)[t * width:(t + 1) * width]].any(1) for t in range(E.TABLES)]
                 missed *= np.all(keys, 0).mean()
             assert 1 - missed >= E.RECALL - 0.01
+
+
+def test_every_length_is_compared(spark, staging):
+    base = vectors(60, dimension=8)
+    rng = np.random.default_rng(9)
+    rare = rng.normal(size=6)
+    rows = [*enumerate(base), (100, rare.tolist()), (101, (rare + 0.01 * rng.normal(size=6)).tolist()), (102, [1.0]), (103, [2.5]), (104, [-1.0])]
+    got = found(frame(spark, rows), staging)
+    assert got == brute(rows)
+    assert {r[0]: r[1] for r in got if r[0] is not None and r[0] >= 100} == {100: 1, 101: 1, 102: 1, 103: 1, 104: 0}

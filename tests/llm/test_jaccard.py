@@ -152,3 +152,34 @@ def test_the_pipeline_stage_takes_five_words_and_four_fifths(spark, documents):
     df = documents(*rows)
     assert {r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()} == expected
     assert len(expected) < len({r.doc_id for r in J.keep_one(df).collect()})
+
+
+def test_base_pairs_are_told_at_the_threshold(spark):
+    """Of pairs that only have to be linked, those surely below the threshold go; distances to pivots are kept up to twice."""
+    pool = np.random.default_rng(3).integers(0, 2**63, 1_180).astype(np.uint64)
+    sets = [pool[:1_000], pool[180:1_180], pool[60:1_060]]
+    sketches = spark.createDataFrame(
+        [(k, bytearray(J.sketch(s)), len(s)) for k, s in enumerate(sets)], "node long, sketch binary, n_shingles long")
+    pairs = spark.createDataFrame(
+        [(a, b, far) for a in range(3) for b in range(a) for far in (False, True)], "node long, pivot long, far boolean")
+    kept = lambda far: {tuple(r) for r in J._near(pairs.where(pairs.far == far), sketches, 85).collect()}
+    # 820 of 1,180 shingles in common, 940 of 1,060, and 880 of 1,120.
+    assert (2, 0) in kept(False) and (1, 0) not in kept(False)
+    assert {(1, 0), (2, 0), (2, 1)} == kept(True)
+
+
+def test_measuring_in_blocks(spark, monkeypatch):
+    """A pivot of many nodes is split; each block has its pivot's text, and every pair is measured once."""
+    monkeypatch.setattr(J, "BLOCK", 3)
+    texts = {k: " ".join(say(6 + k % 9)) for k in range(40)} | {50: "w1 w2 w3 w4 w5 w6"}
+    rows = spark.createDataFrame([(k, t) for k, t in texts.items()], "node long, text string")
+    pairs = [(k, 50) for k in range(40)] + [(3, 1), (3, 2), (2, 1)]
+    found = J._measure(spark.createDataFrame(pairs, "node long, pivot long"), rows, 4).collect()
+    sets = {k: sets_of([t])[0] for k, t in texts.items()}
+    assert sorted(tuple(r) for r in found) == sorted((a, b, len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a, b in pairs)
+
+
+def test_repeated_rows_without_ids_are_one_text(documents, staging):
+    base = say(60)
+    rows = [(None, " ".join(base))] * 7 + [(None, " ".join(edited(base, 1)))] * 5 + [(4, " ".join(edited(base, 1))), (4, " ".join(base))]
+    assert found(documents(*rows), staging) == brute(rows)
