@@ -19,9 +19,10 @@ SAMPLE_DOCUMENTS, SAMPLE_COMMON = 8_192, 4
 # A shingle whose region is larger than this, or than a 2^-20 share of all entries, is moved back as well.
 COMMON = 1_024
 MAX_PIVOTS = 16
-# Regions of up to this many members, eight times as many from the fourth round on, are not divided further: all their
-# pairs are looked at by sketch.
-BASE = 32
+# Regions of up to this many members are not divided further: one task looks at all their pairs by sketch.
+BASE = 1_024
+# Up to this many pairs are sent to all tasks, which then read the texts without a shuffle.
+BROADCAST_PAIRS = 200_000
 # Nodes that are measured against one copy of their pivot's text.
 BLOCK = 64
 # Bins of the sketches that tell far pairs before their texts are compared.
@@ -153,17 +154,58 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         run, "node long, pivot long")
 
 
+def _near_in_regions(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs of each region, not connected yet, whose sketches allow them to be close. A region is at most ``BASE`` rows
+    and is compared in one task, sorted by size: a set can only be close to those at most ``100 / percent`` times as large."""
+
+    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+        rows.sort(key=lambda r: r[3])
+        nodes, groups, sizes = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 3))
+        prints = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, BINS).astype(np.int16)
+        out = []
+        for i in range(len(rows) - 1):
+            end = int(np.searchsorted(sizes * percent, 100 * sizes[i], "right"))
+            if end <= i + 1:
+                continue
+            apart = np.abs(prints[i + 1:end] - prints[i]).sum(1)
+            both = sizes[i + 1:end] + sizes[i]
+            near = (100 * (both - apart) >= percent * (both + apart)) & (groups[i + 1:end] != groups[i])
+            out += [(max(nodes[i], x), min(nodes[i], x)) for x in nodes[i + 1:end][near].tolist()]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows = None, []
+        names = ("region", "node", "group", "sketch", "n_shingles")
+        for batch in itertools.chain(batches, [None]):
+            out: list[tuple[int, int]] = []
+            if batch is None:
+                out += compare(rows)
+            else:
+                for region, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                    if region != current:
+                        out += compare(rows)
+                        current, rows = region, []
+                    rows.append(tuple(row))
+            a, b = zip(*out, strict=True) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(list(a), pa.int64()), pa.array(list(b), pa.int64())], ["node", "pivot"])
+
+    rows = members.join(sketches.select("node", "sketch", "n_shingles"), "node").select("region", "node", "group", "sketch", "n_shingles")
+    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "node long, pivot long")
+
+
 def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """Intersection and union sizes of the sets of ``(node, pivot)`` pairs, from their whole texts.
 
     The pairs of one pivot are split into blocks of about ``BLOCK`` nodes. A block gets its pivot's text once, before
-    those of its nodes; a task holds one set and one text at a time.
+    those of its nodes; a task holds one set and one text at a time. ``pairs`` is a stored table; few of them go to the
+    texts, of many both sides are shuffled.
     """
+    few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda df: df
     sizes = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     dealt = pairs.join(sizes, "pivot").select("pivot", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node")
-    heads = dealt.select("pivot", "block").distinct().join(texts.withColumnRenamed("node", "pivot"), "pivot").select(
+    heads = texts.withColumnRenamed("node", "pivot").join(few(dealt.select("pivot", "block").distinct()), "pivot").select(
         "pivot", "block", F.lit(None).cast("long").alias("node"), "text")
-    rows = heads.union(dealt.join(texts, "node").select("pivot", "block", "node", "text"))
+    rows = heads.union(texts.join(few(dealt), "node").select("pivot", "block", "node", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, head = WordHashes(), np.zeros(0, np.uint64)
@@ -199,7 +241,7 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
     ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
     of them only those that can reach the nearest member of the ring. Who is beyond ``2 r`` is mostly told by sketches
     alone. Members that links have connected, directly or not, are not compared any more, and a region of connected
-    members is done. Regions of at most ``BASE`` members (eight times as many in the end) end the recursion: their pairs are compared directly. A pivot
+    members is done. Regions of at most ``BASE`` members end the recursion: their pairs are compared directly. A pivot
     leaves its region, and there are more of them the deeper the recursion is.
     """
     reach = (100 - percent) / 100 + 1e-9
@@ -211,17 +253,15 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
             return groups
         pivots = members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots"), F.count("*").alias("n"))
         pivots = staging.keep(pivots, f"pivots-{round_}")
-        base = BASE << min(round_, 3)
-        small = members.join(pivots.where(F.col("n") <= base).select("region"), "region")
-        placed = members.join(pivots.where(F.col("n") > base), "region")
+        small = members.join(pivots.where(F.col("n") <= BASE).select("region"), "region")
+        placed = members.join(pivots.where(F.col("n") > BASE), "region")
         # The distance to the first pivot is always needed, and up to twice the threshold; from others only links are.
         pairs = placed.select("node", "group", F.posexplode("pivots").alias("k", "p")).where(
             (F.col("node") != F.col("p.node")) & ((F.col("k") == 0) | (F.col("group") != F.col("p.group")))).select(
             F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot"), (F.col("k") == 0).alias("far"))
-        other = small.select("region", F.col("node").alias("pivot"), F.col("group").alias("other"))
-        within = small.join(other, "region").where("node > pivot AND group <> other")
-        pairs = pairs.union(within.select("node", "pivot", F.lit(False).alias("far"))).groupBy("node", "pivot").agg(F.max("far").alias("far"))
-        near = staging.keep(_near(pairs, sketches, percent), f"near-{round_}")
+        pairs = pairs.groupBy("node", "pivot").agg(F.max("far").alias("far"))
+        near = _near(pairs, sketches, percent).union(_near_in_regions(small, sketches, percent)).distinct()
+        near = staging.keep(near, f"near-{round_}")
         staging.drop()
         measured = staging.keep(_measure(near, texts, n), f"measured-{round_}")
         links = measured.where(100 * F.col("common") >= percent * F.col("total")).select(

@@ -12,6 +12,9 @@ __all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document. Null and empty texts have none; rows with equal or null ids are rows of their own; an empty
+    table gives no rows.
+    """
     from slumptrace.llm.secrets import scan, train
 
     documents = table(spark, folder, "documents")
@@ -19,12 +22,18 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_brown(spark: SparkSession, folder: str) -> DataFrame:
+    """Class-model scores of every document. A null or empty text is its end token alone; rows with equal ids are scored each; an
+    empty table gives no rows.
+    """
     from slumptrace.llm.brown import score_texts
 
     return score_texts(table(spark, folder, "documents"))
 
 
 def op3_reshard(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document. Null texts have size 16; null ids and repeated rows are rows like others; an empty table
+    gives no rows.
+    """
     from slumptrace.llm.reshard import reshard, with_sizes
 
     rows = reshard(with_sizes(table(spark, folder, "documents")))
@@ -33,12 +42,18 @@ def op3_reshard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items. Null and empty texts hold none; repeated rows and ids are reported once; empty tables
+    give no rows.
+    """
     from slumptrace.llm.decontam import overlaps
 
     return overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 def op5_url_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page. Null, empty and malformed URLs have no rule and no alias and are allowed; repeated rows are judged
+    alike; an empty table gives no rows.
+    """
     from slumptrace.llm.aliases import judge, page_edges
 
     pages = table(spark, folder, "pages")
@@ -48,12 +63,18 @@ def op5_url_aliases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-copy component of every document. Null and empty texts have no shingles and link with nothing; rows without an id
+    have no component of their own; an empty table gives no rows.
+    """
     from slumptrace.llm.jaccard import near_copies
 
     return near_copies(table(spark, folder, "documents")).drop("text_key")
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document. A null or empty text is one sentence without words; documents without a label are
+    scored as well; an empty table gives no rows.
+    """
     from slumptrace.llm.toxicity import THRESHOLD, is_held_out, score, train
 
     documents = table(spark, folder, "documents")
@@ -64,36 +85,54 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in documents. Null, empty and one-word texts match nothing; rows with the same id are reported together;
+    an empty table gives no rows.
+    """
     from slumptrace.llm.licenses import licence_matches
 
     return licence_matches(table(spark, folder, "documents"))
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document in sequences. A null or empty text is the end id alone; rows with equal or null ids are packed
+    each; an empty table gives no rows.
+    """
     from slumptrace.llm.packing import pack_documents
 
     return pack_documents(table(spark, folder, "documents"))
 
 
 def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors. Null, empty and zero vectors and those with null or non-finite entries link with
+    nothing; vectors link with others of their length; an empty table gives no rows.
+    """
     from slumptrace.llm.embeddings import near_duplicates
 
     return near_duplicates(table(spark, folder, "embeddings"))
 
 
 def op11_sentencepieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and what they decode to. A null or empty text is begin and end alone; rows with equal or
+    null ids are encoded each; an empty table gives no rows.
+    """
     from slumptrace.llm.sentencepieces import encode_documents
 
     return encode_documents(table(spark, folder, "documents"))
 
 
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened components of every usable vector. Null and empty vectors and those with null or non-finite entries give no
+    rows; repeated rows are fitted once and returned each; an empty table gives no rows.
+    """
     from slumptrace.llm.whitening import whiten
 
     return whiten(table(spark, folder, "embeddings"))
 
 
 def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every item. Null and empty texts are found by nothing; equal scores rank by id, rows without an
+    id last; items with one id are one item; empty tables give no rows.
+    """
     from slumptrace.llm.search import search
 
     return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

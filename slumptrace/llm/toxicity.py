@@ -200,7 +200,11 @@ def score(documents: DataFrame, model: Instances) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, model: Instances, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored below ``threshold``, with all their columns."""
+    """The documents scored below ``threshold``, with all their columns.
+
+    A null or empty text is one sentence without words. Rows are judged by their text alone, so repeated rows and ids go or
+    stay together with their copies; an empty table gives no rows.
+    """
     shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

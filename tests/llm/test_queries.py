@@ -75,7 +75,9 @@ def test_pipeline(spark):
             model = train_toxicity(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
             assert set(after) == {r.doc_id for r in score(docs, model).collect() if r.score < THRESHOLD}
         elif name == "near copies":
-            assert set(after) == {r.component_id for r in near_copies(docs).collect()}
+            copies = near_copies(docs, n=corpus_pipeline.COPY_WORDS, percent=corpus_pipeline.COPY_PERCENT)
+            assert (corpus_pipeline.COPY_WORDS, corpus_pipeline.COPY_PERCENT) == (5, 80)
+            assert set(after) == {r.component_id for r in copies.collect()}
         elif name == "benchmark decontamination":
             dirty = {r.doc_id for r in overlaps(docs, spark.read.parquet(f"{FOLDER}/benchmark.parquet")).collect()}
             assert set(after) == set(before) - dirty
@@ -91,6 +93,25 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() == docs.count()
 
 
+def test_pipeline_on_odd_rows(spark, documents):
+    """Null, empty, very long and repeated rows, null ids and columns of names that are used inside, through all stages."""
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega"
+    rows = [(1, None), (2, ""), (None, None), (None, base), (3, base), (3, base), (4, base + " end"), (5, "token = abcdef0123456789abcdef01 here"),
+            (6, " ".join(f"w{k}" for k in range(30_000))), (7, "one"), (7, "another text under the same id")]
+    docs = documents(*rows)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER)
+        assert docs.columns == columns, name
+    left = sorted((str(r.doc_id), r.text or "") for r in docs.collect())
+    assert ("5", "[SECRET] here") in left
+    assert [i for i, t in left if t.startswith("alpha")] == ["3"]
+    assert {i for i, _ in left} == {"1", "2", "None", "3", "5", "6", "7"} and len([1 for i, _ in left if i == "7"]) == 2
+    packed = corpus_pipeline.packing(spark, docs, FOLDER).collect()
+    assert {str(r.doc_id) for r in packed} == {i for i, _ in left}
+    assert all(r.offset + r.length <= 2048 for r in packed)
+
+
 def test_held_out_rows_follow_the_checksum(spark):
     rows = QUERIES["op7_toxicity"](spark, FOLDER).select("doc_id", "held_out").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
