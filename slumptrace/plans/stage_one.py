@@ -230,11 +230,24 @@ def stage_buys(
     history: DataFrame,
     options: StageOneOptions = StageOneOptions(),
 ) -> DataFrame:
-    """The whole stage: one staged row per buy.
+    """The whole stage: one staged row per buy."""
+    return stage_with_days(events, pools, logs, transactions, history, options)[0]
+
+
+def stage_with_days(
+    events: DataFrame,
+    pools: DataFrame,
+    logs: DataFrame,
+    transactions: DataFrame,
+    history: DataFrame,
+    options: StageOneOptions = StageOneOptions(),
+) -> tuple[DataFrame, pricing.BuyDays]:
+    """Staged buys, and their days as measured, which stage two need not measure again.
 
     Pricing needs the days of all buys before it can price the first one, so the few buys found are
     stored once instead of reading the logs twice.
     """
     buys = materialize(unpriced_buys(events, pools, logs, transactions, options), "buys", compact=True)
-    priced = pricing.price_buys(buys, history, options.clip_history, options.default_price)
-    return format_buys(priced)
+    days = pricing.buy_days(buys)
+    priced = pricing.price_buys(buys, history, options.clip_history, options.default_price, days=days)
+    return format_buys(priced), days

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from slumptrace.constants import MIN_PROFIT_PCT, RECOVERY_DAYS, TOP_WALLETS
 from slumptrace.operators import profit
+from slumptrace.operators.pricing import BuyDays
 from slumptrace.operators.scale import materialize
 
 
@@ -21,10 +22,10 @@ class StageTwoOptions:
 
 
 def profitable_trades(
-    staged: DataFrame, history: DataFrame, options: StageTwoOptions = StageTwoOptions()
+    staged: DataFrame, history: DataFrame, options: StageTwoOptions = StageTwoOptions(), days: BuyDays | None = None
 ) -> DataFrame:
-    """Staged buys that gained enough, in the columns of the trade table."""
-    pnl = profit.estimate_pnl(staged, history, options.recovery_days)
+    """Staged buys that gained enough, in the columns of the trade table. ``days`` are those of the buys, if known."""
+    pnl = profit.estimate_pnl(staged, history, options.recovery_days, days)
     return profit.format_trades(profit.profitable(pnl, options.min_profit_pct))
 
 
@@ -38,10 +39,10 @@ class Outcome:
 
 
 def rank_wallets(
-    staged: DataFrame, history: DataFrame, options: StageTwoOptions = StageTwoOptions()
+    staged: DataFrame, history: DataFrame, options: StageTwoOptions = StageTwoOptions(), days: BuyDays | None = None
 ) -> Outcome:
     """Trades, leaderboard and the trades behind it; trades and leaderboard are computed once."""
-    return board_of(materialize(profitable_trades(staged, history, options), "trades"), options)
+    return board_of(materialize(profitable_trades(staged, history, options, days), "trades"), options)
 
 
 def board_of(trades: DataFrame, options: StageTwoOptions = StageTwoOptions()) -> Outcome:

@@ -7,6 +7,7 @@ import re
 from slumptrace.constants import (
     PAIR_CREATED_TOPIC, PAIR_FACTORY, SWAP_TOPIC, ZERO_ADDRESS,
 )
+from slumptrace.schemas import TABLES
 from slumptrace.workload.queries import LATEST, SCAN_FROM, SCAN_UNTIL
 from slumptrace.workload.views import TEST_TABLES, VIEWS, oracle_view
 
@@ -496,6 +497,34 @@ SELECTS = {
         FROM o_walk GROUP BY wallet_address, token_address HAVING arg_max(closed, n) > 0""",
 }
 
+def _safe_word(index: int) -> str:
+    digits = f"substr(data, {3 + 64 * index}, 64)"
+    return f"CASE WHEN regexp_full_match({digits}, '[0-9a-fA-F]{{64}}') THEN CAST(CAST(concat('0x', {digits}) AS UHUGEINT) AS DOUBLE) / 1e18 END"
+
+
+SELECTS |= {
+    "broken_payloads": f"""
+        SELECT transaction_hash, log_index, pool_address, {_safe_word(2)} AS amount0, {_safe_word(3)} AS amount1
+        FROM fx_broken_logs JOIN fx_pools ON lower(address) = pool_address WHERE topics[1] = '{SWAP_TOPIC}'""",
+    "format_broken_buys": """
+        SELECT crisis_id, wallet_address, token_address, first_buy_timestamp, TRY_CAST(first_buy_price AS DOUBLE) AS first_buy_price,
+               total_amount_bought, total_usd_spent, CAST(1 AS BIGINT) AS num_transactions
+        FROM fx_priced
+        WHERE crisis_id NOT IN ('', 'nan') AND wallet_address NOT IN ('', 'nan') AND token_address NOT IN ('', 'nan')
+          AND first_buy_timestamp IS NOT NULL""",
+    "broken_pairs": """
+        SELECT 'Uniswap V2' AS dex_protocol, lower(concat('0x', substr(topics[2], 27, 40))) AS token0_address,
+               lower(concat('0x', substr(topics[3], 27, 40))) AS token1_address,
+               lower(concat('0x', substr(data, 27, 40))) AS pool_address
+        FROM fx_broken_pairs WHERE length(data) >= 66 AND length(topics[2]) = 66 AND length(topics[3]) = 66""",
+    "catalog_tables": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {t != 'dim_token_price_history'} AS kept, "
+        + {"crisis_events_with_window": "(SELECT count(*) FROM fx_events)", "dim_token_price_history": "CAST(NULL AS BIGINT)"}.get(t, "CAST(0 AS BIGINT)")
+        + " AS row_count" for t in TABLES),
+    "newest_buys": """
+        SELECT crisis_id, first_buy_timestamp FROM o_staged ORDER BY crisis_id, first_buy_timestamp DESC LIMIT 10""",
+    "best_trades": "SELECT round(estimated_profit_pct, 6) AS estimated_profit_pct FROM o_trades ORDER BY 1 DESC LIMIT 10",
+}
 SELECTS["swap_sender_join_stored"] = SELECTS["swap_sender_join"]
 SELECTS["asof_price_stored"] = SELECTS["asof_price_full"]
 SELECTS["realised_profit_sliced"] = SELECTS["realised_profit"]

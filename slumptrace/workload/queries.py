@@ -13,7 +13,7 @@ from slumptrace.operators import crisis, labels, pools, pricing, profit, quality
 from slumptrace.operators.scale import materialize, staging_folder
 from slumptrace.plans import jobs, stage_one, stage_two
 from slumptrace.plans.stage_one import StageOneOptions
-from slumptrace.schemas import PRICES, STAGED_BUYS
+from slumptrace.schemas import CRISIS_EVENTS, PRICES, STAGED_BUYS
 from slumptrace.sources import catalog, readers
 from slumptrace.sources.sinks import write_table
 from slumptrace.workload.views import TEST_TABLES, Fixture
@@ -136,6 +136,14 @@ def decode_amounts_shifted(fx: Fixture) -> DataFrame:
     return _decoded(fx, "shifted")
 
 
+@query
+def broken_payloads(fx: Fixture) -> DataFrame:
+    """Swaps whose payload is missing, short or no hex have no amount, and are no buys; addresses may be in any case."""
+    amount0, amount1 = swaps.out_amounts("abi", protocols=TWO_PROTOCOLS)
+    found = readers.swap_logs(fx.view("fx_broken_logs")).join(readers.pools(fx.pools), "pool_address")
+    return found.select("transaction_hash", "log_index", "pool_address", amount0.alias("amount0"), amount1.alias("amount1"))
+
+
 def _buys(fx: Fixture, **options) -> DataFrame:
     return stage_one.unpriced_buys(fx.events, fx.pools, fx.logs, fx.transactions, StageOneOptions(**options))
 
@@ -176,6 +184,12 @@ def stage_buys(fx: Fixture) -> DataFrame:
     return _staged(fx, fx.prices)
 
 
+@query
+def format_broken_buys(fx: Fixture) -> DataFrame:
+    """Rows without a usable key or time are dropped, and what is no number becomes null."""
+    return stage_one.format_buys(fx.view("fx_priced"))
+
+
 @query
 def stage_buys_shifted(fx: Fixture) -> DataFrame:
     return _staged(fx, fx.prices, decode="shifted")
@@ -206,15 +220,16 @@ def peak_after_buy(fx: Fixture) -> DataFrame:
     )
 
 
-def _stored_stage_one(fx: Fixture) -> tuple[DataFrame, DataFrame]:
-    """Staged buys and price history as stage two finds them: stored."""
+def _stored_stage_one(fx: Fixture) -> tuple[DataFrame, DataFrame, pricing.BuyDays]:
+    """Staged buys and price history as stage two finds them, stored, and the days of the buys."""
     history = fx.stored_prices
-    return materialize(_staged(fx, history), "staged"), history
+    staged, days = stage_one.stage_with_days(fx.events, fx.pools, fx.logs, fx.transactions, history)
+    return materialize(staged, "staged"), history, days
 
 
 def _pnl(fx: Fixture) -> DataFrame:
-    staged, history = _stored_stage_one(fx)
-    return profit.estimate_pnl(staged, history)
+    staged, history, days = _stored_stage_one(fx)
+    return profit.estimate_pnl(staged, history, days=days)
 
 
 def _trades(fx: Fixture) -> DataFrame:
@@ -238,7 +253,8 @@ def wallet_leaderboard(fx: Fixture) -> DataFrame:
 
 @query
 def leaderboard_trades(fx: Fixture) -> DataFrame:
-    return stage_two.rank_wallets(*_stored_stage_one(fx)).board_trades
+    staged, history, days = _stored_stage_one(fx)
+    return stage_two.rank_wallets(staged, history, days=days).board_trades
 
 
 @query
@@ -271,6 +287,12 @@ def build_pools(fx: Fixture) -> DataFrame:
     return pools.build_pools(fx.factory_logs, fx.events, fx.base_tokens)
 
 
+@query
+def broken_pairs(fx: Fixture) -> DataFrame:
+    """Pair-created logs with malformed addresses make no pool."""
+    return pools.decode_pairs(readers.factory_logs(fx.view("fx_broken_pairs")))
+
+
 @query
 def token_symbols(fx: Fixture) -> DataFrame:
     """Every pool with the symbols of its pair, known or not."""
@@ -446,9 +468,35 @@ def write_roundtrip(fx: Fixture) -> DataFrame:
     return readers.staged_buys(readers.load(fx.spark, f"{database}.{STAGED_BUYS.name}"))
 
 
+@query
+def catalog_tables(fx: Fixture) -> DataFrame:
+    """The tables of a new database, before and after one is dropped, with the rows a declared one holds."""
+    database = _own_database(fx)
+    made = catalog.ensure_tables(fx.spark, database)
+    write_table(fx.events, database, CRISIS_EVENTS)
+    catalog.drop_table(fx.spark, database, PRICES.name)
+    left = catalog.list_tables(fx.spark, database)
+    tables = fx.spark.createDataFrame([(name, name in left) for name in made], "table_name string, kept boolean")
+    rows = quality.check_completeness({name: fx.spark.table(f"{database}.{name}") for name in left})
+    return tables.join(rows.select("table_name", "row_count"), "table_name", "left")
+
+
 # Wallets
 
 
+@query
+def newest_buys(fx: Fixture) -> DataFrame:
+    """The first ten staged buys as they are shown: by crisis, the newest first."""
+    shown = stage_one.newest_first(_staged(fx, fx.prices)).limit(10)
+    return shown.select("crisis_id", "first_buy_timestamp")
+
+
+@query
+def best_trades(fx: Fixture) -> DataFrame:
+    """The first ten trades as they are shown: by percent gained."""
+    return profit.best_first(_trades(fx)).limit(10).select(F.round("estimated_profit_pct", 6).alias("estimated_profit_pct"))
+
+
 @query
 def buyer_rollup(fx: Fixture) -> DataFrame:
     return labels.buyer_rollup(_staged(fx, fx.prices)).withColumns({
@@ -460,8 +508,8 @@ def buyer_rollup(fx: Fixture) -> DataFrame:
 
 @query
 def wallet_labels(fx: Fixture) -> DataFrame:
-    staged, history = _stored_stage_one(fx)
-    estimates = profit.estimate_pnl(staged, history)
+    staged, history, days = _stored_stage_one(fx)
+    estimates = profit.estimate_pnl(staged, history, days=days)
     return labels.wallet_labels(staged, estimates).drop("last_updated_timestamp").withColumns({
         c: F.round(c, 2) for c in ("success_rate", "total_pnl_pct", "total_pnl_usdt")
     })

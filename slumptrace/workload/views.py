@@ -87,6 +87,32 @@ VIEWS = {
                concat('0x', lpad(lower(hex(s_suppkey + 1048576)), 64, '0'),
                       lpad(lower(hex(s_suppkey)), 64, '0')) AS data
         FROM {{supplier}}""",
+    # Swap logs of which most payloads are missing, too short, or no hex, and some addresses are in upper case.
+    "fx_broken_logs": f"""
+        SELECT block_timestamp, transaction_hash, log_index,
+               CASE WHEN log_index % 2 = 0 THEN concat('0x', upper(substr(address, 3, 40))) ELSE address END AS address, topics,
+               CASE log_index WHEN 1 THEN NULL WHEN 2 THEN '0x' WHEN 3 THEN substr(data, 1, 200)
+                    WHEN 4 THEN concat(substr(data, 1, 180), 'zz', substr(data, 183, 76))
+                    WHEN 5 THEN concat(substr(data, 1, 150), '.', substr(data, 152, 107)) ELSE data END AS data
+        FROM ({{fx_logs}})""",
+    # Pair-created logs of which some name no proper address.
+    "fx_broken_pairs": f"""
+        SELECT block_timestamp, upper(address) AS address,
+               {{list}}'{PAIR_CREATED_TOPIC}', CASE WHEN s % 4 = 0 THEN substr(token0, 1, 60) ELSE token0 END, token1{{end}} AS topics,
+               CASE s % 5 WHEN 0 THEN NULL WHEN 1 THEN substr(data, 1, 60) ELSE data END AS data
+        FROM (SELECT cast('2021-06-01 00:00:00' as timestamp) AS block_timestamp, '{PAIR_FACTORY}' AS address, s_suppkey AS s,
+                     {_topic('s_nationkey + 4096')} AS token0, {_topic(_SECOND_TOKEN)} AS token1,
+                     concat('0x', lpad(lower(hex(s_suppkey + 1048576)), 64, '0'), lpad(lower(hex(s_suppkey)), 64, '0')) AS data
+              FROM {{supplier}})""",
+    # Priced buys of which some have no usable key, time or number.
+    "fx_priced": f"""
+        SELECT CASE l_linenumber WHEN 1 THEN '' WHEN 2 THEN 'nan' WHEN 3 THEN NULL ELSE 'crisis_001' END AS crisis_id,
+               CASE WHEN l_orderkey % 11 = 0 THEN 'nan' ELSE {_address('l_partkey')} END AS wallet_address,
+               CASE WHEN l_orderkey % 13 = 0 THEN '' ELSE {_address('l_suppkey')} END AS token_address,
+               CASE WHEN l_orderkey % 7 <> 0 THEN cast(l_shipdate as timestamp) END AS first_buy_timestamp,
+               CASE WHEN l_quantity > 40 THEN 'unknown' ELSE cast(cast(l_quantity as int) as string) END AS first_buy_price,
+               l_extendedprice AS total_amount_bought, l_tax AS total_usd_spent
+        FROM {{lineitem}}""",
     # Pools of the dimension that no log has ever named.
     "fx_quiet_pools": f"""
         SELECT {_address('p_partkey + 16777216')} AS pool_address
@@ -114,7 +140,8 @@ TEST_TABLES = (
 
 def oracle_view(name: str) -> str:
     """A view as text for DuckDB."""
-    return VIEWS[name].format(list="[", end="]", **{t: t for t in TEST_TABLES})
+    logs = VIEWS["fx_logs"].format(list="[", end="]", lineitem="lineitem")
+    return VIEWS[name].format(list="[", end="]", fx_logs=logs, **{t: t for t in TEST_TABLES})
 
 
 class Fixture:
@@ -137,7 +164,7 @@ class Fixture:
         return self._raw[table]
 
     def view(self, name: str) -> DataFrame:
-        text = VIEWS[name]
+        text = VIEWS[name].replace("{fx_logs}", VIEWS["fx_logs"])
         tables = {t: self.raw(t) for t in TEST_TABLES if f"{{{t}}}" in text}
         # Only the table names are left for the session to fill in.
         text = text.replace("{list}", "array(").replace("{end}", ")")

@@ -186,9 +186,11 @@ def test_whole_run(spark, frame, database, tmp_path):
     frame(TRANSACTIONS, ("t1", "w1"), ("t2", "w2")).write.parquet(str(tmp_path / "tx"))
     logs, tx = str(tmp_path / "logs"), str(tmp_path / "tx")
 
+    before = set(staged_folders(spark))
     assert jobs.prepare_pools(spark, database, logs, {address(base): "BASE"}) == 1
     report = jobs.verify(spark, database, logs)
-    assert report.passed
+    assert report.passed and rows(report.coverage, "pools") == [(1,)]
+    assert set(staged_folders(spark)) == before
     assert rows(report.moves, "crisis_drop_pct", "recovery_gain_pct") == [(-50.0, 80.0)]
 
     options = StageOneOptions(clip_history=False)
@@ -202,7 +204,10 @@ def test_whole_run(spark, frame, database, tmp_path):
     outcome = jobs.stage_two(spark, database, StageTwoOptions(top_n=1))
     assert rows(outcome.board) == [(1, "w2", 30.0, 300.0, 1)]
     assert spark.table(f"{database}.stg_profitable_flippers").count() == 2
+    assert rows(outcome.board_trades, "wallet_address", "trade_no") == [("w2", 1)]
     assert jobs.label_wallets(spark, database) == 2
+    # Finished jobs leave no intermediate table.
+    assert set(staged_folders(spark)) == before
     assert rows(spark.table(f"{database}.dim_wallet_labels"), "wallet_address", "success_rate", "total_pnl_pct") == [
         ("w1", 1.0, 300.0), ("w2", 1.0, 300.0)]
 
