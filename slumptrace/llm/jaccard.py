@@ -19,8 +19,10 @@ SAMPLE_DOCUMENTS, SAMPLE_COMMON = 8_192, 4
 # A shingle whose region is larger than this, or than a 2^-20 share of all entries, is moved back as well.
 COMMON = 1_024
 MAX_PIVOTS = 16
-# Regions of up to this many members are not divided further: one task looks at all their pairs by sketch.
-BASE = 1_024
+# Regions of up to this many members are not divided further: one task looks at all their pairs by sketch. So many times as
+# many in each round: at first pivots connect what is close, so that a large group of near copies isn't compared pair by
+# pair; what they leave is mostly far from each other.
+BASE, WIDER = 32, (1, 1, 8, 32)
 # Up to this many pairs are sent to all tasks, which then read the texts without a shuffle.
 BROADCAST_PAIRS = 200_000
 # Nodes that are measured against one copy of their pivot's text.
@@ -155,8 +157,8 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def _near_in_regions(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs of each region, not connected yet, whose sketches allow them to be close. A region is at most ``BASE`` rows
-    and is compared in one task, sorted by size: a set can only be close to those at most ``100 / percent`` times as large."""
+    """The pairs of each region, not connected yet, whose sketches allow them to be close. A region is a bounded number of
+    rows and is compared in one task, sorted by size: a set can only be close to those at most ``100 / percent`` times as large."""
 
     def compare(rows: list[tuple]) -> list[tuple[int, int]]:
         rows.sort(key=lambda r: r[3])
@@ -241,7 +243,7 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
     ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
     of them only those that can reach the nearest member of the ring. Who is beyond ``2 r`` is mostly told by sketches
     alone. Members that links have connected, directly or not, are not compared any more, and a region of connected
-    members is done. Regions of at most ``BASE`` members end the recursion: their pairs are compared directly. A pivot
+    members is done. Regions of at most ``BASE`` members (``WIDER`` times as many in later rounds) end the recursion: their pairs are compared directly. A pivot
     leaves its region, and there are more of them the deeper the recursion is.
     """
     reach = (100 - percent) / 100 + 1e-9
@@ -253,8 +255,9 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
             return groups
         pivots = members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots"), F.count("*").alias("n"))
         pivots = staging.keep(pivots, f"pivots-{round_}")
-        small = members.join(pivots.where(F.col("n") <= BASE).select("region"), "region")
-        placed = members.join(pivots.where(F.col("n") > BASE), "region")
+        base = BASE * WIDER[min(round_, len(WIDER) - 1)]
+        small = members.join(pivots.where(F.col("n") <= base).select("region"), "region")
+        placed = members.join(pivots.where(F.col("n") > base), "region")
         # The distance to the first pivot is always needed, and up to twice the threshold; from others only links are.
         pairs = placed.select("node", "group", F.posexplode("pivots").alias("k", "p")).where(
             (F.col("node") != F.col("p.node")) & ((F.col("k") == 0) | (F.col("group") != F.col("p.group")))).select(
