@@ -72,7 +72,7 @@ def sample_rows(df: DataFrame, id_column: str, size: int) -> DataFrame:
     return df.join(F.broadcast(sample_ids(df, id_column, size)), F.col(id_column) == F.col("_id"), "left_semi")
 
 
-def in_slices(texts: list, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def in_slices(texts: list, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs of rows with about ``most`` characters each, so that arrays over tokens stay small."""
     start = size = 0
     for i, text in enumerate(texts):

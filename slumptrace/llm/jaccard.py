@@ -36,7 +36,7 @@ class WordHashes(dict):
     """64-bit hashes of words seen before; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 600_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word)
         return found

@@ -70,7 +70,7 @@ def count_terms(documents: DataFrame, index: Index) -> DataFrame:
         known = shared.value.get
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for low, high in in_slices(texts):
+            for low, high in in_slices(texts, 4_000_000):
                 sizes, terms, counts, ends = [], [], [], [0]
                 for text in texts[low:high]:
                     words = terms_of(text)

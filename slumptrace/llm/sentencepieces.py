@@ -231,7 +231,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text, begin and end included."""
-        for low, high in in_slices(texts):
+        for low, high in in_slices(texts, 4_000_000):
             rows = [self.word.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts[low:high]]
             if len(self.known) > REMEMBERED:
                 self.known = {}
@@ -304,7 +304,7 @@ def encode_documents(
         encoder = Encoder(merges)
         for batch in batches:
             texts, names = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for low, high in in_slices(texts):
+            for low, high in in_slices(texts, 4_000_000):
                 counts, sums, back_sums, ids, backs = [], [], [], [], []
                 for blob in encoder.encode(texts[low:high]):
                     row = np.frombuffer(blob, "<u4")

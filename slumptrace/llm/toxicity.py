@@ -33,7 +33,7 @@ class Buckets(dict):
     """
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= 400_000:
+        if len(self) >= 150_000:
             self.clear()
         plain = word.lower().strip(_STRIP)
         names = [plain] if plain else []
