@@ -295,10 +295,15 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
 
 
 def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, staging: Staging | None = None) -> DataFrame:
+    """:func:`with_roots` without the name of the component among the texts."""
+    return with_roots(documents, n, percent, staging).drop("root")
+
+
+def with_roots(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, staging: Staging | None = None) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` or more: ``doc_id,
-    n_shingles, component_id, text_key``.
+    n_shingles, component_id, text_key, root``.
 
-    One row per input row. Texts with equal sets are one node, so copies are never paired. A text without words (or
+    One row per input row. ``root`` names the component by its texts (null: no shingles), as an id may stand for several. Texts with equal sets are one node, so copies are never paired. A text without words (or
     null) has no shingles and stays alone. ``component_id`` is the smallest id reachable; rows without an id have
     none of their own. Rows with the same id keep their own text's component. Sets and nodes are named by 64-bit
     hashes.
@@ -345,27 +350,30 @@ def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, st
         rows = rows.withColumn("root", F.col("node"))
     smallest = staging.keep(rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest")), "smallest")
     return rows.join(smallest, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"), "text_key")
+        "doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"), "text_key", "root")
 
 
 def keep_one(documents: DataFrame, staging: Staging | None = None, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component: the row with the smallest id, then the smallest text hash; all columns stay.
     ``n`` and ``percent`` are those of :func:`near_copies`.
 
-    Of rows repeated with id and text one stays. Rows without an id stay unless a row with one is in their component.
+    Of rows repeated with id and text one stays. A row without an id stays where no row of its group has one, one for each
+    group. Rows without words are copies of nothing but their own repetitions. Rows of one id with unlike texts are in groups
+    of their own, so the texts of both stay.
     """
     staging = staging or Staging(documents.sparkSession, "keep-one")
-    found = staging.keep(near_copies(documents, n, percent, staging), "found")
-    best = found.where("component_id is not null and doc_id is not null").groupBy("component_id").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("b")).select("b.*")
-    best = best.union(found.where("component_id is null").select("doc_id", "text_key").distinct())
+    found = staging.keep(with_roots(documents, n, percent, staging).select("doc_id", "text_key", "root"), "found")
+    # Without shingles a row is its own group.
+    alone = F.col("root").isNull()
+    group = F.struct("root", F.when(alone, F.col("doc_id")).alias("doc_id"), F.when(alone, F.col("text_key")).alias("text_key"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key"))
+    best = found.groupBy(group.alias("group")).agg(first.alias("b")).select("b.doc_id", "b.text_key")
     best = staging.keep(best, "best")
     key = F.xxhash64(documents["text"])
     kept = documents.join(best, documents["doc_id"].eqNullSafe(best["doc_id"]) & (key == best["text_key"]), "left_semi")
-    twice = staging.keep(
-        found.where("doc_id is not null").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"), "twice")
+    twice = staging.keep(found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"), "twice")
     if twice.isEmpty():
         return kept
-    repeated = (documents["doc_id"] == twice["doc_id"]) & (key == twice["text_key"])
+    repeated = documents["doc_id"].eqNullSafe(twice["doc_id"]) & (key == twice["text_key"])
     return kept.join(twice, repeated, "left_anti").union(
         kept.join(twice, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
