@@ -111,12 +111,15 @@ def fit(words: list[np.ndarray], labels: np.ndarray, rounds: int = 200, rate: fl
     column[used] = np.arange(1, len(used) + 1)
     flat = np.concatenate(words)
     # Instance number of each word, and document number of each instance.
-    ends = np.concatenate([np.flatnonzero(flat < 0)])
-    instance = np.searchsorted(ends, np.arange(len(flat)))
+    ends = np.flatnonzero(flat < 0)
     sizes = np.array([(row < 0).sum() for row in words])
     document = np.repeat(np.arange(len(words)), sizes)
-    mask = (flat > 0) & (column[np.maximum(flat, 0)] > 0)
-    which, of = column[flat[mask]] - 1, instance[mask]
+    # Bucket 0 and the ends have no weight; only places of words that have one are kept.
+    weighed = column > 0
+    weighed[0] = False
+    places = np.flatnonzero(weighed[np.maximum(flat, 0)])
+    which, of = column[flat[places]] - 1, np.searchsorted(ends, places)
+    del flat, places
     n = len(words)
     w, bias = np.zeros(len(used)), np.log(rate_toxic / np.bincount(document, minlength=n).mean())
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
@@ -159,9 +162,10 @@ def train(documents: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENT
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows, pa.binary())], ["toxic", "words"])
 
     rows = documents.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(
-        "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "toxic int, words binary").collect()
-    rows.sort(key=lambda r: (r.toxic, bytes(r.words)))
-    return fit([np.frombuffer(r.words, np.int32) for r in rows], np.array([r.toxic for r in rows], bool))
+        "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "toxic int, words binary")
+    # One copy of the sample at a time: the driver has other things to hold.
+    found = sorted((r.toxic, bytes(r.words)) for r in rows.toLocalIterator())
+    return fit([np.frombuffer(w, np.int32) for _, w in found], np.array([t for t, _ in found], bool))
 
 
 def score(documents: DataFrame, model: Instances) -> DataFrame:
