@@ -79,6 +79,8 @@ def buys_after_crash(buys: DataFrame, events: DataFrame, from_hours: int = 12, t
 
 # A wallet and token with more trades than this are not walked through in one task.
 WALK_ROWS = 200_000
+# However short the slices are, a task takes about as many trades as this.
+TASK_TRADES = 20_000
 _PAIR = ["wallet_address", "token_address"]
 _TIME = ["traded_at", "is_sale"]
 
@@ -108,7 +110,7 @@ def realised_profit(
         *_PAIR, "traded_at", F.coalesce(F.col("sold") > 0, F.lit(False)).alias("is_sale"), bought.alias("bought"),
         sold.alias("sold"), "price")
     if largest > walk_rows:
-        steps = _walk_slices(amounts, recovery_days, -(-rows // walk_rows))
+        steps = _walk_slices(amounts, recovery_days, rows, walk_rows)
     else:
         steps = _closed(_walk(amounts, _PAIR, recovery_days, F.lit(None)), *[F.lit(0.0)] * 3, F.lit(None))
     margin = F.col("price") - F.try_divide("cost_sum", "in_sum")
@@ -152,21 +154,24 @@ def _closed(steps: DataFrame, start_in: Column, start_cost: Column, start_out: C
         "closed": closed, "in_sum": F.col("in_sum") + start_in, "cost_sum": F.col("cost_sum") + start_cost})
 
 
-def _walk_slices(amounts: DataFrame, recovery_days: int, slices: int) -> DataFrame:
+def _walk_slices(amounts: DataFrame, recovery_days: int, rows: int, walk_rows: int) -> DataFrame:
     """The steps of :func:`_walk` and :func:`_closed`, slice by slice.
 
     Sales count by the last buy before them, so its day is carried over first; sums and the least difference follow.
-    Only a wallet and token that lie in several slices begin anywhere but at nothing. There are two of these per slice
-    at most, one that goes on from the slice before and one that goes on in the next, so the states that are sent to
-    all tasks are few, however many wallets there are.
+    Trades are cut into ranges for tasks, and in these a wallet and token into slices of ``walk_rows``. Only a wallet and
+    token that lie in several slices begin anywhere but at nothing: two per range at most that cross its ends, and those
+    with more than ``walk_rows`` trades. So the states are few, however many wallets there are; beyond the size of a
+    broadcast they are joined by a shuffle.
     """
     part = [*_PAIR, "_slice"]
-    sliced = in_slices(amounts, _PAIR, _TIME, slices, "trades")
+    ranges = -(-rows // max(walk_rows, TASK_TRADES))
+    sliced = in_slices(amounts, _PAIR, _TIME, ranges, "trades", walk_rows)
+    most_states = 2 * (ranges + -(-rows // walk_rows))
     group = Window.partitionBy(*_PAIR)
     earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
-    def with_states(rows: DataFrame, states: DataFrame) -> DataFrame:
-        return rows.join(small_side(materialize(states.where("_slices > 1").drop("_slices"), "states"), 2 * slices), part, "left")
+    def with_states(trades: DataFrame, states: DataFrame) -> DataFrame:
+        return trades.join(small_side(materialize(states.where("_slices > 1").drop("_slices"), "states"), most_states), part, "left")
 
     several = F.count("*").over(group).alias("_slices")
     last = sliced.groupBy(*part).agg(F.max(F.when(F.col("bought") > 0, F.to_date("traded_at"))).alias("last"))

@@ -75,13 +75,20 @@ def materialize(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int, label: str = "slices") -> DataFrame:
+def in_slices(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int, label: str = "slices", most: int | None = None
+) -> DataFrame:
     """``df`` stored in ranges of ``keys`` and ``order``, about equal in size, with the range of each row in ``_slice``.
 
     A large group falls into several neighbouring slices; rows that are equal in all columns of the order stay together.
+    With ``most`` the rows of a group in one range are cut further, ``most`` to a slice. A range is a task, so there should
+    not be more of them than tasks are good for, however fine the slices are.
     """
-    ranged = df.repartitionByRange(slices, *keys, *order)
-    return materialize(ranged.withColumn("_slice", F.spark_partition_id()), label)
+    ranged = df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id())
+    if most is not None:
+        place = F.rank().over(Window.partitionBy(*keys, "_slice").orderBy(*order)) - 1
+        ranged = ranged.withColumn("_slice", F.shiftleft(F.col("_slice").cast("long"), 32) + F.floor(place / most))
+    return materialize(ranged, label)
 
 
 def number_rows(

@@ -213,6 +213,26 @@ def test_a_busy_wallet_is_walked_by_many_tasks(spark):
     assert len(sizes) == 20 and max(sizes) < 150_000
 
 
+def test_short_slices_do_not_make_tasks(spark, monkeypatch):
+    """Slices of two trades: far fewer ranges are made than slices, and rows of one moment stay in one slice."""
+    trades = spark.range(3_000).selectExpr(
+        "'w' || id % 7 AS wallet_address", "'T' AS token_address", "timestamp_seconds(1600000000 + id DIV 14) AS traded_at")
+    pair = ["wallet_address", "token_address"]
+    cut = scale.in_slices(trades, pair, ["traded_at"], 2, most=2)
+    assert cut.count() == 3_000
+    sizes = cut.groupBy(*pair, "_slice").agg(F.count("*").alias("n"), F.min("traded_at").alias("a"), F.max("traded_at").alias("b"))
+    found = sorted(sizes.collect(), key=lambda r: (r.wallet_address, r._slice))
+    assert max(r.n for r in found) == 2 and len({r._slice >> 32 for r in found}) == 2
+    assert all(x.b < y.a for x, y in zip(found, found[1:]) if x.wallet_address == y.wallet_address)
+    priced = trades.selectExpr("*", "IF(traded_at < timestamp_seconds(1600000100), 2.0D, NULL) AS bought",
+                               "IF(traded_at < timestamp_seconds(1600000100), NULL, 1.0D) AS sold", "3.0D AS price")
+    assert rows(labels.realised_profit(priced, 90, walk_rows=2)) == rows(labels.realised_profit(priced, 90))
+    ranges = []
+    monkeypatch.setattr(labels, "in_slices", lambda *a: ranges.append(a[3]) or scale.in_slices(*a))
+    labels.realised_profit(priced, 90, walk_rows=2)
+    assert ranges == [1]
+
+
 def test_realised_profit_of_nothing(frame):
     assert labels.realised_profit(frame(TRADED)).collect() == []
 
