@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging
+from slumptrace.llm.common import Staging, lean
 
 # Words with a code of their own, those of them that are clustered first, and the classes all of them move between.
 HEAD, CORE, CLASSES = 20_000, 2_000, 64
@@ -72,7 +72,7 @@ def choose_head(documents: DataFrame, size: int = HEAD, staging: Staging | None
             seen.clear()
             return out
 
-        for batch in batches:
+        for batch in lean(batches):
             for text in batch.column("text").to_pylist():
                 seen.update(tokens_of(text))
                 if len(seen) >= 300_000:
@@ -104,7 +104,7 @@ def encode(documents: DataFrame, head: list[bytes]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, part, at = WordCodes(shared.value), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in lean(batches):
             sizes, codes, tails, times = [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = np.array(list(map(known.__getitem__, tokens_of(text))), np.int64)
@@ -132,7 +132,7 @@ def head_counts(encoded: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(HEAD + OPEN, np.int64)
-        for batch in batches:
+        for batch in lean(batches):
             total += np.bincount(np.frombuffer(b"".join(batch.column("codes").to_pylist()), "<u2"), minlength=HEAD + OPEN)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["code", "n"])
@@ -155,7 +155,7 @@ def pair_counts(encoded: DataFrame, core_of: np.ndarray, size: int) -> np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, symbols = np.zeros(size * size, np.int64), shared.value
-        for batch in batches:
+        for batch in lean(batches):
             rows = batch.column("codes").to_pylist()
             flat = symbols[np.frombuffer(b"".join(rows), "<u2")]
             chain = np.insert(flat, np.cumsum([len(r) // 2 for r in rows]), end)
@@ -249,14 +249,13 @@ def neighbour_counts(encoded: DataFrame, class_of: np.ndarray, n: int) -> tuple[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, width = shared.value, 2 * n + 1
         total = np.zeros(codes * width, np.int64)
-        for batch in batches:
+        for batch in lean(batches):
             rows = batch.column("codes").to_pylist()
             flat = np.frombuffer(b"".join(rows), "<u2").astype(np.int64)
             chain = np.r_[codes - 1, np.insert(flat, np.cumsum([len(r) // 2 for r in rows]), codes - 1)]
             a, b = chain[:-1], chain[1:]
             for key in (a * width + classes[b], b * width + n + classes[a], a[a == b] * width + 2 * n):
-                at, times = np.unique(key, return_counts=True)
-                total[at] += times
+                np.add.at(total, key, 1)
         at = np.flatnonzero(total)
         for low in range(0, len(at), 100_000):
             part = at[low:low + 100_000]
@@ -373,7 +372,7 @@ def score_texts(documents: DataFrame, staging: Staging | None = None) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         class_of, transition, emitted, base, is_known = shared.value
-        for batch in batches:
+        for batch in lean(batches):
             rows = batch.column("codes").to_pylist()
             sizes = np.array([len(r) // 2 for r in rows])
             flat = np.frombuffer(b"".join(rows), "<u2").astype(np.int64)
