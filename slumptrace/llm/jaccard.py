@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, components, in_slices, sample_rows
+from slumptrace.llm.common import Staging, components, in_slices, lean, sample_rows
 
 WORDS, PERCENT = 4, 85
 # Shingles found in this many of the sampled documents come last in the order of pivots.
@@ -21,8 +21,10 @@ COMMON = 1_024
 MAX_PIVOTS = 16
 # Regions of up to this many members are not divided further: one task looks at all their pairs by sketch. So many times as
 # many in each round: at first pivots connect what is close, so that a large group of near copies isn't compared pair by
-# pair; what they leave is mostly far from each other.
-BASE, WIDER = 32, (1, 1, 8, 32)
+# pair; what they leave is mostly far from each other. Before the last of these rounds regions stay whole.
+BASE, WIDER = 32, (1, 8, 32)
+# A region in which most members are connected may be so many times larger, as long as its pairs are no more.
+MOSTLY_CONNECTED = 16
 # Up to this many pairs are sent to all tasks, which then read the texts without a shuffle.
 BROADCAST_PAIRS = 200_000
 # Nodes that are measured against one copy of their pivot's text.
@@ -96,7 +98,7 @@ def _scan(documents: DataFrame, n: int, percent: int, common: np.ndarray) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last = WordHashes(), shared.value
-        for batch in batches:
+        for batch in lean(batches):
             sizes, prints, prefixes, sketches = [], [], [], []
             for found in shingle_sets(batch.column("text").to_pylist(), n, hashes):
                 sizes.append(len(found))
@@ -116,7 +118,7 @@ def _common_in_sample(documents: DataFrame, n: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in lean(batches):
             sets = list(shingle_sets(batch.column("text").to_pylist(), n, hashes))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64())], ["shingle"])
 
@@ -140,7 +142,7 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     are surely farther apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("a", "b"))
             apart = np.abs(a - b).sum(1)
             both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
@@ -158,27 +160,33 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 def _near_in_regions(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs of each region, not connected yet, whose sketches allow them to be close. A region is a bounded number of
-    rows and is compared in one task, sorted by size: a set can only be close to those at most ``100 / percent`` times as large."""
+    rows and pairs and is compared in one task, sorted by size: a set can only be close to those at most ``100 / percent``
+    times as large. Members of its largest group are compared with those outside it only."""
 
     def compare(rows: list[tuple]) -> list[tuple[int, int]]:
         rows.sort(key=lambda r: r[3])
         nodes, groups, sizes = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 3))
         prints = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, BINS).astype(np.int16)
+        names, members_of = np.unique(groups, return_counts=True)
+        inside = groups == names[members_of.argmax()] if len(rows) else groups == 0
+        within, outside = np.flatnonzero(inside), np.flatnonzero(~inside)
         out = []
-        for i in range(len(rows) - 1):
-            end = int(np.searchsorted(sizes * percent, 100 * sizes[i], "right"))
-            if end <= i + 1:
-                continue
-            apart = np.abs(prints[i + 1:end] - prints[i]).sum(1)
-            both = sizes[i + 1:end] + sizes[i]
-            near = (100 * (both - apart) >= percent * (both + apart)) & (groups[i + 1:end] != groups[i])
-            out += [(max(nodes[i], x), min(nodes[i], x)) for x in nodes[i + 1:end][near].tolist()]
+        for k, i in enumerate(outside):
+            low = np.searchsorted(sizes[within] * 100, percent * sizes[i], "left")
+            high = np.searchsorted(sizes[within] * percent, 100 * sizes[i], "right")
+            end = np.searchsorted(sizes[outside] * percent, 100 * sizes[i], "right")
+            for others in (within[low:high], outside[k + 1:end]):
+                if len(others):
+                    apart = np.abs(prints[others] - prints[i]).sum(1)
+                    both = sizes[others] + sizes[i]
+                    near = (100 * (both - apart) >= percent * (both + apart)) & (groups[others] != groups[i])
+                    out += [(max(int(nodes[i]), x), min(int(nodes[i]), x)) for x in nodes[others][near].tolist()]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
         names = ("region", "node", "group", "sketch", "n_shingles")
-        for batch in itertools.chain(batches, [None]):
+        for batch in itertools.chain(lean(batches), [None]):
             out: list[tuple[int, int]] = []
             if batch is None:
                 out += compare(rows)
@@ -211,7 +219,7 @@ def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, head = WordHashes(), np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in lean(batches):
             pivots, nodes = (batch.column(c).to_pylist() for c in ("pivot", "node"))
             out: list[tuple[int, int, int, int]] = []
             for pivot, node, found in zip(pivots, nodes, shingle_sets(batch.column("text").to_pylist(), n, hashes), strict=True):
@@ -227,71 +235,101 @@ def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
         run, "node long, pivot long, common long, total long")
 
 
-def _pivots(round_: int) -> list[Column]:
-    # More of them the longer it takes; which hash picks a pivot differs from round to round.
+def _pivots(members: DataFrame, round_: int) -> DataFrame:
+    """Of each region its pivots, the number of its members and that of its largest group. There are more pivots the longer
+    it takes; which hash picks one differs from round to round."""
     many = min(4**round_, MAX_PIVOTS << min(2, round_ // 8))
-    return [F.min(F.struct(F.xxhash64("node", F.lit(round_), F.lit(k)).alias("h"), F.struct("node", "group").alias("p")))["p"]
-            for k in range(many)]
+    names = [f"p{k}" for k in range(many)]
+    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(round_), F.lit(k)).alias("h"), F.struct("node", "group", "size").alias("p"))).alias(name)
+              for k, name in enumerate(names)]
+    each = members.groupBy("region", "group").agg(F.count("*").alias("held"), *firsts)
+    found = each.groupBy("region").agg(F.sum("held").alias("n"), F.max("held").alias("largest"), *[F.min(name).alias(name) for name in names])
+    return found.select("region", "n", "largest", F.array_distinct(F.array(*[F.col(name)["p"] for name in names])).alias("pivots"))
+
+
+def _children(placed: DataFrame, measured: DataFrame, percent: int, round_: int, staging: Staging) -> DataFrame:
+    """``(region, node)`` of the two parts of each region around its first pivot, see :func:`metric_groups`."""
+    reach = (100 - percent) / 100 + 1e-9
+    first = placed.select(
+        "region", F.col("node").alias("member"), F.greatest("node", F.col("pivots")[0]["node"]).alias("node"),
+        F.least("node", F.col("pivots")[0]["node"]).alias("pivot"))
+    d = 1 - F.col("common") / F.col("total")
+    away = staging.keep(
+        first.join(measured, ["node", "pivot"], "left").select("region", F.col("member").alias("node"), d.alias("d"))
+        .withColumn("ring", F.when(F.col("d") <= reach, 0).when(F.col("d") <= 2 * reach, 1).otherwise(2)), f"away-{round_}")
+    nearest = staging.keep(away.where("ring = 1").groupBy("region").agg(F.min("d").alias("nearest")), f"nearest-{round_}")
+    sides = away.join(nearest, "region", "left").select(
+        "region", "node", "ring",
+        F.when(F.col("ring") == 0, F.when(F.col("d") >= F.col("nearest") - reach, F.array(F.lit("ball"))))
+        .when(F.col("ring") == 1, F.array(F.lit("ball"), F.lit("rest"))).otherwise(F.array(F.lit("rest"))).alias("sides"))
+    children = sides.select("region", "node", "ring", F.explode("sides").alias("side"))
+    # The ring alone is in the other child already.
+    filled = children.groupBy("region", "side").agg(F.min("ring").alias("low")).where("side = 'rest' OR low = 0").select("region", "side")
+    filled = staging.keep(filled, f"filled-{round_}")
+    return children.join(filled, ["region", "side"]).select(F.xxhash64("region", "side", F.lit(round_)).alias("region"), "node")
 
 
 def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, percent: int, staging: Staging) -> DataFrame | None:
     """Components of the close sets, ``(node, component)``, by recursion on pivots in each region.
 
     Each round a region takes pivots among its members and measures how far everyone is from them; close ones are
-    linked. Around its first pivot a region then falls into a ball (within the threshold ``r``), a ring (within
-    ``2 r``) and the rest. By the triangle inequality nothing in the ball is close to the rest, so it splits into two:
-    ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
+    linked. Members that links have connected, directly or not, are not compared any more, and a region of connected
+    members is done. In the first rounds that is all: a large group of near copies, which meets in many regions, is
+    connected there by few distinct pairs. Regions whose pairs between groups are no more than ``BASE`` members have
+    (``WIDER`` times as many in later rounds) end the recursion: these pairs are compared directly.
+
+    What is still larger in the last width falls into a ball around its first pivot (within the threshold ``r``), a ring
+    (within ``2 r``) and the rest. By the triangle inequality nothing in the ball is close to the rest, so it splits into
+    two: ball and ring, and ring and rest. Members of the ball are connected already; they only enter the first child, and
     of them only those that can reach the nearest member of the ring. Who is beyond ``2 r`` is mostly told by sketches
-    alone. Members that links have connected, directly or not, are not compared any more, and a region of connected
-    members is done. Regions of at most ``BASE`` members (``WIDER`` times as many in later rounds) end the recursion: their pairs are compared directly. A pivot
-    leaves its region, and there are more of them the deeper the recursion is.
+    alone. A pivot leaves its region, and there are more of them the deeper the recursion is.
     """
-    reach = (100 - percent) / 100 + 1e-9
     groups = None
     members = members.withColumn("group", F.col("node"))
     # Every round takes a pivot at least out of every region that is left, so it ends.
     for round_ in itertools.count():
         if members.isEmpty():
             return groups
-        pivots = members.groupBy("region").agg(F.array_distinct(F.array(*_pivots(round_))).alias("pivots"), F.count("*").alias("n"))
-        pivots = staging.keep(pivots, f"pivots-{round_}")
-        base = BASE * WIDER[min(round_, len(WIDER) - 1)]
-        small = members.join(pivots.where(F.col("n") <= base).select("region"), "region")
-        placed = members.join(pivots.where(F.col("n") > base), "region")
-        # The distance to the first pivot is always needed, and up to twice the threshold; from others only links are.
-        pairs = placed.select("node", "group", F.posexplode("pivots").alias("k", "p")).where(
-            (F.col("node") != F.col("p.node")) & ((F.col("k") == 0) | (F.col("group") != F.col("p.group")))).select(
-            F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot"), (F.col("k") == 0).alias("far"))
-        pairs = pairs.groupBy("node", "pivot").agg(F.max("far").alias("far"))
-        near = _near(pairs, sketches, percent).union(_near_in_regions(small, sketches, percent)).distinct()
-        near = staging.keep(near, f"near-{round_}")
+        base, divided = BASE * WIDER[min(round_, len(WIDER) - 1)], round_ >= len(WIDER) - 1
+        pivots = staging.keep(_pivots(members, round_), f"pivots-{round_}")
+        is_small = (F.col("n") <= MOSTLY_CONNECTED * base) & ((F.col("n") - F.col("largest")) * F.col("n") <= base * base)
+        small = members.join(pivots.where(is_small).select("region"), "region")
+        # One after the other, so that the shuffles of only one of them lie on disk.
+        near = staging.keep(_near_in_regions(small, sketches, percent).distinct(), f"near-small-{round_}")
         staging.drop()
+        large = pivots.where(~is_small).select("region", "pivots")
+        is_last = large.isEmpty()
+        if not is_last:
+            placed = members.join(large, "region")
+            # Where a region is divided, the distance to the first pivot is needed up to twice the threshold; else only links are.
+            pairs = placed.select("node", "size", "group", F.posexplode("pivots").alias("k", "p")).withColumn(
+                "far", (F.col("k") == 0) & F.lit(divided)).where((F.col("node") != F.col("p.node")) & (F.col("far") | (F.col("group") != F.col("p.group"))))
+            least = F.when(F.col("far"), 2 * percent - 100).otherwise(percent)
+            pairs = pairs.where(100 * F.least("size", "p.size") >= least * F.greatest("size", "p.size")).select(
+                F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot"), "far")
+            pairs = pairs.groupBy("node", "pivot").agg(F.max("far").alias("far"))
+            near = near.union(staging.keep(_near(pairs, sketches, percent), f"near-pivots-{round_}")).distinct()
+            staging.drop()
+        near = staging.keep(near, f"near-{round_}")
         measured = staging.keep(_measure(near, texts, n), f"measured-{round_}")
+        staging.drop()
         links = measured.where(100 * F.col("common") >= percent * F.col("total")).select(
             F.col("node").alias("src"), F.col("pivot").alias("dst"))
         if groups is not None:
             links = links.union(groups.select(F.col("node").alias("src"), F.col("component").alias("dst")))
         groups = staging.keep(components(links, staging), f"groups-{round_}")
-        first = placed.where(~F.exists("pivots", lambda p: p["node"] == F.col("node"))).select(
-            "region", F.col("node").alias("member"), F.greatest("node", F.col("pivots")[0]["node"]).alias("node"),
-            F.least("node", F.col("pivots")[0]["node"]).alias("pivot"))
-        d = 1 - F.col("common") / F.col("total")
-        away = staging.keep(
-            first.join(measured, ["node", "pivot"], "left").select("region", F.col("member").alias("node"), d.alias("d"))
-            .withColumn("ring", F.when(F.col("d") <= reach, 0).when(F.col("d") <= 2 * reach, 1).otherwise(2)), f"away-{round_}")
-        nearest = staging.keep(away.where("ring = 1").groupBy("region").agg(F.min("d").alias("nearest")), f"nearest-{round_}")
-        sides = away.join(nearest, "region", "left").select(
-            "region", "node", "ring",
-            F.when(F.col("ring") == 0, F.when(F.col("d") >= F.col("nearest") - reach, F.array(F.lit("ball"))))
-            .when(F.col("ring") == 1, F.array(F.lit("ball"), F.lit("rest"))).otherwise(F.array(F.lit("rest"))).alias("sides"))
-        children = sides.select("region", "node", "ring", F.explode("sides").alias("side"))
-        # The ring alone is in the other child already.
-        filled = children.groupBy("region", "side").agg(F.min("ring").alias("low")).where("side = 'rest' OR low = 0").select("region", "side")
-        filled = staging.keep(filled, f"filled-{round_}")
-        children = children.join(filled, ["region", "side"]).select(F.xxhash64("region", "side", F.lit(round_)).alias("region"), "node")
-        children = children.join(groups, "node", "left").select("region", "node", F.coalesce("component", "node").alias("group"))
+        if is_last:
+            return groups
+        placed = placed.where(~F.exists("pivots", lambda p: p["node"] == F.col("node")))
+        if divided:
+            children = _children(placed, measured, percent, round_, staging).join(sketches.select("node", F.col("n_shingles").alias("size")), "node")
+        else:
+            children = placed.select("region", "node", "size")
+        children = children.join(groups, "node", "left").select("region", "node", "size", F.coalesce("component", "node").alias("group"))
         members = _distinct_regions(children, staging, f"members-{round_}")
-        staging.drop(f"measured-{round_}", f"pivots-{round_}", f"near-{round_}", f"nearest-{round_}", f"filled-{round_}", f"away-{round_}")
+        done = [f"{label}-{round_}" for label in ("pivots", "near-small", "near-pivots", "near", "measured", "away", "nearest", "filled")]
+        done += [f"members-{round_}-regions", f"members-{round_ - 1}" if round_ else "members", f"groups-{round_ - 1}"]
+        staging.drop(*[label for label in done if label in staging.paths])
 
 
 def near_copies(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, staging: Staging | None = None) -> DataFrame:
@@ -318,7 +356,7 @@ def with_roots(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, sta
     common = _common_in_sample(documents, n)
     for attempt in range(5):
         scanned = staging.keep(_scan(source, n, percent, common), f"scanned-{attempt}")
-        entries = scanned.select(F.explode("prefix").alias("region"), "node")
+        entries = scanned.select(F.explode("prefix").alias("region"), "node", F.col("n_shingles").alias("size"))
         # Most shingles are in one text only. They are counted first, with as little as can be, and go no further.
         shared = staging.keep(entries.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"), f"shared-{attempt}")
         entry_count = scanned.agg(F.sum(F.size("prefix")).alias("n")).first().n or 0
