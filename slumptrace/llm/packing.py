@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, in_slices
+from slumptrace.llm.common import Staging, in_slices, lean
 
 LIMIT = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -98,7 +98,7 @@ def cut(documents: DataFrame, path: str | None = None, limit: int = LIMIT, with_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, part = Pieces(path), TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
-        for batch in batches:
+        for batch in lean(batches):
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             rows: list[list] = [[] for _ in range(7)]
             blobs = []
@@ -226,7 +226,7 @@ def pack(pieces: DataFrame, staging: Staging, limit: int = LIMIT) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = {k: tuple(map(np.array, v)) for k, v in table.value.items()}
-        for batch in batches:
+        for batch in lean(batches):
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             order = np.argsort(length, kind="stable")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, in_slices, sample_rows
+from slumptrace.llm.common import Staging, in_slices, lean, sample_rows
 
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(
@@ -162,7 +162,7 @@ def decoy(text: str, at: int, rng: random.Random) -> str:
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of codes and tags of each kind in ``MOST_WINDOWS``."""
     codes_of, pad = Codes(), max(map(abs, OFFSETS))
-    for batch in batches:
+    for batch in lean(batches):
         rows = {"codes": [], "tags": [], "file": [], "kind": []}
 
         def add(kind: str, text: str, secrets: list[tuple[int, int]], places: list[int] | None, file: int | None = None) -> None:
@@ -414,7 +414,7 @@ def scan(documents: DataFrame, field: Field) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of, model = Codes(), Field(*shared.value)
-        for batch in batches:
+        for batch in lean(batches):
             spans = list(find_all(batch.column("text").to_pylist(), model, codes_of))
             base = [[s for s in row if s[1] < 3] for row in spans]
             counts = [pa.array([sum(s[1] == k for s in row) for row in spans], pa.int64()) for k in range(4)]
@@ -438,7 +438,7 @@ def redact(documents: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of, model = Codes(), Field(*shared.value)
-        for batch in batches:
+        for batch in lean(batches):
             texts = batch.column("text").to_pylist()
             out = []
             for text, spans in zip(texts, find_all(texts, model, codes_of), strict=True):

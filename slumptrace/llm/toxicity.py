@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import in_slices, sample_ids
+from slumptrace.llm.common import in_slices, lean, sample_ids
 
 BUCKETS = 1 << 18
 # The most labelled documents that the weights are fitted on.
@@ -154,7 +154,7 @@ def train(documents: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
-        for batch in batches:
+        for batch in lean(batches):
             rows = []
             for text in batch.column("text").to_pylist():
                 words, starts, _ = bags([text], buckets)
@@ -178,7 +178,7 @@ def score(documents: DataFrame, model: Instances) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, scorer = Buckets(), Instances(*shared.value)
-        for batch in batches:
+        for batch in lean(batches):
             texts = batch.column("text").to_pylist()
             scores, counts, worst, worst_scores, worst_texts = [], [], [], [], []
             for low, high in in_slices(texts):
@@ -213,7 +213,7 @@ def drop_toxic(documents: DataFrame, model: Instances, threshold: float = THRESH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, scorer = Buckets(), Instances(*shared.value)
-        for batch in batches:
+        for batch in lean(batches):
             texts = batch.column("text").to_pylist()
             keep: list[bool] = []
             for low, high in in_slices(texts):
