@@ -1,6 +1,8 @@
 import random
 
-from slumptrace.llm.common import components
+import pyarrow as pa
+
+from slumptrace.llm.common import components, lean
 
 
 def brute(edges):
@@ -22,3 +24,10 @@ def test_random_graphs_chains_and_stars(spark, staging):
     df = spark.createDataFrame(edges, "src long, dst long")
     assert {r.node: r.component for r in components(df, staging).collect()} == brute(edges)
     assert components(df.limit(0), staging).count() == 0
+
+
+def test_lean_batches_are_the_same_rows_in_smaller_ones():
+    whole = [pa.RecordBatch.from_pydict({"a": list(range(n))}) for n in (5_000, 0, 3)]
+    parts = list(lean(iter(whole)))
+    assert max(p.num_rows for p in parts) <= 2_048
+    assert [x for p in parts for x in p.column("a").to_pylist()] == [*range(5_000), *range(3)]

@@ -183,3 +183,16 @@ def test_repeated_rows_without_ids_are_one_text(documents, staging):
     base = say(60)
     rows = [(None, " ".join(base))] * 7 + [(None, " ".join(edited(base, 1)))] * 5 + [(4, " ".join(edited(base, 1))), (4, " ".join(base))]
     assert found(documents(*rows), staging) == brute(rows)
+
+
+children = J._children
+
+
+def test_a_group_of_near_copies_is_not_divided(documents, staging, monkeypatch):
+    """Near copies that meet in many regions are connected by pivots; none of their regions is laid out in parts."""
+    divided = []
+    monkeypatch.setattr(J, "_children", lambda *a: divided.append(a) or children(*a))
+    text = say(100)
+    rows = [(i, " ".join(edited(text, i % 3))) for i in range(90)]
+    assert found(documents(*rows), staging) == brute(rows)
+    assert not divided
