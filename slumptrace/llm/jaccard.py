@@ -20,9 +20,10 @@ SAMPLE_DOCUMENTS, SAMPLE_COMMON = 8_192, 4
 COMMON = 1_024
 MAX_PIVOTS = 16
 # Regions of up to this many members are not divided further: one task looks at all their pairs by sketch. So many times as
-# many in each round: at first pivots connect what is close, so that a large group of near copies isn't compared pair by
-# pair; what they leave is mostly far from each other. Before the last of these rounds regions stay whole.
-BASE, WIDER = 32, (1, 8, 32)
+# many in each round: in the first, all members of all regions are compared with one pivot only, which connects most of what
+# is close, so that a group of near copies isn't compared pair by pair; what it leaves is mostly far from each other. Before
+# the last of these rounds regions stay whole.
+BASE, WIDER = 32, (0, 32, 32)
 # A region in which most members are connected may be so many times larger, as long as its pairs are no more.
 MOSTLY_CONNECTED = 16
 # Up to this many pairs are sent to all tasks, which then read the texts without a shuffle.
@@ -127,6 +128,19 @@ def _common_in_sample(documents: DataFrame, n: int) -> np.ndarray:
     return np.sort(found.column("shingle").to_numpy().view(np.uint64))
 
 
+def _within_reach(entries: DataFrame, percent: int) -> DataFrame:
+    """Drop from each region the members that are close to no other because of what stands before the region's shingle.
+
+    ``at`` is the place of that shingle in the order of the set. Two close sets meet in the region of the first shingle that
+    they share; of the smaller one's ``size`` shingles no more than ``size - at`` are common then. ``100 * common >=
+    percent * union`` allows the other set at most ``widest`` shingles. Of a large group of near copies those with many
+    shingles of their own leave here.
+    """
+    reach = entries.withColumn("widest", F.floor((100 + percent) * (F.col("size") - F.col("at")) / percent) - F.col("size"))
+    bounds = reach.groupBy("region").agg(F.min("size").alias("low"), F.max("widest").alias("high"))
+    return reach.join(bounds, "region").where("widest >= low AND size <= high").drop("widest", "low", "high")
+
+
 def _distinct_regions(members: DataFrame, staging: Staging, label: str) -> DataFrame:
     """Drop regions whose members are all connected, and all but one of those with the same members."""
     held = members.groupBy("region").agg(
@@ -237,10 +251,12 @@ def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
 def _pivots(members: DataFrame, round_: int) -> DataFrame:
     """Of each region its pivots, the number of its members and that of its largest group. There are more pivots the longer
-    it takes; which hash picks one differs from round to round."""
+    it takes; which hash picks one differs from round to round. The first is the one in which the region's shingle stands
+    first: of near copies that is the one with the fewest shingles of its own, which is close to most of the others."""
+    first = [F.col("at")] if not round_ else []
     many = min(4**round_, MAX_PIVOTS << min(2, round_ // 8))
     names = [f"p{k}" for k in range(many)]
-    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(round_), F.lit(k)).alias("h"), F.struct("node", "group", "size").alias("p"))).alias(name)
+    firsts = [F.min(F.struct(*first, F.xxhash64("node", F.lit(round_), F.lit(k)).alias("h"), F.struct("node", "group", "size").alias("p"))).alias(name)
               for k, name in enumerate(names)]
     each = members.groupBy("region", "group").agg(F.count("*").alias("held"), *firsts)
     found = each.groupBy("region").agg(F.sum("held").alias("n"), F.max("held").alias("largest"), *[F.min(name).alias(name) for name in names])
@@ -274,9 +290,9 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
 
     Each round a region takes pivots among its members and measures how far everyone is from them; close ones are
     linked. Members that links have connected, directly or not, are not compared any more, and a region of connected
-    members is done. In the first rounds that is all: a large group of near copies, which meets in many regions, is
-    connected there by few distinct pairs. Regions whose pairs between groups are no more than ``BASE`` members have
-    (``WIDER`` times as many in later rounds) end the recursion: these pairs are compared directly.
+    members is done. In the first round that is all, with one pivot for each region: a large group of near copies, which meets
+    in many regions, is connected there by few distinct pairs. Regions whose pairs between groups are no more than ``BASE``
+    times ``WIDER`` members have end the recursion: these pairs are compared directly.
 
     What is still larger in the last width falls into a ball around its first pivot (within the threshold ``r``), a ring
     (within ``2 r``) and the rest. By the triangle inequality nothing in the ball is close to the rest, so it splits into
@@ -293,10 +309,12 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
         base, divided = BASE * WIDER[min(round_, len(WIDER) - 1)], round_ >= len(WIDER) - 1
         pivots = staging.keep(_pivots(members, round_), f"pivots-{round_}")
         is_small = (F.col("n") <= MOSTLY_CONNECTED * base) & ((F.col("n") - F.col("largest")) * F.col("n") <= base * base)
-        small = members.join(pivots.where(is_small).select("region"), "region")
-        # One after the other, so that the shuffles of only one of them lie on disk.
-        near = staging.keep(_near_in_regions(small, sketches, percent).distinct(), f"near-small-{round_}")
-        staging.drop()
+        near = None
+        if base:
+            small = members.join(pivots.where(is_small).select("region"), "region")
+            # One after the other, so that the shuffles of only one of them lie on disk.
+            near = staging.keep(_near_in_regions(small, sketches, percent).distinct(), f"near-small-{round_}")
+            staging.drop()
         large = pivots.where(~is_small).select("region", "pivots")
         is_last = large.isEmpty()
         if not is_last:
@@ -308,7 +326,8 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
             pairs = pairs.where(100 * F.least("size", "p.size") >= least * F.greatest("size", "p.size")).select(
                 F.greatest("node", "p.node").alias("node"), F.least("node", "p.node").alias("pivot"), "far")
             pairs = pairs.groupBy("node", "pivot").agg(F.max("far").alias("far"))
-            near = near.union(staging.keep(_near(pairs, sketches, percent), f"near-pivots-{round_}")).distinct()
+            to_pivots = staging.keep(_near(pairs, sketches, percent), f"near-pivots-{round_}")
+            near = to_pivots if near is None else near.union(to_pivots).distinct()
             staging.drop()
         near = staging.keep(near, f"near-{round_}")
         measured = staging.keep(_measure(near, texts, n), f"measured-{round_}")
@@ -356,7 +375,7 @@ def with_roots(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, sta
     common = _common_in_sample(documents, n)
     for attempt in range(5):
         scanned = staging.keep(_scan(source, n, percent, common), f"scanned-{attempt}")
-        entries = scanned.select(F.explode("prefix").alias("region"), "node", F.col("n_shingles").alias("size"))
+        entries = scanned.select(F.posexplode("prefix").alias("at", "region"), "node", F.col("n_shingles").alias("size"))
         # Most shingles are in one text only. They are counted first, with as little as can be, and go no further.
         shared = staging.keep(entries.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"), f"shared-{attempt}")
         entry_count = scanned.agg(F.sum(F.size("prefix")).alias("n")).first().n or 0
@@ -369,7 +388,7 @@ def with_roots(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, sta
     rows = staging.keep(scanned.select("doc_id", "text_key", "n_shingles", "node"), "rows")
     # Copies have put their shingles in more than once.
     members = staging.keep(entries.join(shared.select("region"), "region").distinct(), "entries")
-    members = _distinct_regions(members.withColumn("group", F.col("node")), staging, "members")
+    members = _distinct_regions(_within_reach(members, percent).withColumn("group", F.col("node")), staging, "members")
     one_each = scanned.select("node", "n_shingles", "sketch", "doc_id", "text_key").join(members.select("node").distinct(), "node").groupBy(
         "node").agg(F.min(F.struct("doc_id", "text_key")).alias("from"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     sketches = staging.keep(one_each, "sketches")

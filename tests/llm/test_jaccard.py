@@ -196,3 +196,46 @@ def test_a_group_of_near_copies_is_not_divided(documents, staging, monkeypatch):
     rows = [(i, " ".join(edited(text, i % 3))) for i in range(90)]
     assert found(documents(*rows), staging) == brute(rows)
     assert not divided
+
+
+def around(text, copies, most):
+    """Near copies of one text, each with up to ``most`` edits of its own."""
+    return [(i, " ".join(edited(text, i % (most + 1)))) for i in range(copies)]
+
+
+def test_a_large_group_of_near_copies_is_compared_with_few_pairs(documents, staging, monkeypatch):
+    """What is laid out and measured grows with the members of the group, not with its pairs."""
+    laid_out, measured, near, measure = [], [], J._near, J._measure
+    monkeypatch.setattr(J, "_near", lambda pairs, *a: laid_out.append(pairs.count()) or near(pairs, *a))
+    monkeypatch.setattr(J, "_measure", lambda pairs, *a: measured.append(pairs.count()) or measure(pairs, *a))
+    rows = around(say(150), 240, 7)
+    assert found(documents(*rows), staging) == brute(rows)
+    assert sum(laid_out) < 8 * len(rows) and sum(measured) < 4 * len(rows)
+
+
+def test_members_with_too_much_before_a_shingle_leave_its_region(spark):
+    """At 85 of 100, a set of 100 whose shingle stands at place k allows another of (100 - k) * 185 / 85 - 100 at most."""
+    entries = [(1, 10, 100, 0), (1, 11, 100, 8), (1, 12, 100, 9), (2, 20, 100, 14), (2, 21, 85, 0), (3, 30, 100, 12), (3, 31, 90, 3),
+               (4, 40, 100, 0), (4, 41, 118, 0)]
+    df = spark.createDataFrame(entries, "region long, node long, size long, at int")
+    kept = sorted(r.node for r in J._within_reach(df, 85).collect())
+    # A member that fits no other may stay for its own size; it is alone then, and its region goes.
+    assert kept == [10, 11, 20, 21, 31, 40, 41]
+
+
+def test_sets_that_are_close_stay_together(spark, documents, staging):
+    """No pair at or above the threshold is lost, also at the very bound of sizes and places."""
+    text = say(203)
+    rows = [(0, " ".join(text)), (1, " ".join(text[:173])), (2, " ".join(text[30:])), (3, " ".join(text[:172])), (4, " ".join(say(15) + text[15:]))]
+    rows += [(5 + k, " ".join(say(1 + k % 16) + text[k:])) for k in range(30)]
+    assert found(documents(*rows), staging) == brute(rows)
+
+
+def test_divided_regions(documents, staging, rows, monkeypatch):
+    divided = []
+    monkeypatch.setattr(J, "_children", lambda *a: divided.append(a) or children(*a))
+    monkeypatch.setattr(J, "BASE", 2)
+    monkeypatch.setattr(J, "WIDER", (0, 1))
+    part = [r for r in rows if len(r[1] or "") < 3_000]
+    assert found(documents(*part), staging, percent=70) == brute(part, 70)
+    assert divided
