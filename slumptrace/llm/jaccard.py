@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, components, in_slices, lean, sample_rows
+from slumptrace.llm.common import Staging, components, in_slices, lean, sample_rows, tidy
 
 WORDS, PERCENT = 4, 85
 # Shingles found in this many of the sampled documents come last in the order of pivots.
@@ -39,7 +39,7 @@ class WordHashes(dict):
     """64-bit hashes of words seen before; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word)
         return found
@@ -97,6 +97,7 @@ def sketch(shingles: np.ndarray) -> bytes:
 def _scan(documents: DataFrame, n: int, percent: int, common: np.ndarray) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(common)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last = WordHashes(), shared.value
         for batch in lean(batches):
@@ -117,6 +118,7 @@ def _scan(documents: DataFrame, n: int, percent: int, common: np.ndarray) -> Dat
 def _common_in_sample(documents: DataFrame, n: int) -> np.ndarray:
     """Shingles that several documents of a bounded sample share. Any order is right; this one keeps regions small."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in lean(batches):
@@ -155,6 +157,7 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sketches allow them to be close, or, where they are ``far``, at twice that distance; all others
     are surely farther apart."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("a", "b"))
@@ -197,6 +200,7 @@ def _near_in_regions(members: DataFrame, sketches: DataFrame, percent: int) -> D
                     out += [(max(int(nodes[i]), x), min(int(nodes[i]), x)) for x in nodes[others][near].tolist()]
         return out
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
         names = ("region", "node", "group", "sketch", "n_shingles")
@@ -231,6 +235,7 @@ def _measure(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
         "pivot", "block", F.lit(None).cast("long").alias("node"), "text")
     rows = heads.union(texts.join(few(dealt), "node").select("pivot", "block", "node", "text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, head = WordHashes(), np.zeros(0, np.uint64)
         for batch in lean(batches):

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, in_slices, lean
+from slumptrace.llm.common import Staging, in_slices, lean, tidy
 
 LIMIT = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -53,7 +53,7 @@ class Pieces:
     def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= self.most:
+            if len(self.words) >= self.most // 5:
                 self.words = {"": b""}
             text = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
             self.words[word] = found = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
@@ -95,6 +95,7 @@ def cut(documents: DataFrame, path: str | None = None, limit: int = LIMIT, with_
     """
     path = path or tokenizer_path()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, part = Pieces(path), TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
@@ -102,7 +103,7 @@ def cut(documents: DataFrame, path: str | None = None, limit: int = LIMIT, with_
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             rows: list[list] = [[] for _ in range(7)]
             blobs = []
-            for low, high in in_slices(texts):
+            for low, high in in_slices(texts, 1_000_000):
                 for doc, blob in zip(ids[low:high], pieces.encode(texts[low:high]), strict=True):
                     for k, at in enumerate(range(0, len(blob), 4 * limit)):
                         chunk = blob[at:at + 4 * limit]
@@ -224,6 +225,7 @@ def pack(pieces: DataFrame, staging: Staging, limit: int = LIMIT) -> DataFrame:
         sizes.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"), "shifts")
     ranked = pieces.join(shifts, ["length", "part"]).withColumn("rank", F.col("place") + F.col("shift")).drop("place", "shift", "part")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = {k: tuple(map(np.array, v)) for k, v in table.value.items()}
         for batch in lean(batches):

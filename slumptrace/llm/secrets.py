@@ -9,7 +9,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from itertools import accumulate
 
 import numpy as np
@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, in_slices, lean, sample_rows
+from slumptrace.llm.common import Staging, in_slices, lean, sample_rows, tidy
 
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(
@@ -88,7 +88,7 @@ class Codes(dict):
     """Codes of tokens seen before; emptied when it has grown large."""
 
     def __missing__(self, token: str) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 100_000:
             self.clear()
         # The hash of a long mixed token says nothing about the next one.
         mixed = len(token) >= 12 and any(c.isdigit() for c in token)
@@ -105,12 +105,18 @@ def file_code(text: str, n_tokens: int) -> int:
 
 @dataclass
 class Field:
-    """Weights of the chain: per offset and code, per file code, and per pair of tags."""
+    """Weights of the chain: per offset and shape or word, per file code, and per pair of tags."""
 
-    emission: np.ndarray
+    weights: np.ndarray
     files: np.ndarray
     transition: np.ndarray
 
+    @cached_property
+    def emission(self) -> np.ndarray:
+        """One weight per offset, code and tag. These are some 40 MB, so tasks add up the weights of shape and word instead."""
+        shapes, words = self.weights[:, :SHAPES], self.weights[:, SHAPES:]
+        return (shapes[:, :, None, :] + words[:, None, :, :]).reshape(len(OFFSETS), SHAPES * WORDS, 3)
+
 
 def _tags(tokens: list[tuple[int, int]], secrets: list[tuple[int, int]]) -> np.ndarray:
     tags = np.zeros(len(tokens), np.int8)
@@ -159,6 +165,7 @@ def decoy(text: str, at: int, rng: random.Random) -> str:
     return f"{text[max(0, at - 200):at]} {lead}{look} {text[at:at + 200]}"
 
 
+@tidy
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of codes and tags of each kind in ``MOST_WINDOWS``."""
     codes_of, pad = Codes(), max(map(abs, OFFSETS))
@@ -208,12 +215,6 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
              pa.array(rows["file"], pa.int32()), pa.array(rows["kind"], pa.string())], ["codes", "tags", "file", "kind"])
 
 
-def _fold(weights: np.ndarray) -> np.ndarray:
-    """One weight per offset, code and tag from those of shapes and words."""
-    shapes, words = weights[:, :SHAPES], weights[:, SHAPES:]
-    return (shapes[:, :, None, :] + words[:, None, :, :]).reshape(len(OFFSETS), SHAPES * WORDS, 3)
-
-
 def fit(rows: list, rounds: int = 120, rate: float = 0.15, ridge: float = 2e-5) -> Field:
     """Maximise the likelihood of the tagged windows by forward-backward and Adam; outside a window the tag is O.
 
@@ -225,7 +226,7 @@ def fit(rows: list, rounds: int = 120, rate: float = 0.15, ridge: float = 2e-5)
     weights[OFFSETS.index(0), :, O] = 0.5
     if not rows:
         files[:, O] = 50
-        return Field(_fold(weights), files, transition)
+        return Field(weights, files, transition)
     width = max(len(r.tags) for r in rows)
     n = len(rows)
     codes, tags, real = np.zeros((n, width + 2 * pad), np.int32), np.zeros((n, width), np.int8), np.zeros((n, width), bool)
@@ -283,7 +284,7 @@ def fit(rows: list, rounds: int = 120, rate: float = 0.15, ridge: float = 2e-5)
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return Field(_fold(weights), files, transition)
+    return Field(weights, files, transition)
 
 
 def viterbi(score: np.ndarray, transition: np.ndarray) -> np.ndarray:
@@ -317,8 +318,10 @@ def tag(codes: np.ndarray, files: np.ndarray, field: Field) -> np.ndarray:
     tags = np.zeros(len(codes), np.int8)
     score = field.files[files]
     padded = np.concatenate([np.zeros(pad, codes.dtype), codes, np.zeros(pad, codes.dtype)])
+    shapes, words = padded // WORDS, padded % WORDS + SHAPES
     for o, offset in enumerate(OFFSETS):
-        score += field.emission[o][padded[pad + offset:pad + offset + len(codes)]]
+        cut = slice(pad + offset, pad + offset + len(codes))
+        score += field.weights[o][shapes[cut]] + field.weights[o][words[cut]]
     open_ = (score[:, O] - score[:, 1:].max(1) <= certain_margin(field.transition)) & (codes > 0)
     places = np.flatnonzero(open_)
     if not len(places):
@@ -408,10 +411,11 @@ def scan(documents: DataFrame, field: Field) -> DataFrame:
     """All secrets of every whole text: ``doc_id, n_assign, n_access, n_hex, n_crf, base_sha256, spans``.
 
     One row per input row; null and empty texts have no spans; offsets are code points. Texts are read one batch at
-    a time, and the field (about 20 MB, fixed by its parameters) goes to the executors in the task.
+    a time, and the field (about 0.1 MB, fixed by its parameters) is broadcast.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((field.emission, field.files, field.transition))
+    shared = documents.sparkSession.sparkContext.broadcast((field.weights, field.files, field.transition))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of, model = Codes(), Field(*shared.value)
         for batch in lean(batches):
@@ -434,8 +438,9 @@ def redact(documents: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFr
     A column ``n_chars`` of whole numbers is set to the new text's length where the text changed; one of another kind is
     left as it is, like all other columns. Rows with equal or null ids are rows of their own.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((field.emission, field.files, field.transition))
+    shared = documents.sparkSession.sparkContext.broadcast((field.weights, field.files, field.transition))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of, model = Codes(), Field(*shared.value)
         for batch in lean(batches):

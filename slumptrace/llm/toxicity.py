@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import in_slices, lean, sample_ids
+from slumptrace.llm.common import in_slices, lean, sample_ids, tidy
 
 BUCKETS = 1 << 18
 # The most labelled documents that the weights are fitted on.
@@ -33,7 +33,7 @@ class Buckets(dict):
     """
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= 150_000:
+        if len(self) >= 75_000:
             self.clear()
         plain = word.lower().strip(_STRIP)
         names = [plain] if plain else []
@@ -152,6 +152,7 @@ def train(documents: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENT
     chosen = sample_ids(known, "doc_id", most)
     known = known.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "toxic")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
         for batch in lean(batches):
@@ -176,6 +177,7 @@ def score(documents: DataFrame, model: Instances) -> DataFrame:
     """
     shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, scorer = Buckets(), Instances(*shared.value)
         for batch in lean(batches):
@@ -211,6 +213,7 @@ def drop_toxic(documents: DataFrame, model: Instances, threshold: float = THRESH
     """
     shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, scorer = Buckets(), Instances(*shared.value)
         for batch in lean(batches):

@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import re
 
 import numpy as np
@@ -165,3 +166,19 @@ def test_redaction(documents, field):
     assert S.redact(df, field).columns == df.columns
     text_counts = df.withColumn("n_chars", df["n_chars"].cast("string"))
     assert {r.doc_id: r.n_chars for r in S.redact(text_counts, field).collect()}[4] == str(len(HEX))
+
+
+def test_tasks_get_the_weights_of_shapes_and_words_only(spark, documents, field, monkeypatch):
+    """Each of an executor's workers holds a copy of what is broadcast: weights per code would be some 40 MB."""
+    sizes, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sizes.append(len(pickle.dumps(value))) or broadcast(self, value))
+    df = documents((1, f"token={HEX}"))
+    assert S.scan(df, field).first().n_assign == 1 and S.redact(df, field).first().text == "[SECRET]"
+    assert len(sizes) == 2 and max(sizes) < 1_000_000
+
+
+def test_codes_of_many_tokens_stay_few():
+    codes, tokens = S.Codes(), [f"t{k}" for k in range(150_000)]
+    found = [codes[t] for t in tokens]
+    assert len(codes) <= 100_000
+    assert found[::5_000] == [S.Codes()[t] for t in tokens[::5_000]]
