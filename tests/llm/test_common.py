@@ -39,6 +39,4 @@ def test_memory_goes_back_after_all_that_a_task_held(monkeypatch):
 def test_slices_hold_few_characters():
     texts = ["a" * 100_000, None, "b" * 100_000, "c" * 100_000, "", "d" * 900_000, "e"]
     cut = list(common.in_slices(texts))
-    assert [i for low, high in cut for i in range(low, high)] == list(range(len(texts)))
-    assert all(sum(len(t or "") for t in texts[low:high]) <= 350_000 or high - low == 2 for low, high in cut)
-    assert cut[0] == (0, 4)
+    assert cut == [(0, 4), (4, 6), (6, 7)]
