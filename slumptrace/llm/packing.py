@@ -22,8 +22,16 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 
 
-# A chunk of one plain word and the signs after it. Its pieces can go to the model without the pre-tokenizer.
-_PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# Bytes by what they are in UTF-8: blanks, letters, signs that may follow them, and all others. Letters beyond ASCII have two
+# bytes, _LATIN and one that is neither of those in _NO_LETTER.
+_BLANK, _LETTER, _SIGN, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[[10, 32]] = _BLANK
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KINDS[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = _SIGN
+_LATIN, _NO_LETTER = 0xC3, (0x97, 0xB7)
+# A piece that goes to the model without the pre-tokenizer.
+_PLAIN = re.compile(r"[a-zà-öø-ÿß]+|[!-&(-/:-@\[-`{-~]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -33,53 +41,96 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def split_pieces(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The pieces of all texts in order, each with the blank behind it, and how many there are up to each text's end.
+
+    Chunks are cut at blanks. One that is a word, letters of ASCII and Latin-1, and maybe signs, is put in lower case and its
+    signs are a piece of their own; all others stay as they are. Only arrays over bytes are made.
+    """
+    data = np.frombuffer(bytearray("".join([t.replace("\n", " ") + "\n" for t in texts]).encode()), np.uint8)
+    kind = _KINDS[data]
+    second = np.flatnonzero(data == _LATIN) + 1
+    second = second[~np.isin(data[second], _NO_LETTER)]
+    kind[second] = kind[second - 1] = _LETTER
+    before = np.roll(kind, 1)  # the last byte is a blank
+    blank = kind == _BLANK
+    chunk = np.cumsum(blank, dtype=np.int32)
+    chunk -= blank
+    odd = np.zeros(chunk[-1] + 1, bool)
+    odd[chunk[(kind == _OTHER) | (kind == _SIGN) & (before == _BLANK) | (kind == _LETTER) & (before == _SIGN)]] = True
+    large = np.concatenate([np.flatnonzero((data >= 65) & (data <= 90)), second[data[second] < 0x9F]])
+    data[large[~odd[chunk[large]]]] += 32
+    signs = np.flatnonzero((kind == _SIGN) & (before == _LETTER))
+    data = np.insert(data, signs[~odd[chunk[signs]]], 32)
+    cuts = np.concatenate([[0], np.flatnonzero((data == 32) | (data == 10)) + 1])
+    ends = np.flatnonzero(data[cuts[1:] - 1] == 10) + 1
+    data[data == 10] = 32
+    return pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode(), ends
+
+
 class Pieces:
-    """Token ids of what was seen before, as bytes: of chunks between blanks, and of the words in them.
+    """Token ids of what was seen before: of words, of the signs after them, and of chunks that are neither.
 
     The tokenizer cuts at white space and no token spans it, so a text's ids are those of its chunks in order. A chunk
     that is one word, or a word and signs, is two pieces to the pre-tokenizer; these are looked up or encoded by the
-    model itself. All other chunks go through the whole tokenizer. Both memories are emptied when they have grown large.
+    model itself. All other chunks go through the whole tokenizer. Texts are cut, and their ids put together, as arrays:
+    only the distinct pieces of a slice are looked at one by one. The memory is emptied when it has grown large.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters, self.most = self.tokenizer.model, byte_letters(), most
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {"": b""}
-
-    def word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= self.most // 5:
-                self.words = {"": b""}
-            text = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            self.words[word] = found = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
-        return found
-
-    def learn(self, chunks: set[str]) -> None:
-        new = chunks.difference(self.chunks)
-        if len(self.chunks) + len(new) > self.most:
-            self.chunks, new = {}, chunks
-        known, word, odd = self.chunks, self.word, []
-        for chunk in new:
-            plain = _PLAIN.fullmatch(chunk)
-            if plain:
-                known[chunk] = word(plain[1].lower()) + word(plain[2])
-            else:
-                odd.append(chunk)
-        for chunk, found in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            known[chunk] = array("I", found.ids).tobytes()
+        self.forget()
+
+    def forget(self) -> None:
+        """Nothing is known but the empty piece, of code 0. The ids of code ``k`` are those from ``ends[k]`` to ``ends[k + 1]``."""
+        self.codes: dict[str, int] = {"": 0}
+        self.ids, self.ends = array("I"), array("q", [0, 0])
+
+    def learn(self, pieces: list[str]) -> list[int]:
+        """The codes of distinct pieces; what is new among them is encoded."""
+        found = list(map(self.codes.get, pieces))
+        new = [piece for piece, code in zip(pieces, found, strict=True) if code is None]
+        if not new:
+            return found
+        if len(self.codes) + len(new) > self.most:
+            self.forget()
+            new = [piece for piece in pieces if piece]
+        tokenize, ids, ends, done, odd = self.model.tokenize, self.ids, self.ends, [], []
+        for piece in new:
+            if not _PLAIN.fullmatch(piece):
+                odd.append(piece)
+                continue
+            text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            for token in tokenize(text):
+                ids.append(token.id)
+            ends.append(len(ids))
+            done.append(piece)
+        for whole in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False):
+            ids.extend(whole.ids)
+            ends.append(len(ids))
+        self.codes.update(zip(done + odd, range(len(self.codes), len(ends) - 1), strict=True))
+        return list(map(self.codes.__getitem__, pieces))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers, with the end id."""
-        rows = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*rows))
+        if not texts:
+            return []
+        pieces, last = split_pieces([t or "" for t in texts])
+        # A blank is the end of a piece and nowhere else.
+        distinct = "".join(pieces.dictionary.to_numpy(zero_copy_only=False)).split(" ")[:-1]
+        codes = np.array(self.learn(distinct), np.int64)[pieces.indices.to_numpy()]
+        bounds = np.array(self.ends)
+        starts, sizes = bounds[codes], bounds[codes + 1] - bounds[codes]
+        stops = np.cumsum(sizes)
+        # The ids of all pieces, one after the other.
+        ids = np.array(self.ids, "<u4")[np.repeat(starts - stops + sizes, sizes) + np.arange(stops[-1])]
+        stops = stops[last - 1].tolist()
         end = array("I", [END_ID]).tobytes()
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, row)) + end for row in rows]
+        return [ids[low:high].tobytes() + end for low, high in zip([0, *stops], stops)]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -103,7 +154,7 @@ def cut(documents: DataFrame, path: str | None = None, limit: int = LIMIT, with_
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             rows: list[list] = [[] for _ in range(7)]
             blobs = []
-            for low, high in in_slices(texts, 1_000_000):
+            for low, high in in_slices(texts, 4_000_000):
                 for doc, blob in zip(ids[low:high], pieces.encode(texts[low:high]), strict=True):
                     for k, at in enumerate(range(0, len(blob), 4 * limit)):
                         chunk = blob[at:at + 4 * limit]

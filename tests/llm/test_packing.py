@@ -29,6 +29,32 @@ def test_ids_are_those_of_whole_texts(tokenizer):
             assert np.frombuffer(blob, "<u4").tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
 
 
+def test_random_signs_and_letters(tokenizer):
+    rng = random.Random(5)
+    signs = "ab Zé.,'-<|>1\n\tÀÞßÿ×÷µÃ\u0301\u00a0\u2003İΣ語🙂\x00\x7f`_"
+    texts = ["".join(rng.choices(signs, [20, 20, 20] + [1 + (c in "Zé.,") for c in signs[3:]], k=rng.randrange(40))) for _ in range(3_000)]
+    found = P.Pieces(P.tokenizer_path()).encode(texts)
+    for text, blob in zip(texts, found, strict=True):
+        assert np.frombuffer(blob, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], repr(text)
+
+
+def test_each_word_is_encoded_once():
+    class Counting:
+        def __init__(self, model):
+            self.model, self.calls = model, Counter()
+
+        def tokenize(self, text):
+            self.calls[text] += 1
+            return self.model.tokenize(text)
+
+    pieces = P.Pieces(P.tokenizer_path(), 200)
+    pieces.model = Counting(pieces.model)
+    words = [a + b + c for a in "abcd" for b in "aeiou" for c in "mno"]
+    for form in (str, str.title, lambda w: w.upper() + "."):
+        pieces.encode([" ".join(map(form, words))])
+    assert pieces.model.calls == Counter([*words, "."])
+
+
 def check_plan(counts, limit):
     bins = P.plan(counts, limit)
     used = Counter()
