@@ -11,11 +11,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slumptrace.llm.common import Staging, components, in_slices, lean, sample_rows, tidy
+from slumptrace.llm.common import Staging, components, in_slices, lean, tidy
 
 WORDS, PERCENT = 4, 85
-# Shingles found in this many of the sampled documents come last in the order of pivots.
-SAMPLE_DOCUMENTS, SAMPLE_COMMON = 8_192, 4
+# Shingles found in this many of the sampled documents come last in the order of pivots. The sample is this large, or one
+# document in so many of a large table: there, a shingle of a sample that did not grow could be in any number of documents.
+SAMPLE_DOCUMENTS, SAMPLE_EVERY, SAMPLE_COMMON = 8_192, 64, 4
+# Binary digits between two magnitudes of their counts.
+MAGNITUDE = 4
 # A shingle whose region is larger than this, or than a 2^-20 share of all entries, is moved back as well.
 COMMON = 1_024
 MAX_PIVOTS = 16
@@ -26,12 +29,17 @@ MAX_PIVOTS = 16
 BASE, WIDER = 32, (0, 32, 32)
 # A region in which most members are connected may be so many times larger, as long as its pairs are no more.
 MOSTLY_CONNECTED = 16
+# A larger one of unconnected members is dealt out to parts of as many, and each two parts are looked at together; one member
+# goes to so many times fewer parts than a part has members at most. Pivots don't help there, as members that have little more
+# than a common shingle are far from all others.
+PARTED = 64
 # Up to this many pairs are sent to all tasks, which then read the texts without a shuffle.
 BROADCAST_PAIRS = 200_000
 # Nodes that are measured against one copy of their pivot's text.
 BLOCK = 64
-# Bins of the sketches that tell far pairs before their texts are compared.
-BINS = 256
+# Least and most bins of the sketches that tell far pairs before their texts are compared, and shingles in a bin. With many in
+# each, two large sets look alike whatever they hold: counts of 16 differ by a seventh, as do sets that are 75 % similar.
+BINS, MOST_BINS, IN_A_BIN = 256, 8_192, 16
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -72,11 +80,11 @@ def shingle_sets(texts: list[str | None], n: int, hashes: WordHashes) -> Iterato
             at += size
 
 
-def prefix_of(shingles: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+def prefix_of(shingles: np.ndarray, common: np.ndarray, percent: int, places: np.ndarray | None = None) -> np.ndarray:
     """The shingles whose regions a set must enter: two sets that are close enough share one of these.
 
-    All sets order their shingles alike, by hash with the common ones last; from a set of ``n`` the first
-    ``n - ceil(n * percent / 100) + 1`` are taken.
+    All sets order their shingles alike, by hash with the common ones last, these by ``places`` where given; from a set of
+    ``n`` the first ``n - ceil(n * percent / 100) + 1`` are taken. ``common`` is sorted.
     """
     n = len(shingles)
     if not n:
@@ -84,28 +92,59 @@ def prefix_of(shingles: np.ndarray, common: np.ndarray, percent: int) -> np.ndar
     size = n - (percent * n + 99) // 100 + 1
     if not len(common):
         return shingles[:size]
-    late = common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] == shingles
-    return np.concatenate([shingles[~late], shingles[late]])[:size]
+    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+    late = common[at] == shingles
+    last = shingles[late]
+    return np.concatenate([shingles[~late], last if places is None else last[np.argsort(places[at[late]])]])[:size]
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """How many shingles fall in each of ``BINS`` bins, up to 255. The sum of differences of two sketches is at most
-    the number of shingles that only one of the sets has."""
-    return np.minimum(np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
-
-
-def _scan(documents: DataFrame, n: int, percent: int, common: np.ndarray) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(common)
+    """How many shingles fall in each bin, up to 255; larger sets have more bins, always a power of two. The sum of
+    differences of two sketches, see :func:`folded`, is at most the number of shingles that only one of the sets has."""
+    bins = min(MOST_BINS, max(BINS, 1 << (len(shingles) // IN_A_BIN).bit_length()))
+    return np.minimum(np.bincount((shingles % np.uint64(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8).tobytes()
+
+
+def folded(sketches: list[bytes], bins: int) -> np.ndarray:
+    """The sketches as rows, as if taken with ``bins`` bins, which is no more than any of them has."""
+    sizes = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    if (sizes == bins).all():
+        return np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, bins).astype(np.int16)
+    out = np.empty((len(sketches), bins), np.int16)
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        rows = np.frombuffer(b"".join(sketches[k] for k in at), np.uint8).reshape(-1, size // bins, bins)
+        # A sum of numbers cut at 255 is, cut there again, that of the whole numbers.
+        out[at] = rows[:, 0] if size == bins else np.minimum(rows.sum(1, dtype=np.int64), 255)
+    return out
+
+
+def apart(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """The sum of differences of each pair of sketches, at the bins of the smaller one."""
+    out = np.empty(len(a), np.int64)
+    bins = np.fromiter((min(len(x), len(y)) for x, y in zip(a, b, strict=True)), np.int64, len(a))
+    for size in np.unique(bins).tolist():
+        at = np.flatnonzero(bins == size)
+        out[at] = np.abs(folded([a[k] for k in at], size) - folded([b[k] for k in at], size)).sum(1)
+    return out
+
+
+def _scan(documents: DataFrame, n: int, percent: int, common: np.ndarray, counts: np.ndarray) -> DataFrame:
+    # Of the common shingles the rarer ones come first: a text of nothing else doesn't meet all others that hold the commonest.
+    # Counts of one magnitude are alike, so that the shingles of a group of near copies are taken by hash.
+    by_hash = np.argsort(common)
+    places = np.argsort(np.lexsort((common, np.log2(np.maximum(counts, 1)) // MAGNITUDE)))
+    shared = documents.sparkSession.sparkContext.broadcast((common[by_hash], places[by_hash]))
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last = WordHashes(), shared.value
+        hashes, (last, places) = WordHashes(), shared.value
         for batch in lean(batches):
             sizes, prints, prefixes, sketches = [], [], [], []
             for found in shingle_sets(batch.column("text").to_pylist(), n, hashes):
                 sizes.append(len(found))
                 prints.append(np.uint64(xxhash.xxh64_intdigest(found.tobytes())).astype(np.int64) if len(found) else None)
-                prefixes.append(prefix_of(found, last, percent).view(np.int64))
+                prefixes.append(prefix_of(found, last, percent, places).view(np.int64))
                 sketches.append(sketch(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()),
@@ -116,7 +155,8 @@ def _scan(documents: DataFrame, n: int, percent: int, common: np.ndarray) -> Dat
 
 
 def _common_in_sample(documents: DataFrame, n: int) -> np.ndarray:
-    """Shingles that several documents of a bounded sample share. Any order is right; this one keeps regions small."""
+    """Shingles that several documents of a sample share, and below them about how many documents have each. Any order is
+    right; this one keeps regions small."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +165,11 @@ def _common_in_sample(documents: DataFrame, n: int) -> np.ndarray:
             sets = list(shingle_sets(batch.column("text").to_pylist(), n, hashes))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64())], ["shingle"])
 
-    rows = sample_rows(documents.select("doc_id", "text"), "doc_id", SAMPLE_DOCUMENTS).select("text").mapInArrow(run, "shingle long")
-    found = rows.groupBy("shingle").count().where(F.col("count") >= SAMPLE_COMMON).select("shingle").toArrow()
-    return np.sort(found.column("shingle").to_numpy().view(np.uint64))
+    total = documents.count()
+    every = max(1, total // max(SAMPLE_DOCUMENTS, total // SAMPLE_EVERY))
+    rows = documents.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text").mapInArrow(run, "shingle long")
+    found = rows.groupBy("shingle").count().where(F.col("count") >= SAMPLE_COMMON).toArrow()
+    return np.stack([found.column("shingle").to_numpy().view(np.uint64), found.column("count").to_numpy().view(np.uint64) * np.uint64(every)])
 
 
 def _within_reach(entries: DataFrame, percent: int) -> DataFrame:
@@ -160,13 +202,12 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("a", "b"))
-            apart = np.abs(a - b).sum(1)
+            between = apart(*(batch.column(c).to_pylist() for c in ("a", "b")))
             both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-            # Similarity is at most (both - apart) / (both + apart), and at most smaller over larger.
+            # Similarity is at most (both - between) / (both + between), and at most smaller over larger.
             smaller = np.minimum(batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy())
             least = np.where(batch.column("far").to_numpy(zero_copy_only=False), 2 * percent - 100, percent)
-            near = (100 * (both - apart) >= least * (both + apart)) & (100 * smaller >= least * (both - smaller))
+            near = (100 * (both - between) >= least * (both + between)) & (100 * smaller >= least * (both - smaller))
             yield batch.select(["node", "pivot"]).filter(pa.array(near))
 
     a = sketches.select("node", F.col("sketch").alias("a"), F.col("n_shingles").alias("size_a"))
@@ -176,14 +217,33 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def _near_in_regions(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs of each region, not connected yet, whose sketches allow them to be close. A region is a bounded number of
-    rows and pairs and is compared in one task, sorted by size: a set can only be close to those at most ``100 / percent``
-    times as large. Members of its largest group are compared with those outside it only."""
+    """The pairs of each region, not connected yet, whose sketches allow them to be close. A region, or each two of its
+    ``parts``, is a bounded number of rows and pairs and is compared in one task, sorted by size: a set can only be close to
+    those at most ``100 / percent`` times as large. Members of its largest group are compared with those outside it only."""
 
     def compare(rows: list[tuple]) -> list[tuple[int, int]]:
         rows.sort(key=lambda r: r[3])
-        nodes, groups, sizes = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 3))
-        prints = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, BINS).astype(np.int16)
+        nodes, groups, sizes, parts = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 3, 4))
+        # Pairs within a part are found where it is looked at by itself.
+        two = len(rows) > 0 and parts.min() < parts.max()
+        # Larger sets stand behind and have as many bins at least; for each number of bins, all rows that have as many.
+        bins = np.fromiter((len(r[2]) for r in rows), np.int64, len(rows))
+        levels, starts = np.unique(bins, return_index=True)
+        prints = [folded([r[2] for r in rows[start:]], level) for level, start in zip(levels.tolist(), starts.tolist(), strict=True)]
+        ends = [*starts[1:], len(rows)]
+
+        def differences(i: int, others: np.ndarray) -> np.ndarray:
+            out = []
+            for level, start, end, own in zip(levels, starts, ends, prints, strict=True):
+                last = level == bins[i]
+                low, high = np.searchsorted(others, [start, len(rows) if last else end])
+                if low < high:
+                    # Behind the last of its own level, row i is compared at its bins; before it, at theirs.
+                    out.append(np.abs(own[others[low:high] - start] - own[i - start]).sum(1))
+                if last:
+                    break
+            return np.concatenate(out)
+
         names, members_of = np.unique(groups, return_counts=True)
         inside = groups == names[members_of.argmax()] if len(rows) else groups == 0
         within, outside = np.flatnonzero(inside), np.flatnonzero(~inside)
@@ -194,16 +254,18 @@ def _near_in_regions(members: DataFrame, sketches: DataFrame, percent: int) -> D
             end = np.searchsorted(sizes[outside] * percent, 100 * sizes[i], "right")
             for others in (within[low:high], outside[k + 1:end]):
                 if len(others):
-                    apart = np.abs(prints[others] - prints[i]).sum(1)
+                    between = differences(i, others)
                     both = sizes[others] + sizes[i]
-                    near = (100 * (both - apart) >= percent * (both + apart)) & (groups[others] != groups[i])
+                    near = (100 * (both - between) >= percent * (both + between)) & (groups[others] != groups[i])
+                    if two:
+                        near &= parts[others] != parts[i]
                     out += [(max(int(nodes[i]), x), min(int(nodes[i]), x)) for x in nodes[others][near].tolist()]
         return out
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
-        names = ("region", "node", "group", "sketch", "n_shingles")
+        names = ("region", "node", "group", "sketch", "n_shingles", "part")
         for batch in itertools.chain(lean(batches), [None]):
             out: list[tuple[int, int]] = []
             if batch is None:
@@ -217,7 +279,12 @@ def _near_in_regions(members: DataFrame, sketches: DataFrame, percent: int) -> D
             a, b = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(list(a), pa.int64()), pa.array(list(b), pa.int64())], ["node", "pivot"])
 
-    rows = members.join(sketches.select("node", "sketch", "n_shingles"), "node").select("region", "node", "group", "sketch", "n_shingles")
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    dealt = members.select("region", "node", "group", "parts", part.alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("with"))
+    # A region in one part keeps its name.
+    pair = F.xxhash64("region", F.least("part", "with"), F.greatest("part", "with"))
+    dealt = dealt.withColumn("region", F.when(F.col("parts") > 1, pair).otherwise(F.col("region")))
+    rows = dealt.join(sketches.select("node", "sketch", "n_shingles"), "node").select("region", "node", "group", "sketch", "n_shingles", "part")
     return rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "node long, pivot long")
 
 
@@ -297,7 +364,8 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
     linked. Members that links have connected, directly or not, are not compared any more, and a region of connected
     members is done. In the first round that is all, with one pivot for each region: a large group of near copies, which meets
     in many regions, is connected there by few distinct pairs. Regions whose pairs between groups are no more than ``BASE``
-    times ``WIDER`` members have end the recursion: these pairs are compared directly.
+    times ``WIDER`` members have end the recursion: these pairs are compared directly; so are, in parts, those
+    of more members, see ``PARTED``.
 
     What is still larger in the last width falls into a ball around its first pivot (within the threshold ``r``), a ring
     (within ``2 r``) and the rest. By the triangle inequality nothing in the ball is close to the rest, so it splits into
@@ -313,10 +381,12 @@ def metric_groups(members: DataFrame, sketches: DataFrame, texts: DataFrame, n:
             return groups
         base, divided = BASE * WIDER[min(round_, len(WIDER) - 1)], round_ >= len(WIDER) - 1
         pivots = staging.keep(_pivots(members, round_), f"pivots-{round_}")
-        is_small = (F.col("n") <= MOSTLY_CONNECTED * base) & ((F.col("n") - F.col("largest")) * F.col("n") <= base * base)
+        is_one = (F.col("n") <= MOSTLY_CONNECTED * base) & ((F.col("n") - F.col("largest")) * F.col("n") <= base * base)
+        is_small = is_one | (F.col("n") * PARTED <= base * base)
         near = None
         if base:
-            small = members.join(pivots.where(is_small).select("region"), "region")
+            parts = F.when(is_one, F.lit(1)).otherwise(F.ceil(F.col("n") / base)).cast("long")
+            small = members.join(pivots.where(is_small).select("region", parts.alias("parts")), "region")
             # One after the other, so that the shuffles of only one of them lie on disk.
             near = staging.keep(_near_in_regions(small, sketches, percent).distinct(), f"near-small-{round_}")
             staging.drop()
@@ -377,18 +447,19 @@ def with_roots(documents: DataFrame, n: int = WORDS, percent: int = PERCENT, sta
     spark = documents.sparkSession
     staging = staging or Staging(spark, "jaccard")
     source = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    common = _common_in_sample(documents, n)
+    common, counts = _common_in_sample(documents, n).reshape(2, -1)
     for attempt in range(5):
-        scanned = staging.keep(_scan(source, n, percent, common), f"scanned-{attempt}")
+        scanned = staging.keep(_scan(source, n, percent, common, counts), f"scanned-{attempt}")
         entries = scanned.select(F.posexplode("prefix").alias("at", "region"), "node", F.col("n_shingles").alias("size"))
         # Most shingles are in one text only. They are counted first, with as little as can be, and go no further.
         shared = staging.keep(entries.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"), f"shared-{attempt}")
         entry_count = scanned.agg(F.sum(F.size("prefix")).alias("n")).first().n or 0
-        late = shared.where(F.col("n") > max(COMMON, entry_count >> 20)).select("region").toArrow()
-        late = np.setdiff1d(late.column("region").to_numpy().view(np.uint64), common)
-        if not len(late) or attempt == 4:
+        found = shared.where(F.col("n") > max(COMMON, entry_count >> 20)).toArrow()
+        late, held = found.column("region").to_numpy().view(np.uint64), found.column("n").to_numpy().view(np.uint64)
+        new = ~np.isin(late, common)
+        if not new.any() or attempt == 4:
             break
-        common = np.union1d(common, late)
+        common, counts = np.concatenate([common, late[new]]), np.concatenate([counts, held[new]])
         staging.drop(f"scanned-{attempt}", f"shared-{attempt}")
     rows = staging.keep(scanned.select("doc_id", "text_key", "n_shingles", "node"), "rows")
     # Copies have put their shingles in more than once.

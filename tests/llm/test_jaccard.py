@@ -239,3 +239,58 @@ def test_divided_regions(documents, staging, rows, monkeypatch):
     part = [r for r in rows if len(r[1] or "") < 3_000]
     assert found(documents(*part), staging, percent=70) == brute(part, 70)
     assert divided
+
+
+def test_unlike_members_of_a_large_region_are_compared_in_parts(documents, staging, monkeypatch):
+    """Texts that have little more than one passage meet in its regions, far from each other; that takes no round for each few."""
+    divided, rounds, pivots = [], [], J._pivots
+    monkeypatch.setattr(J, "_children", lambda *a: divided.append(a) or children(*a))
+    monkeypatch.setattr(J, "_pivots", lambda members, round_: rounds.append(round_) or pivots(members, round_))
+    monkeypatch.setattr(J, "BASE", 8)
+    monkeypatch.setattr(J, "WIDER", (0, 16))
+    passage = say(60)
+    rows = [(i, " ".join(passage + [f"own{i}x{k}" for k in range(3)])) for i in range(200)]
+    rows += [(200 + i, f"{rows[i][1]} more") for i in range(0, 200, 40)]
+    assert found(documents(*rows), staging) == brute(rows)
+    assert not divided and len(rounds) <= 2
+
+
+def test_parts_of_a_region_give_its_pairs_once(spark):
+    pool = np.random.default_rng(4).integers(0, 2**63, 900).astype(np.uint64)
+    sets = {k: np.unique(pool[5 * k:5 * k + 300]) for k in range(40)}
+    sketches = spark.createDataFrame([(k, bytearray(J.sketch(s)), len(s)) for k, s in sets.items()], "node long, sketch binary, n_shingles long")
+    pairs = {}
+    for parts in (1, 4):
+        members = spark.createDataFrame([(7, k, k, parts) for k in sets], "region long, node long, group long, parts long")
+        pairs[parts] = sorted(tuple(r) for r in J._near_in_regions(members, sketches, 85).collect())
+    assert pairs[1] == pairs[4] and {(k + 1, k) for k in range(39)} <= set(pairs[1])
+
+
+def test_rarer_common_shingles_come_first():
+    shingles = np.arange(1, 21, dtype=np.uint64)
+    common, places = np.arange(3, 21, dtype=np.uint64), np.arange(18)[::-1].copy()
+    assert J.prefix_of(shingles, common, 80, places).tolist() == [1, 2, 20, 19, 18]
+    assert J.prefix_of(shingles, common, 80).tolist() == [1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("size", [3_000, 8_000, 20_000])
+def test_sketches_tell_large_sets_apart(spark, size):
+    """Two unlike sets of any size are told by their sketches; close ones of unlike numbers of bins are kept."""
+    gen = np.random.default_rng(size)
+    sets = [np.unique(gen.integers(0, 2**63, size).astype(np.uint64)) for _ in range(3)]
+    sets.append(np.unique(np.concatenate([sets[0], gen.integers(0, 2**63, size // 9).astype(np.uint64)])))
+    sketches = spark.createDataFrame([(k, bytearray(J.sketch(s)), len(s)) for k, s in enumerate(sets)], "node long, sketch binary, n_shingles long")
+    pairs = spark.createDataFrame([(a, b, False) for a in range(4) for b in range(a)], "node long, pivot long, far boolean")
+    assert [tuple(r) for r in J._near(pairs, sketches, 80).collect()] == [(3, 0)]
+    members = spark.createDataFrame([(7, k, k, 1) for k in range(4)], "region long, node long, group long, parts long")
+    assert [tuple(r) for r in J._near_in_regions(members, sketches, 80).collect()] == [(3, 0)]
+
+
+def test_folded_sketches_are_those_of_fewer_bins(monkeypatch):
+    gen = np.random.default_rng(5)
+    sets = [np.unique(gen.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 4_000, 4_300, 9_000, 70_000, 200_000)]
+    taken = [J.sketch(s) for s in sets]
+    monkeypatch.setattr(J, "MOST_BINS", J.BINS)
+    assert J.folded(taken, J.BINS).tolist() == [list(J.sketch(s)) for s in sets]
+    between = J.apart([taken[a] for a in range(6) for b in range(6)], [taken[b] for a in range(6) for b in range(6)])
+    assert all(x <= len(np.setxor1d(sets[a], sets[b])) for x, (a, b) in zip(between, ((a, b) for a in range(6) for b in range(6)), strict=True))
